@@ -10,6 +10,8 @@ Parquet has no MERGE. An upsert here:
 3. writes the merged partitions to a staging folder in the shared folder,
    then replaces exactly those partitions of the table with dynamic partition
    overwrite. A failed second step can be re-run from the staging copy.
+   A first load (no table yet) reads nothing from the target and is written
+   directly.
 
 Files are range-partitioned on the full key and sorted within partitions, so
 a partition that holds a large share of the rows is written by many tasks,
@@ -52,9 +54,13 @@ def read_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "overwrite",
-                 dynamic: bool = False) -> None:
+                 dynamic: bool = False, num_tasks: int | None = None) -> None:
+    """Range-partition on the full key (explicit task count, so adaptive execution
+    does not fold a write over many partition folders into one task), sort within
+    tasks, write one folder per partition value."""
     cols = [c for c in layout.key if c in df.columns]
-    w = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    n = num_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    w = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
          .write.mode(mode).partitionBy(*layout.partition_by))
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -70,7 +76,8 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     order = [c for c in order if c in incoming.columns]
     schema_cols = [c for c in incoming.columns if c not in order]
     batch = incoming.select(*schema_cols, *order, F.lit(1).alias("_batch"))
-    if _table_exists(spark, path):
+    exists = _table_exists(spark, path)
+    if exists:
         stored = read_layout(spark, path, incoming.select(*schema_cols).schema)
         parts = batch.select(*layout.partition_by).distinct()
         old = stored.join(parts, list(layout.partition_by), "left_semi")
@@ -78,6 +85,10 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
                          F.lit(0).alias("_batch"))
         batch = batch.unionByName(old)
     merged = dedup_last(batch, layout.key, ["_batch", *order]).select(*schema_cols)
+    if not exists:
+        # first load: nothing is read from the target, write it directly
+        write_layout(merged, path, layout)
+        return read_layout(spark, path, merged.schema)
     staging = scratch_path(spark, f"stage-{layout.name}")
     write_layout(merged, staging, layout)
     staged = read_layout(spark, staging, merged.schema)

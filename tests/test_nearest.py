@@ -1,0 +1,60 @@
+import math
+import random
+
+import pytest
+
+from obsgrid.functions.geo import KM_PER_DEGREE
+from obsgrid.operators.nearest import NO_STATION, nearest_station
+
+
+def brute(points, stations, geo):
+    out = {}
+    for pt, lon, lat in points:
+        best, code = 1000000.0, NO_STATION
+        for st, slon, slat, _ in stations:  # file order, strict "<"
+            m = (lat + slat) / 2
+            x = (lon - slon) * math.cos(math.radians(m) if geo else m)
+            d = KM_PER_DEGREE * math.sqrt(x * x + (lat - slat) ** 2)
+            if d < best:
+                best, code = d, st
+        out[pt] = (code, best)
+    return out
+
+
+def frames(spark, points, stations):
+    p = spark.createDataFrame(points, "pt int, longitude double, latitude double")
+    s = spark.createDataFrame(stations, "station string, longitude double, latitude double, ord int")
+    return p, s
+
+
+@pytest.mark.parametrize("geo", [True, False])
+def test_band_search_equals_brute_force(spark, geo):
+    rnd = random.Random(11)
+    stations = [(f"S{i}", rnd.uniform(-180, 180), rnd.uniform(-60, 70), i) for i in range(150)]
+    # a dense cluster plus sparse empty regions (points far from any band)
+    stations += [(f"D{i}", 12 + rnd.random(), 42 + rnd.random(), 150 + i) for i in range(50)]
+    points = [(i, rnd.uniform(-180, 180), rnd.uniform(-89, 89)) for i in range(400)]
+    p, s = frames(spark, points, stations)
+    got = {r.pt: (r.station, r.distance_km) for r in nearest_station(p, s, geo=geo, band_deg=0.5).collect()}
+    want = brute(points, stations, geo)
+    for pt, (code, d) in want.items():
+        assert got[pt][0] == code, pt
+        assert got[pt][1] == pytest.approx(d, rel=1e-12)
+
+
+def test_ties_first_in_file_order(spark):
+    stations = [("B", 11.0, 42.0, 1), ("A", 13.0, 42.0, 2)]  # equally far from (12, 42)
+    p, s = frames(spark, [(1, 12.0, 42.0)], stations)
+    assert nearest_station(p, s).collect()[0].station == "B"
+
+
+def test_no_station_gives_error_marker(spark):
+    p, s = frames(spark, [(1, 12.0, 42.0)], [])
+    r = nearest_station(p, s).collect()[0]
+    assert r.station == NO_STATION and r.distance_km is None
+
+
+def test_plan_has_no_cross_join(spark):
+    p, s = frames(spark, [(1, 12.0, 42.0), (2, 9.0, 45.0)], [("X", 12.5, 41.9, 1), ("Y", 9.2, 45.5, 2)])
+    plan = nearest_station(p, s)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

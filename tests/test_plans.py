@@ -1,0 +1,62 @@
+"""Plan checks on every registered query, the entry point, the oracles and the stream."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF001, SF01
+
+SKIP_PLAN = {"upsert_station", "upsert_time"}  # these write; covered by test_layouts
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_PLAN))
+def test_no_python_in_plans(spark, name):
+    plan = physical(E.queries()[name](spark, SF001))
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert {"station", "year", "level", "avg_ind1", "median_ind1", "bisect_ind1"} <= set(df.columns)
+
+
+def test_every_query_has_oracle_or_is_rows_only():
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E.queries()) - set(E.oracle_sql()) == {"kmeans_ml"}
+
+
+def test_oracles_sf01(spark):
+    from oracle_check import compare
+
+    res = compare(spark, SF01)
+    bad = {k: v for k, v in res.items() if v.get("ok") is False}
+    assert not bad, bad
+
+
+def test_stream_ingest(spark, workdir):
+    from obsgrid.sources.layouts import read_layout
+    from obsgrid.streaming.ingest import start_ingest
+    from test_ingest import HEADER, line
+
+    src = os.path.join(workdir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("\n".join([HEADER, line("LIRA", "2011-01-01 12:50", tmpf="1"), line("LIRA", "2011-01-01 12:50", tmpf="2"),
+                           line("LIRF", "2011-02-01 00:20", tmpf="3")]) + "\n")
+    st, tm = os.path.join(workdir, "st"), os.path.join(workdir, "tm")
+    q = start_ingest(spark, src, st, tm, checkpoint=os.path.join(workdir, "ck"))
+    q.awaitTermination(120)
+    from obsgrid.schema import OBSERVATION_SCHEMA, TIME_SCHEMA
+
+    s = read_layout(spark, st, OBSERVATION_SCHEMA).collect()
+    assert sorted((r.station, r.temperature_f) for r in s) == [("LIRA", 2.0), ("LIRF", 3.0)]
+    t = read_layout(spark, tm, TIME_SCHEMA).collect()
+    assert len(t) == 2

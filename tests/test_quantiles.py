@@ -1,0 +1,79 @@
+import datetime as dt
+import random
+
+import numpy as np
+import pytest
+
+from obsgrid.operators.quantiles import box_outliers, box_stats, median_bisect, median_season
+
+
+def replay_bisect(values, rounds=10):
+    """Plain replay of the rounds: counts below / at-or-above mid, move one bound."""
+    lo, hi = min(values), max(values)
+    mid = (lo + hi) / 2
+    done = False
+    for _ in range(rounds):
+        left = sum(1 for v in values if v < mid)
+        right = len(values) - left
+        if done or abs(left - right) <= 1:
+            done = True
+            continue
+        if left < right:
+            lo = mid
+        else:
+            hi = mid
+        mid = (float(lo) + float(hi)) / 2
+    return mid, done
+
+
+def groups_frame(spark, groups):
+    rows = []
+    for g, vals in groups.items():
+        for i, v in enumerate(vals):
+            rows.append(("S", 2011, (g - 1) * 3 + 1, v, i))
+    return spark.createDataFrame(
+        [(s, dt.datetime(y, m, 1), v, i) for s, y, m, v, i in rows],
+        "station string, valid_date timestamp_ntz, t double, seq int",
+    )
+
+
+def test_median_bisect_matches_replay(spark):
+    rnd = random.Random(7)
+    cases = {
+        1: [rnd.gauss(50, 20) for _ in range(301)],
+        2: [rnd.choice([1.0, 2.0, 3.0, 100.0]) for _ in range(57)],
+        3: [5.0] * 12,
+        4: [rnd.expovariate(0.1) for _ in range(1000)],
+    }
+    got = {r.season: (r.bisect_t, r.converged, r.n) for r in median_bisect(groups_frame(spark, cases), "t").collect()}
+    for g, vals in cases.items():
+        mid, done = replay_bisect(vals)
+        assert got[g][0] == mid, g  # bit-equal
+        assert got[g][1] == done and got[g][2] == len(vals)
+
+
+def test_median_bisect_single_value_and_pair(spark):
+    got = {r.season: r.bisect_t for r in median_bisect(groups_frame(spark, {1: [3.5], 2: [1.0, 9.0]}), "t").collect()}
+    assert got[1] == replay_bisect([3.5])[0]
+    assert got[2] == replay_bisect([1.0, 9.0])[0]
+
+
+def test_median_exact(spark):
+    vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0]
+    r = median_season(groups_frame(spark, {2: vals}), "t").collect()[0]
+    assert r.median_t == pytest.approx(float(np.median(vals)))
+
+
+def test_box_stats_against_numpy(spark):
+    rnd = random.Random(3)
+    vals = [rnd.gauss(0, 1) for _ in range(200)] + [8.0, -9.0, 12.0]
+    r = box_stats(groups_frame(spark, {1: vals}), "t").collect()[0]
+    q1, med, q3 = np.percentile(vals, [25, 50, 75])
+    iqr = q3 - q1
+    inside = [v for v in vals if q1 - 1.5 * iqr <= v <= q3 + 1.5 * iqr]
+    assert (r.q1, r.median, r.q3) == pytest.approx((q1, med, q3))
+    assert r.whisker_lo == min(inside) and r.whisker_hi == max(inside)
+    assert r.n_outliers == len(vals) - len(inside)
+    assert r.min <= r.q1 <= r.median <= r.q3 <= r.max
+    outs = box_outliers(groups_frame(spark, {1: vals}), "t").collect()
+    assert sorted(o.t for o in outs) == sorted(v for v in vals if v not in inside)
