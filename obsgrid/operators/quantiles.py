@@ -1,10 +1,14 @@
 """Medians, the bisection median estimate, and box-plot statistics.
 
-Exact quantiles use Spark's ``percentile`` / ``median`` aggregates: their buffer
-is a value -> count map, merged map-side, so its size follows the number of
-distinct values of a group, not its rows. ``method="approx"`` switches to
-``percentile_approx`` whose buffer has a fixed bound, for groups with very many
-distinct values.
+Quantile methods:
+* ``exact`` (default): ``exact_quantiles`` -- a range shuffle on (group, value)
+  sorts the values; a group holding a large share of the rows is split over
+  many tasks by value range. Per (task, group) counts give every row's rank;
+  the rows at the wanted ranks are picked with a join. No task ever holds a
+  whole group. Interpolation is the one Spark's ``percentile`` uses.
+* ``percentile``: Spark's ``percentile`` aggregate (one pass; its buffer per
+  group is a value -> count map, so it suits measures with few distinct values).
+* ``approx``: ``percentile_approx`` (one pass, fixed-size buffer, approximate).
 
 ``median_bisect`` gives the same answer as a 10-round bisection that starts at
 the midrange and moves one bound per round, in ONE pass over the data: every
@@ -17,10 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsgrid.functions.columns import complete_rows, with_calendar, with_season
+from obsgrid.session import shared_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -30,20 +35,74 @@ def _values(obs: DataFrame, measure: str, keys: Sequence[str], extra: Sequence[s
     return df.select(*keys, *extra, F.col(measure).cast("double").alias("_v"))
 
 
-def _quantiles(v: Column, probs: Sequence[float], method: str, accuracy: int) -> Column:
+def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str = "_v",
+                    names: Sequence[str] | None = None, num_tasks: int | None = None) -> DataFrame:
+    """Exact quantiles per group without gathering a group in one task.
+
+    Returns keys, n and one double column per probability (``names``). The
+    quantile at p is linear interpolation at position (n-1)*p of the sorted
+    values: (hi - pos) * v[lo] + (pos - lo) * v[hi].
+
+    The range-sorted (group, value, task, position) rows are checkpointed to
+    the shared folder once: a second run of the range shuffle could draw other
+    range bounds, so both later passes must read the same materialized rows.
+    Pass 1 counts rows per (task, group) (one row per task and group); pass 2
+    keeps only the rows at the wanted ranks.
+    """
+    keys = list(keys)
+    names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
+    n_tasks = num_tasks or int(vals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    srt = (vals.select(*keys, F.col(value).alias("_x"))
+           .repartitionByRange(n_tasks, *keys, "_x").sortWithinPartitions(*keys, "_x")
+           .select(*keys, "_x", F.spark_partition_id().alias("_pid"),
+                   F.monotonically_increasing_id().alias("_id")))
+    shared_dir(vals.sparkSession)
+    srt = srt.checkpoint(eager=True)
+    parts = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_id").alias("_first"))
+    w = Window.partitionBy(*keys).orderBy("_pid")
+    parts = (parts.withColumn("_off", F.sum("_cnt").over(w) - F.col("_cnt"))
+             .withColumn("n", F.sum("_cnt").over(Window.partitionBy(*keys))))
+
+    def pos(p: float) -> Column:
+        return (F.col("n") - 1).cast("double") * F.lit(float(p))
+
+    ranks = []
+    for p in probs:
+        ranks += [F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")]
+    k = F.col("_k")
+    at = (parts.withColumn("_k", F.explode(F.array_distinct(F.array(*ranks))))
+          .where((k >= F.col("_off")) & (k < F.col("_off") + F.col("_cnt")))
+          .select(*keys, "n", "_k", (F.col("_first") + k - F.col("_off")).alias("_id")))
+    picked = (at.join(srt.select("_id", "_x"), "_id")
+              .groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_m")))
+    out = []
+    for p, nm in zip(probs, names):
+        lo, hi = F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")
+        vlo, vhi = F.element_at("_m", lo), F.element_at("_m", hi)
+        out.append(F.when(lo == hi, vlo).otherwise((hi - pos(p)) * vlo + (pos(p) - lo) * vhi).alias(nm))
+    return picked.select(*keys, "n", *out)
+
+
+def _agg_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                   method: str, accuracy: int) -> DataFrame:
+    """keys, n and the quantiles, by the chosen method."""
+    keys = list(keys)
     if method == "exact":
-        return F.percentile(v, list(probs))
-    if method == "approx":
-        return F.percentile_approx(v, list(probs), accuracy)
-    raise ValueError("method must be 'exact' or 'approx'")
+        return exact_quantiles(vals, keys, probs, names=names)
+    if method == "percentile":
+        q = F.percentile("_v", list(probs))
+    elif method == "approx":
+        q = F.percentile_approx("_v", list(probs), accuracy)
+    else:
+        raise ValueError("method must be 'exact', 'percentile' or 'approx'")
+    agg = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
+    return agg.select(*keys, "n", *[F.col("_q")[i].cast("double").alias(nm) for i, nm in enumerate(names)])
 
 
 def median_season(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "year", "season"),
                   method: str = "exact", accuracy: int = 10000) -> DataFrame:
-    """Median per group (A9). Exact = linear interpolation between the middle values."""
-    df = _values(obs, measure, keys)
-    med = F.median("_v") if method == "exact" else F.percentile_approx("_v", 0.5, accuracy)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), med.alias(f"median_{measure}"))
+    """Median per group (A9): linear interpolation between the middle values."""
+    return _agg_quantiles(_values(obs, measure, keys), keys, [0.5], [f"median_{measure}"], method, accuracy)
 
 
 def _half(lo: Column, hi: Column) -> Column:
@@ -123,11 +182,7 @@ def box_stats(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "y
     """
     keys = list(keys)
     vals = _values(obs, measure, keys)
-    q = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
-        _quantiles(F.col("_v"), QUARTILES, method, accuracy).alias("_q"),
-    ).select(*keys, "n", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-             F.col("_q")[2].alias("q3"), "max")
+    q = _agg_quantiles(vals, keys, (0.0, *QUARTILES, 1.0), ["min", "q1", "median", "q3", "max"], method, accuracy)
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("_lo_f", F.col("q1") - F.lit(whis) * iqr).withColumn("_hi_f", F.col("q3") + F.lit(whis) * iqr)
     stat_cols = ["n", "min", "q1", "median", "q3", "max", "_lo_f", "_hi_f"]
@@ -149,10 +204,10 @@ def box_outliers(obs: DataFrame, measure: str, keys: Sequence[str] = ("station",
     keys = list(keys)
     carry = [c for c in carry if c in obs.columns]
     vals = _values(obs, measure, keys, carry)
-    q = vals.groupBy(*keys).agg(_quantiles(F.col("_v"), (0.25, 0.75), method, accuracy).alias("_q"))
-    iqr = F.col("_q")[1] - F.col("_q")[0]
-    q = q.select(*keys, (F.col("_q")[0] - F.lit(whis) * iqr).alias("_lo_f"),
-                 (F.col("_q")[1] + F.lit(whis) * iqr).alias("_hi_f"))
+    q = _agg_quantiles(vals, keys, (0.25, 0.75), ["_q1", "_q3"], method, accuracy)
+    iqr = F.col("_q3") - F.col("_q1")
+    q = q.select(*keys, (F.col("_q1") - F.lit(whis) * iqr).alias("_lo_f"),
+                 (F.col("_q3") + F.lit(whis) * iqr).alias("_hi_f"))
     v = F.col("_v")
     return (vals.join(q, keys).where((v < F.col("_lo_f")) | (v > F.col("_hi_f")))
             .select(*keys, *carry, v.alias(measure)))

@@ -327,10 +327,19 @@ def q_box_stats(spark, sf):
     return rounded(qu.box_stats(_b1(spark, sf), M), ["q1", "median", "q3"])
 
 
-@register("box_outliers", f"""WITH {B1_VALS}, {_BOX_Q}
-SELECT station, year, season, seq, {M} FROM f JOIN d USING (station, year, season) WHERE {M} < lo_f OR {M} > hi_f""")
+_B2_BOX = f"""b2 AS ({b.B2_SQL}),
+d AS (SELECT loc, CAST(year(valid_date) AS INTEGER) AS year, CAST(ceil(month(valid_date) / 3.0) AS INTEGER) AS season,
+             seq, ind2 FROM b2 WHERE ind2 IS NOT NULL),
+{ranked_sql('loc, year, season', 'ind2')},
+q AS (SELECT loc, year, season, {interp_sql(0.25)} AS q1, {interp_sql(0.75)} AS q3 FROM rk GROUP BY loc, year, season),
+f AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo_f, q3 + 1.5::DOUBLE * (q3 - q1) AS hi_f FROM q)"""
+
+
+@register("box_outliers", f"""WITH {_B2_BOX}
+SELECT loc, year, season, seq, ind2 FROM f JOIN d USING (loc, year, season) WHERE ind2 < lo_f OR ind2 > hi_f""")
 def q_box_outliers(spark, sf):
-    return qu.box_outliers(_b1(spark, sf), M)
+    obs = with_calendar(_b2(spark, sf))
+    return qu.box_outliers(obs, "ind2", keys=("loc", "year", "season"))
 
 
 # ---------------------------------------------------------------------------
