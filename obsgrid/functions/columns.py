@@ -89,3 +89,14 @@ def ts_literal(value: dt.datetime) -> Column:
         F.lit(value.year), F.lit(value.month), F.lit(value.day),
         F.lit(value.hour), F.lit(value.minute), F.lit(value.second),
     )
+
+
+def require_measure(df: DataFrame, name: str, numeric: bool = False) -> str:
+    """Check a measure picked by name against the frame (P5) before it is used."""
+    from obsgrid.schema import MEASURES
+
+    if name not in df.columns:
+        raise ValueError(f"unknown measure {name!r}; the observation measures are: {', '.join(MEASURES)}")
+    if numeric and not isinstance(df.schema[name].dataType, T.NumericType):
+        raise ValueError(f"measure {name!r} is {df.schema[name].dataType.simpleString()}, not numeric")
+    return name

@@ -43,6 +43,8 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     quantile at p is linear interpolation at position (n-1)*p of the sorted
     values: (hi - pos) * v[lo] + (pos - lo) * v[hi].
 
+    The range key is (group, value, row id): a group, and even a single value
+    repeated across a third of all rows, is split over many tasks.
     The range-sorted (group, value, task, position) rows are checkpointed to
     the shared folder once: a second run of the range shuffle could draw other
     range bounds, so both later passes must read the same materialized rows.
@@ -52,8 +54,9 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     keys = list(keys)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     n_tasks = num_tasks or int(vals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    srt = (vals.select(*keys, F.col(value).alias("_x"))
-           .repartitionByRange(n_tasks, *keys, "_x").sortWithinPartitions(*keys, "_x")
+    # the row id breaks ties, so even one repeated (group, value) is split over tasks
+    srt = (vals.select(*keys, F.col(value).alias("_x"), F.monotonically_increasing_id().alias("_tb"))
+           .repartitionByRange(n_tasks, *keys, "_x", "_tb").sortWithinPartitions(*keys, "_x", "_tb")
            .select(*keys, "_x", F.spark_partition_id().alias("_pid"),
                    F.monotonically_increasing_id().alias("_id")))
     shared_dir(vals.sparkSession)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.functions.columns import season_label
+from obsgrid.functions.columns import require_measure, season_label
 from obsgrid.operators.kmeans import kmeans_fit
 from obsgrid.operators.nearest import NO_STATION, nearest_station
 from obsgrid.operators.periods import monthly_history_wide, period_stats
@@ -48,6 +48,7 @@ def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *,
     of the year), ``box`` (box statistics per season), ``history`` (one row per
     year of ``history`` with twelve monthly means).
     """
+    require_measure(obs, measure, numeric=True)
     code = find_station(spark, stations, lat=lat, lon=lon, geo=geo)
     year_rows = station_years(obs, code, year)
     hist_rows = station_years(obs, code, history[0], history[1])
@@ -62,6 +63,7 @@ def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *,
 def map_slice(obs_time: DataFrame, when: dt.datetime, measure: str, bbox: bool = False,
               ts: str = "valid_date") -> DataFrame:
     """longitude, latitude, value of one measure at one instant (C2); may be empty."""
+    require_measure(obs_time, measure)
     return map_values(at_instant(obs_time, when, ts=ts), measure, bbox=bbox)
 
 
@@ -74,6 +76,8 @@ def cluster_report(obs_time: DataFrame, first_month: str, last_month: str, k: in
     the mean of each indicator. ``decimals`` rounds the features first, which
     keeps labels stable against last-bit differences of the sums.
     """
+    for ind in indicators:
+        require_measure(obs_time, ind, numeric=True)
     rows = month_range(obs_time, first_month, last_month, compat_end)
     prof = location_profile(rows, indicators)
     feats = feature_names(indicators)

@@ -80,3 +80,14 @@ def test_month_bounds():
     lo, hi, incl = month_bounds("2011-01", "2011-09", compat_end=True)
     assert (hi, incl) == (dt.datetime(2011, 10, 1), False)
     assert month_bounds("2011-12", "2011-12")[1] == dt.datetime(2012, 1, 1)
+
+
+def test_measure_checked_by_name(spark):
+    from obsgrid.functions.columns import require_measure
+
+    df = spark.createDataFrame([(1.0, "x")], "temperature_f double, weather_code string")
+    assert require_measure(df, "temperature_f", numeric=True) == "temperature_f"
+    with pytest.raises(ValueError):
+        require_measure(df, "tmpf")
+    with pytest.raises(ValueError):
+        require_measure(df, "weather_code", numeric=True)

@@ -77,3 +77,41 @@ def test_box_stats_against_numpy(spark):
     assert r.min <= r.q1 <= r.median <= r.q3 <= r.max
     outs = box_outliers(groups_frame(spark, {1: vals}), "t").collect()
     assert sorted(o.t for o in outs) == sorted(v for v in vals if v not in inside)
+
+
+def test_exact_quantiles_hot_group_spans_tasks(spark):
+    from obsgrid.operators.quantiles import exact_quantiles
+
+    rnd = random.Random(9)
+    hot = [round(rnd.gauss(20, 8), 1) for _ in range(20000)]  # one group with most rows, many ties
+    cold = {g: [rnd.uniform(0, 50) for _ in range(rnd.randint(1, 40))] for g in range(1, 30)}
+    rows = [(0, v) for v in hot] + [(g, v) for g, vs in cold.items() for v in vs]
+    df = spark.createDataFrame(rows, "g int, _v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, ["g"], probs, num_tasks=16).collect()}
+    for g, vals in [(0, hot), *cold.items()]:
+        want = np.percentile(vals, [p * 100 for p in probs])
+        r = got[g]
+        assert r.n == len(vals)
+        assert [r[f"q{i}"] for i in range(len(probs))] == pytest.approx(list(want), rel=1e-12, abs=1e-12), g
+    # same answers as Spark's one-pass aggregate
+    from pyspark.sql import functions as F
+    ref = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("_v", probs).alias("q")).collect()}
+    for g, r in got.items():
+        assert [r[f"q{i}"] for i in range(len(probs))] == ref[g]
+
+
+def test_exact_quantiles_one_value_dominates(spark):
+    """A single repeated value holding most rows is still split over tasks."""
+    from pyspark.sql import functions as F
+    from obsgrid.operators.quantiles import exact_quantiles
+
+    rows = [(0, 0.0)] * 30000 + [(0, float(i)) for i in range(1, 101)]
+    df = spark.createDataFrame(rows, "g int, _v double")
+    out = exact_quantiles(df, ["g"], [0.5, 0.999], num_tasks=8).collect()[0]
+    want = np.percentile([v for _, v in rows], [50, 99.9])
+    assert [out.q0, out.q1] == pytest.approx(list(want))
+    # the sort spreads the 30000 zeros: no task holds more than half of the rows
+    sizes = (df.select("g", "_v", F.monotonically_increasing_id().alias("_tb"))
+             .repartitionByRange(8, "g", "_v", "_tb").groupBy(F.spark_partition_id()).count().collect())
+    assert max(r["count"] for r in sizes) < len(rows) / 2
