@@ -2,8 +2,9 @@
 
 ``kmeans_fit`` is a Lloyd loop on DataFrames: each round assigns every row to
 its nearest centre (squared Euclidean, lowest index on ties) with the k
-centres inlined as literals -- no join -- and recomputes the centres with one
-aggregation of k groups. Only the k centres reach the driver. No feature
+centres passed as array literals -- no join, and the compiled code is reused
+from round to round -- and recomputes the centres with one aggregation of k
+groups. Only the k centres reach the driver. No feature
 scaling. An empty cluster keeps its previous centre.
 
 ``kmeans_ml`` is Spark ML's KMeans on the same features.
@@ -17,8 +18,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsgrid.functions.geo import squared_distance
-
 
 def assign(df: DataFrame, features: Sequence[str], centres: Sequence[Sequence[float]],
            out: str = "cluster") -> DataFrame:
@@ -26,12 +25,19 @@ def assign(df: DataFrame, features: Sequence[str], centres: Sequence[Sequence[fl
     return df.withColumn(out, nearest_centre(features, centres))
 
 
-def nearest_centre(features: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
-    cols = [F.col(f).cast("double") for f in features]
-    cands = [
-        F.struct(squared_distance(cols, [F.lit(float(x)) for x in c]).alias("d"), F.lit(i).alias("i"))
-        for i, c in enumerate(centres)
-    ]
+def nearest_centre(features: Sequence[str] | Column, centres: Sequence[Sequence[float]]) -> Column:
+    """Index of the nearest centre, lowest index on ties.
+
+    Each centre is an array literal, so its values live in the expression tree
+    rather than in generated code: every Lloyd round reuses the compiled code.
+    The squared distance is summed left to right: 0 + d1^2 + d2^2 + ...
+    """
+    fv = features if isinstance(features, Column) else F.array(*[F.col(f).cast("double") for f in features])
+    cands = []
+    for i, c in enumerate(centres):
+        sq = F.zip_with(fv, F.lit([float(x) for x in c]), lambda x, y: (x - y) * (x - y))
+        d = F.aggregate(sq, F.lit(0.0), lambda acc, z: acc + z)
+        cands.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
     return F.array_min(F.array(*cands))["i"]
 
 
@@ -59,18 +65,18 @@ def kmeans_fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ("l
     """
     if k < 1:
         raise ValueError("k must be positive")
-    data = df.select(*keys, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    fv = F.array(*[F.col(f).cast("double") for f in features])
+    data = df.select(*keys, *features, fv.alias("_fv")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cur = [list(c) for c in centres] if centres is not None else initial_centres(data, features, keys, k, init, seed)
-        label = nearest_centre(features, cur)
         for _ in range(rounds):
-            means = (data.withColumn("cluster", label).groupBy("cluster")
+            means = (data.withColumn("cluster", nearest_centre(F.col("_fv"), cur)).groupBy("cluster")
                      .agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in features]).collect())
             for r in means:
                 cur[r["cluster"]] = [float(r[f]) for f in features]
-            label = nearest_centre(features, cur)
     finally:
         data.unpersist()
+    label = nearest_centre(features, cur)
     return df.withColumn("cluster", label), cur
 
 

@@ -146,9 +146,9 @@ FROM orders
 def stations_of(obs_time_df: DataFrame) -> DataFrame:
     """Station list of B2: one row per location with its coordinates and file order."""
     return obs_time_df.groupBy(F.col("loc").cast("string").alias("station")).agg(
-        F.min_by(F.struct("longitude", "latitude"), "seq").alias("c"),
+        F.min_by("longitude", "seq").alias("longitude"), F.min_by("latitude", "seq").alias("latitude"),
         F.min("seq").alias("ord"),
-    ).select("station", F.col("c.longitude").alias("longitude"), F.col("c.latitude").alias("latitude"), "ord")
+    )
 
 
 STATIONS_SQL = f"""
