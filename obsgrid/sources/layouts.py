@@ -9,7 +9,8 @@ Parquet has no MERGE. An upsert here:
    filter), ranks them below every new row, and reduces again;
 3. writes the merged partitions to a staging folder in the shared folder,
    then replaces exactly those partitions of the table with dynamic partition
-   overwrite. A failed second step can be re-run from the staging copy.
+   overwrite. A failed second step can be re-run from the staging copy,
+   which is removed once the table holds the merged partitions.
    A first load (no table yet) reads nothing from the target and is written
    directly.
 
@@ -40,12 +41,20 @@ def dedup_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
     return out.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    return fs.exists(p) and fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p) and fs.exists(_fs_path(spark, path + "/_SUCCESS")[1])
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
 
 
 def read_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -93,6 +102,7 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     write_layout(merged, staging, layout)
     staged = read_layout(spark, staging, merged.schema)
     write_layout(staged, path, layout, dynamic=True)
+    _remove(spark, staging)  # only after the table holds the merged partitions
     return read_layout(spark, path, merged.schema)
 
 

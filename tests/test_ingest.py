@@ -85,3 +85,11 @@ def test_binding_cleaning_counts(spark):
     total = b.raw_text(spark, "/root/testdata/sf0.001").count()
     assert good.count() + bad.count() == total
     assert bad.where(F.col("reason") == "valid").count() > 0
+
+
+def test_multiline_quoted_text(spark, workdir):
+    p = os.path.join(workdir, "ml.csv")
+    with open(p, "w") as f:
+        f.write(HEADER + "\n" + line("LIRA", "2011-01-01 12:50", metar='"first line\nsecond line"') + "\n")
+    good, _ = clean(read_raw(spark, p, multiline=True))
+    assert good.collect()[0].observation == "first line\nsecond line"

@@ -69,3 +69,18 @@ def test_assignment_cost_does_not_rise(spark):
         lab = np.array([r.cluster for r in labelled.orderBy("longitude").collect()])
         costs.append(float(((x - c[lab]) ** 2).sum()))
     assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))
+
+
+def test_seeded_random_init(spark):
+    from obsgrid.operators.kmeans import initial_centres
+
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(50, 3))
+    df, feats = frame(spark, x)
+    keys = ("longitude", "latitude")
+    a = initial_centres(df, feats, keys, 4, init="random", seed=7)
+    b = initial_centres(df, feats, keys, 4, init="random", seed=7)
+    c = initial_centres(df, feats, keys, 4, init="random", seed=8)
+    assert a == b and a != c
+    rows = {tuple(r) for r in x.tolist()}
+    assert len({tuple(v) for v in a}) == 4 and all(tuple(v) in rows for v in a)
