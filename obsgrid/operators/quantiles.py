@@ -1,11 +1,10 @@
 """Medians, the bisection median estimate, and box-plot statistics.
 
 Quantile methods:
-* ``exact`` (default): ``exact_quantiles`` -- a range shuffle on (group, value)
-  sorts the values; a group holding a large share of the rows is split over
-  many tasks by value range. Per (task, group) counts give every row's rank;
-  the rows at the wanted ranks are picked with a join. No task ever holds a
-  whole group. Interpolation is the one Spark's ``percentile`` uses.
+* ``exact`` (default): ``exact_quantiles`` -- selection by histogram
+  narrowing: a few passes of partially aggregated cell counts find the value
+  at each wanted rank. Only aggregates are shuffled; no task ever holds a whole
+  group. Interpolation is the one Spark's ``percentile`` uses.
 * ``percentile``: Spark's ``percentile`` aggregate (one pass; its buffer per
   group is a value -> count map, so it suits measures with few distinct values).
 * ``approx``: ``percentile_approx`` (one pass, fixed-size buffer, approximate).
@@ -35,36 +34,51 @@ def _values(obs: DataFrame, measure: str, keys: Sequence[str], extra: Sequence[s
     return df.select(*keys, *extra, F.col(measure).cast("double").alias("_v"))
 
 
+def _match_intervals(base: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``base`` inside one of their group's open intervals: keys, lo, hi, _x.
+
+    The intervals of one group are identical or disjoint, so a row matches at
+    most one; they travel as a short array per group (no row is multiplied).
+    """
+    ivs = (state.select(*keys, "lo", "hi").distinct()
+           .groupBy(*keys).agg(F.collect_list(F.struct("lo", "hi")).alias("_iv")))
+    x = F.col("_x")
+    inside = F.filter("_iv", lambda i: (x >= i["lo"]) & (x <= i["hi"]))
+    return (base.join(ivs, keys).select(*keys, "_x", F.explode(inside).alias("_t"))
+            .select(*keys, F.col("_t.lo").alias("lo"), F.col("_t.hi").alias("hi"), "_x"))
+
+
 def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str = "_v",
-                    names: Sequence[str] | None = None, num_tasks: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, cells: int = 1024, small: int = 100_000,
+                    max_passes: int = 8) -> DataFrame:
     """Exact quantiles per group without gathering a group in one task.
 
     Returns keys, n and one double column per probability (``names``). The
     quantile at p is linear interpolation at position (n-1)*p of the sorted
-    values: (hi - pos) * v[lo] + (pos - lo) * v[hi].
-
-    The range key is (group, value, row id): a group, and even a single value
-    repeated across a third of all rows, is split over many tasks.
-    The range-sorted (group, value, task, position) rows are checkpointed to
-    the shared folder once: a second run of the range shuffle could draw other
-    range bounds, so both later passes must read the same materialized rows.
-    Pass 1 counts rows per (task, group) (one row per task and group); pass 2
-    keeps only the rows at the wanted ranks.
+    values: (hi - pos) * v[lo] + (pos - lo) * v[hi] -- the form of Spark's
+    ``percentile``, so both give the same doubles.
+
+    Selection by histogram narrowing; only aggregates are shuffled, never the
+    raw values:
+    * pass 0: n, min, max per group; every wanted rank starts with the
+      interval [min, max];
+    * while an interval holds more than ``small`` rows and more than one value:
+      the rows inside it are counted in ``cells`` equal-width cells
+      (per (group, interval, cell): count, min, max -- partial aggregation),
+      and the cell holding the rank becomes the next interval, which is at
+      least ``cells`` times narrower;
+    * then the distinct values of each small interval, with their counts, give
+      the value at the rank (a window over at most ``small`` rows).
+    The per-rank state is a few rows per group, checkpointed to the shared
+    folder after every pass. After ``max_passes`` the remaining intervals are
+    picked as small ones.
     """
     keys = list(keys)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
-    n_tasks = num_tasks or int(vals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the row id breaks ties, so even one repeated (group, value) is split over tasks
-    srt = (vals.select(*keys, F.col(value).alias("_x"), F.monotonically_increasing_id().alias("_tb"))
-           .repartitionByRange(n_tasks, *keys, "_x", "_tb").sortWithinPartitions(*keys, "_x", "_tb")
-           .select(*keys, "_x", F.spark_partition_id().alias("_pid"),
-                   F.monotonically_increasing_id().alias("_id")))
     shared_dir(vals.sparkSession)
-    srt = srt.checkpoint(eager=True)
-    parts = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_id").alias("_first"))
-    w = Window.partitionBy(*keys).orderBy("_pid")
-    parts = (parts.withColumn("_off", F.sum("_cnt").over(w) - F.col("_cnt"))
-             .withColumn("n", F.sum("_cnt").over(Window.partitionBy(*keys))))
+    base = vals.select(*keys, F.col(value).cast("double").alias("_x"))
+    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
+                                    F.max("_x").alias("hi"))
 
     def pos(p: float) -> Column:
         return (F.col("n") - 1).cast("double") * F.lit(float(p))
@@ -72,18 +86,52 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     ranks = []
     for p in probs:
         ranks += [F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")]
-    k = F.col("_k")
-    at = (parts.withColumn("_k", F.explode(F.array_distinct(F.array(*ranks))))
-          .where((k >= F.col("_off")) & (k < F.col("_off") + F.col("_cnt")))
-          .select(*keys, "n", "_k", (F.col("_first") + k - F.col("_off")).alias("_id")))
-    picked = (at.join(srt.select("_id", "_x"), "_id")
-              .groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_m")))
+    state = stats.select(*keys, "n", F.explode(F.array_distinct(F.array(*ranks))).alias("_k"), "lo", "hi",
+                         F.lit(0).cast("long").alias("below"), F.col("n").alias("cnt")).checkpoint(eager=True)
+
+    found, smalls = [], []
+    for step in range(max_passes + 1):
+        found.append(state.where(F.col("lo") == F.col("hi")).select(*keys, "_k", F.col("lo").alias("_val")))
+        open_ = state.where(F.col("lo") < F.col("hi"))
+        if step == max_passes:
+            smalls.append(open_)
+            break
+        smalls.append(open_.where(F.col("cnt") <= small))
+        big = open_.where(F.col("cnt") > small)
+        if big.isEmpty():
+            break
+        cand = _match_intervals(base, big, keys)
+        width = F.col("hi") - F.col("lo")
+        cell = F.least(F.floor((F.col("_x") - F.col("lo")) / width * F.lit(float(cells))).cast("long"),
+                       F.lit(cells - 1).cast("long"))
+        hist = cand.groupBy(*keys, "lo", "hi", cell.alias("_c")).agg(
+            F.count(F.lit(1)).alias("_cnt"), F.min("_x").alias("_cmin"), F.max("_x").alias("_cmax"))
+        w = Window.partitionBy(*keys, "lo", "hi").orderBy("_c")
+        hist = hist.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
+        start_rank = F.col("below") + F.col("_before")
+        state = (big.join(hist, keys + ["lo", "hi"])
+                 .where((F.col("_k") >= start_rank) & (F.col("_k") < start_rank + F.col("_cnt")))
+                 .select(*keys, "n", "_k", F.col("_cmin").alias("lo"), F.col("_cmax").alias("hi"),
+                         start_rank.alias("below"), F.col("_cnt").alias("cnt"))).checkpoint(eager=True)
+
+    sm = smalls[0]
+    for extra in smalls[1:]:
+        sm = sm.unionByName(extra)
+    dv = _match_intervals(base, sm, keys).groupBy(*keys, "lo", "hi", "_x").agg(F.count(F.lit(1)).alias("_m"))
+    dv = dv.withColumn("_upto", F.sum("_m").over(Window.partitionBy(*keys, "lo", "hi").orderBy("_x")))
+    rel = F.col("_k") - F.col("below")
+    picked = (sm.join(dv, keys + ["lo", "hi"])
+              .where((rel < F.col("_upto")) & (rel >= F.col("_upto") - F.col("_m")))
+              .select(*keys, "_k", F.col("_x").alias("_val")))
+    for f in found:
+        picked = picked.unionByName(f)
+    got = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_val"))).alias("_m"))
     out = []
     for p, nm in zip(probs, names):
         lo, hi = F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")
         vlo, vhi = F.element_at("_m", lo), F.element_at("_m", hi)
         out.append(F.when(lo == hi, vlo).otherwise((hi - pos(p)) * vlo + (pos(p) - lo) * vhi).alias(nm))
-    return picked.select(*keys, "n", *out)
+    return stats.select(*keys, "n").join(got, keys).select(*keys, "n", *out)
 
 
 def _agg_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],

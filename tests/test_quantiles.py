@@ -88,7 +88,8 @@ def test_exact_quantiles_hot_group_spans_tasks(spark):
     rows = [(0, v) for v in hot] + [(g, v) for g, vs in cold.items() for v in vs]
     df = spark.createDataFrame(rows, "g int, _v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {r.g: r for r in exact_quantiles(df, ["g"], probs, num_tasks=16).collect()}
+    # a low "small" bound and few cells force several narrowing passes
+    got = {r.g: r for r in exact_quantiles(df, ["g"], probs, cells=8, small=50).collect()}
     for g, vals in [(0, hot), *cold.items()]:
         want = np.percentile(vals, [p * 100 for p in probs])
         r = got[g]
@@ -102,16 +103,22 @@ def test_exact_quantiles_hot_group_spans_tasks(spark):
 
 
 def test_exact_quantiles_one_value_dominates(spark):
-    """A single repeated value holding most rows is still split over tasks."""
-    from pyspark.sql import functions as F
+    """A single repeated value holding most rows resolves without a per-row sort."""
     from obsgrid.operators.quantiles import exact_quantiles
 
-    rows = [(0, 0.0)] * 30000 + [(0, float(i)) for i in range(1, 101)]
+    rows = [(0, 0.0)] * 30000 + [(0, float(i)) for i in range(1, 101)] + [(1, 5.0)]
     df = spark.createDataFrame(rows, "g int, _v double")
-    out = exact_quantiles(df, ["g"], [0.5, 0.999], num_tasks=8).collect()[0]
-    want = np.percentile([v for _, v in rows], [50, 99.9])
-    assert [out.q0, out.q1] == pytest.approx(list(want))
-    # the sort spreads the 30000 zeros: no task holds more than half of the rows
-    sizes = (df.select("g", "_v", F.monotonically_increasing_id().alias("_tb"))
-             .repartitionByRange(8, "g", "_v", "_tb").groupBy(F.spark_partition_id()).count().collect())
-    assert max(r["count"] for r in sizes) < len(rows) / 2
+    out = {r.g: r for r in exact_quantiles(df, ["g"], [0.5, 0.999], small=20).collect()}
+    want = np.percentile([v for g, v in rows if g == 0], [50, 99.9])
+    assert [out[0].q0, out[0].q1] == pytest.approx(list(want))
+    assert (out[1].q0, out[1].q1, out[1].n) == (5.0, 5.0, 1)
+
+
+def test_exact_quantiles_pass_limit(spark):
+    """Values spread over many magnitudes: passes run out, the rest is picked directly."""
+    from obsgrid.operators.quantiles import exact_quantiles
+
+    vals = [2.0 ** -i for i in range(200)] + [1e6]
+    df = spark.createDataFrame([(0, v) for v in vals], "g int, _v double")
+    r = exact_quantiles(df, ["g"], [0.1, 0.5, 0.9], cells=4, small=3, max_passes=2).collect()[0]
+    assert [r.q0, r.q1, r.q2] == pytest.approx(list(np.percentile(vals, [10, 50, 90])), rel=1e-12)
