@@ -5,10 +5,9 @@ station farther than d in latitude cannot be nearer than d. Stations are put
 into latitude bands of ``band_deg`` degrees and the search is an equi-join on
 the band:
 
-1. bound: each point meets the stations of its own and the two adjacent bands;
-   the nearest of those gives an upper bound d0. A point with no station there
-   takes as bound the distance to one station of the nearest non-empty band
-   (the band list has at most 180/band_deg + 1 entries).
+1. bound: each point meets the stations of its own and the two adjacent bands,
+   plus one station of the nearest non-empty band (the band list has at most
+   180/band_deg + 1 entries); the nearest of those is an upper bound d0.
 2. exact: each point meets the stations of every band within d0 / KM_PER_DEGREE
    of its latitude; the minimum over those is the true nearest.
 
@@ -19,6 +18,8 @@ broadcasts the station side only when its measured size is small.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,48 +52,54 @@ def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo
     ).where(F.col("_slat").between(-90, 90) & F.col("_slon").between(-180, 180))
     st = st.withColumn("_band", _bands(F.col("_slat"), w))
 
-    pts = points.select(
-        key, F.col("longitude").cast("double").alias("_plon"), F.col("latitude").cast("double").alias("_plat"),
-    ).where(F.col("_plat").between(-90, 90) & F.col("_plon").between(-180, 180))
+    lon_p, lat_p = F.col("longitude").cast("double"), F.col("latitude").cast("double")
+    valid = lat_p.between(-90, 90) & lon_p.between(-180, 180)
+    pts = points.select(key, lon_p.alias("_plon"), lat_p.alias("_plat")).where(F.col("_plat").between(-90, 90)
+                                                                            & F.col("_plon").between(-180, 180))
     pts = pts.withColumn("_pband", _bands(F.col("_plat"), w))
+    invalid = points.where(~F.coalesce(valid, F.lit(False))).select(
+        key, F.lit(NO_STATION).alias("station"), F.lit(None).cast("double").alias("distance_km"))
 
     def dist(slon="_slon", slat="_slat"):
         return planar_km(F.col("_plon"), F.col("_plat"), F.col(slon), F.col(slat), geo)
 
-    # 1a. bound from the own and adjacent bands
+    # One station per non-empty band: at most 180/w + 1 rows reach the driver.
+    reps = st.groupBy("_band").agg(F.min_by(F.struct("_slon", "_slat"), "_ord").alias("_rep")).collect()
+    if not reps:
+        found = pts.select(key, F.lit(NO_STATION).alias("station"), F.lit(None).cast("double").alias("distance_km"))
+        return found.unionByName(invalid)
+
+    pcols = [key, "_plon", "_plat", "_pband"]
+    # 1. bound d0 per point: the nearest station of the own and adjacent bands, and
+    #    one station of the nearest non-empty band (always present); one aggregation,
+    #    grouped by the point with its coordinates, so no join back to the points.
     near = (pts.withColumn("_band", F.explode(F.sequence(F.col("_pband") - 1, F.col("_pband") + 1)))
             .join(st.select("_band", "_slon", "_slat"), "_band")
-            .groupBy(key).agg(F.min(dist()).alias("_d0")))
-    bounded = pts.join(near, key, "left")
-
-    # 1b. bound for points with no station close in latitude: one station of the
-    # nearest non-empty band. At most 180/w + 1 bands exist, so this list is small.
-    reps = st.groupBy("_band").agg(F.min_by(F.struct("_slon", "_slat"), "_ord").alias("_rep")).collect()
-    if reps:
-        bands = sorted((r["_band"], r["_rep"]["_slon"], r["_rep"]["_slat"]) for r in reps)
-        band_arr = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(lo).alias("lon"), F.lit(la).alias("lat"))
-                             for b, lo, la in bands])
-        closest = F.array_min(F.transform(
-            band_arr, lambda e: F.struct(F.abs(e["b"] - F.col("_pband")).alias("gap"), e["lon"].alias("lon"),
-                                         e["lat"].alias("lat"))))
-        fallback = planar_km(F.col("_plon"), F.col("_plat"), closest["lon"], closest["lat"], geo)
-        bounded = bounded.withColumn("_d0", F.coalesce(F.col("_d0"), fallback))
-
-        # 2. exact search over every band that can hold a nearer station
-        reach = F.col("_d0") / F.lit(KM_PER_DEGREE) * F.lit(1 + 1e-9) + F.lit(1e-9)
-        lo_band = _bands(F.col("_plat") - reach, w)
-        hi_band = _bands(F.col("_plat") + reach, w)
-        cand = (bounded.withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
-                .join(st, "_band")
-                .groupBy(key).agg(F.min(F.struct(dist().alias("d"), F.col("_ord").alias("o"),
-                                                 F.col("_st").alias("s"))).alias("_best")))
-        best = cand.select(key, F.col("_best.s").alias("_s"), F.col("_best.d").alias("_d"))
-    else:
-        best = pts.select(key, F.lit(None).cast("string").alias("_s"), F.lit(None).cast("double").alias("_d"))
-
-    found = F.col("_d") < F.lit(NO_STATION_KM)
-    return points.select(key).join(best, key, "left").select(
-        key,
-        F.when(found, F.col("_s")).otherwise(F.lit(NO_STATION)).alias("station"),
-        F.when(found, F.col("_d")).alias("distance_km"),
-    )
+            .select(*pcols, dist().alias("_d")))
+    # for every possible band index, the representative of the nearest non-empty
+    # band: two array literals of at most 180/w + 2 entries, read by index
+    filled = sorted((r["_band"], r["_rep"]["_slon"], r["_rep"]["_slat"]) for r in reps)
+    bmin, bmax = math.floor(-90 / w), math.floor(90 / w)
+    lons, lats = [], []
+    for b in range(bmin, bmax + 1):
+        _, lo, la = min(filled, key=lambda e: (abs(e[0] - b), e[0]))
+        lons.append(float(lo))
+        lats.append(float(la))
+    idx = (F.col("_pband") - F.lit(bmin) + 1).cast("int")
+    rep_d = planar_km(F.col("_plon"), F.col("_plat"), F.element_at(F.lit(lons), idx),
+                      F.element_at(F.lit(lats), idx), geo)
+    rep = pts.select(*pcols, rep_d.alias("_d"))
+    bounded = near.unionByName(rep).groupBy(*pcols).agg(F.min("_d").alias("_d0"))
+
+    # 2. exact search over every band that can hold a station nearer than d0
+    reach = F.col("_d0") / F.lit(KM_PER_DEGREE) * F.lit(1 + 1e-9) + F.lit(1e-9)
+    lo_band = _bands(F.col("_plat") - reach, w)
+    hi_band = _bands(F.col("_plat") + reach, w)
+    best = (bounded.withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
+            .join(st, "_band")
+            .groupBy(key).agg(F.min(F.struct(dist().alias("d"), F.col("_ord").alias("o"),
+                                             F.col("_st").alias("s"))).alias("_best")))
+    ok = F.col("_best.d") < F.lit(NO_STATION_KM)
+    found = best.select(key, F.when(ok, F.col("_best.s")).otherwise(F.lit(NO_STATION)).alias("station"),
+                        F.when(ok, F.col("_best.d")).alias("distance_km"))
+    return found.unionByName(invalid)

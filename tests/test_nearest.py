@@ -58,3 +58,10 @@ def test_plan_has_no_cross_join(spark):
     p, s = frames(spark, [(1, 12.0, 42.0), (2, 9.0, 45.0)], [("X", 12.5, 41.9, 1), ("Y", 9.2, 45.5, 2)])
     plan = nearest_station(p, s)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_invalid_coordinates_get_error_marker(spark):
+    p = spark.createDataFrame([(1, 12.0, 42.0), (2, None, 42.0), (3, 12.0, 95.0)], "pt int, longitude double, latitude double")
+    s = spark.createDataFrame([("X", 12.5, 41.9, 1)], "station string, longitude double, latitude double, ord int")
+    got = {r.pt: r.station for r in nearest_station(p, s).collect()}
+    assert got == {1: "X", 2: NO_STATION, 3: NO_STATION}
