@@ -52,11 +52,12 @@ def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *,
     code = find_station(spark, stations, lat=lat, lon=lon, geo=geo)
     year_rows = station_years(obs, code, year)
     hist_rows = station_years(obs, code, history[0], history[1])
+    # one station's rows: the frames are a few dozen rows, sorted for drawing
     return {
         "station": spark.range(1).select(F.lit(code).alias("station")),
-        "seasons": season_report(year_rows, measure),
-        "box": box_stats(year_rows, measure, ("station", "year", "season")),
-        "history": monthly_history_wide(hist_rows, measure, ("station",)),
+        "seasons": season_report(year_rows, measure).orderBy("level", "month", "season"),
+        "box": box_stats(year_rows, measure, ("station", "year", "season")).orderBy("season"),
+        "history": monthly_history_wide(hist_rows, measure, ("station",)).orderBy("year"),
     }
 
 

@@ -77,10 +77,12 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "overwrit
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
-           order: Sequence[str] = ("seq",)) -> DataFrame:
+           order: Sequence[str] = ("seq",), num_tasks: int | None = None) -> DataFrame:
     """Insert-or-replace ``incoming`` into the layout at ``path``; returns the table.
 
     The stored rows keep the incoming columns except the order columns.
+    ``num_tasks`` is the number of write tasks (default: the session's shuffle
+    partitions); size it to the batch for large loads.
     """
     order = [c for c in order if c in incoming.columns]
     schema_cols = [c for c in incoming.columns if c not in order]
@@ -96,12 +98,12 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     merged = dedup_last(batch, layout.key, ["_batch", *order]).select(*schema_cols)
     if not exists:
         # first load: nothing is read from the target, write it directly
-        write_layout(merged, path, layout)
+        write_layout(merged, path, layout, num_tasks=num_tasks)
         return read_layout(spark, path, merged.schema)
     staging = scratch_path(spark, f"stage-{layout.name}")
-    write_layout(merged, staging, layout)
+    write_layout(merged, staging, layout, num_tasks=num_tasks)
     staged = read_layout(spark, staging, merged.schema)
-    write_layout(staged, path, layout, dynamic=True)
+    write_layout(staged, path, layout, dynamic=True, num_tasks=num_tasks)
     _remove(spark, staging)  # only after the table holds the merged partitions
     return read_layout(spark, path, merged.schema)
 
@@ -116,11 +118,13 @@ def time_rows(obs: DataFrame) -> DataFrame:
     return obs.where(F.col("valid_date").isNotNull())
 
 
-def upsert_station(spark: SparkSession, obs: DataFrame, path: str, order: Sequence[str] = ("seq",)) -> DataFrame:
+def upsert_station(spark: SparkSession, obs: DataFrame, path: str, order: Sequence[str] = ("seq",),
+                   num_tasks: int | None = None) -> DataFrame:
     """Upsert into the "station over time" layout."""
-    return upsert(spark, station_rows(obs), path, STATION_LAYOUT, order)
+    return upsert(spark, station_rows(obs), path, STATION_LAYOUT, order, num_tasks)
 
 
-def upsert_time(spark: SparkSession, obs: DataFrame, path: str, order: Sequence[str] = ("seq",)) -> DataFrame:
+def upsert_time(spark: SparkSession, obs: DataFrame, path: str, order: Sequence[str] = ("seq",),
+                num_tasks: int | None = None) -> DataFrame:
     """Upsert into the "all stations at one instant" layout."""
-    return upsert(spark, time_rows(obs), path, TIME_LAYOUT, order)
+    return upsert(spark, time_rows(obs), path, TIME_LAYOUT, order, num_tasks)
