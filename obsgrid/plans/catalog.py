@@ -283,8 +283,13 @@ def q_median_season(spark, sf):
     return rounded(qu.median_season(_b1(spark, sf), M), [f"median_{M}"])
 
 
-def bisect_sql(data: str, keys: Sequence[str], v: str, rounds: int = ROUNDS, out: str | None = None) -> str:
-    """The bisection rounds unrolled into CTEs (``data`` is a CTE list ending in ``d``)."""
+def bisect_sql(data: str, keys: Sequence[str], v: str, rounds: int = ROUNDS, out: str | None = None,
+               tail: str | None = None) -> str:
+    """The bisection rounds unrolled into CTEs (``data`` is a CTE list ending in ``d``).
+
+    ``tail`` replaces the final SELECT; it may add CTEs first (start it with a comma)
+    and reads the last state as ``s{rounds}``.
+    """
     k = ", ".join(keys)
     out = out or f"bisect_{v}"
     ctes = [f"s0 AS (SELECT {k}, count(*) AS n, min({v}) AS lo, max({v}) AS hi, "
@@ -301,8 +306,9 @@ def bisect_sql(data: str, keys: Sequence[str], v: str, rounds: int = ROUNDS, out
             f"CASE WHEN NOT stop AND l >= n - l THEN mid ELSE hi END AS hi, "
             f"(CASE WHEN NOT stop AND l < n - l THEN mid ELSE lo END + "
             f"CASE WHEN NOT stop AND l >= n - l THEN mid ELSE hi END) / 2 AS mid FROM t{r})")
-    return f"WITH {data},\n" + ",\n".join(ctes) + (
-        f"\nSELECT {k}, n, done AS converged, round(mid, 6) AS {out} FROM s{rounds}")
+    if tail is None:
+        tail = f"\nSELECT {k}, n, done AS converged, round(mid, 6) AS {out} FROM s{rounds}"
+    return f"WITH {data},\n" + ",\n".join(ctes) + tail
 
 
 @register("median_bisect", bisect_sql(B1_VALS, ["station", "year", "season"], M))
@@ -529,8 +535,7 @@ o AS (SELECT CAST(loc AS VARCHAR) AS station, CAST(year(valid_date) AS INTEGER)
              CAST(month(valid_date) AS INTEGER) AS month, CAST(ceil(month(valid_date) / 3.0) AS INTEGER) AS season, ind1
       FROM ({b.B2_SQL}) WHERE CAST(loc AS VARCHAR) IN (SELECT station FROM near) AND year(valid_date) = {REPORT_YEAR}),
 d AS (SELECT * FROM o WHERE ind1 IS NOT NULL)"""
-_REPORT_SQL = bisect_sql(_NEAR_ONE, ["station", "year", "season"], "ind1").replace(
-    "\nSELECT station, year, season, n, done AS converged, round(mid, 6) AS bisect_ind1 FROM s10", f""",
+_REPORT_SQL = bisect_sql(_NEAR_ONE, ["station", "year", "season"], "ind1", tail=f""",
 bis AS (SELECT station, year, season, round(mid, 6) AS bisect_ind1 FROM s{ROUNDS}),
 {ranked_sql('station, year, season', 'ind1')},
 med AS (SELECT station, year, season, round({interp_sql(0.5)}, 6) AS median_ind1 FROM rk GROUP BY station, year, season),
