@@ -60,3 +60,23 @@ def test_stream_ingest(spark, workdir):
     assert sorted((r.station, r.temperature_f) for r in s) == [("LIRA", 2.0), ("LIRF", 3.0)]
     t = read_layout(spark, tm, TIME_SCHEMA).collect()
     assert len(t) == 2
+
+
+@pytest.mark.parametrize("name", ["avg_month", "period_stats", "monthly_history_wide", "location_profile",
+                                  "station_dimension", "median_bisect", "season_midrange"])
+def test_aggregates_combine_map_side(spark, name):
+    """Every aggregation is split into partial (map-side) and final parts."""
+    plan = physical(E.queries()[name](spark, SF001))
+    assert "partial_" in plan and "Exchange" in plan
+
+
+def test_scan_reads_only_needed_columns(spark):
+    plan = physical(E.queries()["avg_month"](spark, SF001))
+    schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "o_orderstatus" not in schema and "o_custkey" not in schema and "o_totalprice" in schema
+
+
+def test_exact_quantile_shuffles_no_raw_values(spark):
+    """The only shuffles of the exact median carry aggregates or per-group state."""
+    plan = physical(E.queries()["median_season"](spark, SF001))
+    assert "rangepartitioning" not in plan.lower()  # no global sort of the values
