@@ -4,9 +4,10 @@ Parquet has no MERGE. An upsert here:
 1. reduces the incoming rows to the last row per key (``max_by`` over the
    ingest order: an aggregate with partial aggregation, so a key repeated
    very often is reduced in every map task before the shuffle);
-2. reads only the stored partitions the batch touches (a semi join on the
-   partition columns, which dynamic partition pruning turns into a partition
-   filter), ranks them below every new row, and reduces again;
+2. reads only the stored partitions the batch touches: the batch's distinct
+   values of each partition column become an ``isin`` partition filter (folder
+   pruning), and a semi join keeps the exact partitions; these rows rank below
+   every new row, and the union is reduced again;
 3. writes the merged partitions to a staging folder in the shared folder,
    then replaces exactly those partitions of the table with dynamic partition
    overwrite. A failed second step can be re-run from the staging copy,
@@ -76,6 +77,22 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "overwrit
     w.parquet(path)
 
 
+def touched_rows(stored: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Stored rows of the partitions that ``batch`` touches.
+
+    The batch's distinct values of each partition column (bounded by the
+    table's folder count: stations, years, months) become ``isin`` filters on
+    the partition columns, so the scan lists and reads only those folders;
+    a semi join then keeps the exact partition combinations.
+    """
+    pb = list(partition_by)
+    seen = batch.agg(*[F.collect_set(c).alias(c) for c in pb]).first()
+    prune = F.lit(True)
+    for c in pb:
+        prune = prune & F.col(c).isin(list(seen[c]))
+    return stored.where(prune).join(batch.select(*pb).distinct(), pb, "left_semi")
+
+
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
            order: Sequence[str] = ("seq",), num_tasks: int | None = None) -> DataFrame:
     """Insert-or-replace ``incoming`` into the layout at ``path``; returns the table.
@@ -90,8 +107,7 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     exists = _table_exists(spark, path)
     if exists:
         stored = read_layout(spark, path, incoming.select(*schema_cols).schema)
-        parts = batch.select(*layout.partition_by).distinct()
-        old = stored.join(parts, list(layout.partition_by), "left_semi")
+        old = touched_rows(stored, batch, layout.partition_by)
         old = old.select(*schema_cols, *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order],
                          F.lit(0).alias("_batch"))
         batch = batch.unionByName(old)
