@@ -100,3 +100,14 @@ def require_measure(df: DataFrame, name: str, numeric: bool = False) -> str:
     if numeric and not isinstance(df.schema[name].dataType, T.NumericType):
         raise ValueError(f"measure {name!r} is {df.schema[name].dataType.simpleString()}, not numeric")
     return name
+
+
+def round_scaled(c: Column | str, digits: int) -> Column:
+    """round(x * 10^digits) / 10^digits, half away from zero, in double arithmetic.
+
+    The same arithmetic SQL engines commonly use for round(double, d), so a
+    value on a tie rounds the same way in both.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    scale = F.lit(float(10 ** digits))
+    return F.round(col * scale, 0) / scale

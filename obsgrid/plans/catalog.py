@@ -26,7 +26,7 @@ from obsgrid.plans import reports
 from obsgrid.sources import bindings as b
 from obsgrid.sources import layouts, scans
 from obsgrid.sources.csv_ingest import clean
-from obsgrid.functions.columns import complete_rows, with_calendar
+from obsgrid.functions.columns import complete_rows, round_scaled, with_calendar
 from obsgrid.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,9 +47,7 @@ def rounded(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Round as round(x * 10^d) / 10^d, half away from zero: the same double
     arithmetic the SQL side's round(x, d) performs, so ties fall the same way."""
     cols = set(cols)
-    scale = F.lit(float(10 ** digits))
-    return df.select(*[(F.round(F.col(c) * scale, 0) / scale).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    return df.select(*[round_scaled(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------------------
@@ -414,7 +412,7 @@ def q_location_profile(spark, sf):
 
 def _profile_spark(spark, sf) -> DataFrame:
     prof = location_profile(_b2(spark, sf), IND)
-    return prof.select("longitude", "latitude", *[F.round(f, 6).alias(f) for f in FEATS])
+    return prof.select("longitude", "latitude", *[round_scaled(f, 6).alias(f) for f in FEATS])
 
 
 def kmeans_sql(profile: str, k: int = K, rounds: int = ROUNDS) -> tuple[str, str]:

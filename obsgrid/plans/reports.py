@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.functions.columns import require_measure, season_label
+from obsgrid.functions.columns import require_measure, round_scaled, season_label
 from obsgrid.operators.kmeans import kmeans_fit
 from obsgrid.operators.nearest import NO_STATION, nearest_station
 from obsgrid.operators.periods import monthly_history_wide, period_stats
@@ -83,7 +83,7 @@ def cluster_report(obs_time: DataFrame, first_month: str, last_month: str, k: in
     prof = location_profile(rows, indicators)
     feats = feature_names(indicators)
     if decimals is not None:
-        prof = prof.select("longitude", "latitude", *[F.round(f, decimals).alias(f) for f in feats])
+        prof = prof.select("longitude", "latitude", *[round_scaled(f, decimals).alias(f) for f in feats])
     labelled, _ = kmeans_fit(prof, feats, ("longitude", "latitude"), k=k, rounds=rounds, init=init, seed=seed)
     pairs = []
     for i, c in sorted(CLUSTER_COLOURS.items()):
