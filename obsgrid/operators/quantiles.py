@@ -3,8 +3,7 @@
 Quantile methods:
 * ``exact`` (default): ``exact_quantiles`` -- selection by histogram
   narrowing: a few passes of partially aggregated cell counts find the value
-  at each wanted rank. Only aggregates are shuffled; no task ever holds a whole
-  group. Interpolation is the one Spark's ``percentile`` uses.
+  at each wanted rank; no task ever holds a whole group. Interpolation is the one Spark's ``percentile`` uses.
 * ``percentile``: Spark's ``percentile`` aggregate (one pass; its buffer per
   group is a value -> count map, so it suits measures with few distinct values).
 * ``approx``: ``percentile_approx`` (one pass, fixed-size buffer, approximate).
@@ -58,8 +57,9 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     values: (hi - pos) * v[lo] + (pos - lo) * v[hi] -- the form of Spark's
     ``percentile``, so both give the same doubles.
 
-    Selection by histogram narrowing; only aggregates are shuffled, never the
-    raw values:
+    Selection by histogram narrowing; the values are never sorted or gathered
+    per group (the per-group interval table they are joined with is small and
+    broadcast by adaptive execution when its measured size allows):
     * pass 0: n, min, max per group; every wanted rank starts with the
       interval [min, max];
     * while an interval holds more than ``small`` rows and more than one value:
