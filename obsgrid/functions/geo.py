@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,12 +24,8 @@ def planar_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column, geo: bool
     return F.lit(KM_PER_DEGREE) * F.sqrt(x * x + y * y)
 
 
-def squared_distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    """Sum of squared differences, summed left to right."""
-    if len(a) != len(b):
-        raise ValueError("the two vectors must have the same length")
-    total = F.lit(0.0)
-    for x, y in zip(a, b):
-        d = x - y
-        total = total + d * d
-    return total
+def squared_distance(a: Column, b: Column) -> Column:
+    """Sum of squared differences of two double arrays, summed left to right:
+    0 + (a1-b1)^2 + (a2-b2)^2 + ... The caller checks that the lengths agree."""
+    sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    return F.aggregate(sq, F.lit(0.0), lambda acc, z: acc + z)

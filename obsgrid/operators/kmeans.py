@@ -18,6 +18,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsgrid.functions.geo import squared_distance
+
 
 def assign(df: DataFrame, features: Sequence[str], centres: Sequence[Sequence[float]],
            out: str = "cluster") -> DataFrame:
@@ -33,10 +35,12 @@ def nearest_centre(features: Sequence[str] | Column, centres: Sequence[Sequence[
     The squared distance is summed left to right: 0 + d1^2 + d2^2 + ...
     """
     fv = features if isinstance(features, Column) else F.array(*[F.col(f).cast("double") for f in features])
+    width = None if isinstance(features, Column) else len(features)
     cands = []
     for i, c in enumerate(centres):
-        sq = F.zip_with(fv, F.lit([float(x) for x in c]), lambda x, y: (x - y) * (x - y))
-        d = F.aggregate(sq, F.lit(0.0), lambda acc, z: acc + z)
+        if width is not None and len(c) != width:
+            raise ValueError(f"centre {i} has {len(c)} values for {width} features")
+        d = squared_distance(fv, F.lit([float(x) for x in c]))
         cands.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
     return F.array_min(F.array(*cands))["i"]
 
