@@ -65,7 +65,7 @@ FIELD_MAP: tuple[tuple[str, str, str], ...] = (
 
 RAW_FIELDS: tuple[str, ...] = ("station", "valid") + tuple(f for f, _, _ in FIELD_MAP)
 
-# The 27 measures a user may pick by name, in the documented order.
+# The 27 measures a user may pick by name, in the documented order.
 MEASURES: tuple[str, ...] = (
     "temperature_f", "dew_point_f", "relative_humidity", "wind_direction", "wind_speed",
     "precipitation", "pressure", "sea_level_pressure", "visibility", "wind_gust",
@@ -75,18 +75,18 @@ MEASURES: tuple[str, ...] = (
     "peak_wind_gust", "peak_wind_direction", "peak_wind_time", "temperature", "observation",
 )
 
-# The five indicators of the location profile used for clustering.
+# The five indicators of the location profile used for clustering.
 PROFILE_INDICATORS: tuple[str, ...] = (
     "temperature_f", "dew_point_f", "relative_humidity", "wind_speed", "pressure",
 )
 
-# Season number (calendar quarter) -> label.
+# Season number (calendar quarter) -> label.
 SEASON_LABELS: dict[int, str] = {1: "printemps", 2: "été", 3: "automne", 4: "hiver"}
 
-# Map extent of the observation network (degrees).
+# Map extent of the observation network (degrees).
 MAP_EXTENT = {"lon_min": 6.6, "lat_min": 35.25, "lon_max": 18.84, "lat_max": 47.1}
 
-# Marker colour per cluster number.
+# Marker colour per cluster number.
 CLUSTER_COLOURS: dict[int, str] = {
     0: "lightblue", 1: "lightgreen", 2: "orange", 3: "red",
     4: "cadetblue", 5: "pink", 6: "white", 7: "lightgray",
