@@ -93,3 +93,13 @@ def test_multiline_quoted_text(spark, workdir):
         f.write(HEADER + "\n" + line("LIRA", "2011-01-01 12:50", metar='"first line\nsecond line"') + "\n")
     good, _ = clean(read_raw(spark, p, multiline=True))
     assert good.collect()[0].observation == "first line\nsecond line"
+
+
+def test_bad_timestamp_field_rejected(spark, workdir):
+    p = os.path.join(workdir, "ts.csv")
+    with open(p, "w") as f:
+        f.write("\n".join([HEADER, line("LIRA", "2011-01-01 12:50", peak="not a time"),
+                           line("LIRA", "2011-01-01 13:50", peak="2011-01-01 13:05")]) + "\n")
+    good, rejects = clean(read_raw(spark, p))
+    assert [r.reason for r in rejects.collect()] == ["peak_wind_time"]
+    assert good.count() == 1

@@ -92,3 +92,17 @@ def test_hot_partition_written_by_many_tasks(spark, workdir):
     data = [("HOT", 2011, 1 + i % 12, 1 + i % 28, i % 24, i % 60, float(i), "x", i) for i in range(20000)]
     layouts.upsert_station(spark, rows(spark, data), path, num_tasks=4)
     assert len(glob.glob(os.path.join(path, "station=HOT", "year=2011", "*.parquet"))) >= 2
+
+
+def test_map_slice_text_measure_not_rounded(spark):
+    from obsgrid.plans.reports import map_slice
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2013, 7, 14, 14, 50), 12.0, 42.0, "-RA", 1.23456),
+         (dt.datetime(2013, 7, 14, 14, 50), 9.0, 45.0, None, 2.0),
+         (dt.datetime(2013, 7, 14, 15, 50), 9.0, 45.0, "BR", 3.0)],
+        "valid_date timestamp_ntz, longitude double, latitude double, weather_code string, visibility double")
+    text = map_slice(df, dt.datetime(2013, 7, 14, 14, 50), "weather_code").collect()
+    assert [(r.longitude, r.value) for r in text] == [(12.0, "-RA")]
+    num = map_slice(df, dt.datetime(2013, 7, 14, 14, 50), "visibility").collect()
+    assert sorted(r.value for r in num) == [1.23, 2.0]

@@ -91,3 +91,15 @@ def test_measure_checked_by_name(spark):
         require_measure(df, "tmpf")
     with pytest.raises(ValueError):
         require_measure(df, "weather_code", numeric=True)
+
+
+def test_minmax_on_text_and_timestamp(spark):
+    df = spark.createDataFrame(
+        [("A", dt.datetime(2011, 1, 1), "BKN", dt.datetime(2011, 1, 1, 5)),
+         ("A", dt.datetime(2011, 1, 2), "FEW", dt.datetime(2011, 1, 2, 7)),
+         ("A", dt.datetime(2011, 1, 3), None, None)],
+        "station string, valid_date timestamp_ntz, sky string, peak timestamp_ntz")
+    r = pe.minmax_month(df, "sky").collect()[0]
+    assert (r.min_sky, r.max_sky) == ("BKN", "FEW")
+    r = pe.minmax_season(df, "peak").collect()[0]
+    assert r.max_peak == dt.datetime(2011, 1, 2, 7)
