@@ -28,12 +28,14 @@ def find_station(spark: SparkSession, stations: DataFrame, *, lat: float, lon: f
     return row["station"] if row else NO_STATION
 
 
-def season_report(rows: DataFrame, measure: str, keys: Sequence[str] = ("station", "year")) -> DataFrame:
+def season_report(rows: DataFrame, measure: str, keys: Sequence[str] = ("station", "year"),
+                  method: str = "exact") -> DataFrame:
     """Year / month / season mean, min, max (one GROUPING SETS pass) with the
-    exact and bisection medians on the season rows."""
+    median (``method``: exact / percentile / approx) and the bisection median
+    on the season rows."""
     keys = list(keys)
     stats = period_stats(rows, measure, keys)
-    med = median_season(rows, measure, keys + ["season"]).drop("n")
+    med = median_season(rows, measure, keys + ["season"], method=method).drop("n")
     bis = median_bisect(rows, measure, keys + ["season"]).drop("n", "converged")
     return (stats.join(med, keys + ["season"], "left").join(bis, keys + ["season"], "left")
             .withColumn("season_label", season_label("season")))
@@ -41,7 +43,7 @@ def season_report(rows: DataFrame, measure: str, keys: Sequence[str] = ("station
 
 def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *, lat: float, lon: float,
                    year: int, measure: str = "temperature_f", history: tuple[int, int] = (2005, 2014),
-                   geo: bool = True) -> dict[str, DataFrame]:
+                   geo: bool = True, method: str = "exact") -> dict[str, DataFrame]:
     """Report for the station nearest to (lat, lon).
 
     Keys of the result: ``station`` (one-row frame), ``seasons`` (season_report
@@ -55,8 +57,8 @@ def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *,
     # one station's rows: the frames are a few dozen rows, sorted for drawing
     return {
         "station": spark.range(1).select(F.lit(code).alias("station")),
-        "seasons": season_report(year_rows, measure).orderBy("level", "month", "season"),
-        "box": box_stats(year_rows, measure, ("station", "year", "season")).orderBy("season"),
+        "seasons": season_report(year_rows, measure, method=method).orderBy("level", "month", "season"),
+        "box": box_stats(year_rows, measure, ("station", "year", "season"), method=method).orderBy("season"),
         "history": monthly_history_wide(hist_rows, measure, ("station",)).orderBy("year"),
     }
 

@@ -122,3 +122,15 @@ def test_exact_quantiles_pass_limit(spark):
     df = spark.createDataFrame([(0, v) for v in vals], "g int, _v double")
     r = exact_quantiles(df, ["g"], [0.1, 0.5, 0.9], cells=4, small=3, max_passes=2).collect()[0]
     assert [r.q0, r.q1, r.q2] == pytest.approx(list(np.percentile(vals, [10, 50, 90])), rel=1e-12)
+
+
+def test_methods_agree_on_small_groups(spark):
+    from obsgrid.operators.quantiles import median_season
+
+    rnd = random.Random(5)
+    df = groups_frame(spark, {1: [rnd.gauss(0, 1) for _ in range(101)], 2: [1.0, 2.0, 3.0, 10.0]})
+    exact = {r.season: r.median_t for r in median_season(df, "t").collect()}
+    pct = {r.season: r.median_t for r in median_season(df, "t", method="percentile").collect()}
+    approx = {r.season: r.median_t for r in median_season(df, "t", method="approx").collect()}
+    assert exact == pct
+    assert set(approx) == set(exact)
