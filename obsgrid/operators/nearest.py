@@ -9,7 +9,9 @@ the band:
    plus one station of the nearest non-empty band (the band list has at most
    180/band_deg + 1 entries); the nearest of those is an upper bound d0.
 2. exact: each point meets the stations of every band within d0 / KM_PER_DEGREE
-   of its latitude; the minimum over those is the true nearest.
+   of its latitude -- with ``geo=True`` only the longitude sectors of those
+   bands within d0 / (KM_PER_DEGREE * cos(latitude)) -- and the minimum over
+   those is the true nearest.
 
 Ties go to the station first in file order (``ord``), as a strict "<" scan in
 file order would. The join sides are left to adaptive execution, which
@@ -30,10 +32,20 @@ NO_STATION_KM = 1000000.0
 NO_STATION = "Erreur"
 
 
+# Longitude sectors searched per band at most; beyond that the whole band is searched.
+MAX_SECTORS = 64
+
+
 def _bands(lat, w: float):
     return F.floor(lat / F.lit(w)).cast("long")
 
 
+def _sectors(lon, w: float):
+    """Longitude sector of width w, clamped to the valid range [0, 360/w]."""
+    sec = F.floor((lon + F.lit(180.0)) / F.lit(w)).cast("long")
+    return F.least(F.greatest(sec, F.lit(0).cast("long")), F.lit(int(math.floor(360.0 / w))).cast("long"))
+
+
 def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo: bool = True,
                     band_deg: float = 0.5) -> DataFrame:
     """For each point (key, longitude, latitude): station, distance_km.
@@ -50,7 +62,7 @@ def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo
         F.col("station").alias("_st"), ord_col.alias("_ord"),
         F.col("longitude").cast("double").alias("_slon"), F.col("latitude").cast("double").alias("_slat"),
     ).where(F.col("_slat").between(-90, 90) & F.col("_slon").between(-180, 180))
-    st = st.withColumn("_band", _bands(F.col("_slat"), w))
+    st = st.withColumn("_band", _bands(F.col("_slat"), w)).withColumn("_sec", _sectors(F.col("_slon"), w))
 
     lon_p, lat_p = F.col("longitude").cast("double"), F.col("latitude").cast("double")
     valid = lat_p.between(-90, 90) & lon_p.between(-180, 180)
@@ -95,10 +107,30 @@ def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo
     reach = F.col("_d0") / F.lit(KM_PER_DEGREE) * F.lit(1 + 1e-9) + F.lit(1e-9)
     lo_band = _bands(F.col("_plat") - reach, w)
     hi_band = _bands(F.col("_plat") + reach, w)
-    best = (bounded.withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
-            .join(st, "_band")
-            .groupBy(key).agg(F.min(F.struct(dist().alias("d"), F.col("_ord").alias("o"),
-                                             F.col("_st").alias("s"))).alias("_best")))
+    in_bands = bounded.withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
+    if geo:
+        # With the cosine of the mean latitude (radians) at least c_min over the
+        # latitude window, a station nearer than d0 is also within
+        # d0 / (KM_PER_DEGREE * c_min) degrees of longitude: search only those
+        # (band, sector) cells. Near the poles (c_min tiny, too many sectors) the
+        # whole band is searched, as for geo=False.
+        lat_lo = F.greatest(F.col("_plat") - reach, F.lit(-90.0))
+        lat_hi = F.least(F.col("_plat") + reach, F.lit(90.0))
+        c_min = F.least(F.cos(F.radians(lat_lo)), F.cos(F.radians(lat_hi)))
+        lon_reach = F.col("_d0") / (F.lit(KM_PER_DEGREE) * c_min) * F.lit(1 + 1e-9) + F.lit(1e-9)
+        cells_ok = (c_min > F.lit(1e-6)) & (lon_reach * 2 / F.lit(w) <= F.lit(float(MAX_SECTORS)))
+        in_bands = in_bands.withColumn("_lonr", F.when(cells_ok, lon_reach))
+        by_cell = (in_bands.where(F.col("_lonr").isNotNull())
+                   .withColumn("_sec", F.explode(F.sequence(_sectors(F.col("_plon") - F.col("_lonr"), w),
+                                                            _sectors(F.col("_plon") + F.col("_lonr"), w))))
+                   .join(st, ["_band", "_sec"]))
+        by_band = in_bands.where(F.col("_lonr").isNull()).join(st.drop("_sec"), "_band")
+        cand = by_cell.select(key, "_plon", "_plat", "_slon", "_slat", "_ord", "_st").unionByName(
+            by_band.select(key, "_plon", "_plat", "_slon", "_slat", "_ord", "_st"))
+    else:
+        cand = in_bands.join(st.drop("_sec"), "_band")
+    best = cand.groupBy(key).agg(F.min(F.struct(dist().alias("d"), F.col("_ord").alias("o"),
+                                                F.col("_st").alias("s"))).alias("_best"))
     ok = F.col("_best.d") < F.lit(NO_STATION_KM)
     found = best.select(key, F.when(ok, F.col("_best.s")).otherwise(F.lit(NO_STATION)).alias("station"),
                         F.when(ok, F.col("_best.d")).alias("distance_km"))
