@@ -27,6 +27,15 @@ from obsgrid.session import shared_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+# Group key used when no keys are given, so every join stays an equi-join. Its
+# value is always 0; being nondeterministic, it is not folded into a constant,
+# which would let the optimizer turn the joins into cartesian products.
+_ALL = "_all"
+
+
+def _one_group() -> Column:
+    return F.monotonically_increasing_id() * F.lit(0)
+
 
 def _values(obs: DataFrame, measure: str, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     df = complete_rows(with_season(with_calendar(obs)), [measure])
@@ -73,6 +82,9 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     folder after every pass. After ``max_passes`` the remaining intervals are
     picked as small ones.
     """
+    if not keys:
+        return exact_quantiles(vals.withColumn(_ALL, _one_group()), [_ALL], probs, value, names, cells, small,
+                               max_passes).drop(_ALL)
     keys = list(keys)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     shared_dir(vals.sparkSession)
@@ -153,6 +165,8 @@ def _agg_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float],
 def median_season(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "year", "season"),
                   method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Median per group (A9): linear interpolation between the middle values."""
+    if not keys:
+        return median_season(obs.withColumn(_ALL, _one_group()), measure, [_ALL], method, accuracy).drop(_ALL)
     return _agg_quantiles(_values(obs, measure, keys), keys, [0.5], [f"median_{measure}"], method, accuracy)
 
 
@@ -171,6 +185,8 @@ def median_bisect(obs: DataFrame, measure: str, keys: Sequence[str] = ("station"
     """
     if not 1 <= rounds <= 20:
         raise ValueError("rounds must be within 1..20")
+    if not keys:
+        return median_bisect(obs.withColumn(_ALL, _one_group()), measure, [_ALL], rounds).drop(_ALL)
     keys = list(keys)
     vals = _values(obs, measure, keys)
     bounds = vals.groupBy(*keys).agg(
@@ -231,6 +247,8 @@ def box_stats(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "y
     within ``whis`` * IQR of the box; values beyond them are outliers.
     Columns: keys, n, min, q1, median, q3, max, whisker_lo, whisker_hi, n_outliers.
     """
+    if not keys:
+        return box_stats(obs.withColumn(_ALL, _one_group()), measure, [_ALL], whis, method, accuracy).drop(_ALL)
     keys = list(keys)
     vals = _values(obs, measure, keys)
     q = _agg_quantiles(vals, keys, (0.0, *QUARTILES, 1.0), ["min", "q1", "median", "q3", "max"], method, accuracy)
@@ -252,6 +270,9 @@ def box_outliers(obs: DataFrame, measure: str, keys: Sequence[str] = ("station",
                  carry: Sequence[str] = ("seq",), whis: float = 1.5, method: str = "exact",
                  accuracy: int = 10000) -> DataFrame:
     """The rows drawn as outliers of each box: keys, carried columns, value."""
+    if not keys:
+        return box_outliers(obs.withColumn(_ALL, _one_group()), measure, [_ALL], carry, whis, method,
+                            accuracy).drop(_ALL)
     keys = list(keys)
     carry = [c for c in carry if c in obs.columns]
     vals = _values(obs, measure, keys, carry)

@@ -134,3 +134,17 @@ def test_methods_agree_on_small_groups(spark):
     approx = {r.season: r.median_t for r in median_season(df, "t", method="approx").collect()}
     assert exact == pct
     assert set(approx) == set(exact)
+
+
+def test_no_group_keys_is_a_global_quantile(spark):
+    from obsgrid.operators.quantiles import exact_quantiles
+
+    vals = [float(i) for i in range(1, 102)]
+    df = spark.createDataFrame([(v,) for v in vals], "_v double")
+    q = exact_quantiles(df, [], [0.5], small=10, cells=4)
+    assert q.columns == ["n", "q0"] and q.collect()[0].q0 == 51.0
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    b = median_bisect(groups_frame(spark, {1: vals}), "t", keys=[]).collect()[0]
+    assert b.bisect_t == replay_bisect(vals)[0]
+    assert box_stats(groups_frame(spark, {1: vals}), "t", keys=[]).collect()[0].median == 51.0
