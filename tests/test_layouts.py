@@ -80,6 +80,8 @@ def test_upsert_reads_only_touched_folders(spark, workdir):
     # a one-value isin is simplified to an equality; both prune folders
     assert ("= C" in pf or "IN (" in pf.upper() or "INSET" in pf.upper()) and ("= 2011" in pf or "IN (" in pf.upper())
     assert [(r.station, r.year) for r in touched.collect()] == [("C", 2011)]
+    final = touched._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in final and "BroadcastNestedLoopJoin" not in final
     layouts.upsert_station(spark, batch, path)
     got = {(r.station, r.year): r.t for r in layouts.read_layout(spark, path, schema).collect()}
     assert got[("C", 2011)] == 5.0 and got[("C", 2010)] == 1.0 and len(got) == 12
