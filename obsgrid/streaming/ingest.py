@@ -35,8 +35,13 @@ def read_stream(spark: SparkSession, folder: str, max_files: int | None = None)
 
 def start_ingest(spark: SparkSession, folder: str, station_path: str, time_path: str,
                  checkpoint: str | None = None, available_now: bool = True,
-                 rejects_path: str | None = None) -> StreamingQuery:
-    """Start the stream; each micro-batch is upserted into both layouts."""
+                 rejects_path: str | None = None, max_files: int | None = None,
+                 num_tasks: int | None = None) -> StreamingQuery:
+    """Start the stream; each micro-batch is upserted into both layouts.
+
+    ``max_files`` caps the files per micro-batch; ``num_tasks`` sizes the
+    layout writes of each batch.
+    """
     checkpoint = checkpoint or scratch_path(spark, "ingest-stream")
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -45,13 +50,13 @@ def start_ingest(spark: SparkSession, folder: str, station_path: str, time_path:
         good, rejects = clean(batch)
         good = good.persist()
         try:
-            upsert_station(spark, good, station_path, order=ORDER_COLS)
-            upsert_time(spark, good, time_path, order=ORDER_COLS)
+            upsert_station(spark, good, station_path, order=ORDER_COLS, num_tasks=num_tasks)
+            upsert_time(spark, good, time_path, order=ORDER_COLS, num_tasks=num_tasks)
             if rejects_path:
                 rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(rejects_path)
         finally:
             good.unpersist()
 
-    w = read_stream(spark, folder).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    w = read_stream(spark, folder, max_files).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

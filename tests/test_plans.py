@@ -52,7 +52,9 @@ def test_stream_ingest(spark, workdir):
         f.write("\n".join([HEADER, line("LIRA", "2011-01-01 12:50", tmpf="1"), line("LIRA", "2011-01-01 12:50", tmpf="2"),
                            line("LIRF", "2011-02-01 00:20", tmpf="3")]) + "\n")
     st, tm = os.path.join(workdir, "st"), os.path.join(workdir, "tm")
-    q = start_ingest(spark, src, st, tm, checkpoint=os.path.join(workdir, "ck"))
+    with open(os.path.join(src, "b.csv"), "w") as f:
+        f.write("\n".join([HEADER, line("LIRF", "2011-02-01 00:20", tmpf="3")]) + "\n")
+    q = start_ingest(spark, src, st, tm, checkpoint=os.path.join(workdir, "ck"), max_files=1)
     q.awaitTermination(120)
     from obsgrid.schema import OBSERVATION_SCHEMA, TIME_SCHEMA
 
