@@ -10,8 +10,8 @@ Parquet has no MERGE. An upsert here:
    every new row, and the union is reduced again;
 3. writes the merged partitions to a staging folder in the shared folder,
    then replaces exactly those partitions of the table with dynamic partition
-   overwrite. A failed second step can be re-run from the staging copy,
-   which is removed once the table holds the merged partitions.
+   overwrite. The upsert is idempotent, so a failed one is run again; the
+   staged copy stays until the table holds the merged partitions.
    A first load (no table yet) reads nothing from the target and is written
    directly.
 
