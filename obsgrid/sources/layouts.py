@@ -10,8 +10,9 @@ Parquet has no MERGE. An upsert here:
    every new row, and the union is reduced again;
 3. writes the merged partitions to a staging folder in the shared folder,
    then replaces exactly those partitions of the table with dynamic partition
-   overwrite. The upsert is idempotent, so a failed one is run again; the
-   staged copy stays until the table holds the merged partitions.
+   overwrite. If that last write fails part-way, the error names the staged
+   copy and ``finish_upsert`` completes the upsert from it; the copy is
+   removed only once the table holds the merged partitions.
    A first load (no table yet) reads nothing from the target and is written
    directly.
 
@@ -118,10 +119,24 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
         return read_layout(spark, path, merged.schema)
     staging = scratch_path(spark, f"stage-{layout.name}")
     write_layout(merged, staging, layout, num_tasks=num_tasks)
-    staged = read_layout(spark, staging, merged.schema)
-    write_layout(staged, path, layout, dynamic=True, num_tasks=num_tasks)
+    try:
+        return finish_upsert(spark, staging, path, layout, merged.schema, num_tasks)
+    except Exception as e:
+        raise RuntimeError(f"the merged partitions are staged at {staging}; run finish_upsert(spark, "
+                           f"{staging!r}, {path!r}, ...) to complete the upsert") from e
+
+
+def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout, schema: T.StructType,
+                  num_tasks: int | None = None) -> DataFrame:
+    """Replace the table's partitions with the staged merged ones, then drop the stage.
+
+    Also the recovery step: if a final overwrite failed part-way (a partition
+    folder removed before its new one was moved in), running this again from
+    the staged copy restores every merged partition.
+    """
+    write_layout(read_layout(spark, staging, schema), path, layout, dynamic=True, num_tasks=num_tasks)
     _remove(spark, staging)  # only after the table holds the merged partitions
-    return read_layout(spark, path, merged.schema)
+    return read_layout(spark, path, schema)
 
 
 def station_rows(obs: DataFrame) -> DataFrame:

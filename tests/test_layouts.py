@@ -108,3 +108,36 @@ def test_map_slice_text_measure_not_rounded(spark):
     assert [(r.longitude, r.value) for r in text] == [(12.0, "-RA")]
     num = map_slice(df, dt.datetime(2013, 7, 14, 14, 50), "visibility").collect()
     assert sorted(r.value for r in num) == [1.23, 2.0]
+
+
+def test_finish_upsert_recovers_from_stage(spark, workdir):
+    """A failed final overwrite leaves the stage; finish_upsert completes from it."""
+    import shutil
+
+    path = os.path.join(workdir, "recover")
+    schema = rows(spark, [("A", 2011, 1, 1, 0, 0, 1.0, "x", 1)]).drop("seq").schema
+    layouts.upsert_station(spark, rows(spark, [("A", 2011, 1, 1, 0, 0, 1.0, "x", 1),
+                                               ("B", 2011, 1, 1, 0, 0, 2.0, "y", 2)]), path)
+    orig = layouts.finish_upsert
+    staged = {}
+
+    def broken(spark_, staging, path_, layout, schema_, num_tasks=None):
+        staged["path"] = staging
+        shutil.rmtree(os.path.join(path_, "station=A"))  # crash after removing a partition folder
+        raise OSError("simulated failure during the overwrite")
+
+    layouts.finish_upsert = broken
+    try:
+        try:
+            layouts.upsert_station(spark, rows(spark, [("A", 2011, 2, 1, 0, 0, 9.0, "z", 3)]), path)
+            raise AssertionError("expected a failure")
+        except RuntimeError as e:
+            assert staged["path"] in str(e)
+    finally:
+        layouts.finish_upsert = orig
+    from obsgrid.schema import STATION_LAYOUT
+
+    t = layouts.finish_upsert(spark, staged["path"], path, STATION_LAYOUT, schema)
+    got = {(r.station, r.month): r.t for r in t.collect()}
+    assert got == {("A", 1): 1.0, ("A", 2): 9.0, ("B", 1): 2.0}
+    assert not os.path.exists(staged["path"])
