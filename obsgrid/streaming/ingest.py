@@ -4,7 +4,10 @@ A Structured Streaming file source picks up files as they arrive in a folder;
 each micro-batch is cleaned and upserted into the station and time layouts
 (the same last-row-wins rule as a batch load). The stream's checkpoint keeps
 track of the files already loaded, and the upsert is idempotent, so a
-restarted or retried batch gives the same tables.
+restarted or retried batch gives the same tables. One exception: if a
+batch's final partition overwrite failed part-way, the stream stops with an
+error that names the staged copy; run ``finish_upsert`` on it before
+restarting, so no partition loses its older rows.
 """
 
 from __future__ import annotations
