@@ -69,8 +69,10 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     Selection by histogram narrowing; the values are never sorted or gathered
     per group (the per-group interval table they are joined with is small and
     broadcast by adaptive execution when its measured size allows):
-    * pass 0: n, min, max per group; every wanted rank starts with the
-      interval [min, max];
+    * pass 0: n, min, max per group (checkpointed); if no group has more than
+      ``small`` rows, one ``percentile`` aggregation answers (its buffer then
+      holds at most ``small`` values per group) -- otherwise every wanted rank
+      starts with the interval [min, max];
     * while an interval holds more than ``small`` rows and more than one value:
       the rows inside it are counted in ``cells`` equal-width cells
       (per (group, interval, cell): count, min, max -- partial aggregation),
@@ -90,7 +92,14 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     shared_dir(vals.sparkSession)
     base = vals.select(*keys, F.col(value).cast("double").alias("_x"))
     stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
-                                    F.max("_x").alias("hi"))
+                                    F.max("_x").alias("hi")).checkpoint(eager=True)
+    largest = stats.agg(F.max("n")).first()[0] or 0
+    if largest <= small:
+        # every group is small: Spark's one-pass percentile holds at most `small`
+        # values per group and gives the same doubles
+        q = base.groupBy(*keys).agg(F.percentile("_x", [float(p) for p in probs]).alias("_q"))
+        return stats.select(*keys, "n").join(q, keys).select(
+            *keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
 
     def pos(p: float) -> Column:
         return (F.col("n") - 1).cast("double") * F.lit(float(p))
@@ -99,7 +108,7 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     for p in probs:
         ranks += [F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")]
     state = stats.select(*keys, "n", F.explode(F.array_distinct(F.array(*ranks))).alias("_k"), "lo", "hi",
-                         F.lit(0).cast("long").alias("below"), F.col("n").alias("cnt")).checkpoint(eager=True)
+                         F.lit(0).cast("long").alias("below"), F.col("n").alias("cnt"))
 
     found, smalls = [], []
     for step in range(max_passes + 1):
