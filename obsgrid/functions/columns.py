@@ -28,8 +28,17 @@ def season_label(season_col: Column | str = "season", labels: Mapping[int, str]
 
 
 def with_calendar(df: DataFrame, ts: str = "valid_date") -> DataFrame:
-    """Add year..minute from ``ts`` where they are not stored already."""
+    """Add year..minute from ``ts`` where they are not stored already.
+
+    A frame without ``ts`` keeps the calendar columns it has (say, year and
+    month only); it must hold year and month.
+    """
     have = set(df.columns)
+    if ts not in have:
+        missing = [c for c in ("year", "month") if c not in have]
+        if missing:
+            raise ValueError(f"need {ts!r} or stored {missing} columns")
+        return df
     parts = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour, "minute": F.minute}
     for name, fn in parts.items():
         if name not in have:

@@ -103,3 +103,11 @@ def test_minmax_on_text_and_timestamp(spark):
     assert (r.min_sky, r.max_sky) == ("BKN", "FEW")
     r = pe.minmax_season(df, "peak").collect()[0]
     assert r.max_peak == dt.datetime(2011, 1, 2, 7)
+
+
+def test_frames_with_year_and_month_only(spark):
+    df = spark.createDataFrame([("A", 2011, 1, 2.0), ("A", 2011, 4, 4.0)], "station string, year int, month int, t double")
+    got = {(r.level, r.month, r.season): r.avg_t for r in pe.period_stats(df, "t").collect()}
+    assert got[("year", None, None)] == 3.0 and got[("season", None, 2)] == 4.0
+    with pytest.raises(ValueError):
+        pe.avg_month(df.drop("month"), "t")
