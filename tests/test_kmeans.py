@@ -84,3 +84,13 @@ def test_seeded_random_init(spark):
     assert a == b and a != c
     rows = {tuple(r) for r in x.tolist()}
     assert len({tuple(v) for v in a}) == 4 and all(tuple(v) in rows for v in a)
+
+
+def test_given_centres(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 1.0, 1.0), (1.0, 0.0, 9.0, 9.0), (2.0, 0.0, 1.2, 0.8)],
+                               "longitude double, latitude double, a double, b double")
+    lab, cen = kmeans_fit(df, ["a", "b"], k=2, rounds=2, centres=[[0.0, 0.0], [10.0, 10.0]])
+    assert sorted((r.longitude, r.cluster) for r in lab.collect()) == [(0.0, 0), (1.0, 1), (2.0, 0)]
+    assert cen == [[1.1, 0.9], [9.0, 9.0]]
+    with pytest.raises(ValueError):
+        kmeans_fit(df, ["a", "b"], k=2, rounds=1, centres=[[0.0], [1.0]])

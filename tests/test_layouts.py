@@ -141,3 +141,14 @@ def test_finish_upsert_recovers_from_stage(spark, workdir):
     got = {(r.station, r.month): r.t for r in t.collect()}
     assert got == {("A", 1): 1.0, ("A", 2): 9.0, ("B", 1): 2.0}
     assert not os.path.exists(staged["path"])
+
+
+def test_map_slice_bbox_drops_points_outside(spark):
+    from obsgrid.plans.reports import map_slice
+
+    df = spark.createDataFrame([(dt.datetime(2013, 7, 14, 14, 50), 12.0, 42.0, 1.0),
+                                (dt.datetime(2013, 7, 14, 14, 50), 44.0, 33.0, 2.0)],
+                               "valid_date timestamp_ntz, longitude double, latitude double, wind_direction double")
+    when = dt.datetime(2013, 7, 14, 14, 50)
+    assert [(r.longitude, r.value) for r in map_slice(df, when, "wind_direction", bbox=True).collect()] == [(12.0, 1.0)]
+    assert map_slice(df, when, "wind_direction").count() == 2

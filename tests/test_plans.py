@@ -54,7 +54,10 @@ def test_stream_ingest(spark, workdir):
     st, tm = os.path.join(workdir, "st"), os.path.join(workdir, "tm")
     with open(os.path.join(src, "b.csv"), "w") as f:
         f.write("\n".join([HEADER, line("LIRF", "2011-02-01 00:20", tmpf="3")]) + "\n")
-    q = start_ingest(spark, src, st, tm, checkpoint=os.path.join(workdir, "ck"), max_files=1)
+    with open(os.path.join(src, "c.csv"), "w") as f:
+        f.write("\n".join([HEADER, line("LIRA", "junk")]) + "\n")
+    rej = os.path.join(workdir, "rej")
+    q = start_ingest(spark, src, st, tm, checkpoint=os.path.join(workdir, "ck"), max_files=1, rejects_path=rej)
     q.awaitTermination(120)
     from obsgrid.schema import OBSERVATION_SCHEMA, TIME_SCHEMA
 
@@ -62,6 +65,7 @@ def test_stream_ingest(spark, workdir):
     assert sorted((r.station, r.temperature_f) for r in s) == [("LIRA", 2.0), ("LIRF", 3.0)]
     t = read_layout(spark, tm, TIME_SCHEMA).collect()
     assert len(t) == 2
+    assert [r.reason for r in spark.read.parquet(rej).collect()] == ["valid"]
 
 
 @pytest.mark.parametrize("name", ["avg_month", "period_stats", "monthly_history_wide", "location_profile",
