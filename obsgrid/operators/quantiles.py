@@ -37,6 +37,25 @@ def _one_group() -> Column:
     return F.monotonically_increasing_id() * F.lit(0)
 
 
+# Nullable group keys travel packed in one struct column: the struct itself is
+# never NULL and struct equality treats NULL fields as equal, so joins on it
+# keep groups whose key holds a NULL (a plain equi-join would drop them).
+_GK = "_gk"
+
+
+def _pack(vals: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    if not any(vals.schema[k].nullable for k in keys):
+        return vals, keys
+    others = [c for c in vals.columns if c not in keys]
+    return vals.select(F.struct(*keys).alias(_GK), *others), [_GK]
+
+
+def _unpack(df: DataFrame, keys: list[str], used: list[str]) -> DataFrame:
+    if used == keys:
+        return df
+    return df.select(*[F.col(f"{_GK}.{k}").alias(k) for k in keys], *[c for c in df.columns if c != _GK])
+
+
 def _values(obs: DataFrame, measure: str, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     df = complete_rows(with_season(with_calendar(obs)), [measure])
     return df.select(*keys, *extra, F.col(measure).cast("double").alias("_v"))
@@ -87,9 +106,10 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     if not keys:
         return exact_quantiles(vals.withColumn(_ALL, _one_group()), [_ALL], probs, value, names, cells, small,
                                max_passes).drop(_ALL)
-    keys = list(keys)
+    orig_keys = list(keys)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     shared_dir(vals.sparkSession)
+    vals, keys = _pack(vals.select(*orig_keys, value), orig_keys)
     base = vals.select(*keys, F.col(value).cast("double").alias("_x"))
     stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
                                     F.max("_x").alias("hi")).checkpoint(eager=True)
@@ -97,9 +117,10 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     if largest <= small:
         # every group is small: Spark's one-pass percentile holds at most `small`
         # values per group and gives the same doubles
-        q = base.groupBy(*keys).agg(F.percentile("_x", [float(p) for p in probs]).alias("_q"))
-        return stats.select(*keys, "n").join(q, keys).select(
-            *keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+        q = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                    F.percentile("_x", [float(p) for p in probs]).alias("_q"))
+        return _unpack(q.select(*keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]),
+                       orig_keys, keys)
 
     def pos(p: float) -> Column:
         return (F.col("n") - 1).cast("double") * F.lit(float(p))
@@ -152,7 +173,7 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
         lo, hi = F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")
         vlo, vhi = F.element_at("_m", lo), F.element_at("_m", hi)
         out.append(F.when(lo == hi, vlo).otherwise((hi - pos(p)) * vlo + (pos(p) - lo) * vhi).alias(nm))
-    return stats.select(*keys, "n").join(got, keys).select(*keys, "n", *out)
+    return _unpack(stats.select(*keys, "n").join(got, keys).select(*keys, "n", *out), orig_keys, keys)
 
 
 def _agg_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
@@ -196,8 +217,8 @@ def median_bisect(obs: DataFrame, measure: str, keys: Sequence[str] = ("station"
         raise ValueError("rounds must be within 1..20")
     if not keys:
         return median_bisect(obs.withColumn(_ALL, _one_group()), measure, [_ALL], rounds).drop(_ALL)
-    keys = list(keys)
-    vals = _values(obs, measure, keys)
+    orig_keys = list(keys)
+    vals, keys = _pack(_values(obs, measure, orig_keys), orig_keys)
     bounds = vals.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo0"), F.max("_v").alias("_hi0"),
     )
@@ -245,7 +266,8 @@ def median_bisect(obs: DataFrame, measure: str, keys: Sequence[str] = ("station"
             F.when(go_left, F.col("_mid")).otherwise(F.col("_hi")).alias("_hi"),
             F.when(go_right, split).otherwise(F.col("_base")).alias("_base"),
         ).withColumn("_mid", _half(F.col("_lo"), F.col("_hi")))
-    return st.select(*keys, "n", F.col("_done").alias("converged"), F.col("_mid").alias(f"bisect_{measure}"))
+    out = st.select(*keys, "n", F.col("_done").alias("converged"), F.col("_mid").alias(f"bisect_{measure}"))
+    return _unpack(out, orig_keys, keys)
 
 
 def box_stats(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "year", "season"),
@@ -258,8 +280,8 @@ def box_stats(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "y
     """
     if not keys:
         return box_stats(obs.withColumn(_ALL, _one_group()), measure, [_ALL], whis, method, accuracy).drop(_ALL)
-    keys = list(keys)
-    vals = _values(obs, measure, keys)
+    orig_keys = list(keys)
+    vals, keys = _pack(_values(obs, measure, orig_keys), orig_keys)
     q = _agg_quantiles(vals, keys, (0.0, *QUARTILES, 1.0), ["min", "q1", "median", "q3", "max"], method, accuracy)
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("_lo_f", F.col("q1") - F.lit(whis) * iqr).withColumn("_hi_f", F.col("q3") + F.lit(whis) * iqr)
@@ -272,7 +294,7 @@ def box_stats(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "y
         F.max(F.when(v <= F.col("_hi_f"), v)).alias("whisker_hi"),
         F.count_if(out).alias("n_outliers"),
     )
-    return res.drop("_lo_f", "_hi_f")
+    return _unpack(res.drop("_lo_f", "_hi_f"), orig_keys, keys)
 
 
 def box_outliers(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "year", "season"),
@@ -282,13 +304,14 @@ def box_outliers(obs: DataFrame, measure: str, keys: Sequence[str] = ("station",
     if not keys:
         return box_outliers(obs.withColumn(_ALL, _one_group()), measure, [_ALL], carry, whis, method,
                             accuracy).drop(_ALL)
-    keys = list(keys)
+    orig_keys = list(keys)
     carry = [c for c in carry if c in obs.columns]
-    vals = _values(obs, measure, keys, carry)
+    vals, keys = _pack(_values(obs, measure, orig_keys, carry), orig_keys)
     q = _agg_quantiles(vals, keys, (0.25, 0.75), ["_q1", "_q3"], method, accuracy)
     iqr = F.col("_q3") - F.col("_q1")
     q = q.select(*keys, (F.col("_q1") - F.lit(whis) * iqr).alias("_lo_f"),
                  (F.col("_q3") + F.lit(whis) * iqr).alias("_hi_f"))
     v = F.col("_v")
-    return (vals.join(q, keys).where((v < F.col("_lo_f")) | (v > F.col("_hi_f")))
-            .select(*keys, *carry, v.alias(measure)))
+    out = (vals.join(q, keys).where((v < F.col("_lo_f")) | (v > F.col("_hi_f")))
+           .select(*keys, *carry, v.alias(measure)))
+    return _unpack(out, orig_keys, keys)

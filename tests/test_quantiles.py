@@ -148,3 +148,24 @@ def test_no_group_keys_is_a_global_quantile(spark):
     b = median_bisect(groups_frame(spark, {1: vals}), "t", keys=[]).collect()[0]
     assert b.bisect_t == replay_bisect(vals)[0]
     assert box_stats(groups_frame(spark, {1: vals}), "t", keys=[]).collect()[0].median == 51.0
+
+
+def test_null_group_keys_are_kept(spark):
+    """A group whose key is NULL is a group like any other (not dropped by a join)."""
+    from obsgrid.operators.quantiles import exact_quantiles
+
+    rows = [(None, 2011, float(v), i) for i, v in enumerate([1, 2, 3, 4, 100])]
+    rows += [("A", 2011, float(v), 10 + i) for i, v in enumerate([5, 6, 7])]
+    df = spark.createDataFrame([(s, dt.datetime(y, 1, 1), v, q) for s, y, v, q in rows],
+                               "station string, valid_date timestamp_ntz, t double, seq int")
+    med = {r.station: r.median_t for r in median_season(df, "t").collect()}
+    assert med == {None: 3.0, "A": 6.0}
+    bis = {r.station: r.n for r in median_bisect(df, "t").collect()}
+    assert bis == {None: 5, "A": 3}
+    box = {r.station: r.n_outliers for r in box_stats(df, "t").collect()}
+    assert box == {None: 1, "A": 0}
+    outs = [(o.station, o.t) for o in box_outliers(df, "t").collect()]
+    assert outs == [(None, 100.0)]
+    vals = df.select("station", df.t.alias("_v"))
+    got = {r.station: r.q0 for r in exact_quantiles(vals, ["station"], [0.5], small=2, cells=4).collect()}
+    assert got == {None: 3.0, "A": 6.0}
