@@ -3,6 +3,8 @@
 Cleaning rules:
 * ``valid`` must start with ``Y-M-D H:M`` (digits); other rows are skipped
   (they go to the rejects with reason ``valid``). Trailing text is allowed.
+* a row without a station (empty field) is rejected with reason ``station``:
+  the station is part of both layouts' keys.
 * a field of exactly three blanks or ``null`` is missing (NULL); an empty
   field is NULL too (Spark's CSV reader gives NULL for it).
 * a numeric field that is not a number rejects the row (reason = field name);
@@ -90,13 +92,15 @@ def clean(raw: DataFrame, carry: tuple[str, ...] = ("seq",) + ORDER_COLS,
     # a numeric part too long for an int also makes the date unreadable
     date_ok = date_ok & F.coalesce(parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
                                    & parts[3].isNotNull() & parts[4].isNotNull(), F.lit(False))
-    reason = F.when(~date_ok, F.lit("valid")).otherwise(
-        F.nullif(F.concat_ws(",", *bad), F.lit("")) if bad else F.lit(None).cast("string"))
+    # the station is part of both primary keys: a row without one cannot be stored
+    no_station = F.coalesce(F.col("station").isNull() | (F.trim(F.col("station")) == ""), F.lit(True))
+    reason = (F.when(no_station, F.lit("station")).when(~date_ok, F.lit("valid")).otherwise(
+        F.nullif(F.concat_ws(",", *bad), F.lit("")) if bad else F.lit(None).cast("string")))
     tagged = raw.select("*", reason.alias("_reason"))
     if strict:
         first = tagged.where(F.col("_reason").isNotNull() & (F.col("_reason") != "valid")).limit(1).collect()
         if first:
-            raise ValueError(f"unreadable number in field(s) {first[0]['_reason']}")
+            raise ValueError(f"row cannot be loaded (field(s): {first[0]['_reason']})")
     good = tagged.where(F.col("_reason").isNull()).select(
         F.col("station"), *calendar, valid_date, *typed, *carry)
     rejects = tagged.where(F.col("_reason").isNotNull()).select(

@@ -103,3 +103,12 @@ def test_bad_timestamp_field_rejected(spark, workdir):
     good, rejects = clean(read_raw(spark, p))
     assert [r.reason for r in rejects.collect()] == ["peak_wind_time"]
     assert good.count() == 1
+
+
+def test_row_without_station_rejected(spark, workdir):
+    p = os.path.join(workdir, "nost.csv")
+    with open(p, "w") as f:
+        f.write("\n".join([HEADER, line("", "2011-01-01 12:50"), line("LIRA", "2011-01-01 12:50")]) + "\n")
+    good, rejects = clean(read_raw(spark, p))
+    assert [r.reason for r in rejects.collect()] == ["station"]
+    assert [r.station for r in good.collect()] == ["LIRA"]
