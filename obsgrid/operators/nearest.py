@@ -129,8 +129,10 @@ def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo
             by_band.select(key, "_plon", "_plat", "_slon", "_slat", "_ord", "_st"))
     else:
         cand = in_bands.join(st.drop("_sec"), "_band")
-    best = cand.groupBy(key).agg(F.min(F.struct(dist().alias("d"), F.col("_ord").alias("o"),
-                                                F.col("_st").alias("s"))).alias("_best"))
+    # one result per point: grouped by the key with the coordinates, so points
+    # sharing a key (or a NULL key) at different places are not merged
+    best = cand.groupBy(key, "_plon", "_plat").agg(F.min(F.struct(
+        dist().alias("d"), F.col("_ord").alias("o"), F.col("_st").alias("s"))).alias("_best"))
     ok = F.col("_best.d") < F.lit(NO_STATION_KM)
     found = best.select(key, F.when(ok, F.col("_best.s")).otherwise(F.lit(NO_STATION)).alias("station"),
                         F.when(ok, F.col("_best.d")).alias("distance_km"))

@@ -65,3 +65,13 @@ def test_invalid_coordinates_get_error_marker(spark):
     s = spark.createDataFrame([("X", 12.5, 41.9, 1)], "station string, longitude double, latitude double, ord int")
     got = {r.pt: r.station for r in nearest_station(p, s).collect()}
     assert got == {1: "X", 2: NO_STATION, 3: NO_STATION}
+
+
+def test_one_result_per_point(spark):
+    """Points sharing a key (or with a NULL key) at different places each get a result."""
+    p = spark.createDataFrame([(1, 12.0, 42.0), (1, 9.1, 45.4), (None, 12.0, 42.0), (None, 9.1, 45.4)],
+                              "pt int, longitude double, latitude double")
+    s = spark.createDataFrame([("B", 12.5, 41.9, 1), ("A", 9.2, 45.5, 2)],
+                              "station string, longitude double, latitude double, ord int")
+    got = sorted((r.pt if r.pt is not None else -1, r.station) for r in nearest_station(p, s).collect())
+    assert got == [(-1, "A"), (-1, "B"), (1, "A"), (1, "B")]
