@@ -37,8 +37,17 @@ def season_report(rows: DataFrame, measure: str, keys: Sequence[str] = ("station
     stats = period_stats(rows, measure, keys)
     med = median_season(rows, measure, keys + ["season"], method=method).drop("n")
     bis = median_bisect(rows, measure, keys + ["season"]).drop("n", "converged")
-    return (stats.join(med, keys + ["season"], "left").join(bis, keys + ["season"], "left")
-            .withColumn("season_label", season_label("season")))
+
+    def attach(left: DataFrame, right: DataFrame) -> DataFrame:
+        # keys match null-safely; the season plainly (month and year rows have none)
+        r = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
+        cond = F.col("season") == F.col("_r_season")
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        extra = [c for c in right.columns if c not in keys and c != "season"]
+        return left.join(r, cond, "left").select(*left.columns, *[F.col(f"_r_{c}").alias(c) for c in extra])
+
+    return attach(attach(stats, med), bis).withColumn("season_label", season_label("season"))
 
 
 def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *, lat: float, lon: float,

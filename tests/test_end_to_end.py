@@ -63,3 +63,13 @@ def test_reports_on_layouts(spark, workdir):
 
     c = cluster_report(obs_t, "2010-01", "2011-12", k=2).collect()
     assert len(c) == 3 and {r.colour for r in c} <= {"lightblue", "lightgreen"}
+
+
+def test_season_report_keeps_null_station(spark):
+    from obsgrid.plans.reports import season_report
+
+    df = spark.createDataFrame([(None, dt.datetime(2011, 1, d), float(d)) for d in range(1, 6)],
+                               "station string, valid_date timestamp_ntz, temperature_f double")
+    rows = season_report(df, "temperature_f").collect()
+    season = [r for r in rows if r.level == "season"][0]
+    assert season.station is None and season.median_temperature_f == 3.0 and season.bisect_temperature_f is not None
