@@ -102,7 +102,11 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     ``num_tasks`` is the number of write tasks (default: the session's shuffle
     partitions); size it to the batch for large loads.
     """
-    order = [c for c in order if c in incoming.columns]
+    missing = [c for c in order if c not in incoming.columns]
+    if missing:
+        raise ValueError(f"order column(s) {missing} not in the batch: they decide which of a key's rows "
+                         "is the last one")
+    order = list(order)
     schema_cols = [c for c in incoming.columns if c not in order]
     batch = incoming.select(*schema_cols, *order, F.lit(1).alias("_batch"))
     exists = _table_exists(spark, path)

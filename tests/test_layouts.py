@@ -152,3 +152,11 @@ def test_map_slice_bbox_drops_points_outside(spark):
     when = dt.datetime(2013, 7, 14, 14, 50)
     assert [(r.longitude, r.value) for r in map_slice(df, when, "wind_direction", bbox=True).collect()] == [(12.0, 1.0)]
     assert map_slice(df, when, "wind_direction").count() == 2
+
+
+def test_upsert_needs_its_order_columns(spark, workdir):
+    import pytest
+
+    df = rows(spark, [("A", 2011, 1, 1, 0, 0, 1.0, "x", 1)]).drop("seq")
+    with pytest.raises(ValueError):
+        layouts.upsert_station(spark, df, os.path.join(workdir, "noorder"))
