@@ -81,8 +81,15 @@ def month_bounds(first_month: str, last_month: str, compat_end: bool = False) ->
     ``compat_end``: the end is day 31 at 00:00 inclusive when the last month has a
     31st, otherwise the whole last month.
     """
-    y0, m0 = (int(p) for p in first_month.split("-")[:2])
-    y1, m1 = (int(p) for p in last_month.split("-")[:2])
+    def ym(text: str) -> tuple[int, int]:
+        parts = text.split("-")
+        if len(parts) < 2 or not (parts[0].strip().isdigit() and parts[1].strip().isdigit()) \
+                or not 1 <= int(parts[1]) <= 12:
+            raise ValueError(f"month {text!r} is not 'YYYY-MM'")
+        return int(parts[0]), int(parts[1])
+
+    y0, m0 = ym(first_month)
+    y1, m1 = ym(last_month)
     lo = dt.datetime(y0, m0, 1)
     nxt = dt.datetime(y1 + (m1 == 12), m1 % 12 + 1, 1)
     if compat_end:

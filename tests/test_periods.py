@@ -111,3 +111,9 @@ def test_frames_with_year_and_month_only(spark):
     assert got[("year", None, None)] == 3.0 and got[("season", None, 2)] == 4.0
     with pytest.raises(ValueError):
         pe.avg_month(df.drop("month"), "t")
+
+
+def test_month_bounds_rejects_bad_text():
+    for bad in ("2011", "2011-13", "x-01"):
+        with pytest.raises(ValueError):
+            month_bounds(bad, "2011-12")
