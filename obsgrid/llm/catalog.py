@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.llm import langid, quality
+from obsgrid.llm import bpe, exact_dedup, html_extract, langid, packing, quality, simhash, topk
 from obsgrid.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,21 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def _vocabulary(name: str) -> tuple[str, str]:
+    """Path of a public tokenizer's file, and the pattern of the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
+
+@register("op1_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = _vocabulary("byte_bpe_50k.tiktoken")
+    return (table(spark, sf_dir, "documents")
+            .select("doc_id", bpe.digests(spark, path, pattern, F.col("text")).alias("made"))
+            .select("doc_id", "made.n_tokens", "made.ids_sha256", "made.decoded_sha256"))
+
+
 @register("op2_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
@@ -36,6 +51,31 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "found.lang_pred", "found.score"))
 
 
+@register("op3_exact_dedup", r"""
+WITH n AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
+), g AS (
+    SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
+FROM n JOIN g USING (norm)
+""")
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op4_simhash")
+def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op6_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extract.extract(spark, F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @register("op7_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -44,3 +84,28 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
                         quality.score(spark, model, F.col("text")).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+
+
+@register("op8_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json")[0])
+
+
+@register("op10_exact_top_k", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+    WHERE q.vec_id % 100 = 0
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)

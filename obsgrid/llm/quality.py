@@ -21,6 +21,7 @@ are read, in slices that overlap by one token.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -203,7 +204,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 8000, doc_id: str =
              .join(F.broadcast(sample), "id")
              .mapInPandas(extract, "id long, label int, found array<int>")
              .toArrow().sort_by([("id", "ascending")]))
-    rows = [np.array(r, dtype=np.int32) for r in found.column("found").to_pylist()]
+    lists = found.column("found").combine_chunks()
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    rows = [flat[s:e] for s, e in itertools.pairwise(ends)]
     return fit_rows_model(rows, found.column("label").to_numpy() if len(rows) else np.empty(0))
 
 
