@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.llm import bpe, exact_dedup, html_extract, langid, packing, quality, simhash, topk
+from obsgrid.llm import bpe, exact_dedup, html_extract, langid, line_dedup, packing, quality, simhash, topk
 from obsgrid.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,13 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def _one_byte(line: str) -> str:
+    """SQL for a line with one byte for each accented letter of the tables, as the SQL distance counts bytes."""
+    letters = "éèêçñóíäöüßÉÈÊÇÑÓÍÄÖÜ"
+    codes = [c for c in range(1, 32) if c not in (9, 10, 13)][:len(letters)]
+    return f"translate({line}, '{letters}', {' || '.join(f'chr({c})' for c in codes)})"
+
+
 def _vocabulary(name: str) -> tuple[str, str]:
     """Path of a public tokenizer's file, and the pattern of the rank files."""
     import public_tokenizers
@@ -91,6 +98,44 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json")[0])
 
 
+@register("op9_line_dedup", """
+WITH a AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+), l AS (
+    SELECT doc_id, CAST(i AS INTEGER) AS line_no, doc_id * 2147483648 + i AS place,
+           trim(parts[i + 1], ' ' || chr(9) || chr(13)) AS line
+    FROM (SELECT doc_id, parts, unnest(range(len(parts))) AS i FROM a)
+), d AS (
+    SELECT line, min(place) AS first, length(line) AS n
+    FROM (SELECT line, place FROM l WHERE line <> '') GROUP BY line
+), p AS (
+    SELECT x.line AS one, y.line AS other, x.first AS one_first, y.first AS other_first
+    FROM d x JOIN (SELECT *, unnest([n, n + 1, n + 2]) AS m FROM d WHERE n >= 50) y ON x.n = y.m
+    WHERE x.n >= 50 AND x.line <> y.line AND (x.n > y.n OR x.first < y.first)
+      AND levenshtein(PLAIN_X, PLAIN_Y) <= 2
+), k AS (
+    SELECT line, max(earlier) AS earlier, count(*) AS links FROM (
+        SELECT one AS line, CAST(other_first < one_first AS INTEGER) AS earlier FROM p
+        UNION ALL SELECT other, CAST(one_first < other_first AS INTEGER) FROM p) GROUP BY line
+), v AS (
+    SELECT l.doc_id, l.line_no, l.line <> '' AND (l.place > d.first OR coalesce(k.earlier, 0) = 1) AS gone, coalesce(k.links, 0) AS links
+    FROM l LEFT JOIN d USING (line) LEFT JOIN k USING (line)
+), g AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, CAST(sum(links) AS BIGINT) AS n_links,
+           coalesce(list(line_no ORDER BY line_no) FILTER (WHERE NOT coalesce(gone, false)), []) AS stay
+    FROM v GROUP BY doc_id
+)
+SELECT doc_id, n_lines, n_dropped, n_links,
+       sha256(coalesce(array_to_string(list_transform(stay, lambda i: parts[i + 1]), chr(10)), '')) AS text_sha256
+FROM g JOIN a USING (doc_id)
+""".replace("PLAIN_X", _one_byte("x.line")).replace("PLAIN_Y", _one_byte("y.line")))
+def line_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").withColumn("whole", F.col("text")))
+    return found.select("doc_id", F.size(F.split("whole", "\n", -1)).cast("long").alias("n_lines"),
+                        F.size("dropped_lines").cast("long").alias("n_dropped"), F.col("line_links").alias("n_links"),
+                        F.sha2("text", 256).alias("text_sha256"))
+
+
 @register("op10_exact_top_k", """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e

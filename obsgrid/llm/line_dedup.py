@@ -122,51 +122,61 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     of ``a``: along the diagonal if the characters agree, else from word e - 1
     by substitution, deletion (next higher diagonal) or insertion (next lower).
     """
-    m, n, width = F.size(a), F.size(b), 2 * edits + 1
+    m, n, band = F.size(a), F.size(b), (1 << (2 * edits + 1)) - 1
 
-    def bit(x: Column, at: Column | int) -> Column:
-        return F.shiftright(x, at).bitwiseAND(F.lit(1)) if isinstance(at, int) else \
-            F.call_function("shiftright", x, at).bitwiseAND(F.lit(1))
-
-    def step(words: Column, i: Column) -> Column:
+    def masks(i: Column) -> Column:
+        """Diagonals on which the characters at i agree, and those inside ``b``."""
         letter = F.get(a, i - 1)
         match = reduce(lambda x, y: x.bitwiseOR(y),
                        [F.when(F.get(b, i - 1 + d) == letter, 1 << (d + edits)).otherwise(0) for d in range(-edits, edits + 1)])
-        inside = F.when(n - i + edits >= 0, F.call_function("shiftleft", F.lit(1), F.least(n - i + edits, F.lit(2 * edits)) + 1)
-                        - 1).otherwise(0)
+        inside = reduce(lambda x, y: x.bitwiseOR(y),
+                        [F.when(i + d <= n, 1 << (d + edits)).otherwise(0) for d in range(-edits, edits + 1)])
+        return F.struct(match.alias("match"), inside.alias("inside"))
+
+    def step(words: Column, mask: Column) -> Column:
         new, low = [], None
         for e in range(edits + 1):
-            word = words[f"w{e}"].bitwiseAND(match)
+            word = words[f"w{e}"].bitwiseAND(mask["match"])
             if e:
                 old = words[f"w{e - 1}"]
                 word = word.bitwiseOR(old).bitwiseOR(F.shiftright(old, 1)).bitwiseOR(F.shiftleft(low, 1))
-            low = word.bitwiseAND(inside)
+            low = word.bitwiseAND(mask["inside"])
             new.append(low.alias(f"w{e}"))
         return F.struct(*new)
 
-    start = F.struct(*[F.lit(((1 << (e + 1)) - 1) << edits & ((1 << width) - 1)).alias(f"w{e}") for e in range(edits + 1)])
+    start = F.struct(*[F.lit(((1 << (e + 1)) - 1) << edits & band).alias(f"w{e}") for e in range(edits + 1)])
 
     def read(words: Column) -> Column:
-        return F.coalesce(*[F.when(bit(words[f"w{e}"], n - m + edits) == 1, e) for e in range(edits + 1)])
+        goal = reduce(lambda x, y: x.bitwiseOR(y),
+                      [F.when(n - m == d, 1 << (d + edits)).otherwise(0) for d in range(-edits, edits + 1)])
+        return F.coalesce(*[F.when(words[f"w{e}"].bitwiseAND(goal) != 0, e) for e in range(edits + 1)])
 
-    walked = F.aggregate(F.sequence(F.lit(1), m), start, step, read)
+    walked = F.aggregate(F.transform(F.sequence(F.lit(1), m), masks), start, step, read)
     return F.when(F.abs(n - m) > edits, F.lit(None)).when(m == 0, n).otherwise(walked)
 
 
+def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a generator, so that their users read them and don't work them out again."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def verified(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     """The pairs whose texts ``a`` and ``b`` are within ``edits``; common chunks at both ends are passed over."""
-    x, y, cut = fresh("x"), fresh("y"), fresh("cut")
+    left, right = a, b
     for _ in range(2):
-        pairs = (pairs.withColumns({x: F.col(a), y: F.col(b)}) if x not in pairs.columns else pairs)
-        pairs = pairs.withColumn(cut, _common_chunks(F.col(x), F.col(y)))
-        pairs = pairs.withColumns({x: F.reverse(F.expr(f"substring(`{x}`, `{cut}` + 1)")),
-                                   y: F.reverse(F.expr(f"substring(`{y}`, `{cut}` + 1)"))})
+        cut, x, y = fresh("cut"), fresh("x"), fresh("y")
+        pairs = _fixed(pairs, **{cut: _common_chunks(F.col(left), F.col(right))})
+        pairs = _fixed(pairs, **{x: F.reverse(F.expr(f"substring(`{left}`, `{cut}` + 1)")),
+                                 y: F.reverse(F.expr(f"substring(`{right}`, `{cut}` + 1)"))})
+        left, right = x, y
 
     def chars(c: str) -> Column:
         return F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(F.col(c), ""))
 
-    pairs = pairs.withColumns({x: chars(x), y: chars(y)})
-    return pairs.withColumn("distance", edit_distance(F.col(x), F.col(y), edits)).where("distance IS NOT NULL").drop(x, y, cut)
+    x, y = fresh("x"), fresh("y")
+    pairs = _fixed(pairs, **{x: chars(left), y: chars(right)})
+    return (pairs.select(*[c for c in pairs.columns if not c.startswith("__")],
+                         edit_distance(F.col(x), F.col(y), edits).alias("distance")).where("distance IS NOT NULL"))
 
 
 def links(distinct_lines: DataFrame, again: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
