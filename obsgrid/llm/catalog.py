@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.llm import bpe, exact_dedup, html_extract, langid, line_dedup, packing, quality, simhash, topk
+from obsgrid.llm import bpe, exact_dedup, html_extract, langid, license_scan, line_dedup, packing, quality, simhash, topk
 from obsgrid.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,35 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _license_sql() -> str:
+    """Exact containment of every template in every document."""
+    rows = ", ".join("('{}', {}, '{}')".format(name, i, text.replace("'", "''"))
+                     for name, texts in license_scan.TEMPLATES.items() for i, text in enumerate(texts))
+
+    def shingles(source: str) -> str:
+        return f"""
+    SELECT *, [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] AS s FROM (
+        SELECT *, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {source})"""
+
+    return f"""
+WITH notices(license, template, text) AS (VALUES {rows}),
+t AS (SELECT license, template, list_distinct(s) AS s FROM ({shingles("notices")})),
+x AS (SELECT license, template, CAST(len(s) AS INTEGER) AS "of", unnest(s) AS one FROM t),
+d AS (SELECT doc_id, unnest(s) AS one, unnest(range(len(s))) AS i FROM ({shingles("documents")})),
+m AS (
+    SELECT doc_id, license, template, CAST(count(DISTINCT one) AS INTEGER) AS matched, "of",
+           CAST(min(i) AS INTEGER) AS first_word, CAST(max(i) + 4 AS INTEGER) AS last_word
+    FROM d JOIN x USING (one) GROUP BY doc_id, license, template, "of"
+)
+SELECT * FROM m WHERE matched >= 0.8 * "of"
+"""
+
+
+@register("op5_license_scan", _license_sql())
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @register("op6_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extract.extract(spark, F.col("html")).alias("text"))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.llm.common import importable, keep_in_shared
+from obsgrid.llm.common import broadcast_if_small, fresh, importable, keep_in_shared, written
 from obsgrid.llm.components import components
 
 SEED = 42
@@ -44,6 +44,8 @@ SHINGLE = 3
 DISTANCE = 2
 PARTS = 4
 BLOCK = 4096
+#: rows of two numbers: some 50 MB to broadcast
+BROADCAST_ROWS = 1_000_000
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
@@ -211,16 +213,36 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a[:, 0].copy()), pa.array(a[:, 1].copy())], names=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS,
-                    block: int = BLOCK, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: (doc_id, fp long, component_id)."""
-    spark = docs.sparkSession
-    prints = keep_in_shared(docs.select(F.col(doc_id).alias("doc_id"),
-                                        fingerprint(spark, F.col(text), shingle).alias("fp")))
+def classes(prints: DataFrame, distance: int = DISTANCE, parts: int = PARTS, block: int = BLOCK) -> DataFrame:
+    """Rows (fp, component_id), one per distinct fingerprint, of rows (doc_id, fp) that cost little to read again."""
     nodes = keep_in_shared(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(links(nodes.select("fp"), distance, parts, block))
     grouped = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     lowest = keep_in_shared(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    named = keep_in_shared(grouped.join(lowest, "root").select("fp", "component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return keep_in_shared(grouped.join(lowest, "root").select("fp", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS,
+                    block: int = BLOCK, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: (doc_id, fp long, component_id)."""
+    prints = keep_in_shared(docs.select(F.col(doc_id).alias("doc_id"),
+                                        fingerprint(docs.sparkSession, F.col(text), shingle).alias("fp")))
+    return prints.join(classes(prints, distance, parts, block), "fp").select("doc_id", "fp", "component_id")
+
+
+def unique_documents(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, parts: int = PARTS,
+                     block: int = BLOCK, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the smallest id of each component, with all its columns.
+
+    Rows that repeat the id of a document that stays, in its component, all
+    stay; so do all rows of a component whose ids are all NULL.
+    """
+    fp = fresh("fp")
+    printed = written(docs.withColumn(fp, fingerprint(docs.sparkSession, F.col(text), shingle)), "printed")
+    prints = printed.select(F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp"))
+    gone = keep_in_shared(prints.join(classes(prints, distance, parts, block), "fp")
+                          .where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+                          .select(F.col("doc_id").alias("gone_id"), F.col("fp").alias("gone_fp")).distinct())
+    held = broadcast_if_small(gone, gone.count(), BROADCAST_ROWS)
+    return printed.join(held, (printed[fp] == held["gone_fp"]) & printed[doc_id].eqNullSafe(held["gone_id"]), "left_anti").drop(fp)
