@@ -20,6 +20,7 @@ of equally long pieces goes where follows their place in the input.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -39,36 +40,55 @@ REMEMBERED = 400_000
 _state: dict = {}
 
 
-class WordIds:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes.
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
-    The tokenizer parts words at white space and drops it, so the ids of a
-    text are those of its words in a row; words come back often, so their ids
-    are remembered.
+
+class WordIds(dict):
+    """Ids of words, as little-endian unsigned 32-bit bytes, worked out when first asked for.
+
+    The tokenizer lower-cases, parts words at white space and drops it, so the
+    ids of a text are those of its words in a row. A word of plain letters,
+    with or without commas and stops after it, is one match of the tokenizer's
+    pattern and goes straight to its merges; any other goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task keeps to its own core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
-
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-            known[""] = b""
-        new = list({w for w in words if w not in known})
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update(zip(new, (np.array(e.ids, dtype="<u4").tobytes() for e in encoded)))
-        return b"".join(map(known.__getitem__, words))
+        self.merges = self.tokenizer.model
+        self.letters = _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        stem = word.rstrip(",.")
+        low = stem.lower()
+        if not stem.isalpha() or max(low) >= "\u0300":
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(found)}I", *found)
+        elif stem != word:
+            ids = self[stem] + self[word[len(stem):]]
+        elif low != word:
+            ids = self[low]
+        else:
+            letters = stem if stem.isascii() else "".join([self.letters[b] for b in stem.encode()])
+            found = [t.id for t in self.merges.tokenize(letters)]
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 
 
 def word_ids(path: str) -> WordIds:
@@ -85,7 +105,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, closing_i
     width, closing = 4 * capacity, np.array([closing_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = word_ids(vocabulary), np.zeros(capacity + 1, dtype=np.int64)
+        encode, seen = word_ids(vocabulary).encode, np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             ids, part, start, length, crc, nr = [], [], [], [], [], []
             for i, t in enumerate(batch.column(1)):
