@@ -27,8 +27,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", "8g")
-        # local disk: list partition folders on the driver instead of one task per folder
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

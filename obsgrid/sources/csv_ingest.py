@@ -8,44 +8,91 @@ Cleaning rules:
 * a field of exactly three blanks or ``null`` is missing (NULL); an empty
   field is NULL too (Spark's CSV reader gives NULL for it).
 * a numeric field that is not a number rejects the row (reason = field name);
-  ``strict=True`` raises instead, as the original load aborts. NaN -> NULL.
+  ``strict=True`` raises instead, as the original load aborts. A number is a
+  plain decimal (``12F`` and ``1d`` are none); NaN, infinity and what is beyond
+  a float's range are no readings and become NULL.
 * ``valid_date`` is NULL when the five numbers are not a real instant; such
   rows stay in the station layout and are left out of the time layout.
 """
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obsgrid.schema import FIELD_MAP, NULL_SENTINELS, RAW_FIELDS
 
 # Fixed value: the leading timestamp pattern of the ``valid`` field.
 VALID_PATTERN = r"^(\d+)-(\d+)-(\d+) (\d+):(\d+)"
 
+# A decimal number, or a word for one that isn't finite (which is missing).
+NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+NOT_FINITE_PATTERN = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+
+HEADER_READERS = 16
+
 ORDER_COLS = ("_src_file", "_src_block", "_src_row")
 
 
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The field names in the first line of a file (compressed files included)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        first = lines.readLine()
+    finally:
+        stream.close()
+    return tuple(name.strip() for name in next(csv.reader([(first or "").lstrip("\ufeff")]), []))
+
+
 def read_raw(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
     """Header-named CSV, every field a string, plus the file position of each row.
 
+    Every file's fields go by its own header, whatever their order; files with
+    one header are read together, and a field that a file lacks is NULL in its
+    rows. Headers are read by one short read per file, several at a time.
     Quotes inside quoted text are written doubled. ``multiline`` allows line
     breaks inside quoted text but then a file is read by one task.
     The position columns give "file order": (file path, split start, row id).
     """
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-          .option("mode", "PERMISSIVE").csv(path))
-    missing = [f for f in ("station", "valid") if f not in df.columns]
-    if missing:
-        raise ValueError(f"CSV lacks required fields {missing}")
-    cols = [F.col(f) for f in RAW_FIELDS if f in df.columns]
-    return df.select(
-        *cols,
-        F.col("_metadata.file_path").alias("_src_file"),
-        F.col("_metadata.file_block_start").alias("_src_block"),
-        F.monotonically_increasing_id().alias("_src_row"),
-    )
+    files = spark.read.text(path).inputFiles()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        for file, header in zip(files, pool.map(lambda f: _header(spark, f), files)):
+            if header:      # an empty file has no rows
+                groups.setdefault(header, []).append(file)
+    if not groups:
+        raise ValueError(f"no CSV file with a header below {path}")
+    present = {f for header in groups for f in header}
+    out = None
+    for header, members in groups.items():
+        missing = [f for f in ("station", "valid") if f not in header]
+        if missing:
+            raise ValueError(f"CSV lacks required fields {missing}: {members[0]}")
+        doubled = sorted({f for f in RAW_FIELDS if header.count(f) > 1})
+        if doubled:
+            raise ValueError(f"CSV names fields twice {doubled}: {members[0]}")
+        # names by place, so that columns nobody asks for may have any name
+        names = [f if f in RAW_FIELDS else f"_other{i}" for i, f in enumerate(header)]
+        df = (spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).option("header", True)
+              .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+              .option("mode", "PERMISSIVE").csv(members))
+        part = df.select(
+            *[(F.col(f) if f in header else F.lit(None).cast("string")).alias(f) for f in RAW_FIELDS if f in present],
+            F.col("_metadata.file_path").alias("_src_file"),
+            F.col("_metadata.file_block_start").alias("_src_block"),
+            F.monotonically_increasing_id().alias("_src_row"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _missing(raw: Column) -> Column:
@@ -74,10 +121,10 @@ def clean(raw: DataFrame, carry: tuple[str, ...] = ("seq",) + ORDER_COLS,
             continue
         r = F.col(field)
         if kind == "float":
-            num = r.try_cast("float")
-            num = F.when(F.isnan(num), None).otherwise(num)
+            num = F.when(r.rlike(NUMBER_PATTERN), F.trim(r).try_cast("float"))
+            num = F.when(F.abs(num) < float("inf"), num)        # beyond a float's range
             required = canon in ("longitude", "latitude")
-            is_bad = num.isNull() if required else (~_missing(r) & num.isNull() & ~F.lower(F.trim(r)).isin("nan"))
+            is_bad = num.isNull() if required else (~_missing(r) & ~r.rlike(NUMBER_PATTERN) & ~r.rlike(NOT_FINITE_PATTERN))
             val = num if required else F.when(_missing(r), None).otherwise(num)
         elif kind == "timestamp":
             ts = r.try_cast("timestamp_ntz")

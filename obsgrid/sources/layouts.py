@@ -4,17 +4,21 @@ Parquet has no MERGE. An upsert here:
 1. reduces the incoming rows to the last row per key (``max_by`` over the
    ingest order: an aggregate with partial aggregation, so a key repeated
    very often is reduced in every map task before the shuffle);
-2. reads only the stored partitions the batch touches: the batch's distinct
-   values of each partition column become an ``isin`` partition filter (folder
-   pruning), and a semi join keeps the exact partitions; these rows rank below
-   every new row, and the union is reduced again;
-3. writes the merged partitions to a staging folder in the shared folder,
-   then replaces exactly those partitions of the table with dynamic partition
-   overwrite. If that last write fails part-way, the error names the staged
-   copy and ``finish_upsert`` completes the upsert from it; the copy is
-   removed only once the table holds the merged partitions.
-   A first load (no table yet) reads nothing from the target and is written
-   directly.
+2. counts the batch's rows per partition folder. A NULL or empty partition
+   value stops the upsert before anything is written: it names no folder;
+3. reads the stored rows of exactly those partitions (a semi join; up to
+   ``PRUNED`` partitions it is broadcast and also given as filters on the
+   partition columns, so the scan lists and reads only those folders). They
+   rank below every new row, and the union is reduced again;
+4. writes the merged partitions once, sorted, to a staging folder in the
+   shared folder, then moves each finished partition folder into the table by
+   rename. If that stops part-way, a note in the table's folder names the
+   staged copy: the next upsert first moves what is still there, and so does
+   ``finish_upsert``, which can be run again.
+
+A table is whatever data its folder holds: markers don't matter, and no step
+ever overwrites the folder as a whole. A first load (no data yet) is written
+straight into it.
 
 Files are range-partitioned on the full key and sorted within partitions, so
 a partition that holds a large share of the rows is written by many tasks,
@@ -24,13 +28,23 @@ and min/max statistics of the clustering columns stay selective.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsgrid.schema import STATION_LAYOUT, TIME_LAYOUT, Layout
-from obsgrid.session import scratch_path
+from obsgrid.session import scratch_path, shared_dir
+
+# touched partitions up to which the scan gets them as filters
+PRUNED = 10_000
+# incoming rows for each write task
+ROWS_PER_TASK = 2_000_000
+# partition folders moved at once
+MOVERS = 16
+# note in the table's folder that names the stage while folders are moved
+PENDING = "_pending_upsert"
 
 
 def dedup_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -50,8 +64,9 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds any data: a partition folder or a file that isn't a marker."""
     fs, p = _fs_path(spark, path)
-    return fs.exists(p) and fs.exists(_fs_path(spark, path + "/_SUCCESS")[1])
+    return fs.exists(p) and any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -59,39 +74,55 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _pending(spark: SparkSession, path: str) -> str | None:
+    """The stage of an upsert that began to move folders and has not finished."""
+    fs, note = _fs_path(spark, f"{path.rstrip('/')}/{PENDING}")
+    if not fs.exists(note):
+        return None
+    stream = fs.open(note)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip() or None
+    finally:
+        stream.close()
+
+
 def read_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a layout with an explicit schema (partition values are not type-inferred)."""
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
-def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "overwrite",
-                 dynamic: bool = False, num_tasks: int | None = None) -> None:
+def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "append",
+                 num_tasks: int | None = None) -> None:
     """Range-partition on the full key (explicit task count, so adaptive execution
     does not fold a write over many partition folders into one task), sort within
     tasks, write one folder per partition value."""
     cols = [c for c in layout.key if c in df.columns]
-    n = num_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-         .write.mode(mode).partitionBy(*layout.partition_by))
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+    n = num_tasks or df.sparkSession.sparkContext.defaultParallelism
+    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+     .write.mode(mode).partitionBy(*layout.partition_by).parquet(path))
 
 
-def touched_rows(stored: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Stored rows of the partitions that ``batch`` touches.
+def touched_partitions(batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The batch's distinct partition values with their row counts, kept in the shared folder."""
+    pb = list(partition_by)
+    shared_dir(batch.sparkSession)
+    touched = batch.groupBy(*pb).agg(F.count("*").alias("_rows")).checkpoint(eager=True)
+    unnamed = touched.where(" OR ".join(f"`{c}` IS NULL OR CAST(`{c}` AS STRING) = ''" for c in pb)).limit(1).collect()
+    if unnamed:
+        raise ValueError(f"a row's partition value is NULL or empty: {unnamed[0].asDict()}; nothing was written")
+    return touched
 
-    The batch's distinct values of each partition column (bounded by the
-    table's folder count: stations, years, months) become ``isin`` filters on
-    the partition columns, so the scan lists and reads only those folders;
-    a semi join then keeps the exact partition combinations.
-    """
+
+def touched_rows(stored: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Stored rows of the touched partitions."""
     pb = list(partition_by)
-    seen = batch.agg(*[F.collect_set(c).alias(c) for c in pb]).first()
+    if touched.count() > PRUNED:
+        return stored.join(touched.select(*pb), pb, "left_semi")
+    rows = touched.select(*pb).collect()        # at most PRUNED
     prune = F.lit(True)
     for c in pb:
-        prune = prune & F.col(c).isin(list(seen[c]))
-    return stored.where(prune).join(batch.select(*pb).distinct(), pb, "left_semi")
+        prune = prune & F.col(c).isin(sorted({r[c] for r in rows}))
+    return stored.where(prune).join(F.broadcast(touched.select(*pb)), pb, "left_semi")
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
@@ -99,8 +130,8 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     """Insert-or-replace ``incoming`` into the layout at ``path``; returns the table.
 
     The stored rows keep the incoming columns except the order columns.
-    ``num_tasks`` is the number of write tasks (default: the session's shuffle
-    partitions); size it to the batch for large loads.
+    ``num_tasks`` is the number of write tasks (default: one per ``ROWS_PER_TASK``
+    incoming rows, as many as the cluster has cores at least).
     """
     missing = [c for c in order if c not in incoming.columns]
     if missing:
@@ -109,10 +140,16 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     order = list(order)
     schema_cols = [c for c in incoming.columns if c not in order]
     batch = incoming.select(*schema_cols, *order, F.lit(1).alias("_batch"))
+    touched = touched_partitions(batch, layout.partition_by)
+    if num_tasks is None:
+        rows = touched.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+        num_tasks = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+    schema = incoming.select(*schema_cols).schema
+    if (left := _pending(spark, path)) is not None:
+        finish_upsert(spark, left, path, layout, schema)
     exists = _table_exists(spark, path)
     if exists:
-        stored = read_layout(spark, path, incoming.select(*schema_cols).schema)
-        old = touched_rows(stored, batch, layout.partition_by)
+        old = touched_rows(read_layout(spark, path, schema), touched, layout.partition_by)
         old = old.select(*schema_cols, *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order],
                          F.lit(0).alias("_batch"))
         batch = batch.unionByName(old)
@@ -124,22 +161,40 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     staging = scratch_path(spark, f"stage-{layout.name}")
     write_layout(merged, staging, layout, num_tasks=num_tasks)
     try:
-        return finish_upsert(spark, staging, path, layout, merged.schema, num_tasks)
+        return finish_upsert(spark, staging, path, layout, merged.schema)
     except Exception as e:
         raise RuntimeError(f"the merged partitions are staged at {staging}; run finish_upsert(spark, "
                            f"{staging!r}, {path!r}, ...) to complete the upsert") from e
 
 
-def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout, schema: T.StructType,
-                  num_tasks: int | None = None) -> DataFrame:
-    """Replace the table's partitions with the staged merged ones, then drop the stage.
+def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout, schema: T.StructType) -> DataFrame:
+    """Move the staged partition folders into the table, each in place of its old one.
 
-    Also the recovery step: if a final overwrite failed part-way (a partition
-    folder removed before its new one was moved in), running this again from
-    the staged copy restores every merged partition.
+    Also the recovery step: an old folder goes only when its new one is
+    complete in the stage, and a moved folder is no longer there, so running
+    this again after a failure finishes the rest.
     """
-    write_layout(read_layout(spark, staging, schema), path, layout, dynamic=True, num_tasks=num_tasks)
+    fs, top = _fs_path(spark, staging)
+    marks, note = _fs_path(spark, f"{path.rstrip('/')}/{PENDING}")
+    out = marks.create(note, True)
+    out.write(bytearray(staging.encode()))
+    out.close()
+    fresh = [st.getPath() for st in fs.globStatus(_fs_path(spark, staging + "/*=*" * len(layout.partition_by))[1]) or ()]
+
+    def move(folder) -> None:
+        relative = str(folder.toUri().getPath())[len(str(top.toUri().getPath())):].strip("/")
+        target = _fs_path(spark, f"{path.rstrip('/')}/{relative}")[1]
+        if fs.exists(target) and not fs.delete(target, True):
+            raise OSError(f"cannot replace {target}")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(folder, target):
+            raise OSError(f"cannot move {folder} to {target}")
+
+    with ThreadPoolExecutor(MOVERS) as pool:
+        list(pool.map(move, fresh))
+    marks.delete(note, False)
     _remove(spark, staging)  # only after the table holds the merged partitions
+    spark.catalog.refreshByPath(path)
     return read_layout(spark, path, schema)
 
 

@@ -1,39 +1,30 @@
 """Incremental load of new observation CSV files into both layouts.
 
 A Structured Streaming file source picks up files as they arrive in a folder;
-each micro-batch is cleaned and upserted into the station and time layouts
+each micro-batch's files are read by their own headers, cleaned and upserted into the station and time layouts
 (the same last-row-wins rule as a batch load). The stream's checkpoint keeps
 track of the files already loaded, and the upsert is idempotent, so a
-restarted or retried batch gives the same tables. One exception: if a
-batch's final partition overwrite failed part-way, the stream stops with an
-error that names the staged copy; run ``finish_upsert`` on it before
-restarting, so no partition loses its older rows.
+restarted or retried batch gives the same tables and rejects. If a batch
+stopped while partition folders were moved, the next upsert finishes that first.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from obsgrid.schema import RAW_SCHEMA
 from obsgrid.session import scratch_path
-from obsgrid.sources.csv_ingest import ORDER_COLS, clean
+from obsgrid.sources.csv_ingest import ORDER_COLS, clean, read_raw
 from obsgrid.sources.layouts import upsert_station, upsert_time
 
 
 def read_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """New CSV files of ``folder`` as a stream of raw rows with their file and split."""
-    r = (spark.readStream.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", False)
-         .option("quote", '"').option("escape", '"'))
+    """The paths of new CSV files of ``folder`` as a stream; contents are not read here."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    r = spark.readStream.format("binaryFile").schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    raw = r.csv(folder)
-    return raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("_src_file"),
-        F.col("_metadata.file_block_start").alias("_src_block"),
-    )
+    return r.load(folder).select("path")
 
 
 def start_ingest(spark: SparkSession, folder: str, station_path: str, time_path: str,
@@ -48,15 +39,17 @@ def start_ingest(spark: SparkSession, folder: str, station_path: str, time_path:
     checkpoint = checkpoint or scratch_path(spark, "ingest-stream")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # row position inside each file split (assigned per micro-batch)
-        batch = batch.withColumn("_src_row", F.monotonically_increasing_id())
-        good, rejects = clean(batch)
+        files = [r["path"] for r in batch.collect()]      # the batch's files, max_files at most
+        if not files:
+            return
+        good, rejects = clean(read_raw(spark, files))
         good = good.persist()
         try:
             upsert_station(spark, good, station_path, order=ORDER_COLS, num_tasks=num_tasks)
             upsert_time(spark, good, time_path, order=ORDER_COLS, num_tasks=num_tasks)
             if rejects_path:
-                rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(rejects_path)
+                # the batch's own folder: a retried batch writes it again instead of adding to it
+                rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/batch_id={batch_id}")
         finally:
             good.unpersist()
 

@@ -112,3 +112,57 @@ def test_row_without_station_rejected(spark, workdir):
     good, rejects = clean(read_raw(spark, p))
     assert [r.reason for r in rejects.collect()] == ["station"]
     assert [r.station for r in good.collect()] == ["LIRA"]
+
+
+def test_files_are_read_by_their_own_headers(spark, workdir):
+    """Reordered, missing and unknown columns go by name, not by place."""
+    folder = os.path.join(workdir, "mixed")
+    os.mkdir(folder)
+    files = {"a.csv": "station,valid,lon,lat,tmpf,dwpf\nLIRA,2011-01-01 12:50,12.5,41.8,50,40\n",
+             "b.csv": "valid,station,lat,lon,dwpf,tmpf,extra,extra\n2011-01-01 13:50,LIRF,41.7,12.2,41,51,x,y\n",
+             "c.csv": "lon,lat,station,valid\n9.0,45.0,LIML,2011-01-01 14:50\n", "d.csv": ""}
+    for name, text in files.items():
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+    good, rejects = clean(read_raw(spark, folder))
+    assert rejects.count() == 0
+    got = {r.station: (r.longitude, r.latitude, r.temperature_f, r.dew_point_f) for r in good.collect()}
+    assert {s: tuple(None if x is None else round(x, 4) for x in v) for s, v in got.items()} == {
+        "LIRA": (12.5, 41.8, 50.0, 40.0), "LIRF": (12.2, 41.7, 51.0, 41.0), "LIML": (9.0, 45.0, None, None)}
+    with open(os.path.join(folder, "e.csv"), "w") as f:
+        f.write("station,lon,lat\nX,1,2\n")
+    with pytest.raises(ValueError):
+        read_raw(spark, folder)
+
+
+@pytest.mark.parametrize("text,value,reason", [
+    ("12F", None, "tmpf"), ("1d", None, "tmpf"), ("0x1A", None, "tmpf"), ("1,5", None, "tmpf"), ("1e", None, "tmpf"),
+    ("1e2", 100.0, None), ("-.5", -0.5, None), (" 7. ", 7.0, None), ("Infinity", None, None), ("-inf", None, None),
+    ("nan", None, None), ("1e99", None, None), ("", None, None)])
+def test_numbers_are_strict(spark, text, value, reason):
+    raw = spark.createDataFrame([("S", "2011-01-01 00:00", "1", "2", text)], "station string, valid string, lon string, "
+                                "lat string, tmpf string")
+    if text == "":
+        raw = raw.withColumn("tmpf", F.lit(None).cast("string"))
+    good, rejects = clean(raw)
+    if reason:
+        assert [r.reason for r in rejects.collect()] == [reason]
+    else:
+        assert [r.temperature_f for r in good.collect()] == [value]
+
+
+def test_stream_reads_by_header_and_repeats_nothing(spark, workdir):
+    from obsgrid.streaming.ingest import start_ingest
+
+    folder = os.path.join(workdir, "in")
+    os.mkdir(folder)
+    paths = [os.path.join(workdir, n) for n in ("st", "ti", "rejects", "ckpt")]
+    for name, text in (("a.csv", "station,valid,lon,lat,tmpf\nA,2011-01-01 12:50,1,2,3\nA,bad,1,2,3\n"),
+                       ("b.csv", "tmpf,lat,lon,valid,station\n4,2,1,2011-01-01 13:50,A\n")):
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(text)
+        for _ in range(2):
+            start_ingest(spark, folder, paths[0], paths[1], checkpoint=paths[3], rejects_path=paths[2]).awaitTermination()
+    stored = spark.read.parquet(paths[0]).collect()
+    assert sorted((r.hour, r.temperature_f, r.longitude) for r in stored) == [(12, 3.0, 1.0), (13, 4.0, 1.0)]
+    assert spark.read.parquet(paths[2]).count() == 1

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from obsgrid.sources import layouts, scans
@@ -74,7 +75,8 @@ def test_upsert_reads_only_touched_folders(spark, workdir):
     schema = rows(spark, data).drop("seq").schema
     layouts.upsert_station(spark, rows(spark, data), path)
     batch = rows(spark, [("C", 2011, 1, 1, 0, 0, 5.0, "y", 99)])
-    touched = layouts.touched_rows(layouts.read_layout(spark, path, schema), batch, ["station", "year"])
+    folders = layouts.touched_partitions(batch, ["station", "year"])
+    touched = layouts.touched_rows(layouts.read_layout(spark, path, schema), folders, ["station", "year"])
     plan = touched._jdf.queryExecution().executedPlan().toString()
     pf = plan.split("PartitionFilters: [")[1].split("]")[0]
     # a one-value isin is simplified to an equality; both prune folders
@@ -121,7 +123,7 @@ def test_finish_upsert_recovers_from_stage(spark, workdir):
     orig = layouts.finish_upsert
     staged = {}
 
-    def broken(spark_, staging, path_, layout, schema_, num_tasks=None):
+    def broken(spark_, staging, path_, layout, schema_):
         staged["path"] = staging
         shutil.rmtree(os.path.join(path_, "station=A"))  # crash after removing a partition folder
         raise OSError("simulated failure during the overwrite")
@@ -155,8 +157,54 @@ def test_map_slice_bbox_drops_points_outside(spark):
 
 
 def test_upsert_needs_its_order_columns(spark, workdir):
-    import pytest
-
     df = rows(spark, [("A", 2011, 1, 1, 0, 0, 1.0, "x", 1)]).drop("seq")
     with pytest.raises(ValueError):
         layouts.upsert_station(spark, df, os.path.join(workdir, "noorder"))
+
+
+def test_upsert_without_marker_keeps_stored_rows(spark, workdir):
+    """A table is the data in its folder; a missing _SUCCESS marker changes nothing."""
+    path = os.path.join(workdir, "nomarker")
+    layouts.upsert_station(spark, rows(spark, [(s, 2011, 1, 1, 0, 0, 1.0, "x", 1) for s in "ABC"]), path)
+    os.remove(os.path.join(path, "_SUCCESS"))
+    t = layouts.upsert_station(spark, rows(spark, [("A", 2011, 2, 1, 0, 0, 2.0, "y", 2)]), path)
+    assert sorted((r.station, r.month) for r in t.collect()) == [("A", 1), ("A", 2), ("B", 1), ("C", 1)]
+
+
+@pytest.mark.parametrize("bad", [None, ""])
+def test_upsert_rejects_unnamed_partitions(spark, workdir, bad):
+    path = os.path.join(workdir, "unnamed")
+    layouts.upsert_station(spark, rows(spark, [("A", 2011, 1, 1, 0, 0, 1.0, "x", 1)]), path)
+    with pytest.raises(ValueError):
+        layouts.upsert_station(spark, rows(spark, [(bad, 2011, 1, 1, 0, 0, 2.0, "y", 2)]), path)
+    t = layouts.read_layout(spark, path, rows(spark, []).drop("seq").schema)
+    assert [(r.station, r.t) for r in t.collect()] == [("A", 1.0)]
+
+
+def test_next_upsert_finishes_a_stopped_one(spark, workdir, monkeypatch):
+    """A stop between folder moves loses nothing: the note makes the next upsert finish first."""
+    import shutil
+
+    path = os.path.join(workdir, "stopped")
+    layouts.upsert_station(spark, rows(spark, [(s, 2011, 1, 1, 0, 0, 1.0, "x", 1) for s in "AB"]), path)
+
+    class NoPool:
+        def __init__(self, n):
+            shutil.rmtree(os.path.join(path, "station=A"))
+            raise OSError("stopped before the moves")
+
+    with monkeypatch.context() as m:
+        m.setattr(layouts, "ThreadPoolExecutor", NoPool)
+        with pytest.raises(RuntimeError):
+            layouts.upsert_station(spark, rows(spark, [(s, 2011, 2, 1, 0, 0, 2.0, "y", 2) for s in "AB"]), path)
+    t = layouts.upsert_station(spark, rows(spark, [("B", 2011, 3, 1, 0, 0, 3.0, "z", 3)]), path)
+    assert sorted((r.station, r.month) for r in t.collect()) == [("A", 1), ("A", 2), ("B", 1), ("B", 2), ("B", 3)]
+    assert not os.path.exists(os.path.join(path, layouts.PENDING))
+
+
+def test_upsert_many_partitions_uses_semi_join(spark, workdir, monkeypatch):
+    monkeypatch.setattr(layouts, "PRUNED", 1)
+    path = os.path.join(workdir, "many")
+    layouts.upsert_station(spark, rows(spark, [(s, 2011, 1, 1, 0, 0, 1.0, "x", 1) for s in "ABC"]), path)
+    t = layouts.upsert_station(spark, rows(spark, [(s, 2011, 2, 1, 0, 0, 2.0, "y", 2) for s in "AB"]), path)
+    assert t.count() == 5
