@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -34,12 +35,15 @@ from pyspark.sql import functions as F
 
 from obsgrid.llm.common import importable
 
-LEAF_BYTES = 16
+LEAF_BYTES = 4
 LEAF_CHARS = 1 << 15
 #: characters a match may look beyond its own end
 LOOK_AHEAD = 3
-#: matches, and token pairs, that a worker remembers before it starts anew
-REMEMBERED = 300_000
+#: matches that a worker remembers before it starts anew, some 200 bytes each, and windows
+REMEMBERED = 1_000_000
+WINDOWS = 200_000
+#: windows up to this many bytes come back often
+SHORT = 12
 
 _state: dict = {}
 
@@ -50,21 +54,47 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class _Known(dict):
+    """Ids of matches, worked out when first asked for."""
+
+    def __init__(self, codec: Codec):
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, match: str) -> bytes:
+        ids = self.codec.encode_bytes(match.encode("utf-8", "surrogatepass"))
+        raw = struct.pack(f"<{len(ids)}I", *ids)
+        if len(match) <= 64:
+            self[match] = raw
+        return raw
+
+
 class Codec:
     """Encoder and decoder for one table of ranks and one pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_bytes: int = LEAF_BYTES, leaf_chars: int = LEAF_CHARS):
         self.ranks, self.find = ranks, regex.compile(pattern).findall
-        self.token = {rank: token for token, rank in ranks.items()}
+        self.token = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.token[rank] = token
+        self.decimal = [str(rank) for rank in range(len(self.token))]
         self.leaf_bytes, self.leaf_chars = leaf_bytes, leaf_chars
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.windows: dict[bytes, tuple[int, ...]] = {}
+        self.known = _Known(self)
 
     # -- ids of one match ---------------------------------------------------
-    def merge(self, raw: bytes) -> list[int]:
+    def merge(self, raw: bytes) -> tuple[int, ...]:
         """The plain rule: merge the neighbours of lowest rank, leftmost first, until none has a rank."""
-        if len(raw) > 64:
-            return self._merge_long(raw)
+        if len(raw) > SHORT:
+            return self._merge_short(raw) if len(raw) <= 64 else self._merge_long(raw)
+        found = self.windows.get(raw)
+        if found is None:
+            if len(self.windows) > WINDOWS:
+                self.windows.clear()
+            found = self.windows[raw] = self._merge_short(raw)
+        return found
+
+    def _merge_short(self, raw: bytes) -> tuple[int, ...]:
         get = self.ranks.get
         parts = [raw[i:i + 1] for i in range(len(raw))]
         none = len(self.ranks)
@@ -80,9 +110,9 @@ class Codec:
                 scores[i - 1] = get(parts[i - 1] + parts[i], none)
             if i < len(scores):
                 scores[i] = get(parts[i] + parts[i + 1], none)
-        return [self.ranks[p] for p in parts]
+        return tuple([self.ranks[p] for p in parts])
 
-    def _merge_long(self, raw: bytes) -> list[int]:
+    def _merge_long(self, raw: bytes) -> tuple[int, ...]:
         """The same rule with a heap, for long windows."""
         get, n = self.ranks.get, len(raw)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -101,23 +131,21 @@ class Codec:
                     heapq.heappush(heap, (r, i, end[stop]))
             if i and (r := get(raw[before[i]:stop])) is not None:
                 heapq.heappush(heap, (r, before[i], stop))
-        return [self.ranks[raw[i:end[i]]] for i in range(n) if alive[i]]
+        return tuple([self.ranks[raw[i:end[i]]] for i in range(n) if alive[i]])
 
     def stable(self, a: int, b: int) -> bool:
         """Whether two neighbouring tokens encode to themselves."""
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merge(self.token[a] + self.token[b]) == [a, b]
-        return found
+        return self.merge(self.token[a] + self.token[b]) == (a, b)
 
-    def join_ids(self, left: list[int], right: list[int]) -> list[int]:
-        i, j = 1, 1
+    def join_ids(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
+        i, j, token = 1, 1, self.token
         while True:
-            window = self.merge(b"".join(self.token[t] for t in left[-i:] + right[:j]))
-            calm_left = i == len(left) or self.stable(left[-i - 1], window[0])
-            calm_right = j == len(right) or self.stable(window[-1], right[j])
+            if i == j == 1:
+                window = self.merge(token[left[-1]] + token[right[0]])
+            else:
+                window = self.merge(b"".join([token[t] for t in left[-i:] + right[:j]]))
+            calm_left = i == len(left) or window[0] == left[-i] or self.stable(left[-i - 1], window[0])
+            calm_right = j == len(right) or window[-1] == right[j - 1] or self.stable(window[-1], right[j])
             if calm_left and calm_right:
                 return left[:len(left) - i] + window + right[j:]
             if not calm_left:
@@ -125,11 +153,11 @@ class Codec:
             if not calm_right:
                 j = min(len(right), 2 * j)
 
-    def encode_bytes(self, raw: bytes) -> list[int]:
+    def encode_bytes(self, raw: bytes) -> tuple[int, ...]:
         """Ids of one match."""
         whole = self.ranks.get(raw)
         if whole is not None:
-            return [whole]
+            return (whole,)
         if len(raw) <= self.leaf_bytes:
             return self.merge(raw)
         mid = len(raw) // 2
@@ -169,22 +197,11 @@ class Codec:
         return self.join_matches(self.matches(text[:mid]), self.matches(text[mid:]))
 
     # -- whole texts --------------------------------------------------------
-    def _entry(self, match: str) -> tuple[bytes, str]:
-        entry = self.known.get(match)
-        if entry is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            ids = self.encode_bytes(match.encode("utf-8", "surrogatepass"))
-            entry = np.array(ids, dtype="<u4").tobytes(), " ".join(map(str, ids))
-            if len(match) <= 64:
-                self.known[match] = entry
-        return entry
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids of a whole text: as little-endian 32-bit numbers, and in decimal joined by one space."""
-        known = self.known
-        entries = [known.get(m) or self._entry(m) for m in self.matches(text)]
-        return b"".join([e[0] for e in entries]), " ".join([e[1] for e in entries])
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text, as little-endian unsigned 32-bit numbers."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, self.matches(text)))
 
     def decode(self, ids: Sequence[int]) -> bytes:
         """The bytes of a list of ids."""
@@ -209,7 +226,7 @@ def encode(spark: SparkSession, path: str, pattern: str, text: Column) -> Column
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
         own = codec(path, pattern)
-        return pd.Series([np.frombuffer(own.encode(t or "")[0], dtype="<u4").astype(np.int32) for t in texts])
+        return pd.Series([np.frombuffer(own.encode(t or ""), dtype="<u4").astype(np.int32) for t in texts])
 
     return ids(text)
 
@@ -231,8 +248,8 @@ def digests(spark: SparkSession, path: str, pattern: str, text: Column) -> Colum
     importable(spark)
 
     def row(own: Codec, text: str) -> tuple[int, str, str]:
-        raw, decimal = own.encode(text)
-        ids = np.frombuffer(raw, dtype="<u4").tolist()
+        ids = np.frombuffer(own.encode(text), dtype="<u4").tolist()
+        decimal = " ".join(map(own.decimal.__getitem__, ids))
         return len(ids), hashlib.sha256(decimal.encode()).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
