@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsgrid.schema import SEASON_LABELS
+from obsgrid.schema import MEASURES, SEASON_LABELS
 
 
 def season(month: Column | str = "month") -> Column:
@@ -107,12 +107,12 @@ def ts_literal(value: dt.datetime) -> Column:
     )
 
 
-def require_measure(df: DataFrame, name: str, numeric: bool = False) -> str:
-    """Check a measure picked by name against the frame (P5) before it is used."""
-    from obsgrid.schema import MEASURES
-
+def require_measure(df: DataFrame, name: str, numeric: bool = False, measures: Sequence[str] = MEASURES) -> str:
+    """Check a measure picked by name (P5): one of ``measures``, in the frame, and a number if asked."""
+    if name not in measures:
+        raise ValueError(f"unknown measure {name!r}; pick one of {', '.join(measures)}")
     if name not in df.columns:
-        raise ValueError(f"unknown measure {name!r}; the observation measures are: {', '.join(MEASURES)}")
+        raise ValueError(f"the observations have no column {name!r}")
     if numeric and not isinstance(df.schema[name].dataType, T.NumericType):
         raise ValueError(f"measure {name!r} is {df.schema[name].dataType.simpleString()}, not numeric")
     return name

@@ -14,11 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from obsgrid.functions.geo import squared_distance
+from obsgrid.session import shared_dir
+
+_FEATURES = "_features_of_row"
 
 
 def assign(df: DataFrame, features: Sequence[str], centres: Sequence[Sequence[float]],
@@ -51,7 +54,10 @@ def initial_centres(df: DataFrame, features: Sequence[str], keys: Sequence[str],
     if init == "first":
         order = [F.col(c) for c in keys]
     elif init == "random":
-        order = [F.xxhash64(F.lit(int(seed)), *keys), *[F.col(c) for c in keys]]
+        # a hash that SQL engines share; numbers count by their millionths
+        text = [F.round(F.col(c) * 1000000).cast("bigint").cast("string") if isinstance(df.schema[c].dataType, NumericType)
+                else F.col(c).cast("string") for c in keys]
+        order = [F.md5(F.concat_ws(":", F.lit(str(int(seed))), *text)), *[F.col(c) for c in keys]]
     else:
         raise ValueError("init must be 'first' or 'random'")
     rows = df.orderBy(*order).limit(k).select(*features).collect()
@@ -69,19 +75,25 @@ def kmeans_fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ("l
     """
     if k < 1:
         raise ValueError("k must be positive")
+    shared_dir(df.sparkSession)
     fv = F.array(*[F.col(f).cast("double") for f in features])
-    data = df.select(*keys, *features, fv.alias("_fv")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cur = [list(c) for c in centres] if centres is not None else initial_centres(data, features, keys, k, init, seed)
-        for _ in range(rounds):
-            means = (data.withColumn("cluster", nearest_centre(F.col("_fv"), cur)).groupBy("cluster")
-                     .agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in features]).collect())
-            for r in means:
-                cur[r["cluster"]] = [float(r[f]) for f in features]
-    finally:
-        data.unpersist()
-    label = nearest_centre(features, cur)
-    return df.withColumn("cluster", label), cur
+    # the profile is worked out once: the rounds and the labels read the kept copy
+    data = df.withColumn(_FEATURES, fv).checkpoint(eager=True)
+    cur = [list(c) for c in centres] if centres is not None else initial_centres(data, features, keys, k, init, seed)
+    for _ in range(rounds):
+        means = (data.withColumn("cluster", nearest_centre(F.col(_FEATURES), cur)).groupBy("cluster")
+                 .agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in features]).collect())
+        for r in means:
+            cur[r["cluster"]] = [float(r[f]) for f in features]
+    return data.withColumn("cluster", nearest_centre(features, cur)).drop(_FEATURES), cur
+
+
+def clustering_cost(df: DataFrame, features: Sequence[str], label: str = "cluster") -> float:
+    """Sum of squared distances of the rows to their cluster's mean, from one pass of sums."""
+    x = [F.col(f).cast("double") for f in features]
+    parts = df.groupBy(label).agg(F.count("*").alias("n"), *[F.sum(v).alias(f"s{i}") for i, v in enumerate(x)],
+                                  *[F.sum(v * v).alias(f"q{i}") for i, v in enumerate(x)]).collect()
+    return sum(r[f"q{i}"] - r[f"s{i}"] ** 2 / r["n"] for r in parts for i in range(len(x)))
 
 
 def centres_frame(spark, features: Sequence[str], centres: Sequence[Sequence[float]]) -> DataFrame:

@@ -1,139 +1,156 @@
 """Nearest station to many points at once (J3), without a cross join.
 
-The distance (``planar_km``) is never below KM_PER_DEGREE * |dlat|, so a
-station farther than d in latitude cannot be nearer than d. Stations are put
-into latitude bands of ``band_deg`` degrees and the search is an equi-join on
-the band:
-
-1. bound: each point meets the stations of its own and the two adjacent bands,
-   plus one station of the nearest non-empty band (the band list has at most
-   180/band_deg + 1 entries); the nearest of those is an upper bound d0.
-2. exact: each point meets the stations of every band within d0 / KM_PER_DEGREE
-   of its latitude -- with ``geo=True`` only the longitude sectors of those
-   bands within d0 / (KM_PER_DEGREE * cos(latitude)) -- and the minimum over
-   those is the true nearest.
-
-Ties go to the station first in file order (``ord``), as a strict "<" scan in
-file order would. The join sides are left to adaptive execution, which
-broadcasts the station side only when its measured size is small.
+The distance (``planar_km``) is KM_PER_DEGREE * sqrt(dlon^2 * c^2 + dlat^2)
+with c the cosine at the mean latitude (of degrees taken as radians with
+``geo=False``), so a station within d is within d / KM_PER_DEGREE degrees of
+latitude, and within that over the least |c| of this window in longitude.
+
+Stations are put into grid cells of sizes doubling from about one station per
+cell to one cell for all; coordinates are taken as they are, in any range.
+
+1. bound: a point looks up one station in its own cell of every size; the
+   nearest of these is an upper bound d0, and stations near the point are
+   found by the small cells, whatever their number.
+2. exact: by d0 each point picks, for latitude and longitude apart, the least
+   cell size that covers its window, so it meets at most three by three cells;
+   the minimum over their stations is the true nearest.
+
+Points at one place are one search; the answers then go back to every input
+row. Ties go to the station first in file order (``ord``), as a strict "<"
+scan in file order would.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsgrid.functions.geo import KM_PER_DEGREE, planar_km
+from obsgrid.session import shared_dir
 
 # A point with no station nearer than this gets the error marker.
 NO_STATION_KM = 1000000.0
 NO_STATION = "Erreur"
 
+# number of the size at which one cell holds every coordinate
+WHOLE = 99
 
-# Longitude sectors searched per band at most; beyond that the whole band is searched.
-MAX_SECTORS = 64
 
+def _finite(c: str | Column) -> Column:
+    """The coordinate as a double, NULL if it isn't a finite number."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
 
-def _bands(lat, w: float):
-    return F.floor(lat / F.lit(w)).cast("long")
 
+def _kept(df: DataFrame) -> DataFrame:
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-def _sectors(lon, w: float):
-    """Longitude sector of width w, clamped to the valid range [0, 360/w]."""
-    sec = F.floor((lon + F.lit(180.0)) / F.lit(w)).cast("long")
-    return F.least(F.greatest(sec, F.lit(0).cast("long")), F.lit(int(math.floor(360.0 / w))).cast("long"))
+
+def _stations(stations: DataFrame) -> DataFrame:
+    ord_col = F.col("ord") if "ord" in stations.columns else F.col("station")
+    return stations.select(F.col("station").alias("_st"), ord_col.alias("_ord"), _finite("longitude").alias("_slon"),
+                           _finite("latitude").alias("_slat")).where("_slon IS NOT NULL AND _slat IS NOT NULL")
+
+
+def _size(level: Column | int, base: float) -> Column:
+    return F.pow(F.lit(2.0), F.lit(level) if isinstance(level, int) else level) * F.lit(base)
+
+
+def _cell(x: Column, level: Column, base: float) -> Column:
+    return F.when(level == WHOLE, F.lit(0).cast("long")).otherwise(F.floor(x / _size(level, base)).cast("long"))
+
+
+def _least_cosine(lat: Column, reach: Column, geo: bool) -> Column:
+    """The least |cos| of the mean latitude over stations within ``reach`` degrees of latitude."""
+    lo, hi = lat - reach / 2, lat + reach / 2
+    if geo:
+        lo, hi = F.radians(lo), F.radians(hi)
+
+    def half_turn(a: Column) -> Column:
+        return F.floor((a - F.lit(math.pi / 2)) / F.lit(math.pi))
+
+    return F.when(half_turn(lo) != half_turn(hi), F.lit(0.0)).otherwise(F.least(F.abs(F.cos(lo)), F.abs(F.cos(hi))))
 
 
-def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo: bool = True,
-                    band_deg: float = 0.5) -> DataFrame:
-    """For each point (key, longitude, latitude): station, distance_km.
+def _level(reach: Column, base: float, top: int) -> Column:
+    """The least size that is ``reach`` or more."""
+    n = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(reach, F.lit(1e-300)) / F.lit(base))).cast("int"))
+    return F.when(reach.isNull() | (reach > F.lit(base * 2.0 ** top)), F.lit(WHOLE)).otherwise(F.least(n, F.lit(top)))
+
+
+def _answers(best: DataFrame) -> list[Column]:
+    ok = F.col("_best.d") < F.lit(NO_STATION_KM)
+    return [F.when(ok, F.col("_best.s")).otherwise(F.lit(NO_STATION)).alias("_station"), F.when(ok, F.col("_best.d")).alias("_km")]
+
+
+def nearest_to_point(stations: DataFrame, lon: float, lat: float, geo: bool = True) -> tuple[str, float | None]:
+    """The station nearest to one point, by one minimum over the list: (code or error marker, distance)."""
+    d = planar_km(F.lit(float(lon)), F.lit(float(lat)), F.col("_slon"), F.col("_slat"), geo)
+    best = _stations(stations).agg(F.min(F.struct(d.alias("d"), F.col("_ord").alias("o"), F.col("_st").alias("s"))).alias("_best"))
+    row = best.select(*_answers(best)).first()
+    return row["_station"], row["_km"]
+
+
+def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo: bool = True) -> DataFrame:
+    """One row per row of ``points`` (key, longitude, latitude): key, station, distance_km.
 
     ``stations``: station, longitude, latitude and optionally ``ord`` (file
-    order; defaults to the station code). Coordinates outside -90..90 /
-    -180..180 are treated as missing.
+    order; defaults to the station code). A point without finite coordinates
+    gets the error marker; such stations are no candidates.
     """
-    w = float(band_deg)
-    if not 0 < w <= 180:
-        raise ValueError("band_deg must be within (0, 180]")
-    ord_col = F.col("ord") if "ord" in stations.columns else F.col("station")
-    st = stations.select(
-        F.col("station").alias("_st"), ord_col.alias("_ord"),
-        F.col("longitude").cast("double").alias("_slon"), F.col("latitude").cast("double").alias("_slat"),
-    ).where(F.col("_slat").between(-90, 90) & F.col("_slon").between(-180, 180))
-    st = st.withColumn("_band", _bands(F.col("_slat"), w)).withColumn("_sec", _sectors(F.col("_slon"), w))
-
-    lon_p, lat_p = F.col("longitude").cast("double"), F.col("latitude").cast("double")
-    valid = lat_p.between(-90, 90) & lon_p.between(-180, 180)
-    pts = points.select(key, lon_p.alias("_plon"), lat_p.alias("_plat")).where(F.col("_plat").between(-90, 90)
-                                                                            & F.col("_plon").between(-180, 180))
-    pts = pts.withColumn("_pband", _bands(F.col("_plat"), w))
-    invalid = points.where(~F.coalesce(valid, F.lit(False))).select(
-        key, F.lit(NO_STATION).alias("station"), F.lit(None).cast("double").alias("distance_km"))
-
-    def dist(slon="_slon", slat="_slat"):
-        return planar_km(F.col("_plon"), F.col("_plat"), F.col(slon), F.col(slat), geo)
-
-    # One station per non-empty band: at most 180/w + 1 rows reach the driver.
-    reps = st.groupBy("_band").agg(F.min_by(F.struct("_slon", "_slat"), "_ord").alias("_rep")).collect()
-    if not reps:
-        found = pts.select(key, F.lit(NO_STATION).alias("station"), F.lit(None).cast("double").alias("distance_km"))
-        return found.unionByName(invalid)
-
-    pcols = [key, "_plon", "_plat", "_pband"]
-    # 1. bound d0 per point: the nearest station of the own and adjacent bands, and
-    #    one station of the nearest non-empty band (always present); one aggregation,
-    #    grouped by the point with its coordinates, so no join back to the points.
-    near = (pts.withColumn("_band", F.explode(F.sequence(F.col("_pband") - 1, F.col("_pband") + 1)))
-            .join(st.select("_band", "_slon", "_slat"), "_band")
-            .select(*pcols, dist().alias("_d")))
-    # for every possible band index, the representative of the nearest non-empty
-    # band: two array literals of at most 180/w + 2 entries, read by index
-    filled = sorted((r["_band"], r["_rep"]["_slon"], r["_rep"]["_slat"]) for r in reps)
-    bmin, bmax = math.floor(-90 / w), math.floor(90 / w)
-    lons, lats = [], []
-    for b in range(bmin, bmax + 1):
-        _, lo, la = min(filled, key=lambda e: (abs(e[0] - b), e[0]))
-        lons.append(float(lo))
-        lats.append(float(la))
-    idx = (F.col("_pband") - F.lit(bmin) + 1).cast("int")
-    rep_d = planar_km(F.col("_plon"), F.col("_plat"), F.element_at(F.lit(lons), idx),
-                      F.element_at(F.lit(lats), idx), geo)
-    rep = pts.select(*pcols, rep_d.alias("_d"))
-    bounded = near.unionByName(rep).groupBy(*pcols).agg(F.min("_d").alias("_d0"))
-
-    # 2. exact search over every band that can hold a station nearer than d0
+    st = _kept(_stations(stations))
+    n, low, high = st.agg(F.count("*"), F.least(F.min("_slon"), F.min("_slat")), F.greatest(F.max("_slon"), F.max("_slat"))).first()
+    pts = points.select(key, _finite("longitude").alias("_plon"), _finite("latitude").alias("_plat"))
+    if not n:
+        return pts.select(key, F.lit(NO_STATION).alias("station"), F.lit(None).cast("double").alias("distance_km"))
+    span = max(high - low, 1e-6)
+    base = 2.0 ** math.floor(math.log2(span / math.sqrt(n)))
+    top = max(0, math.ceil(math.log2(2 * span / base)))
+
+    def dist() -> Column:
+        return planar_km(F.col("_plon"), F.col("_plat"), F.col("_slon"), F.col("_slat"), geo)
+
+    # 1. one station of the own cell of every size; the whole plane last, so there is always one
+    levels = F.array(*[F.lit(x) for x in [*range(top + 1), WHOLE]])
+
+    def in_cells(df: DataFrame, lon: str, lat: str) -> DataFrame:
+        df = df.withColumn("_lev", F.explode(levels))
+        return df.withColumns({"_cx": _cell(F.col(lon), F.col("_lev"), base), "_cy": _cell(F.col(lat), F.col("_lev"), base)})
+
+    # sizes of stations in a cell add up before the shuffle: one row per cell leaves each task
+    reps = _kept(in_cells(st, "_slon", "_slat").groupBy("_lev", "_cx", "_cy")
+                 .agg(F.min_by(F.struct("_slon", "_slat"), "_ord").alias("_rep")))
+    places = pts.where("_plon IS NOT NULL AND _plat IS NOT NULL").select("_plon", "_plat").distinct()
+    seen = in_cells(places, "_plon", "_plat").join(reps, ["_lev", "_cx", "_cy"]).select("_plon", "_plat", "_rep.*")
+    bounded = seen.groupBy("_plon", "_plat").agg(F.min(dist()).alias("_d0"))
+
+    # 2. the cells that a station nearer than d0 can be in
     reach = F.col("_d0") / F.lit(KM_PER_DEGREE) * F.lit(1 + 1e-9) + F.lit(1e-9)
-    lo_band = _bands(F.col("_plat") - reach, w)
-    hi_band = _bands(F.col("_plat") + reach, w)
-    in_bands = bounded.withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
-    if geo:
-        # With the cosine of the mean latitude (radians) at least c_min over the
-        # latitude window, a station nearer than d0 is also within
-        # d0 / (KM_PER_DEGREE * c_min) degrees of longitude: search only those
-        # (band, sector) cells. Near the poles (c_min tiny, too many sectors) the
-        # whole band is searched, as for geo=False.
-        lat_lo = F.greatest(F.col("_plat") - reach, F.lit(-90.0))
-        lat_hi = F.least(F.col("_plat") + reach, F.lit(90.0))
-        c_min = F.least(F.cos(F.radians(lat_lo)), F.cos(F.radians(lat_hi)))
-        lon_reach = F.col("_d0") / (F.lit(KM_PER_DEGREE) * c_min) * F.lit(1 + 1e-9) + F.lit(1e-9)
-        cells_ok = (c_min > F.lit(1e-6)) & (lon_reach * 2 / F.lit(w) <= F.lit(float(MAX_SECTORS)))
-        in_bands = in_bands.withColumn("_lonr", F.when(cells_ok, lon_reach))
-        by_cell = (in_bands.where(F.col("_lonr").isNotNull())
-                   .withColumn("_sec", F.explode(F.sequence(_sectors(F.col("_plon") - F.col("_lonr"), w),
-                                                            _sectors(F.col("_plon") + F.col("_lonr"), w))))
-                   .join(st, ["_band", "_sec"]))
-        by_band = in_bands.where(F.col("_lonr").isNull()).join(st.drop("_sec"), "_band")
-        cand = by_cell.select(key, "_plon", "_plat", "_slon", "_slat", "_ord", "_st").unionByName(
-            by_band.select(key, "_plon", "_plat", "_slon", "_slat", "_ord", "_st"))
+    cosine = _least_cosine(F.col("_plat"), F.col("_ry"), geo)
+    aimed = (bounded.withColumn("_ry", reach)
+             .withColumn("_rx", F.when(cosine > 1e-9, F.col("_ry") / cosine * F.lit(1 + 1e-9) + F.lit(1e-9))))
+    aimed = _kept(aimed.withColumns({"_ly": _level(F.col("_ry"), base, top), "_lx": _level(F.col("_rx"), base, top)})
+                  .withColumns({"_ry": F.when(F.col("_ly") == WHOLE, 0.0).otherwise(F.col("_ry")),
+                                "_rx": F.when(F.col("_lx") == WHOLE, 0.0).otherwise(F.col("_rx"))}))
+    used = [F.struct(F.lit(r["_lx"]).alias("_lx"), F.lit(r["_ly"]).alias("_ly"))
+            for r in aimed.select("_lx", "_ly").distinct().collect()]       # pairs of sizes: at most (top + 2)^2
+    if not used:
+        found = None
     else:
-        cand = in_bands.join(st.drop("_sec"), "_band")
-    # one result per point: grouped by the key with the coordinates, so points
-    # sharing a key (or a NULL key) at different places are not merged
-    best = cand.groupBy(key, "_plon", "_plat").agg(F.min(F.struct(
-        dist().alias("d"), F.col("_ord").alias("o"), F.col("_st").alias("s"))).alias("_best"))
-    ok = F.col("_best.d") < F.lit(NO_STATION_KM)
-    found = best.select(key, F.when(ok, F.col("_best.s")).otherwise(F.lit(NO_STATION)).alias("station"),
-                        F.when(ok, F.col("_best.d")).alias("distance_km"))
-    return found.unionByName(invalid)
+        def window(x: str, r: str, level: str) -> Column:
+            return F.sequence(_cell(F.col(x) - F.col(r), F.col(level), base), _cell(F.col(x) + F.col(r), F.col(level), base))
+
+        near = (aimed.withColumn("_cx", F.explode(window("_plon", "_rx", "_lx")))
+                .withColumn("_cy", F.explode(window("_plat", "_ry", "_ly"))))
+        placed = st.select("*", F.inline(F.array(*used))).withColumns(
+            {"_cx": _cell(F.col("_slon"), F.col("_lx"), base), "_cy": _cell(F.col("_slat"), F.col("_ly"), base)})
+        best = (near.join(placed, ["_lx", "_ly", "_cx", "_cy"]).groupBy("_plon", "_plat")
+                .agg(F.min(F.struct(dist().alias("d"), F.col("_ord").alias("o"), F.col("_st").alias("s"))).alias("_best")))
+        found = _kept(best.select("_plon", "_plat", *_answers(best)))
+    if found is None:
+        return pts.select(key, F.lit(NO_STATION).alias("station"), F.lit(None).cast("double").alias("distance_km"))
+    return pts.join(found, ["_plon", "_plat"], "left").select(
+        key, F.coalesce("_station", F.lit(NO_STATION)).alias("station"), F.col("_km").alias("distance_km"))

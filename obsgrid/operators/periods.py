@@ -39,6 +39,15 @@ def _max(measure: str) -> Column:
     return F.max(measure).alias(f"max_{measure}")
 
 
+def in_order(df: DataFrame, keys: Sequence[str] = ("station",)) -> DataFrame:
+    """A period result in reading order (O1, O2): by keys, then year, season, month as far as it has them.
+
+    For results that are shown: the rows are few aggregates, but still a range shuffle.
+    """
+    order = [*keys, *[c for c in ("year", "season", "month") if c not in keys]]
+    return df.orderBy(*[c for c in order if c in df.columns])
+
+
 def avg_year(obs: DataFrame, measure: str, keys: Sequence[str] = ("station",),
              first_year: int | None = None, last_year: int | None = None) -> DataFrame:
     """Mean per year over a year range, both ends inclusive (A1)."""
@@ -101,19 +110,22 @@ def season_midrange(obs: DataFrame, measure: str, keys: Sequence[str] = ("statio
 
 
 def period_stats(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "year")) -> DataFrame:
-    """Year, month and season statistics fused into one GROUPING SETS pass.
+    """Year, month and season statistics from one aggregation of the rows.
 
     Columns: keys, month (NULL unless level = 'month'), season (NULL unless
-    level = 'season'), level, n, avg_, min_, max_. One scan and one shuffle
-    replace the separate per-period queries.
+    level = 'season'), level, n, avg_, min_, max_. The rows are added up once
+    per month; the grouping sets then roll up at most twelve rows per key.
     """
-    df = _prepared(obs, measure)
     keys = list(keys)
+    months = _prepared(obs, measure).groupBy(*keys, "month", "season").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(measure).cast("double")).alias("_sum"),
+        F.min(measure).alias("_min"), F.max(measure).alias("_max"),
+    )
     sets = [keys, keys + ["month"], keys + ["season"]]
     level = (F.when(F.grouping("month") == 0, F.lit("month"))
              .when(F.grouping("season") == 0, F.lit("season"))
              .otherwise(F.lit("year")))
-    return df.groupingSets(sets, *keys, "month", "season").agg(
-        level.alias("level"), F.count(F.lit(1)).alias("n"),
-        _mean(measure), _min(measure), _max(measure),
+    return months.groupingSets(sets, *keys, "month", "season").agg(
+        level.alias("level"), F.sum("_n").alias("n"), (F.sum("_sum") / F.sum("_n")).alias(f"avg_{measure}"),
+        F.min("_min").alias(f"min_{measure}"), F.max("_max").alias(f"max_{measure}"),
     )

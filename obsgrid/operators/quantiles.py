@@ -1,9 +1,9 @@
 """Medians, the bisection median estimate, and box-plot statistics.
 
 Quantile methods:
-* ``exact`` (default): ``exact_quantiles`` -- selection by histogram
-  narrowing: a few passes of partially aggregated cell counts find the value
-  at each wanted rank; no task ever holds a whole group. Interpolation is the one Spark's ``percentile`` uses.
+* ``exact`` (default): ``exact_quantiles`` -- selection on a distributed sort
+  of value counts; no task ever holds a whole group. Interpolation is the one
+  Spark's ``percentile`` uses.
 * ``percentile``: Spark's ``percentile`` aggregate (one pass; its buffer per
   group is a value -> count map, so it suits measures with few distinct values).
 * ``approx``: ``percentile_approx`` (one pass, fixed-size buffer, approximate).
@@ -13,6 +13,11 @@ the midrange and moves one bound per round, in ONE pass over the data: every
 row follows the same halving path the rounds would take and lands in one of
 2**rounds leaf cells; a per-group walk over the (at most 2**rounds) leaf counts
 then replays the rounds.
+
+Raw rows meet their group's statistics through ``with_group_stats``: the
+statistics are kept in the shared folder first; counted few, they are
+broadcast and the raw rows stay where they are; beyond that the join is
+salted, so the rows of a hot group are dealt over many tasks.
 """
 
 from __future__ import annotations
@@ -27,6 +32,13 @@ from obsgrid.session import shared_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+# Groups up to which their statistics (a few numbers each) are broadcast, and parts a hot group is dealt into beyond that.
+BROADCAST_GROUPS = 500_000
+SALTS = 32
+_SALT = "_salt"
+# leaf cells per group that the bisection may count
+MAX_LEAVES = 1 << 16
+
 # Group key used when no keys are given, so every join stays an equi-join. Its
 # value is always 0; being nondeterministic, it is not folded into a constant,
 # which would let the optimizer turn the joins into cartesian products.
@@ -61,23 +73,25 @@ def _values(obs: DataFrame, measure: str, keys: Sequence[str], extra: Sequence[s
     return df.select(*keys, *extra, F.col(measure).cast("double").alias("_v"))
 
 
-def _match_intervals(base: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``base`` inside one of their group's open intervals: keys, lo, hi, _x.
+def with_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], broadcast_rows: int | None = None,
+                     salts: int | None = None) -> DataFrame:
+    """Join each row with its group's row of ``stats`` (cheap to read again, one row per group)."""
+    limit = BROADCAST_GROUPS if broadcast_rows is None else broadcast_rows
+    if stats.count() <= limit:
+        return rows.join(F.broadcast(stats), keys)
+    n = SALTS if salts is None else salts
+    salted = rows.withColumn(_SALT, F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys]), F.lit(n)).cast("int"))
+    spread = stats.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return salted.join(spread, [*keys, _SALT]).drop(_SALT)
 
-    The intervals of one group are identical or disjoint, so a row matches at
-    most one; they travel as a short array per group (no row is multiplied).
-    """
-    ivs = (state.select(*keys, "lo", "hi").distinct()
-           .groupBy(*keys).agg(F.collect_list(F.struct("lo", "hi")).alias("_iv")))
-    x = F.col("_x")
-    inside = F.filter("_iv", lambda i: (x >= i["lo"]) & (x <= i["hi"]))
-    return (base.join(ivs, keys).select(*keys, "_x", F.explode(inside).alias("_t"))
-            .select(*keys, F.col("_t.lo").alias("lo"), F.col("_t.hi").alias("hi"), "_x"))
+
+def _kept(df: DataFrame) -> DataFrame:
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str = "_v",
-                    names: Sequence[str] | None = None, cells: int = 1024, small: int = 100_000,
-                    max_passes: int = 8) -> DataFrame:
+                    names: Sequence[str] | None = None, slices: int | None = None) -> DataFrame:
     """Exact quantiles per group without gathering a group in one task.
 
     Returns keys, n and one double column per probability (``names``). The
@@ -85,42 +99,33 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     values: (hi - pos) * v[lo] + (pos - lo) * v[hi] -- the form of Spark's
     ``percentile``, so both give the same doubles.
 
-    Selection by histogram narrowing; the values are never sorted or gathered
-    per group (the per-group interval table they are joined with is small and
-    broadcast by adaptive execution when its measured size allows):
-    * pass 0: n, min, max per group (checkpointed); if no group has more than
-      ``small`` rows, one ``percentile`` aggregation answers (its buffer then
-      holds at most ``small`` values per group) -- otherwise every wanted rank
-      starts with the interval [min, max];
-    * while an interval holds more than ``small`` rows and more than one value:
-      the rows inside it are counted in ``cells`` equal-width cells
-      (per (group, interval, cell): count, min, max -- partial aggregation),
-      and the cell holding the rank becomes the next interval, which is at
-      least ``cells`` times narrower;
-    * then the distinct values of each small interval, with their counts, give
-      the value at the rank (a window over at most ``small`` rows).
-    The per-rank state is a few rows per group, checkpointed to the shared
-    folder after every pass. After ``max_passes`` the remaining intervals are
-    picked as small ones.
+    One path for every group size and every kind of value (infinities and NaN
+    sort like other values):
+    * rows are counted per (group, value), adding up before the shuffle, so a
+      value that repeats costs one row per task;
+    * the counts are range-partitioned by (group, value): a large group spans
+      as many slices as its size asks for. A slice is the part of a group in
+      one partition; its rows are at most that partition;
+    * running sums of the slices' totals tell which slices hold a wanted rank;
+      only those are walked value by value.
+    ``slices`` sets the number of range partitions (default: by the session's
+    shuffle partitions, merged by adaptive execution where they are small).
     """
     if not keys:
-        return exact_quantiles(vals.withColumn(_ALL, _one_group()), [_ALL], probs, value, names, cells, small,
-                               max_passes).drop(_ALL)
+        return exact_quantiles(vals.withColumn(_ALL, _one_group()), [_ALL], probs, value, names, slices).drop(_ALL)
     orig_keys = list(keys)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
-    shared_dir(vals.sparkSession)
     vals, keys = _pack(vals.select(*orig_keys, value), orig_keys)
-    base = vals.select(*keys, F.col(value).cast("double").alias("_x"))
-    stats = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
-                                    F.max("_x").alias("hi")).checkpoint(eager=True)
-    largest = stats.agg(F.max("n")).first()[0] or 0
-    if largest <= small:
-        # every group is small: Spark's one-pass percentile holds at most `small`
-        # values per group and gives the same doubles
-        q = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    F.percentile("_x", [float(p) for p in probs]).alias("_q"))
-        return _unpack(q.select(*keys, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]),
-                       orig_keys, keys)
+    counts = (vals.select(*keys, F.col(value).cast("double").alias("_x"))
+              .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_m")))
+    ranged = counts.repartitionByRange(slices, *keys, "_x") if slices else counts.repartitionByRange(*keys, "_x")
+    sliced = _kept(ranged.withColumn("_part", F.spark_partition_id()))
+    totals = _kept(sliced.groupBy(*keys, "_part").agg(F.sum("_m").alias("_cnt")))
+
+    group = Window.partitionBy(*keys)
+    upto = F.sum("_cnt").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = totals.select(*keys, "_part", F.sum("_cnt").over(group).alias("n"), (upto - F.col("_cnt")).alias("_before"),
+                           upto.alias("_after"))
 
     def pos(p: float) -> Column:
         return (F.col("n") - 1).cast("double") * F.lit(float(p))
@@ -128,52 +133,20 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     ranks = []
     for p in probs:
         ranks += [F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")]
-    state = stats.select(*keys, "n", F.explode(F.array_distinct(F.array(*ranks))).alias("_k"), "lo", "hi",
-                         F.lit(0).cast("long").alias("below"), F.col("n").alias("cnt"))
-
-    found, smalls = [], []
-    for step in range(max_passes + 1):
-        found.append(state.where(F.col("lo") == F.col("hi")).select(*keys, "_k", F.col("lo").alias("_val")))
-        open_ = state.where(F.col("lo") < F.col("hi"))
-        if step == max_passes:
-            smalls.append(open_)
-            break
-        smalls.append(open_.where(F.col("cnt") <= small))
-        big = open_.where(F.col("cnt") > small)
-        if big.isEmpty():
-            break
-        cand = _match_intervals(base, big, keys)
-        width = F.col("hi") - F.col("lo")
-        cell = F.least(F.floor((F.col("_x") - F.col("lo")) / width * F.lit(float(cells))).cast("long"),
-                       F.lit(cells - 1).cast("long"))
-        hist = cand.groupBy(*keys, "lo", "hi", cell.alias("_c")).agg(
-            F.count(F.lit(1)).alias("_cnt"), F.min("_x").alias("_cmin"), F.max("_x").alias("_cmax"))
-        w = Window.partitionBy(*keys, "lo", "hi").orderBy("_c")
-        hist = hist.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
-        start_rank = F.col("below") + F.col("_before")
-        state = (big.join(hist, keys + ["lo", "hi"])
-                 .where((F.col("_k") >= start_rank) & (F.col("_k") < start_rank + F.col("_cnt")))
-                 .select(*keys, "n", "_k", F.col("_cmin").alias("lo"), F.col("_cmax").alias("hi"),
-                         start_rank.alias("below"), F.col("_cnt").alias("cnt"))).checkpoint(eager=True)
-
-    sm = smalls[0]
-    for extra in smalls[1:]:
-        sm = sm.unionByName(extra)
-    dv = _match_intervals(base, sm, keys).groupBy(*keys, "lo", "hi", "_x").agg(F.count(F.lit(1)).alias("_m"))
-    dv = dv.withColumn("_upto", F.sum("_m").over(Window.partitionBy(*keys, "lo", "hi").orderBy("_x")))
-    rel = F.col("_k") - F.col("below")
-    picked = (sm.join(dv, keys + ["lo", "hi"])
-              .where((rel < F.col("_upto")) & (rel >= F.col("_upto") - F.col("_m")))
-              .select(*keys, "_k", F.col("_x").alias("_val")))
-    for f in found:
-        picked = picked.unionByName(f)
-    got = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_val"))).alias("_m"))
+    wanted = F.filter(F.array_distinct(F.array(*ranks)), lambda k: (k >= F.col("_before")) & (k < F.col("_after")))
+    held = _kept(placed.select(*keys, "_part", "n", "_before", wanted.alias("_ks")).where(F.size("_ks") > 0))
+    # slices are bounded, so this join and window have no hot key
+    walk = Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    walked = sliced.join(held, [*keys, "_part"]).withColumn("_upto", F.col("_before") + F.sum("_m").over(walk))
+    picked = walked.select(*keys, "n", "_x", F.explode(F.filter(
+        "_ks", lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_m")))).alias("_k"))
+    got = picked.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_got"))
     out = []
     for p, nm in zip(probs, names):
         lo, hi = F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")
-        vlo, vhi = F.element_at("_m", lo), F.element_at("_m", hi)
+        vlo, vhi = F.element_at("_got", lo), F.element_at("_got", hi)
         out.append(F.when(lo == hi, vlo).otherwise((hi - pos(p)) * vlo + (pos(p) - lo) * vhi).alias(nm))
-    return _unpack(stats.select(*keys, "n").join(got, keys).select(*keys, "n", *out), orig_keys, keys)
+    return _unpack(got.select(*keys, "n", *out), orig_keys, keys)
 
 
 def _agg_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
@@ -213,18 +186,18 @@ def median_bisect(obs: DataFrame, measure: str, keys: Sequence[str] = ("station"
     else lo := mid when l < r, otherwise hi := mid; mid := (lo+hi)/2. The
     answer is mid after ``rounds`` rounds. Columns: keys, n, converged, bisect_<measure>.
     """
-    if not 1 <= rounds <= 20:
-        raise ValueError("rounds must be within 1..20")
+    if rounds < 1 or 2 ** rounds > MAX_LEAVES:
+        raise ValueError(f"rounds must be within 1..{MAX_LEAVES.bit_length() - 1}: a group's leaf cells are walked as one array")
     if not keys:
         return median_bisect(obs.withColumn(_ALL, _one_group()), measure, [_ALL], rounds).drop(_ALL)
     orig_keys = list(keys)
     vals, keys = _pack(_values(obs, measure, orig_keys), orig_keys)
-    bounds = vals.groupBy(*keys).agg(
+    bounds = _kept(vals.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo0"), F.max("_v").alias("_hi0"),
-    )
+    ))
 
     # Each row walks down the halving tree: same arithmetic, same order as the rounds.
-    walk = vals.join(bounds.select(*keys, "_lo0", "_hi0"), keys).select(
+    walk = with_group_stats(vals, bounds.select(*keys, "_lo0", "_hi0"), keys).select(
         *keys, "_v", F.col("_lo0").alias("_lo"), F.col("_hi0").alias("_hi"), F.lit(0).alias("_leaf"),
     )
     for _ in range(rounds):
@@ -289,7 +262,7 @@ def box_stats(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "y
     v = F.col("_v")
     out = v < F.col("_lo_f")
     out = out | (v > F.col("_hi_f"))
-    res = vals.join(q, keys).groupBy(*keys, *stat_cols).agg(
+    res = with_group_stats(vals, _kept(q), keys).groupBy(*keys, *stat_cols).agg(
         F.min(F.when(v >= F.col("_lo_f"), v)).alias("whisker_lo"),
         F.max(F.when(v <= F.col("_hi_f"), v)).alias("whisker_hi"),
         F.count_if(out).alias("n_outliers"),
@@ -312,6 +285,6 @@ def box_outliers(obs: DataFrame, measure: str, keys: Sequence[str] = ("station",
     q = q.select(*keys, (F.col("_q1") - F.lit(whis) * iqr).alias("_lo_f"),
                  (F.col("_q3") + F.lit(whis) * iqr).alias("_hi_f"))
     v = F.col("_v")
-    out = (vals.join(q, keys).where((v < F.col("_lo_f")) | (v > F.col("_hi_f")))
+    out = (with_group_stats(vals, _kept(q), keys).where((v < F.col("_lo_f")) | (v > F.col("_hi_f")))
            .select(*keys, *carry, v.alias(measure)))
     return _unpack(out, orig_keys, keys)

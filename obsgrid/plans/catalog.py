@@ -10,7 +10,7 @@ summation order do not count.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,8 @@ from obsgrid.operators.stations import station_dimension
 from obsgrid.plans import reports
 from obsgrid.sources import bindings as b
 from obsgrid.sources import layouts, scans
-from obsgrid.sources.csv_ingest import clean
+from obsgrid.schema import CLUSTER_COLOURS, FIELD_MAP, MAP_EXTENT, RAW_FIELDS, SEASON_LABELS
+from obsgrid.sources.csv_ingest import clean, read_raw
 from obsgrid.functions.columns import complete_rows, round_scaled, with_calendar
 from obsgrid.session import scratch_path
 
@@ -43,6 +44,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def case_sql(column: str, names: Mapping[int, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in sorted(names.items())) + " END"
+
+
 def rounded(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Round as round(x * 10^d) / 10^d, half away from zero: the same double
     arithmetic the SQL side's round(x, d) performs, so ties fall the same way."""
@@ -201,16 +206,17 @@ def q_avg_month(spark, sf):
 
 @register("season_labels", f"""WITH {B1_VALS}
 SELECT station, year, season, round(avg({M}), 6) AS avg_{M},
-       CASE season WHEN 1 THEN 'printemps' WHEN 2 THEN 'été' WHEN 3 THEN 'automne' WHEN 4 THEN 'hiver' END AS season_label
+       {case_sql('season', SEASON_LABELS)} AS season_label
 FROM d GROUP BY station, year, season""")
 def q_season_labels(spark, sf):
     return rounded(pe.season_labels(_b1(spark, sf), M), [f"avg_{M}"])
 
 
 @register("monthly_history", f"""WITH {B1_VALS}
-SELECT station, year, month, round(avg({M}), 6) AS avg_{M} FROM d GROUP BY station, year, month""")
+SELECT station, year, month, round(avg({M}), 6) AS avg_{M} FROM d
+WHERE year BETWEEN {YEARS[1]} AND {YEARS[2]} GROUP BY station, year, month""")
 def q_monthly_history(spark, sf):
-    return rounded(pe.monthly_history(_b1(spark, sf), M, ("station",)), [f"avg_{M}"])
+    return rounded(pe.monthly_history(_b1(spark, sf), M, ("station",), YEARS[1], YEARS[2]), [f"avg_{M}"])
 
 
 _WIDE = ", ".join(f"round(avg(CASE WHEN month = {m} THEN {M} END), 6) AS m{m:02d}" for m in range(1, 13))
@@ -372,6 +378,14 @@ def q_nearest_station_geo(spark, sf):
     return rounded(nearest_station(b.points(spark, sf), st, geo=True), ["distance_km"])
 
 
+@register("nearest_station_repeats", _nearest_sql(True) + " UNION ALL " + "SELECT pt % 7, station, round(d, 6) FROM r WHERE rn = 1")
+def q_nearest_station_repeats(spark, sf):
+    """Every place twice, the second time under a key that many points share."""
+    pts, st = b.points(spark, sf), b.stations_of(_b2(spark, sf))
+    twice = pts.unionByName(pts.withColumn("pt", F.col("pt") % 7))
+    return rounded(nearest_station(twice, st, geo=True), ["distance_km"])
+
+
 # ---------------------------------------------------------------------------
 # Map slice (B2)
 # ---------------------------------------------------------------------------
@@ -382,13 +396,22 @@ WHERE valid_date = TIMESTAMP '{INSTANT_B2:%Y-%m-%d %H:%M:%S}' AND ind3 IS NOT NU
 
 @register("map_slice", _MAP_SQL)
 def q_map_slice(spark, sf):
-    return reports.map_slice(_b2(spark, sf), INSTANT_B2, "ind3")
+    return reports.map_slice(_b2(spark, sf), INSTANT_B2, "ind3", measures=IND)
+
 
+# twice the distance from the south-west corner: three quarters of the places lie outside the extent
+_SPREAD = [("longitude", MAP_EXTENT["lon_min"]), ("latitude", MAP_EXTENT["lat_min"])]
 
-@register("map_slice_bbox", _MAP_SQL + """
-  AND longitude BETWEEN 6.6::DOUBLE AND 18.84::DOUBLE AND latitude BETWEEN 35.25::DOUBLE AND 47.1::DOUBLE""")
+
+@register("map_slice_bbox", f"""WITH b2 AS ({b.B2_SQL}),
+w AS (SELECT {", ".join(f"{lo}::DOUBLE + ({c} - {lo}::DOUBLE) * 2 AS {c}" for c, lo in _SPREAD)}, valid_date, ind3 FROM b2)
+SELECT longitude, latitude, round_even(ind3, 2) AS value FROM w
+WHERE valid_date = TIMESTAMP '{INSTANT_B2:%Y-%m-%d %H:%M:%S}' AND ind3 IS NOT NULL
+  AND longitude BETWEEN {MAP_EXTENT['lon_min']}::DOUBLE AND {MAP_EXTENT['lon_max']}::DOUBLE
+  AND latitude BETWEEN {MAP_EXTENT['lat_min']}::DOUBLE AND {MAP_EXTENT['lat_max']}::DOUBLE""")
 def q_map_slice_bbox(spark, sf):
-    return reports.map_slice(_b2(spark, sf), INSTANT_B2, "ind3", bbox=True)
+    wide = _b2(spark, sf).withColumns({c: F.lit(lo) + (F.col(c) - F.lit(lo)) * 2 for c, lo in _SPREAD})
+    return reports.map_slice(wide, INSTANT_B2, "ind3", bbox=True, measures=IND)
 
 
 # ---------------------------------------------------------------------------
@@ -415,7 +438,7 @@ def _profile_spark(spark, sf) -> DataFrame:
     return prof.select("longitude", "latitude", *[round_scaled(f, 6).alias(f) for f in FEATS])
 
 
-def kmeans_sql(profile: str, k: int = K, rounds: int = ROUNDS) -> tuple[str, str]:
+def kmeans_sql(profile: str, k: int = K, rounds: int = ROUNDS, first: str = "longitude, latitude") -> tuple[str, str]:
     """Unrolled Lloyd rounds over ``profile`` (a SELECT of longitude, latitude, features).
 
     Returns (CTE text, name of the last assignment CTE). Centre CTEs are c0..c{rounds}.
@@ -423,8 +446,8 @@ def kmeans_sql(profile: str, k: int = K, rounds: int = ROUNDS) -> tuple[str, str
     fl = ", ".join(FEATS)
     dist = "0.0::DOUBLE" + "".join(f" + (p.{f} - c.{f}) * (p.{f} - c.{f})" for f in FEATS)
     ctes = [f"p AS ({profile})",
-            f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY longitude, latitude) - 1 AS INTEGER) AS cluster, {fl} "
-            f"FROM p ORDER BY longitude, latitude LIMIT {k})"]
+            f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY {first}) - 1 AS INTEGER) AS cluster, {fl} "
+            f"FROM p ORDER BY {first} LIMIT {k})"]
 
     def assign(r: int) -> str:
         return (f"a{r} AS (SELECT longitude, latitude, cluster FROM (SELECT p.longitude, p.latitude, c.cluster, "
@@ -457,41 +480,77 @@ def q_kmeans_centers(spark, sf):
     return rounded(km.centres_frame(spark, FEATS, centres), FEATS, 4)
 
 
-@register("kmeans_ml")
+def _drawn(seed: int) -> str:
+    """The order by which the seeded draw of first centres takes places."""
+    millionths = ", ".join(f"CAST(CAST(round({c} * 1000000) AS BIGINT) AS VARCHAR)" for c in ("longitude", "latitude"))
+    return f"md5(concat_ws(':', '{seed}', {millionths})), longitude, latitude"
+
+
+_KR_CTES, _KR_LAST = kmeans_sql(profile_sql(with_n=False), first=_drawn(7))
+
+
+@register("kmeans_random", f"WITH {_KR_CTES}\nSELECT longitude, latitude, cluster FROM {_KR_LAST}")
+def q_kmeans_random(spark, sf):
+    labelled, _ = km.kmeans_fit(_profile_spark(spark, sf), FEATS, k=K, rounds=ROUNDS, init="random", seed=7)
+    return labelled.select("longitude", "latitude", "cluster")
+
+
+@register("kmeans_ml", f"WITH p AS ({profile_sql(with_n=False)}) SELECT CAST({K} AS BIGINT) AS clusters, count(*) AS n, true AS cost_ok FROM p")
 def q_kmeans_ml(spark, sf):
-    return km.kmeans_ml(_profile_spark(spark, sf), FEATS, k=K, rounds=ROUNDS).select("longitude", "latitude", "cluster")
+    """The library's clustering of the same profile: all rows, k clusters, and a cost at most half above the Lloyd rounds'."""
+    profile = _profile_spark(spark, sf)
+    lloyd, _ = km.kmeans_fit(profile, FEATS, k=K, rounds=ROUNDS, init="random", seed=7)
+    labelled = km.kmeans_ml(profile, FEATS, k=K, rounds=ROUNDS)
+    worst = 1.5 * km.clustering_cost(lloyd, FEATS)
+    cost = km.clustering_cost(labelled, FEATS)
+    return labelled.agg(F.countDistinct("cluster").alias("clusters"), F.count("*").alias("n")).withColumn(
+        "cost_ok", F.lit(cost <= worst))
 
 
 _CR_CTES, _CR_LAST = kmeans_sql(profile_sql(
-    "valid_date >= TIMESTAMP '1992-01-01' AND valid_date < TIMESTAMP '1999-01-01'", with_n=False))
-_COLOURS = ("CASE cluster WHEN 0 THEN 'lightblue' WHEN 1 THEN 'lightgreen' WHEN 2 THEN 'orange' WHEN 3 THEN 'red' "
-            "WHEN 4 THEN 'cadetblue' WHEN 5 THEN 'pink' WHEN 6 THEN 'white' WHEN 7 THEN 'lightgray' END")
+    "valid_date >= TIMESTAMP '1992-01-01' AND valid_date < TIMESTAMP '1999-01-01'", with_n=False), first=_drawn(0))
+_COLOURS = case_sql("cluster", CLUSTER_COLOURS)
 
 
 @register("cluster_report", f"WITH {_CR_CTES}\nSELECT a.longitude, a.latitude, a.cluster, {_COLOURS} AS colour, "
           + ", ".join(f"p.{i}_avg" for i in IND) + f" FROM {_CR_LAST} a JOIN p USING (longitude, latitude)")
 def q_cluster_report(spark, sf):
-    return reports.cluster_report(_b2(spark, sf), *FULL_RANGE_B2, k=K, indicators=IND, rounds=ROUNDS)
+    return reports.cluster_report(_b2(spark, sf), *FULL_RANGE_B2, k=K, indicators=IND, rounds=ROUNDS, measures=IND)
 
 
 # ---------------------------------------------------------------------------
-# Keyed upserts (B3, B2); the batch is loaded twice (the second time
-# every key already exists), then the stored table is read back.
+# Keyed upserts (B3, B2) of two batches that overlap: the rows whose seq
+# is not a multiple of 3, then those whose seq does not leave 1, with values
+# raised by 1. Keys of the first batch alone must survive the second upsert in
+# the same partitions; keys of both take the second batch's row.
 # ---------------------------------------------------------------------------
 _UP_ST_COLS = ["station", "year", "month", "day", "hour", "minute", "measure", "sky"]
 
 
+def _batches_sql(raised: Sequence[str]) -> str:
+    up = ", ".join(f"{c} + 1 AS {c}" for c in raised)
+    return (f"u AS (SELECT *, 1 AS batch FROM r WHERE seq % 3 <> 0 "
+            f"UNION ALL SELECT * REPLACE ({up}), 2 AS batch FROM r WHERE seq % 3 <> 1)")
+
+
+def _batches(rows: DataFrame, raised: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    return (rows.where("seq % 3 <> 0"),
+            rows.where("seq % 3 <> 1").withColumns({c: F.col(c) + 1 for c in raised}))
+
+
 @register("upsert_station", f"""WITH b3 AS ({b.B3_SQL}),
 r AS (SELECT station, CAST(year(valid_hour) AS INTEGER) AS year, CAST(month(valid_hour) AS INTEGER) AS month,
              CAST(day(valid_hour) AS INTEGER) AS day, CAST(hour(valid_hour) AS INTEGER) AS hour,
              CAST(minute(valid_hour) AS INTEGER) AS minute, measure, sky, seq FROM b3),
-k AS (SELECT *, row_number() OVER (PARTITION BY station, year, month, day, hour, minute ORDER BY seq DESC) AS rn FROM r)
+{_batches_sql(["measure"])},
+k AS (SELECT *, row_number() OVER (PARTITION BY station, year, month, day, hour, minute ORDER BY batch DESC, seq DESC) AS rn FROM u)
 SELECT {', '.join(_UP_ST_COLS)} FROM k WHERE rn = 1""")
 def q_upsert_station(spark, sf):
     rows = with_calendar(b.obs_slice(spark, sf), "valid_hour").select(*_UP_ST_COLS, "seq")
     path = scratch_path(spark, "table-station")
-    layouts.upsert_station(spark, rows, path)
-    return layouts.upsert_station(spark, rows, path).select(*_UP_ST_COLS)
+    for batch in _batches(rows, ["measure"]):
+        stored = layouts.upsert_station(spark, batch, path)
+    return stored.select(*_UP_ST_COLS)
 
 
 _UP_T_COLS = ["year", "month", "valid_date", "longitude", "latitude", "station", *IND]
@@ -500,13 +559,172 @@ _UP_T_COLS = ["year", "month", "valid_date", "longitude", "latitude", "station",
 @register("upsert_time", f"""WITH b2 AS ({b.B2_SQL}),
 r AS (SELECT CAST(year(valid_date) AS INTEGER) AS year, CAST(month(valid_date) AS INTEGER) AS month, valid_date,
              longitude, latitude, CAST(loc AS VARCHAR) AS station, {', '.join(IND)}, seq FROM b2),
-k AS (SELECT *, row_number() OVER (PARTITION BY year, month, valid_date, longitude, latitude ORDER BY seq DESC) AS rn FROM r)
+{_batches_sql(["ind1"])},
+k AS (SELECT *, row_number() OVER (PARTITION BY year, month, valid_date, longitude, latitude ORDER BY batch DESC, seq DESC) AS rn FROM u)
 SELECT {', '.join(_UP_T_COLS)} FROM k WHERE rn = 1""")
 def q_upsert_time(spark, sf):
     rows = with_calendar(_b2(spark, sf)).withColumn("station", F.col("loc").cast("string")).select(*_UP_T_COLS, "seq")
     path = scratch_path(spark, "table-time")
-    layouts.upsert_time(spark, rows, path)
-    return layouts.upsert_time(spark, rows, path).select(*_UP_T_COLS)
+    for batch in _batches(rows, ["ind1"]):
+        stored = layouts.upsert_time(spark, batch, path)
+    return stored.select(*_UP_T_COLS)
+
+
+# ---------------------------------------------------------------------------
+# S9-S12, C1 on stored layouts: B1 as station table, B2 as time table
+# ---------------------------------------------------------------------------
+_TABLES: dict[tuple[str, str, str], str] = {}
+_ST_COLS = ["station", "year", "month", "day", "hour", "minute", M, "longitude", "latitude"]
+_ST_RANK = "CAST(substr(station, 1, 1) AS INTEGER)"
+_STORED_ST = f"""{B1_CAL},
+c AS (SELECT *, CAST(day(valid_date) AS INTEGER) AS day, CAST(hour(valid_date) AS INTEGER) AS hour,
+             CAST(minute(valid_date) AS INTEGER) AS minute, 6.6::DOUBLE + 2 * {_ST_RANK} AS longitude,
+             36.0::DOUBLE + 2 * {_ST_RANK} AS latitude FROM o),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station, valid_date ORDER BY seq DESC) AS rn FROM c) WHERE rn = 1)"""
+_STORED_T = f"""b2 AS ({b.B2_SQL}),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY valid_date, longitude, latitude ORDER BY seq DESC) AS rn FROM b2) WHERE rn = 1)"""
+
+
+def _once(spark: SparkSession, sf: str, name: str, load: Callable[[str], DataFrame]) -> str:
+    """Path of a table that one application writes once per input."""
+    at = (spark.sparkContext.applicationId, sf, name)
+    if at not in _TABLES:
+        path = scratch_path(spark, f"stored-{name}")
+        load(path)
+        _TABLES[at] = path
+    return _TABLES[at]
+
+
+def stored_station(spark: SparkSession, sf: str) -> DataFrame:
+    rank = F.substring("station", 1, 1).cast("int")
+    rows = with_calendar(_b1(spark, sf)).withColumns({"longitude": F.lit(6.6) + 2 * rank, "latitude": F.lit(36.0) + 2 * rank}).select(
+        *_ST_COLS, "seq")
+    return layouts.read_layout(spark, _once(spark, sf, "station", lambda p: layouts.upsert_station(spark, rows, p)),
+                               rows.drop("seq").schema)
+
+
+def stored_time(spark: SparkSession, sf: str) -> DataFrame:
+    rows = with_calendar(_b2(spark, sf)).withColumn("station", F.col("loc").cast("string")).select(*_UP_T_COLS, "seq")
+    return layouts.read_layout(spark, _once(spark, sf, "time", lambda p: layouts.upsert_time(spark, rows, p)),
+                               rows.drop("seq").schema)
+
+
+@register("stored_station_year", f"""WITH {_STORED_ST}
+SELECT {', '.join(_ST_COLS)} FROM l WHERE station = '{STATION}' AND year = {YEAR}""")
+def q_stored_station_year(spark, sf):
+    return scans.station_years(stored_station(spark, sf), STATION, YEAR, columns=_ST_COLS)
+
+
+@register("stored_station_years", f"""WITH {_STORED_ST}
+SELECT {', '.join(_ST_COLS)} FROM l WHERE station = '{YEARS[0]}' AND year BETWEEN {YEARS[1]} AND {YEARS[2]}""")
+def q_stored_station_years(spark, sf):
+    return scans.station_years(stored_station(spark, sf), YEARS[0], YEARS[1], YEARS[2], columns=_ST_COLS)
+
+
+_T_COLS = ["valid_date", "longitude", "latitude", *IND]
+
+
+@register("stored_instant", f"""WITH {_STORED_T}
+SELECT {', '.join(_T_COLS)} FROM l WHERE valid_date = TIMESTAMP '{INSTANT_B2:%Y-%m-%d %H:%M:%S}'""")
+def q_stored_instant(spark, sf):
+    return scans.at_instant(stored_time(spark, sf), INSTANT_B2, columns=_T_COLS)
+
+
+@register("stored_month_range", f"""WITH {_STORED_T}
+SELECT {', '.join(_T_COLS)} FROM l WHERE valid_date >= TIMESTAMP '1995-01-01' AND valid_date < TIMESTAMP '1995-11-01'""")
+def q_stored_month_range(spark, sf):
+    return scans.month_range(stored_time(spark, sf), *RANGE_B2, columns=_T_COLS)
+
+
+REPORT_POINT = {"lon": 10.9, "lat": 40.2}       # nearest to station rank 2
+_REPORT = ("2-HIGH", 1996, (1994, 1997))
+
+
+def _stored_report(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    obs = stored_station(spark, sf)
+    stations = obs.groupBy("station").agg(F.min("longitude").alias("longitude"), F.min("latitude").alias("latitude"))
+    return reports.station_report(spark, obs, stations, lat=REPORT_POINT["lat"], lon=REPORT_POINT["lon"], year=_REPORT[1],
+                                  measure=M, history=_REPORT[2])
+
+
+_REPORT_D = f"""{_STORED_ST},
+d AS (SELECT station, year, month, season, seq, {M} FROM l WHERE station = '{_REPORT[0]}' AND year = {_REPORT[1]} AND {M} IS NOT NULL)"""
+
+
+@register("report_box", f"""WITH {_REPORT_D}, {_BOX_Q}
+SELECT station, year, season, any_value(n) AS n, any_value(min) AS min, round(any_value(q1), 6) AS q1,
+       round(any_value(median), 6) AS median, round(any_value(q3), 6) AS q3, any_value(max) AS max,
+       min({M}) FILTER (WHERE {M} >= lo_f) AS whisker_lo, max({M}) FILTER (WHERE {M} <= hi_f) AS whisker_hi,
+       count(*) FILTER (WHERE {M} < lo_f OR {M} > hi_f) AS n_outliers
+FROM f JOIN d USING (station, year, season) GROUP BY station, year, season""")
+def q_report_box(spark, sf):
+    return rounded(_stored_report(spark, sf)["box"], ["q1", "median", "q3"])
+
+
+@register("report_history", f"""WITH {_STORED_ST},
+d AS (SELECT * FROM l WHERE station = '{_REPORT[0]}' AND year BETWEEN {_REPORT[2][0]} AND {_REPORT[2][1]} AND {M} IS NOT NULL)
+SELECT station, year, {_WIDE} FROM d GROUP BY station, year""")
+def q_report_history(spark, sf):
+    return rounded(_stored_report(spark, sf)["history"], [f"m{m:02d}" for m in range(1, 13)])
+
+
+def _season_report_sql(data: str, measure: str) -> str:
+    """Period statistics with the median and the bisection median on the season rows."""
+    return bisect_sql(data, ["station", "year", "season"], measure, tail=f""",
+bis AS (SELECT station, year, season, round(mid, 6) AS bisect_{measure} FROM s{ROUNDS}),
+{ranked_sql('station, year, season', measure)},
+med AS (SELECT station, year, season, round({interp_sql(0.5)}, 6) AS median_{measure} FROM rk GROUP BY station, year, season),
+st AS ({_PERIOD_SQL.format(keys='station, year', m=measure, src='d')})
+SELECT st.*, med.median_{measure}, bis.bisect_{measure}, {case_sql('st.season', SEASON_LABELS)} AS season_label
+FROM st LEFT JOIN med ON st.station = med.station AND st.year = med.year AND st.season = med.season
+        LEFT JOIN bis ON st.station = bis.station AND st.year = bis.year AND st.season = bis.season""")
+
+
+@register("report_seasons", _season_report_sql(_REPORT_D, M))
+def q_report_seasons(spark, sf):
+    return rounded(_stored_report(spark, sf)["seasons"], [f"avg_{M}", f"median_{M}", f"bisect_{M}"])
+
+
+# ---------------------------------------------------------------------------
+# B5 widened to all 31 fields, written as CSV under two headers, read back and cleaned
+# ---------------------------------------------------------------------------
+def _field(i: int, name: str, kind: str, spark_side: bool):
+    """Field number i of an observation file as text, from the order key."""
+    if spark_side:
+        k = F.col("k")
+        if name in ("lon", "lat"):
+            return (k % (90 + i)).cast("string")
+        if kind == "timestamp":
+            return F.when(k % 7 == 0, F.lit("null")).otherwise(F.concat(F.substring("valid", 1, 10), F.lit(" 01:02:03")))
+        value = (k % (50 + i)).cast("string") if kind == "float" else F.concat(F.lit(name), (k % (3 + i)).cast("string"))
+        return F.when(k % (11 + i) == 0, F.lit("null")).when(k % (13 + i) == 0, F.lit("   ")).otherwise(value)
+    if name in ("lon", "lat"):
+        return f"CAST(k % {90 + i} AS FLOAT)"
+    if kind == "timestamp":
+        return f"CASE WHEN k % 7 <> 0 THEN CAST(day || ' 01:02:03' AS TIMESTAMP) END"
+    value = f"CAST(k % {50 + i} AS FLOAT)" if kind == "float" else f"'{name}' || (k % {3 + i})"
+    return f"CASE WHEN k % {11 + i} <> 0 AND k % {13 + i} <> 0 THEN {value} END"
+
+
+@register("csv_by_header", f"""WITH w AS (
+    SELECT o_orderkey AS k, o_orderpriority AS station, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderdate FROM orders)
+SELECT station, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(day(o_orderdate) AS INTEGER) AS day, CAST(k % 24 AS INTEGER) AS hour, CAST(50 AS INTEGER) AS minute,
+       CAST(day || ' ' || lpad(CAST(k % 24 AS VARCHAR), 2, '0') || ':50:00' AS TIMESTAMP) AS valid_date,
+       {", ".join(f"{_field(i, f, kind, False)} AS {canon}" for i, (f, canon, kind) in enumerate(FIELD_MAP))}
+FROM w""".replace("day(o_orderdate)", "dayofmonth(o_orderdate)"))
+def q_csv_by_header(spark, sf):
+    o = b.table(spark, sf, "orders").withColumn("k", F.col("o_orderkey"))
+    wide = o.withColumns({"station": F.col("o_orderpriority"), "valid": F.concat(
+        F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" "), F.lpad((F.col("k") % 24).cast("string"), 2, "0"), F.lit(":50"))})
+    wide = wide.withColumns({f: _field(i, f, kind, True) for i, (f, _, kind) in enumerate(FIELD_MAP)})
+    folders = []
+    for part, fields in ((0, RAW_FIELDS), (1, tuple(reversed(RAW_FIELDS)))):
+        folders.append(scratch_path(spark, f"csv-{part}"))
+        (wide.where(F.col("k") % 2 == part).select(*fields).write.option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folders[-1]))
+    good, _ = clean(read_raw(spark, folders), carry=())
+    return good
 
 
 # ---------------------------------------------------------------------------
@@ -519,7 +737,7 @@ def _report_rows(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 def station_report_frame(spark: SparkSession, sf: str) -> DataFrame:
     obs, st = _report_rows(spark, sf)
-    code = reports.find_station(spark, st, lat=POINT["lat"], lon=POINT["lon"], geo=True)
+    code = reports.find_station(st, lat=POINT["lat"], lon=POINT["lon"], geo=True)
     rows = scans.station_years(obs, code, REPORT_YEAR)
     rep = reports.season_report(rows, "ind1")
     return rounded(rep, ["avg_ind1", "median_ind1", "bisect_ind1"])
@@ -533,15 +751,7 @@ o AS (SELECT CAST(loc AS VARCHAR) AS station, CAST(year(valid_date) AS INTEGER)
              CAST(month(valid_date) AS INTEGER) AS month, CAST(ceil(month(valid_date) / 3.0) AS INTEGER) AS season, ind1
       FROM ({b.B2_SQL}) WHERE CAST(loc AS VARCHAR) IN (SELECT station FROM near) AND year(valid_date) = {REPORT_YEAR}),
 d AS (SELECT * FROM o WHERE ind1 IS NOT NULL)"""
-_REPORT_SQL = bisect_sql(_NEAR_ONE, ["station", "year", "season"], "ind1", tail=f""",
-bis AS (SELECT station, year, season, round(mid, 6) AS bisect_ind1 FROM s{ROUNDS}),
-{ranked_sql('station, year, season', 'ind1')},
-med AS (SELECT station, year, season, round({interp_sql(0.5)}, 6) AS median_ind1 FROM rk GROUP BY station, year, season),
-st AS ({_PERIOD_SQL.format(keys='station, year', m='ind1', src='d')})
-SELECT st.*, med.median_ind1, bis.bisect_ind1,
-       CASE st.season WHEN 1 THEN 'printemps' WHEN 2 THEN 'été' WHEN 3 THEN 'automne' WHEN 4 THEN 'hiver' END AS season_label
-FROM st LEFT JOIN med ON st.station = med.station AND st.year = med.year AND st.season = med.season
-        LEFT JOIN bis ON st.station = bis.station AND st.year = bis.year AND st.season = bis.season""")
+_REPORT_SQL = _season_report_sql(_NEAR_ONE, "ind1")
 
 
 @register("station_report", _REPORT_SQL)

@@ -8,24 +8,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.functions.columns import require_measure, round_scaled, season_label
+from obsgrid.functions.columns import require_measure, round_scaled, season_label, with_calendar, with_season
 from obsgrid.operators.kmeans import kmeans_fit
-from obsgrid.operators.nearest import NO_STATION, nearest_station
-from obsgrid.operators.periods import monthly_history_wide, period_stats
+from obsgrid.operators.nearest import nearest_to_point
+from obsgrid.operators.periods import in_order, monthly_history_wide, period_stats
 from obsgrid.operators.profile import feature_names, location_profile
 from obsgrid.operators.quantiles import box_stats, median_bisect, median_season
-from obsgrid.schema import CLUSTER_COLOURS, PROFILE_INDICATORS
+from obsgrid.schema import CLUSTER_COLOURS, MEASURES, PROFILE_INDICATORS
+from obsgrid.session import shared_dir
 from obsgrid.sources.scans import at_instant, map_values, month_range, station_years
 
 
-def find_station(spark: SparkSession, stations: DataFrame, *, lat: float, lon: float, geo: bool = True) -> str:
+def find_station(stations: DataFrame, *, lat: float, lon: float, geo: bool = True) -> str:
     """Code of the station nearest to one point ('Erreur' when there is none)."""
-    if not (-90 <= lat <= 90 and -180 <= lon <= 180):
-        raise ValueError("lat must be within -90..90 and lon within -180..180")
-    pt = spark.range(1).select(F.col("id").alias("pt"), F.lit(float(lon)).alias("longitude"),
-                               F.lit(float(lat)).alias("latitude"))
-    row = nearest_station(pt, stations, key="pt", geo=geo).first()
-    return row["station"] if row else NO_STATION
+    return nearest_to_point(stations, lon, lat, geo)[0]
 
 
 def season_report(rows: DataFrame, measure: str, keys: Sequence[str] = ("station", "year"),
@@ -52,44 +48,50 @@ def season_report(rows: DataFrame, measure: str, keys: Sequence[str] = ("station
 
 def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *, lat: float, lon: float,
                    year: int, measure: str = "temperature_f", history: tuple[int, int] = (2005, 2014),
-                   geo: bool = True, method: str = "exact") -> dict[str, DataFrame]:
+                   geo: bool = True, method: str = "exact", measures: Sequence[str] = MEASURES) -> dict[str, DataFrame]:
     """Report for the station nearest to (lat, lon).
 
     Keys of the result: ``station`` (one-row frame), ``seasons`` (season_report
     of the year), ``box`` (box statistics per season), ``history`` (one row per
-    year of ``history`` with twelve monthly means).
+    year of ``history`` with twelve monthly means). The year's rows are read
+    once, by a scan of the station's partition, and kept; all of the year's
+    tables come from that copy.
     """
-    require_measure(obs, measure, numeric=True)
-    code = find_station(spark, stations, lat=lat, lon=lon, geo=geo)
-    year_rows = station_years(obs, code, year)
+    require_measure(obs, measure, numeric=True, measures=measures)
+    code = find_station(stations, lat=lat, lon=lon, geo=geo)
+    shared_dir(spark)
+    rows = with_season(with_calendar(station_years(obs, code, year)))
+    year_rows = rows.select("station", "year", "month", "season", measure).checkpoint(eager=True)
     hist_rows = station_years(obs, code, history[0], history[1])
     # one station's rows: the frames are a few dozen rows, sorted for drawing
     return {
         "station": spark.range(1).select(F.lit(code).alias("station")),
         "seasons": season_report(year_rows, measure, method=method).orderBy("level", "month", "season"),
-        "box": box_stats(year_rows, measure, ("station", "year", "season"), method=method).orderBy("season"),
-        "history": monthly_history_wide(hist_rows, measure, ("station",)).orderBy("year"),
+        "box": in_order(box_stats(year_rows, measure, ("station", "year", "season"), method=method)),
+        "history": in_order(monthly_history_wide(hist_rows, measure, ("station",))),
     }
 
 
 def map_slice(obs_time: DataFrame, when: dt.datetime, measure: str, bbox: bool = False,
-              ts: str = "valid_date") -> DataFrame:
+              ts: str = "valid_date", measures: Sequence[str] = MEASURES) -> DataFrame:
     """longitude, latitude, value of one measure at one instant (C2); may be empty."""
-    require_measure(obs_time, measure)
+    require_measure(obs_time, measure, measures=measures)
     return map_values(at_instant(obs_time, when, ts=ts), measure, bbox=bbox)
 
 
 def cluster_report(obs_time: DataFrame, first_month: str, last_month: str, k: int = 3,
-                   indicators: Sequence[str] = PROFILE_INDICATORS, rounds: int = 10, init: str = "first",
-                   seed: int = 0, compat_end: bool = False, decimals: int | None = 6) -> DataFrame:
+                   indicators: Sequence[str] = PROFILE_INDICATORS, rounds: int = 10, init: str = "random",
+                   seed: int = 0, compat_end: bool = False, decimals: int | None = 6,
+                   measures: Sequence[str] = MEASURES) -> DataFrame:
     """Cluster the locations by their profile over a month range.
 
     Columns: longitude, latitude, cluster, colour (NULL above 8 clusters) and
-    the mean of each indicator. ``decimals`` rounds the features first, which
+    the mean of each indicator. The first centres are k places drawn at random
+    by ``seed`` (``init="first"``: the first k by coordinates). ``decimals`` rounds the features first, which
     keeps labels stable against last-bit differences of the sums.
     """
     for ind in indicators:
-        require_measure(obs_time, ind, numeric=True)
+        require_measure(obs_time, ind, numeric=True, measures=measures)
     rows = month_range(obs_time, first_month, last_month, compat_end)
     prof = location_profile(rows, indicators)
     feats = feature_names(indicators)

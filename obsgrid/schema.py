@@ -9,24 +9,8 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the source data's conventions).
 #
-# CSV header of an observation file, in file order, with the canonical column
-# each field becomes and its kind:
-#   station -> station (text, required)
-#   valid -> year, month, day, hour, minute (+ valid_date), text "Y-M-D H:M..."
-#   lon -> longitude, lat -> latitude (float, required)
-#   tmpf -> temperature_f, dwpf -> dew_point_f, relh -> relative_humidity,
-#   drct -> wind_direction, sknt -> wind_speed, p01i -> precipitation,
-#   alti -> pressure, mslp -> sea_level_pressure, vsby -> visibility,
-#   gust -> wind_gust (float)
-#   skyc1..skyc4 -> sky_level1_coverage..sky_level4_coverage (text)
-#   skyl1..skyl4 -> sky_level1_altitude..sky_level4_altitude (float)
-#   wxcodes -> weather_code (text)
-#   ice_accretion_1hr, ice_accretion_3hr, ice_accretion_6hr
-#       -> ice_accretion1, ice_accretion3, ice_accretion6 (float)
-#   peak_wind_gust -> peak_wind_gust, peak_wind_drct -> peak_wind_direction (float)
-#   peak_wind_time -> peak_wind_time (timestamp)
-#   feel -> temperature (float; the "feels like" value)
-#   metar -> observation (text)
+# FIELD_MAP: CSV header of an observation file after ``station`` and ``valid``, in
+# file order, with the canonical column each field becomes and its kind.
 # A field holding exactly three blanks or the word null is missing.
 # ---------------------------------------------------------------------------
 NULL_SENTINELS = ("   ", "null")
@@ -114,24 +98,9 @@ TIME_SCHEMA = T.StructType(
     + OBSERVATION_SCHEMA.fields[6:]
 )
 
-STATION_LIST_SCHEMA = T.StructType([
-    T.StructField("station", T.StringType(), False),
-    T.StructField("longitude", T.DoubleType(), False),
-    T.StructField("latitude", T.DoubleType(), False),
-])
-
 MEASURE_KIND = {canon: kind for _, canon, kind in FIELD_MAP}
 
 
-def check_measure(name: str, numeric: bool = False) -> str:
-    """Validate a measure picked by name; ``numeric`` for arithmetic use."""
-    if name not in MEASURES:
-        raise ValueError(f"unknown measure {name!r}; pick one of {', '.join(MEASURES)}")
-    if numeric and MEASURE_KIND[name] != "float":
-        raise ValueError(f"measure {name!r} is not numeric")
-    return name
-
-
 @dataclass(frozen=True)
 class Layout:
     """A keyed Parquet layout: directory partitions, in-file sort order, primary key."""

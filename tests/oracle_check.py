@@ -97,7 +97,7 @@ if __name__ == "__main__":
     from obsgrid.session import local_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session(8)
+    spark = local_session(int(os.environ.get("CORES", "8")))
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in res.items() if v.get("ok") is False]
     print("FAILED:", bad)

@@ -28,14 +28,14 @@ def frames(spark, points, stations):
 
 
 @pytest.mark.parametrize("geo", [True, False])
-def test_band_search_equals_brute_force(spark, geo):
+def test_grid_search_equals_brute_force(spark, geo):
     rnd = random.Random(11)
     stations = [(f"S{i}", rnd.uniform(-180, 180), rnd.uniform(-60, 70), i) for i in range(150)]
     # a dense cluster plus sparse empty regions (points far from any band)
     stations += [(f"D{i}", 12 + rnd.random(), 42 + rnd.random(), 150 + i) for i in range(50)]
     points = [(i, rnd.uniform(-180, 180), rnd.uniform(-89, 89)) for i in range(400)]
     p, s = frames(spark, points, stations)
-    got = {r.pt: (r.station, r.distance_km) for r in nearest_station(p, s, geo=geo, band_deg=0.5).collect()}
+    got = {r.pt: (r.station, r.distance_km) for r in nearest_station(p, s, geo=geo).collect()}
     want = brute(points, stations, geo)
     for pt, (code, d) in want.items():
         assert got[pt][0] == code, pt
@@ -60,11 +60,12 @@ def test_plan_has_no_cross_join(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_invalid_coordinates_get_error_marker(spark):
-    p = spark.createDataFrame([(1, 12.0, 42.0), (2, None, 42.0), (3, 12.0, 95.0)], "pt int, longitude double, latitude double")
+def test_missing_coordinates_get_error_marker(spark):
+    p = spark.createDataFrame([(1, 12.0, 42.0), (2, None, 42.0), (3, 12.0, float("nan")), (4, float("inf"), 1.0)],
+                              "pt int, longitude double, latitude double")
     s = spark.createDataFrame([("X", 12.5, 41.9, 1)], "station string, longitude double, latitude double, ord int")
     got = {r.pt: r.station for r in nearest_station(p, s).collect()}
-    assert got == {1: "X", 2: NO_STATION, 3: NO_STATION}
+    assert got == {1: "X", 2: NO_STATION, 3: NO_STATION, 4: NO_STATION}
 
 
 def test_one_result_per_point(spark):
@@ -75,3 +76,64 @@ def test_one_result_per_point(spark):
                               "station string, longitude double, latitude double, ord int")
     got = sorted((r.pt if r.pt is not None else -1, r.station) for r in nearest_station(p, s).collect())
     assert got == [(-1, "A"), (-1, "B"), (1, "A"), (1, "B")]
+
+
+def test_one_row_per_input_row(spark):
+    """Equal rows, NULL keys and keys at two places each keep their row."""
+    rows = [(1, 12.0, 42.0), (1, 12.0, 42.0), (1, 9.1, 45.4), (None, 12.0, 42.0), (None, 12.0, 42.0), (2, None, None)]
+    p = spark.createDataFrame(rows, "pt int, longitude double, latitude double")
+    s = spark.createDataFrame([("B", 12.5, 41.9, 1), ("A", 9.2, 45.5, 2)], "station string, longitude double, latitude double, ord int")
+    got = sorted((r.pt or 0, r.station) for r in nearest_station(p, s).collect())
+    assert got == [(0, "B"), (0, "B"), (1, "A"), (1, "B"), (1, "B"), (2, NO_STATION)]
+
+
+@pytest.mark.parametrize("geo", [True, False])
+def test_coordinates_of_any_range(spark, geo):
+    rnd = random.Random(5)
+    stations = [(f"S{i}", rnd.uniform(-400, 400), rnd.uniform(-200, 200), i) for i in range(60)] + [("X", 250.0, 0.0, 99)]
+    points = [(i, rnd.uniform(-400, 400), rnd.uniform(-200, 200)) for i in range(80)] + [(100, 250.0, 1.0)]
+    p, s = frames(spark, points, stations)
+    got = {r.pt: r.station for r in nearest_station(p, s, geo=geo).collect()}
+    assert got == {pt: code for pt, (code, _) in brute(points, stations, geo).items()}
+
+
+def test_one_point_form_agrees(spark):
+    from obsgrid.operators.nearest import nearest_to_point
+
+    rnd = random.Random(6)
+    stations = [(f"S{i}", rnd.uniform(6, 18), rnd.uniform(35, 47), i) for i in range(40)]
+    points = [(i, rnd.uniform(6, 18), rnd.uniform(35, 47)) for i in range(5)]
+    p, s = frames(spark, points, stations)
+    many = {r.pt: r.station for r in nearest_station(p, s).collect()}
+    assert many == {pt: nearest_to_point(s, lon, lat)[0] for pt, lon, lat in points}
+    assert nearest_to_point(s.limit(0), 1.0, 2.0) == (NO_STATION, None)
+
+
+def test_pairs_per_point_do_not_grow_with_the_stations(spark, monkeypatch):
+    """At one density, four times the stations (and area) leave the cells that a point meets as small."""
+    from pyspark.sql import functions as F
+
+    from obsgrid.operators import nearest
+
+    per_point = []
+    for side in (20, 40):
+        s = spark.range(side * side).select(F.concat(F.lit("S"), "id").alias("station"), (F.col("id") % side * 0.1).alias("longitude"),
+                                            (F.floor(F.col("id") / side) * 0.1).alias("latitude"), F.col("id").alias("ord"))
+        p = spark.range(side * side).select(F.col("id").alias("pt"), (F.col("id") % side * 0.1 + 0.03).alias("longitude"),
+                                            (F.floor(F.col("id") / side) * 0.1 + 0.04).alias("latitude"))
+        kept = nearest._kept
+        grabbed = {}
+
+        def grab(df):
+            out = kept(df)
+            if "_lx" in df.columns and "_d0" in df.columns:
+                grabbed["aimed"] = out
+            return out
+
+        monkeypatch.setattr(nearest, "_kept", grab)
+        nearest.nearest_station(p, s).count()
+        monkeypatch.setattr(nearest, "_kept", kept)
+        sizes = grabbed["aimed"].groupBy("_lx", "_ly").count().collect()
+        assert all(r["_lx"] <= 4 and r["_ly"] <= 4 for r in sizes)
+        per_point.append(len(sizes))
+    assert per_point[1] <= per_point[0] + 1

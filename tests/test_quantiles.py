@@ -88,8 +88,8 @@ def test_exact_quantiles_hot_group_spans_tasks(spark):
     rows = [(0, v) for v in hot] + [(g, v) for g, vs in cold.items() for v in vs]
     df = spark.createDataFrame(rows, "g int, _v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    # a low "small" bound and few cells force several narrowing passes
-    got = {r.g: r for r in exact_quantiles(df, ["g"], probs, cells=8, small=50).collect()}
+    # many slices: the hot group's values span several range partitions
+    got = {r.g: r for r in exact_quantiles(df, ["g"], probs, slices=12).collect()}
     for g, vals in [(0, hot), *cold.items()]:
         want = np.percentile(vals, [p * 100 for p in probs])
         r = got[g]
@@ -108,20 +108,61 @@ def test_exact_quantiles_one_value_dominates(spark):
 
     rows = [(0, 0.0)] * 30000 + [(0, float(i)) for i in range(1, 101)] + [(1, 5.0)]
     df = spark.createDataFrame(rows, "g int, _v double")
-    out = {r.g: r for r in exact_quantiles(df, ["g"], [0.5, 0.999], small=20).collect()}
+    out = {r.g: r for r in exact_quantiles(df, ["g"], [0.5, 0.999], slices=5).collect()}
     want = np.percentile([v for g, v in rows if g == 0], [50, 99.9])
     assert [out[0].q0, out[0].q1] == pytest.approx(list(want))
     assert (out[1].q0, out[1].q1, out[1].n) == (5.0, 5.0, 1)
 
 
-def test_exact_quantiles_pass_limit(spark):
-    """Values spread over many magnitudes: passes run out, the rest is picked directly."""
+def test_exact_quantiles_wide_ranges_and_not_finite(spark):
+    """Values over many magnitudes, infinities and NaN sort like others and cost no further passes."""
     from obsgrid.operators.quantiles import exact_quantiles
 
     vals = [2.0 ** -i for i in range(200)] + [1e6]
-    df = spark.createDataFrame([(0, v) for v in vals], "g int, _v double")
-    r = exact_quantiles(df, ["g"], [0.1, 0.5, 0.9], cells=4, small=3, max_passes=2).collect()[0]
-    assert [r.q0, r.q1, r.q2] == pytest.approx(list(np.percentile(vals, [10, 50, 90])), rel=1e-12)
+    odd = vals + [float("inf"), float("-inf"), -0.0]
+    df = spark.createDataFrame([(0, v) for v in vals] + [(1, v) for v in odd] + [(2, float("nan")), (2, 1.0)], "g int, _v double")
+    got = {r.g: r for r in exact_quantiles(df, ["g"], [0.0, 0.1, 0.5, 0.9, 1.0], slices=7).collect()}
+    assert [got[0][f"q{i}"] for i in range(5)] == pytest.approx(list(np.percentile(vals, [0, 10, 50, 90, 100])), rel=1e-12)
+    assert got[1].q0 == float("-inf") and got[1].q4 == float("inf")
+    assert got[1].q2 == pytest.approx(float(np.median(odd)))
+    assert got[2].q0 == 1.0 and np.isnan(got[2].q4)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plain", "")
+    exact_quantiles(df.where("g = 0"), ["g"], [0.5], slices=4).collect()
+    spark.sparkContext.setJobGroup("odd", "")
+    exact_quantiles(df.where("g = 1"), ["g"], [0.5], slices=4).collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("odd")) == len(tracker.getJobIdsForGroup("plain"))
+
+
+def test_hot_group_is_split(spark):
+    """Broadcast off, 80 % of rows in one group: its values span slices, and group joins are salted."""
+    from pyspark.sql import functions as F
+
+    from obsgrid.operators import quantiles as qu
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(20000).select(F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 7).alias("g"),
+                                       F.rand(3).alias("_v"))
+        stats = qu._kept(df.groupBy("g").agg(F.max("_v").alias("top")))
+        joined = qu.with_group_stats(df, stats, ["g"], broadcast_rows=0, salts=8)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(g" in plan and "_salt" in plan.split("hashpartitioning(g", 1)[1].split(")", 1)[0]
+        assert joined.count() == 20000
+        assert "BroadcastHashJoin" in qu.with_group_stats(df, stats, ["g"])._jdf.queryExecution().executedPlan().toString()
+        parts = []
+        kept = qu._kept
+        qu._kept = lambda frame: parts.append(kept(frame)) or parts[-1]
+        try:
+            got = qu.exact_quantiles(df, ["g"], [0.5], slices=10).collect()
+        finally:
+            qu._kept = kept
+        assert parts[0].where("_gk.g = 0").select("_part").distinct().count() >= 5
+        assert len(got) == 7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_methods_agree_on_small_groups(spark):
@@ -141,7 +182,7 @@ def test_no_group_keys_is_a_global_quantile(spark):
 
     vals = [float(i) for i in range(1, 102)]
     df = spark.createDataFrame([(v,) for v in vals], "_v double")
-    q = exact_quantiles(df, [], [0.5], small=10, cells=4)
+    q = exact_quantiles(df, [], [0.5], slices=4)
     assert q.columns == ["n", "q0"] and q.collect()[0].q0 == 51.0
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -167,5 +208,5 @@ def test_null_group_keys_are_kept(spark):
     outs = [(o.station, o.t) for o in box_outliers(df, "t").collect()]
     assert outs == [(None, 100.0)]
     vals = df.select("station", df.t.alias("_v"))
-    got = {r.station: r.q0 for r in exact_quantiles(vals, ["station"], [0.5], small=2, cells=4).collect()}
+    got = {r.station: r.q0 for r in exact_quantiles(vals, ["station"], [0.5], slices=4).collect()}
     assert got == {None: 3.0, "A": 6.0}
