@@ -67,8 +67,7 @@ TEMPLATES = {
         "option) any later version.",
     ],
     "AGPL-3.0": [
-        "modify it under the terms of the GNU Affero General Public License as published by the Free Software "
-        "Foundation, either version 3 of the License, or (at your option) any later version.",
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",

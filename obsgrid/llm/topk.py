@@ -152,7 +152,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: float = 10
         ids, out = ["query_id", "vec_id", "score"], []
         if len(rows) and len(asked):
             dims = int(rows["dims"].iloc[0])
-            index = SlicedIndex(rows["id"].to_numpy(), np.array(rows["v"].tolist(), dtype=np.int64).reshape(-1, dims))
+            index = SlicedIndex(rows["id"].to_numpy(), np.array(rows["v"].tolist(), dtype=np.int64).reshape(len(rows), dims))
             for query_id, v in zip(asked["id"], asked["v"]):
                 found, scores = index.best(query_id, np.asarray(v, dtype=np.int64), k)
                 out.append(pd.DataFrame({"query_id": query_id, "vec_id": found, "score": scores}))
