@@ -46,30 +46,40 @@ def facts(df: DataFrame) -> dict:
     return {"ops": dict(ops), "scans": scans, "partial_agg": partial}
 
 
+def _row(name: str, f: dict) -> str:
+    ops = f["ops"]
+    joins = ", ".join(f"{k}×{v}" for k, v in ops.items() if "Join" in k or k == "CartesianProduct") or "—"
+    aggs = ", ".join(f"{k}×{v}" for k, v in ops.items() if "Aggregate" in k) or "—"
+    other = ", ".join(f"{k}×{v}" for k, v in ops.items() if k in ("Window", "Expand", "Generate")) or "—"
+    scans = "<br>".join(
+        f"`{s['read'][7:-1][:120]}`" + "".join(f"; {s[k][:120]}" for k in ("pushed", "partition") if s[k] not in ("", "[]"))
+        for s in f["scans"]) or "—"
+    return (f"| `{name}` | {ops.get('Exchange', 0)} | {joins} | {aggs} | {other} | "
+            f"{'yes' if f['partial_agg'] else '—'} | {scans} |")
+
+
 def report(spark, sf_dir: str, names: list[str] | None = None) -> str:
-    import __spark_entry__ as E
+    from obsgrid.plans import catalog
 
     lines = ["# Plans", "",
-             f"Final adaptive plans of the registered queries on `{sf_dir}` (`python -m obsgrid.plans.explain`).",
-             "Exchange = shuffle or broadcast stage; partial = the aggregation has a map-side part.", "",
-             "| query | exchanges | joins | aggregates | other | partial | scans (columns read; pushed filters) |",
-             "| --- | --- | --- | --- | --- | --- | --- |"]
-    for name, fn in E.queries().items():
-        if names and name not in names:
-            continue
-        df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        df.collect()
-        f = facts(df)
-        ops = f["ops"]
-        joins = ", ".join(f"{k}×{v}" for k, v in ops.items() if "Join" in k or k == "CartesianProduct") or "—"
-        aggs = ", ".join(f"{k}×{v}" for k, v in ops.items() if "Aggregate" in k) or "—"
-        other = ", ".join(f"{k}×{v}" for k, v in ops.items() if k in ("Window", "Expand", "Generate")) or "—"
-        scans = "<br>".join(
-            f"`{s['read'][7:-1][:120]}`" + (f"; {s['pushed'][:120]}" if s["pushed"] not in ("", "[]") else "")
-            for s in f["scans"]) or "—"
-        lines.append(f"| `{name}` | {ops.get('Exchange', 0)} | {joins} | {aggs} | {other} | "
-                     f"{'yes' if f['partial_agg'] else '—'} | {scans} |")
+             f"Final adaptive plans of the weather queries on `{sf_dir}` (`python -m obsgrid.plans.explain`), which are",
+             "small: with automatic broadcast on, Catalyst broadcasts sides here that it would shuffle on large data. The",
+             "second table has it off; broadcasts left there are those the code asks for behind a counted bound.",
+             "Exchange = shuffle or broadcast stage; partial = the aggregation has a map-side part. Eager steps (checkpoints)",
+             "are not in a final plan, which reads what they kept."]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for title, threshold in (("Automatic broadcast on", old), ("Automatic broadcast off", "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        lines += ["", f"## {title}", "",
+                  "| query | exchanges | joins | aggregates | other | partial | scans (columns read; pushed and partition filters) |",
+                  "| --- | --- | --- | --- | --- | --- | --- |"]
+        for name, fn in catalog.QUERIES.items():
+            if names and name not in names:
+                continue
+            df = fn(spark, sf_dir)
+            df.collect()
+            lines.append(_row(name, facts(df)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     return "\n".join(lines) + "\n"
 
 

@@ -8,6 +8,7 @@ folder, because a machine-local folder is not visible to other executors.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -46,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):      # one JVM; a local cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for the cluster")
     own = tempfile.mkdtemp(prefix="obsgrid-ckpt-")
     sc.setCheckpointDir(own)
@@ -54,5 +56,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder."""
-    return f"{shared_dir(spark)}/obsgrid/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared folder, in this application's own part of it."""
+    return f"{shared_dir(spark)}/obsgrid/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote with ``scratch_path``; frames that read it end with it.
+
+    Checkpoints go with their frames where ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set, as in ``local_session``.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/obsgrid/{spark.sparkContext.applicationId}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -208,3 +208,39 @@ def test_upsert_many_partitions_uses_semi_join(spark, workdir, monkeypatch):
     layouts.upsert_station(spark, rows(spark, [(s, 2011, 1, 1, 0, 0, 1.0, "x", 1) for s in "ABC"]), path)
     t = layouts.upsert_station(spark, rows(spark, [(s, 2011, 2, 1, 0, 0, 2.0, "y", 2) for s in "AB"]), path)
     assert t.count() == 5
+
+
+def test_stored_scans_prune(spark):
+    """The registered scans of stored layouts list only the folders that their predicates name."""
+    from obsgrid.plans import catalog
+
+    for name in ("stored_station_year", "stored_station_years", "stored_instant", "stored_month_range"):
+        df = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "year" in filters and ("station" in filters or "month" in filters), name
+        assert df.count() > 0
+
+
+def test_station_report_reads_the_year_once(spark):
+    """One pruned scan fills the year's tables: they read the kept rows."""
+    from obsgrid.plans import catalog
+
+    frames = catalog._stored_report(spark, "/root/testdata/sf0.001")
+    for name in ("seasons", "box"):
+        assert "FileScan" not in frames[name]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(station" in frames["history"]._jdf.queryExecution().executedPlan().toString()
+    levels = [(r.level, r.month or 0, r.season or 0) for r in frames["seasons"].collect()]
+    assert levels == sorted(levels) and len(levels) > 4
+
+
+def test_scratch_folders_are_removed(spark):
+    from obsgrid import session
+
+    path = session.scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    assert f"/obsgrid/{spark.sparkContext.applicationId}/" in path
+    local = path.removeprefix("file://")
+    assert os.path.exists(local)
+    layouts._remove(spark, path)
+    assert not os.path.exists(local)

@@ -117,3 +117,24 @@ def test_month_bounds_rejects_bad_text():
     for bad in ("2011", "2011-13", "x-01"):
         with pytest.raises(ValueError):
             month_bounds(bad, "2011-12")
+
+
+def test_results_in_reading_order(spark):
+    df = obs(spark, ROWS)
+    months = pe.in_order(pe.avg_month(df, "t")).collect()
+    assert [(r.station, r.year, r.month) for r in months] == sorted((r.station, r.year, r.month) for r in months)
+    years = pe.in_order(pe.monthly_history(df, "t")).collect()
+    assert [(r.station, r.year, r.month) for r in years] == sorted((r.station, r.year, r.month) for r in years)
+    seasons = pe.in_order(pe.avg_season(df, "t"), ()).collect()
+    assert [(r.year, r.season) for r in seasons] == sorted((r.year, r.season) for r in seasons)
+
+
+def test_measures_are_picked_by_name(spark):
+    from obsgrid.functions.columns import require_measure
+
+    df = spark.createDataFrame([("A", 1.0, "x")], "station string, temperature_f double, weather_code string")
+    assert require_measure(df, "temperature_f", numeric=True) == "temperature_f"
+    assert require_measure(df, "weather_code") == "weather_code"
+    for name, numeric in (("station", False), ("weather_code", True), ("visibility", False), ("nothing", False)):
+        with pytest.raises(ValueError):
+            require_measure(df, name, numeric=numeric)
