@@ -42,7 +42,7 @@ BAD_WORDS = frozenset("""ad ads adsense advert advertisement adverts banner brea
  modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted promotion related replies
  reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget
  widgets""".split())
-GOOD_WORDS = frozenset("article main post content story entry".split())
+GOOD_WORDS = frozenset("article articlebody post story entry".split())
 STOP_WORDS = frozenset("""a an and are as at be by for from have he in is it of on or that the this to was with which you
  der die das und ist in von zu den mit für auf ein eine im dem nicht als auch es an
  le la les de des et un une est que dans pour qui sur pas au aux ce il elle
@@ -55,9 +55,8 @@ STOPS = 0.1
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_ROLE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[^\W\d_]+")
-_ENDS_P = BLOCK_TAGS
 _CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                   "th": {"td", "th"}, "option": {"option"}}
 
@@ -71,27 +70,32 @@ class Block:
     heading: bool
 
 
-def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
+def _role(tag: str, attributes: str, in_article: bool) -> bool | None:
+    """Whether an element is an article's (True), boilerplate (False) or neither (None)."""
     if tag in BAD_TAGS and not (tag == "header" and in_article):
-        return True
-    for name, value in _ROLE.findall(attributes) if attributes else ():
+        return False
+    words: set[str] = set()
+    for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and value.strip("\"'").lower() == "true":
-            return True
-        if name in ("class", "id", "role"):
-            words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-            if words & BAD_WORDS and tag not in ("html", "body"):
-                return True
-    return False
+            return False
+        if name in ("class", "id", "role", "itemprop"):
+            words.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+            words.update(re.split(r"[^a-z]+", value.lower()))
+    if words & BAD_WORDS and tag not in ("html", "body"):
+        return False
+    if tag in ("article", "main") or tag in ("div", "section") and words & GOOD_WORDS:
+        return True
+    return None
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in page order."""
     out: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []        # name, inside boilerplate, inside an article
+    open_tags: list[tuple[str, bool, bool, bool]] = []      # name, inside boilerplate, inside an article, by its words
     parts: list[str] = []
     linked, in_link, heading = 0, 0, False
-    bad = article = False
+    bad = article = named = False
 
     def end_block() -> None:
         nonlocal linked, parts
@@ -102,9 +106,9 @@ def blocks(page: str) -> list[Block]:
         parts, linked = [], 0
 
     def back_to(depth: int) -> None:
-        nonlocal bad, article, in_link, heading
+        nonlocal bad, article, named, in_link, heading
         del open_tags[depth:]
-        _, bad, article = open_tags[-1] if open_tags else ("", False, False)
+        _, bad, article, named = open_tags[-1] if open_tags else ("", False, False, False)
         names = {t[0] for t in open_tags}
         in_link, heading = "a" in names, bool(names & HEADINGS)
 
@@ -160,15 +164,15 @@ def blocks(page: str) -> list[Block]:
                     break
                 if open_tags[i][0] in ("ul", "ol", "dl", "table", "select"):
                     break
-        inner_bad = bad or _is_bad(tag, attributes, article)
-        inner_article = article or tag in ("article", "main")
-        if tag in ("article", "main") and not _is_bad(tag, attributes, article) and open_tags:
-            inner_bad = any(t[1] for t in open_tags if t[0] in BAD_TAGS or t[0] in ("div", "section", "article")
-                            ) and article      # an article begins anew after an unclosed menu, not inside another
+        role = _role(tag, attributes, article)
+        inner_bad, inner_article = bad or role is False, article or role is True
+        inner_named = named or role is False and tag not in BAD_TAGS
+        if tag in ("article", "main") and role and not article and not named:
+            inner_bad = False       # an article begins anew after an unclosed menu, not among comments
         if attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
-        open_tags.append((tag, inner_bad, inner_article))
-        bad, article = inner_bad, inner_article
+        open_tags.append((tag, inner_bad, inner_article, inner_named))
+        bad, article, named = inner_bad, inner_article, inner_named
         in_link, heading = in_link or tag == "a", heading or tag in HEADINGS
     end_block()
     return out
