@@ -39,8 +39,8 @@ from obsgrid.llm.common import broadcast_if_small, fresh, keep_in_shared, writte
 
 EDITS = 2
 MIN_CHARS = 50
-#: letters whose counts bound the distance from below, one byte each
-LETTERS = "etanoirs"
+#: letters whose counts bound the distance from below, three bits each
+LETTERS = "etanoirshdlgbwfu"
 #: rows of a few numbers each: some 50 MB to broadcast
 BROADCAST_ROWS = 1_000_000
 LAST_ID = (1 << 63) - 1
@@ -61,48 +61,70 @@ def _place() -> Column:
     return F.col("d").cast("decimal(38,0)") * F.lit(1 << 31) + F.col("line_no")
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
+def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a generator, so that their users read them and don't work them out again."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def _segment(length: Column, i: Column, edits: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment i of an even partition; the last ones are longer by one."""
     n = edits + 1
-    base, longer = F.floor(length / n).cast("int"), length % n
-    before = F.greatest(F.lit(0), F.lit(i) - (F.lit(n) - longer))
-    return F.lit(i) * base + before, base + F.when(F.lit(i) >= F.lit(n) - longer, 1).otherwise(0)
+    base = F.floor(length / n).cast("int")
+    plain = F.lit(n) - length % n
+    return i * base + F.greatest(F.lit(0), i - plain), base + F.when(i >= plain, 1).otherwise(0)
+
+
+def _keys(places: list[tuple[int, int, int]], edits: int) -> Column:
+    """Keys of a line's substrings: each place is a segment, by how much the partner is shorter, and a shift.
+
+    Reads ``line``, its ``length``, its bytes ``raw`` and whether these are all
+    ASCII (``plain``): then characters are bytes, which are cut without counting.
+    """
+    listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(less).alias("less"), F.lit(shift).alias("shift"))
+                       for i, less, shift in places])
 
+    def key(place: Column) -> Column:
+        length = F.col("length") - place["less"]
+        start, size = _segment(length, place["i"], edits)
+        at = start + place["shift"] + 1
+        return F.when(F.col("plain"), F.xxhash64(F.substring(F.col("raw"), at, size), place["i"], length)).otherwise(
+            F.xxhash64(F.substring(F.col("line"), at, size), place["i"], length))
 
-def _index_keys(edits: int) -> Column:
-    length, keys = F.col("length"), []
-    for i in range(edits + 1):
-        start, size = _segment(length, i, edits)
-        keys.append(F.xxhash64(F.substring(F.col("line"), start + 1, size), F.lit(i), length))
-    return F.array(*keys)
+    return F.transform(listed, key)
 
 
-def _probe_keys(edits: int) -> Column:
-    """Keys of all substrings that a segment of a line shorter by 0 to ``edits`` can be."""
-    keys = []
-    for less in range(edits + 1):
-        length = F.col("length") - less
-        for i in range(edits + 1):
-            start, size = _segment(length, i, edits)
-            first = max(-i, less - (edits - i))
-            for shift in range(first, min(i, less + edits - i) + 1):
-                keys.append(F.xxhash64(F.substring(F.col("line"), start + shift + 1, size), F.lit(i), length))
-    return F.array(*keys)
+def _index_places(edits: int) -> list[tuple[int, int, int]]:
+    return [(i, 0, 0) for i in range(edits + 1)]
+
+
+def _probe_places(edits: int) -> list[tuple[int, int, int]]:
+    """Where a segment of a line shorter by 0 to ``edits`` can stand, with edits to its left and right bounded.
+
+    Without the index places, which are probed too.
+    """
+    return [(i, less, shift) for less in range(edits + 1) for i in range(edits + 1)
+            for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1) if (less, shift) != (0, 0)]
 
 
 def _letter_counts() -> Column:
-    counts = F.lit(0).cast("long")
+    """Counts of frequent letters modulo 8, three bits each; every letter counted leaves less text to look through."""
+    counts, rest = F.lit(0).cast("long"), F.col("line")
+    before = F.octet_length(rest)
     for i, letter in enumerate(LETTERS):
-        n = F.length("line") - F.length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
-        counts = counts.bitwiseOR(F.shiftleft(F.least(n, F.lit(255)).cast("long"), 8 * i))
+        rest = F.replace(rest, F.lit(letter), F.lit(""))
+        after = F.octet_length(rest)
+        counts = counts.bitwiseOR(F.shiftleft(((before - after) % 8).cast("long"), 3 * i))
+        before = after
     return counts
 
 
 def _count_gap(a: Column, b: Column) -> Column:
-    def byte(x: Column, i: int) -> Column:
-        return F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255).cast("long"))
+    """Sum over letters of the distance of two counts around the circle of 8, never above that of the counts."""
+    def gap(i: int) -> Column:
+        d = (F.shiftright(a, 3 * i) - F.shiftright(b, 3 * i)).bitwiseAND(F.lit(7).cast("long"))
+        return F.least(d, 8 - d)
 
-    return reduce(lambda x, y: x + y, [F.abs(byte(a, i) - byte(b, i)) for i in range(len(LETTERS))])
+    return reduce(lambda x, y: x + y, [gap(i) for i in range(len(LETTERS))])
 
 
 def _common_chunks(a: Column, b: Column) -> Column:
@@ -155,11 +177,6 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when(F.abs(n - m) > edits, F.lit(None)).when(m == 0, n).otherwise(walked)
 
 
-def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns through a generator, so that their users read them and don't work them out again."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
-
-
 def verified(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     """The pairs whose texts ``a`` and ``b`` are within ``edits``; common chunks at both ends are passed over."""
     left, right = a, b
@@ -184,13 +201,19 @@ def links(distinct_lines: DataFrame, again: DataFrame, edits: int = EDITS, min_c
 
     ``distinct_lines`` and ``again`` are the same rows, computed anew for each use.
     """
-    long_lines = (distinct_lines.withColumn("length", F.length("line")).where(F.col("length") >= max(min_chars, edits + 1)))
-    counted = long_lines.withColumn("counts", _letter_counts())
-    index = counted.select(F.explode(_index_keys(edits)).alias("key"), F.col("k1").alias("a"), F.col("counts").alias("a_counts"))
-    probes = counted.select(F.explode(_probe_keys(edits)).alias("key"), F.col("k1").alias("b"), F.col("counts").alias("b_counts"))
-    met = (index.join(probes, (index["key"] == probes["key"]) & (F.col("a") != F.col("b"))
+    measured = _fixed(distinct_lines, length=F.length("line"), raw=F.col("line").cast("binary"))
+    measured = _fixed(measured.where(F.col("length") >= max(min_chars, edits + 1)), plain=F.octet_length("raw") == F.col("length"))
+    keyed = written(measured.select(F.col("k1").alias("id"), "length", _letter_counts().alias("counts"),
+                            _keys(_index_places(edits), edits).alias("index"), _keys(_probe_places(edits), edits).alias("probes")),
+                    "line-keys")
+    index = keyed.select(F.explode("index").alias("key"), F.col("id").alias("a"), F.col("length").alias("a_length"),
+                         F.col("counts").alias("a_counts"))
+    probes = keyed.select(F.explode(F.concat("index", "probes")).alias("key"), F.col("id").alias("b"), F.col("length").alias("b_length"),
+                          F.col("counts").alias("b_counts"))
+    met = (index.join(probes, (index["key"] == probes["key"])
+                      & ((F.col("a_length") < F.col("b_length")) | (F.col("a") < F.col("b")))
                       & (_count_gap(F.col("a_counts"), F.col("b_counts")) <= 2 * edits))
-           .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+           .select("a", "b").distinct())
     met = keep_in_shared(met)
     ids = met.select(F.col("a").alias("k1")).unionByName(met.select(F.col("b").alias("k1"))).distinct()
     texts = written(again.join(broadcast_if_small(ids, met.count() * 2, BROADCAST_ROWS), "k1", "left_semi"), "lines")
