@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ DIM = 1024
 SEED = 20240229
 SLICE = 1 << 20
 UNDECIDED = "und"
-RESULT = "lang_pred string, score double"
+RESULT = "struct<lang_pred:string,score:double>"
 
 _state: dict = {}
 
@@ -90,14 +91,14 @@ def trigram_vectors(codes: np.ndarray) -> np.ndarray:
 class _Bundler:
     """Bundles documents in blocks; keeps the vectors of trigrams seen, up to ``most``."""
 
-    def __init__(self, most: int = 16384):
+    def __init__(self, most: int = 8192):
         self.most = most
+        self.vectors = np.empty((most, DIM), dtype=np.float32)
         self.forget()
 
     def forget(self) -> None:
         self.row = np.full(SYMBOLS ** 3, -1, dtype=np.int32)
         self.known = 0
-        self.vectors = np.empty((0, DIM), dtype=np.float32)
 
     def bundle(self, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         codes = np.unique(np.concatenate([d[0] for d in docs])) if docs else np.empty(0, dtype=np.int32)
@@ -112,28 +113,32 @@ class _Bundler:
         if self.known + len(new) > self.most:
             self.forget()
             new = codes
-        if len(new):
-            self.row[new] = self.known + np.arange(len(new))
-            self.known += len(new)
-            self.vectors = np.concatenate([self.vectors, trigram_vectors(new).astype(np.float32)])
+        self.row[new] = self.known + np.arange(len(new))
+        for at in range(0, len(new), 1024):
+            some = new[at:at + 1024]
+            self.vectors[self.known:self.known + len(some)] = trigram_vectors(some)
+            self.known += len(some)
         counts = np.zeros((len(docs), self.known), dtype=np.float32)
         for i, (c, n) in enumerate(docs):
             counts[i, self.row[c]] = n
-        return counts @ self.vectors
+        return counts @ self.vectors[:self.known]
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """Language prototypes (unit vectors) from the rows whose text and language are not NULL."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, texts in batch.groupby("lang")["text"]:
-                total = np.zeros(SYMBOLS ** 3, dtype=np.int64)
-                for t in texts:
-                    codes, n = trigram_counts(t)
-                    total[codes] += n
+            totals: dict[str, np.ndarray] = {}
+            for t, name in zip(batch.column(0), batch.column(1)):
+                codes, n = trigram_counts(t.as_py())
+                total = totals.setdefault(name.as_py(), np.zeros(SYMBOLS ** 3, dtype=np.int64))
+                total[codes] += n
+            for name, total in totals.items():
                 codes = total.nonzero()[0]
-                yield pd.DataFrame({"lang": name, "code": codes, "n": total[codes]})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(codes), pa.string()), pa.array(codes.astype(np.int32)), pa.array(total[codes])],
+                    names=["lang", "code", "n"])
 
     def bundle(key: tuple, counts: pd.DataFrame) -> pd.DataFrame:
         total, n = np.zeros(DIM), counts["n"].to_numpy(dtype=np.float64)
@@ -145,7 +150,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
     importable(docs.sparkSession)
     rows = (docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
             .where("text IS NOT NULL AND lang IS NOT NULL")
-            .mapInPandas(count, "lang string, code int, n long")
+            .mapInArrow(count, "lang string, code int, n long")
             .groupBy("lang", "code").agg(F.sum("n").alias("n"))
             .groupBy("lang").applyInPandas(bundle, "lang string, vector array<double>")
             .collect())
@@ -157,15 +162,16 @@ def predict(spark: SparkSession, model: dict[str, np.ndarray], text: Column) ->
     importable(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf(RESULT)
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(RESULT)
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = list(shared.value)
         prototypes = np.array([shared.value[k] for k in names], dtype=np.float32).reshape(len(names), DIM)
         bundler = _Bundler()
         for batch in batches:
             langs, scores = np.full(len(batch), UNDECIDED, dtype=object), np.zeros(len(batch))
             at, block, chars = [], [], 0
-            for i, t in enumerate(batch):
+            for i, value in enumerate(batch):
+                t = value.as_py()
                 grams = trigram_counts(t) if t else (np.empty(0), None)
                 if len(grams[0]) and names:
                     at.append(i)
@@ -178,6 +184,7 @@ def predict(spark: SparkSession, model: dict[str, np.ndarray], text: Column) ->
                     langs[at] = np.array(names, dtype=object)[best]
                     scores[at] = np.clip(cos[np.arange(len(best)), best], 0.0, 1.0)
                     at, block, chars = [], [], 0
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                                             names=["lang_pred", "score"])
 
     return nearest(text)

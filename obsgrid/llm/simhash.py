@@ -30,7 +30,6 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,9 +69,9 @@ def fingerprint(spark: SparkSession, text: Column, shingle: int = SHINGLE) -> Co
     """The fingerprint as a long column."""
     importable(spark)
 
-    @F.pandas_udf("long")
-    def made(texts: pd.Series) -> pd.Series:
-        return pd.Series([simhash(t, shingle) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def made(texts: pa.Array) -> pa.Array:
+        return pa.array([simhash(t.as_py(), shingle) for t in texts], pa.int64())
 
     return made(text)
 
