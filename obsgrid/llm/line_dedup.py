@@ -268,8 +268,11 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     joined = docs.join(broadcast_if_small(side, size, 4 * BROADCAST_ROWS),
                        (F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)) == F.col(d))
                        & (F.xxhash64(docs[text]) == F.col(h)), "left")
-    kept = F.filter(F.split(docs[text], "\n", -1), lambda line, i: ~F.array_contains(F.col(gone), i))
-    new = F.when(F.size(gone) > 0, F.array_join(kept, "\n")).otherwise(docs[text])
+    # the lines that stay, by number: cheap for a text of many lines that loses many
+    parts = fresh("parts")
+    joined = _fixed(joined, **{parts: F.when(F.size(gone) > 0, F.split(docs[text], "\n", -1))})
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
+    new = F.when(F.size(gone) > 0, F.array_join(F.transform(stay, lambda i: F.get(F.col(parts), i)), "\n")).otherwise(docs[text])
     return joined.select(*[new.alias(c) if c == text else docs[c] for c in docs.columns],
                          F.coalesce(F.col(gone), F.array().cast("array<int>")).alias(dropped),
                          F.coalesce(F.col(links_), F.lit(0)).alias(n_links))
