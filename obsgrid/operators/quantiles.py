@@ -120,7 +120,7 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
               .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_m")))
     ranged = counts.repartitionByRange(slices, *keys, "_x") if slices else counts.repartitionByRange(*keys, "_x")
     sliced = _kept(ranged.withColumn("_part", F.spark_partition_id()))
-    totals = _kept(sliced.groupBy(*keys, "_part").agg(F.sum("_m").alias("_cnt")))
+    totals = sliced.groupBy(*keys, "_part").agg(F.sum("_m").alias("_cnt"))
 
     group = Window.partitionBy(*keys)
     upto = F.sum("_cnt").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -134,7 +134,7 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     for p in probs:
         ranks += [F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")]
     wanted = F.filter(F.array_distinct(F.array(*ranks)), lambda k: (k >= F.col("_before")) & (k < F.col("_after")))
-    held = _kept(placed.select(*keys, "_part", "n", "_before", wanted.alias("_ks")).where(F.size("_ks") > 0))
+    held = placed.select(*keys, "_part", "n", "_before", wanted.alias("_ks")).where(F.size("_ks") > 0)
     # slices are bounded, so this join and window have no hot key
     walk = Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     walked = sliced.join(held, [*keys, "_part"]).withColumn("_upto", F.col("_before") + F.sum("_m").over(walk))
