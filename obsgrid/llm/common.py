@@ -56,3 +56,5 @@ def importable(spark: SparkSession) -> None:
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in parts:
         env["PYTHONPATH"] = os.pathsep.join([root, *parts])
+    # workers live on after a query: give what Arrow batches held back to the system
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")

@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,19 +139,20 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
                     [pa.array([name] * len(codes), pa.string()), pa.array(codes.astype(np.int32)), pa.array(total[codes])],
                     names=["lang", "code", "n"])
 
-    def bundle(key: tuple, counts: pd.DataFrame) -> pd.DataFrame:
-        total, n = np.zeros(DIM), counts["n"].to_numpy(dtype=np.float64)
-        codes = counts["code"].to_numpy()
+    def bundle(counts: pa.Table) -> pa.Table:
+        total, codes = np.zeros(DIM), counts.column("code").to_numpy()
+        n = counts.column("n").to_numpy().astype(np.float64)
         for at in range(0, len(codes), 8192):
             total += n[at:at + 8192] @ trigram_vectors(codes[at:at + 8192])
-        return pd.DataFrame({"lang": [key[0]], "vector": [total / (np.linalg.norm(total) or 1.0)]})
+        vector = total / (np.linalg.norm(total) or 1.0)
+        return pa.table({"lang": counts.column("lang").slice(0, 1), "vector": pa.array([vector.tolist()], pa.list_(pa.float64()))})
 
     importable(docs.sparkSession)
     rows = (docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
             .where("text IS NOT NULL AND lang IS NOT NULL")
             .mapInArrow(count, "lang string, code int, n long")
             .groupBy("lang", "code").agg(F.sum("n").alias("n"))
-            .groupBy("lang").applyInPandas(bundle, "lang string, vector array<double>")
+            .groupBy("lang").applyInArrow(bundle, "lang string, vector array<double>")
             .collect())
     return {r["lang"]: np.array(r["vector"]) for r in sorted(rows, key=lambda r: r["lang"])}
 

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,24 +121,28 @@ def _constant(share: float) -> Model:
 
 def _fit_svm(rows: list[np.ndarray], y: np.ndarray, cost: float, epochs: int, seed: int) -> Model:
     """Log-count ratios, then dual coordinate descent for the hinge loss."""
-    counts = {c: np.bincount(np.concatenate([r for r, v in zip(rows, y) if v == c]), minlength=BUCKETS) + 1.0 for c in (1, -1)}
+    counts = {c: np.ones(BUCKETS) for c in (1, -1)}
+    for r, v in zip(rows, y):
+        counts[v][r] += 1.0
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[-1] / counts[-1].sum())
     ratio[(counts[1] == 1) & (counts[-1] == 1)] = 0.0     # never seen
-    unit = [ratio[r] / (np.linalg.norm(ratio[r]) or 1.0) for r in rows]
+    norms = np.array([np.linalg.norm(ratio[r]) for r in rows])
+    inverse = 1.0 / np.where(norms > 0, norms, 1.0)
     w, bias, alpha = np.zeros(BUCKETS), 0.0, np.zeros(len(rows))
     share = {c: max(1, int((y == c).sum())) for c in (1, -1)}
     bound = np.array([cost * len(y) / (2 * share[v]) for v in y])      # both classes weigh the same
-    length = np.array([float(u @ u) + 1.0 for u in unit])
+    length = np.where(norms > 0, 2.0, 1.0)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            r, u = rows[i], unit[i]
-            slope = y[i] * (float(w[r] @ u) + bias) - 1.0
+            r = rows[i]
+            x = ratio[r] * inverse[i]
+            slope = y[i] * (float(w[r] @ x) + bias) - 1.0
             new = min(max(alpha[i] - slope / length[i], 0.0), bound[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                w[r] += step * u
+                w[r] += step * x
                 bias += step
                 alpha[i] = new
                 moved = max(moved, abs(step))
@@ -193,21 +197,27 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 8000, doc_id: str =
               .groupBy("id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(fit_rows))
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "label": batch["label"],
-                                "found": [features(t).tolist() for t in batch["text"]]})
+            found = [features(t.as_py()) for t in batch.column("text")]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            flat = np.concatenate([np.empty(0, dtype=np.int32), *found])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.ListArray.from_arrays(ends, flat)],
+                                             names=["id", "label", "found"])
 
     importable(docs.sparkSession)
     # at most fit_rows rows of two numbers: the broadcast is bounded by that parameter
-    found = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-             .join(F.broadcast(sample), "id")
-             .mapInPandas(extract, "id long, label int, found array<int>")
-             .toArrow().sort_by([("id", "ascending")]))
-    lists = found.column("found").combine_chunks()
-    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-    rows = [flat[s:e] for s, e in itertools.pairwise(ends)]
-    return fit_rows_model(rows, found.column("label").to_numpy() if len(rows) else np.empty(0))
+    found = (docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+             .join(F.broadcast(sample), "id").select("id", F.col("label").cast("int").alias("label"), "text")
+             .mapInArrow(extract, "id long, label int, found array<int>")
+             .toArrow())
+    rows = []
+    for lists in found.column("found").chunks:      # views of what came, no copies
+        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        rows += [flat[s:e] for s, e in itertools.pairwise(ends)]
+    labels_ = found.column("label").to_numpy() if rows else np.empty(0)
+    order = sorted(range(len(rows)), key=found.column("id").to_pylist().__getitem__)
+    return fit_rows_model([rows[i] for i in order], labels_[order] if rows else labels_)
 
 
 def score(spark: SparkSession, model: Model, text: Column) -> Column:
@@ -215,9 +225,8 @@ def score(spark: SparkSession, model: Model, text: Column) -> Column:
     importable(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([shared.value.score(features(t)) for t in batch], dtype="float64")
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array([shared.value.score(features(t.as_py())) for t in texts], pa.float64())
 
     return scored(text)
