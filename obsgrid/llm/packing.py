@@ -25,7 +25,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +34,7 @@ from obsgrid.llm.common import fresh, importable, written
 CAPACITY = 4096
 CLOSING_ID = 1
 #: words whose ids a worker remembers before it starts anew
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 _state: dict = {}
 
@@ -210,11 +209,11 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, closing_id:
     shared = docs.sparkSession.sparkContext.broadcast(runs)
     span = int(max(counts.values(), default=0)) + 1
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        r = shared.value
-        row = np.searchsorted(-r[:, 0] * span + r[:, 1], (-length * span + rank).to_numpy(), side="right") - 1
-        return pd.DataFrame({"sequence_id": r[row, 3] + rank.to_numpy() - r[row, 1], "offset": r[row, 4]})
+    @F.arrow_udf("struct<sequence_id:bigint,offset:bigint>")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        r, of, k = shared.value, length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
+        row = np.searchsorted(-r[:, 0] * span + r[:, 1], -of * span + k, side="right") - 1
+        return pa.StructArray.from_arrays([pa.array(r[row, 3] + k - r[row, 1]), pa.array(r[row, 4])], names=["sequence_id", "offset"])
 
     to = fresh("place")
     return (cut.join(firsts, ["length", "task"]).withColumn(to, place("length", F.col("nr") + F.col("base")))
