@@ -106,6 +106,21 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@register("op5_short_notices", r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), p AS (
+    SELECT doc_id, [i FOR i IN range(len(w) - 2) IF w[i + 1] = 'all' AND w[i + 2] = 'rights' AND w[i + 3] = 'reserved'] AS places FROM d
+)
+SELECT doc_id, 'All-rights-reserved' AS license, 0 AS template, 1 AS matched, 1 AS "of",
+       CAST(list_min(places) AS INTEGER) AS first_word, CAST(list_max(places) + 2 AS INTEGER) AS last_word
+FROM p WHERE len(places) > 0
+""")
+def short_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices shorter than a shingle, which the SQL of ``op5_license_scan`` has no rows for."""
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.NOTICES)
+
+
 @register("op6_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", html_extract.extract(spark, F.col("html")).alias("text"))

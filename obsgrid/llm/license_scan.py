@@ -16,13 +16,16 @@ leaves two neighbours. For a template of one shingle, a band collides if the
 shingle is the smallest of one of the two windows around it: 2/3, so eight
 bands miss it once in 6,500 times.
 
+A template of three or four words is one shingle of its whole length. Texts
+are hashed in that length too, and the shingle's hash is the index.
+
 Templates are a parameter of bounded size (``MAX_TEMPLATES``), so their index
 goes with the plan. Documents are never shuffled or grouped. Everything is
 DataFrame operations.
 
 Defined results: one row for each document row and matching template. NULL and
-empty texts and texts under five words match nothing; a template must have
-five words. Rows that repeat a document each match for themselves. An empty
+empty texts and texts shorter than a template's shingles don't match it; a
+template must have three words. Rows that repeat a document each match for themselves. An empty
 table gives no rows.
 """
 
@@ -36,6 +39,8 @@ from pyspark.sql import functions as F
 from obsgrid.llm.common import fresh
 
 SHINGLE = 5
+#: lengths of templates that are one shingle of their own
+SHORT = (3, 4)
 WINDOW = 2
 CONTAINMENT = 0.8
 MAX_TEMPLATES = 1000
@@ -97,6 +102,9 @@ TEMPLATES = {
     ],
 }
 
+#: notices shorter than a shingle
+NOTICES = {"All-rights-reserved": ["All rights reserved."]}
+
 
 def _signed(seed: int) -> int:
     return seed - (1 << 64) if seed >> 63 else seed
@@ -106,10 +114,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), WORD_BREAK), "")
 
 
-def shingle_hashes(words_: Column) -> Column:
-    """Hashes of the five-word shingles of a word array; empty below five words."""
-    n = F.size(words_) - SHINGLE
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(*[F.get(words_, i + k) for k in range(SHINGLE)]))
+def shingle_hashes(words_: Column, size: int = SHINGLE) -> Column:
+    """Hashes of the shingles of ``size`` words of a word array; empty if it has fewer."""
+    n = F.size(words_) - size
+    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(*[F.get(words_, i + k) for k in range(size)]))
                   ).otherwise(F.array().cast("array<long>"))
 
 
@@ -129,12 +137,16 @@ def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def template_table(spark, templates: dict[str, list[str]]) -> DataFrame:
-    """Rows (license, template, shingles): numbers are places in the license's list."""
+    """Rows (license, template, size, shingles): numbers are places in the license's list, size is a shingle's words."""
     rows = [(name, i, text) for name, texts in templates.items() for i, text in enumerate(texts)]
     if len(rows) > MAX_TEMPLATES:
         raise ValueError(f"license scan: {len(rows)} templates, at most {MAX_TEMPLATES} are supported")
     table = spark.createDataFrame(rows, "license string, template int, text string")
-    return table.select("license", "template", F.array_distinct(shingle_hashes(words(F.col("text")))).alias("shingles"))
+    table = table.select("license", "template", words(F.col("text")).alias("words"))
+    shingles = reduce(lambda made, n: F.when(F.size("words") == n, shingle_hashes(F.col("words"), n)).otherwise(made),
+                      SHORT, shingle_hashes(F.col("words")))
+    return table.select("license", "template", F.least(F.size("words"), F.lit(SHINGLE)).alias("size"),
+                        F.array_distinct(shingles).alias("shingles"))
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT,
@@ -147,9 +159,12 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
     spark = docs.sparkSession
     known = template_table(spark, TEMPLATES if templates is None else templates).collect()     # at most MAX_TEMPLATES
     if any(not r["shingles"] for r in known):
-        raise ValueError("license scan: a template needs five words or more")
+        raise ValueError("license scan: a template needs three words or more")
+    sizes = sorted({r["size"] for r in known})
     index = [[set() for _ in known] for _ in range(bands)]
     for t, row in enumerate(known):
+        if row["size"] < SHINGLE:
+            continue
         for b in range(bands):
             own = [s ^ _signed(SEEDS[b]) for s in row["shingles"]]
             index[b][t] = {min(own[i:i + window]) for i in range(len(own))}
@@ -159,23 +174,39 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
         return F.array(*[F.lit(v).cast("long") for v in values]) if values else F.array().cast(longs)
 
     h, hits, found = fresh("h"), fresh("hits"), fresh("found")
+    hashes = {n: f"{h}_{n}" for n in sizes}
     source = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("words"))
-    hashed = _fixed(source, **{h: shingle_hashes(F.col("words"))}).drop("words")
-    # one array of band keys in the index for each seed; all but a few rows have none
-    shared = [F.array_intersect(band_values(F.col(h), SEEDS[b], window), literal(sorted(set().union(*index[b])) if known else []))
-              for b in range(bands)]
-    met = _fixed(hashed, **{f"{hits}_{b}": s for b, s in enumerate(shared)})
-    met = met.where(reduce(lambda x, y: x | y, [F.size(f"{hits}_{b}") > 0 for b in range(bands)]))
-    retrieved = [F.when(reduce(lambda x, y: x | y, [F.arrays_overlap(f"{hits}_{b}", literal(sorted(index[b][t])))
-                                                   for b in range(bands)]),
-                        F.struct(F.lit(r["license"]).alias("license"), F.lit(r["template"]).alias("template"),
-                                 literal(r["shingles"]).alias("shingles")))
+    if not known:
+        return source.where("false").selectExpr("doc_id", "'' AS license", "0 AS template", "0 AS matched", "0 AS of",
+                                                "0 AS first_word", "0 AS last_word")
+    hashed = _fixed(source, **{c: shingle_hashes(F.col("words"), n) for n, c in hashes.items()}).drop("words")
+    # one array of index keys in the text for each seed, and for each short length; all but a few rows have none
+    shared = {}
+    if SHINGLE in hashes:
+        shared = {f"{hits}_{b}": F.array_intersect(band_values(F.col(hashes[SHINGLE]), SEEDS[b], window),
+                                                   literal(sorted(set().union(*index[b])))) for b in range(bands)}
+    for n in sizes:
+        if n < SHINGLE:
+            own = sorted({r["shingles"][0] for r in known if r["size"] == n})
+            shared[f"{hits}_of_{n}"] = F.array_intersect(F.col(hashes[n]), literal(own))
+
+    def either(columns) -> Column:
+        return reduce(lambda x, y: x | y, columns)
+
+    def meets(t: int, row) -> Column:
+        if row["size"] < SHINGLE:
+            return F.array_contains(f"{hits}_of_{row['size']}", row["shingles"][0])
+        return either(F.arrays_overlap(f"{hits}_{b}", literal(sorted(index[b][t]))) for b in range(bands))
+
+    met = _fixed(hashed, **shared).where(either(F.size(c) > 0 for c in shared))
+    retrieved = [F.when(meets(t, r), F.struct(F.lit(r["license"]).alias("license"), F.lit(r["template"]).alias("template"),
+                                              F.lit(r["size"]).alias("size"), literal(r["shingles"]).alias("shingles")))
                  for t, r in enumerate(known)]
-    if not retrieved:
-        retrieved = [F.lit(None).cast("struct<license:string,template:int,shingles:array<bigint>>")]
-    pairs = met.select("doc_id", h, F.explode(F.array_compact(F.array(*retrieved))).alias(found))
-    checked = _fixed(pairs.select("doc_id", h, f"{found}.*"), **{hits: F.array_intersect(F.col("shingles"), F.col(h))})
+    pairs = met.select("doc_id", *hashes.values(), F.explode(F.array_compact(F.array(*retrieved))).alias(found))
+    # the text's shingles of the template's length
+    own = F.coalesce(*[F.when(F.col(f"{found}.size") == n, F.col(c)) for n, c in hashes.items()])
+    checked = _fixed(pairs.select("doc_id", own.alias(h), f"{found}.*"), **{hits: F.array_intersect(F.col("shingles"), F.col(h))})
     at = F.filter(F.transform(F.col(h), lambda x, i: F.when(F.array_contains(F.col(hits), x), i)), lambda i: i.isNotNull())
     return (checked.where(F.size(hits) >= F.lit(containment) * F.size("shingles"))
             .select("doc_id", "license", "template", F.size(hits).alias("matched"), F.size("shingles").alias("of"),
-                    F.array_min(at).alias("first_word"), (F.array_max(at) + SHINGLE - 1).alias("last_word")))
+                    F.array_min(at).alias("first_word"), (F.array_max(at) + F.col("size") - 1).alias("last_word")))

@@ -12,7 +12,10 @@ import xxhash
 from pyspark.sql import functions as F
 
 from obsgrid.llm import exact_dedup, license_scan, line_dedup, packing, simhash, topk
+from obsgrid.llm.catalog import QUERIES
+from obsgrid.llm.common import table
 from obsgrid.llm.components import components
+from tests.conftest import SF01
 
 P = pytest.importorskip("public_tokenizers")
 WORDS = P.path("word_bpe_49k.json")
@@ -180,6 +183,28 @@ def test_license_retrieval_of_single_shingles(spark):
     assert license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).count() == 400
 
 
+def test_license_scan_short_templates(spark):
+    rows = [(1, "x\nAll rights reserved.\ny"), (2, "ALL Rights, reserved"), (3, "all rights are reserved"), (4, "overall rights reserved"),
+            (5, "some rights reserved here all rights"), (6, "all rights"), (7, None), (8, "Released under the MIT License. All rights reserved.")]
+    docs = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
+    templates = {**license_scan.NOTICES, "MIT": license_scan.TEMPLATES["MIT"], "four": ["Some rights reserved here"]}
+    got = {(r.doc_id, r.license, r.matched, r.of, r.first_word, r.last_word) for r in license_scan.scan(docs, templates).collect()}
+    assert got == {(1, "All-rights-reserved", 1, 1, 1, 3), (2, "All-rights-reserved", 1, 1, 0, 2), (5, "four", 1, 1, 0, 3),
+                   (8, "MIT", 1, 1, 0, 4), (8, "All-rights-reserved", 1, 1, 5, 7)}
+
+
+def test_license_scan_planted_lines(spark):
+    """Every line of the tables that is a notice gives a row, and no other document has one."""
+    planted = {"All rights reserved.": "All-rights-reserved", "Released under the MIT License.": "MIT",
+               "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+               "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
+    docs = table(spark, SF01, "documents")
+    wanted = {(r.doc_id, planted[x.strip()]) for r in docs.collect() for x in (r.text or "").split("\n") if x.strip() in planted}
+    got = [QUERIES[q](spark, SF01).collect() for q in ("op5_license_scan", "op5_short_notices")]
+    assert {x for _, x in wanted} == set(planted.values())
+    assert {(r.doc_id, r.license) for rows in got for r in rows} == wanted
+
+
 # -- packing ------------------------------------------------------------------
 def naive_rooms(counts, capacity):
     rooms = []
