@@ -7,7 +7,9 @@ of ``bands`` seeds: the smallest hash after an exclusive or with the seed. A
 band is one value. The templates' windows give the band index; a text window
 that shares a band retrieves the template. A retrieved template matches if the
 document holds at least ``containment`` of its distinct shingles, counted
-exactly.
+exactly, and for each deciding phrase of its license that stands in the
+template a shingle with the whole phrase. Deciding are the family words and
+version numbers that alone tell a notice from its neighbours.
 
 Probability of retrieval: where ``window`` neighbouring shingles of a template
 stand in the text unchanged, both sides have the same window and every band
@@ -71,6 +73,25 @@ TEMPLATES = {
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
     ],
+    # those of neighbours begin late enough to stay under the containment in each other's notices
+    "GPL-2.0": [
+        "GNU General Public License, version 2",
+        "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of "
+        "the License",
+    ],
+    "LGPL-2.0": [
+        "GNU Library General Public License",
+    ],
+    "LGPL-2.1": [
+        "GNU Lesser General Public License, version 2.1",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License",
+    ],
+    "LGPL-3.0": [
+        "GNU Lesser General Public License, version 3",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License",
+    ],
     "AGPL-3.0": [
         "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
     ],
@@ -102,6 +123,18 @@ TEMPLATES = {
     ],
 }
 
+# Words that tell a license from its neighbours, as words() gives them.
+DECIDING = {
+    "GPL-3.0": ["gnu general", "version 3"],
+    "GPL-2.0": ["gnu general", "version 2"],
+    "LGPL-2.0": ["gnu library"],
+    "LGPL-2.1": ["gnu lesser", "version 2 1"],
+    "LGPL-3.0": ["gnu lesser", "version 3"],
+    "AGPL-3.0": ["gnu affero"],
+    "Apache-2.0": ["apache", "2 0"],
+    "MPL-2.0": ["mozilla", "2 0"],
+}
+
 #: notices shorter than a shingle
 NOTICES = {"All-rights-reserved": ["All rights reserved."]}
 
@@ -137,7 +170,8 @@ def _fixed(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def template_table(spark, templates: dict[str, list[str]]) -> DataFrame:
-    """Rows (license, template, size, shingles): numbers are places in the license's list, size is a shingle's words."""
+    """Rows (license, template, words, size, placed, shingles): numbers are places in the license's list, size is a shingle's
+    words, placed are all shingles in order and shingles the distinct ones."""
     rows = [(name, i, text) for name, texts in templates.items() for i, text in enumerate(texts)]
     if len(rows) > MAX_TEMPLATES:
         raise ValueError(f"license scan: {len(rows)} templates, at most {MAX_TEMPLATES} are supported")
@@ -145,18 +179,32 @@ def template_table(spark, templates: dict[str, list[str]]) -> DataFrame:
     table = table.select("license", "template", words(F.col("text")).alias("words"))
     shingles = reduce(lambda made, n: F.when(F.size("words") == n, shingle_hashes(F.col("words"), n)).otherwise(made),
                       SHORT, shingle_hashes(F.col("words")))
-    return table.select("license", "template", F.least(F.size("words"), F.lit(SHINGLE)).alias("size"),
-                        F.array_distinct(shingles).alias("shingles"))
+    return table.select("license", "template", "words", F.least(F.size("words"), F.lit(SHINGLE)).alias("size"),
+                        shingles.alias("placed"), F.array_distinct(shingles).alias("shingles"))
+
+
+def deciding_shingles(row, phrases: list[str]) -> list[list[int]]:
+    """For each of the phrases that stands in a template's row, the template's shingles with the whole phrase."""
+    out = []
+    for phrase in (p.split() for p in phrases):
+        whole = [s for i, s in enumerate(row["placed"])
+                 if any(row["words"][j:j + len(phrase)] == phrase for j in range(i, i + row["size"] - len(phrase) + 1))]
+        if whole:
+            out.append(sorted(set(whole)))
+    return out
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, containment: float = CONTAINMENT,
-         window: int = WINDOW, bands: int = len(SEEDS), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+         window: int = WINDOW, bands: int = len(SEEDS), doc_id: str = "doc_id", text: str = "text",
+         deciding: dict[str, list[str]] | None = None) -> DataFrame:
     """Rows (doc_id, license, template, matched, of, first_word, last_word): templates that a document contains.
 
     ``matched`` of the template's ``of`` distinct shingles stand in the text,
     between its words number ``first_word`` and ``last_word`` (from 0).
+    ``deciding`` has the phrases of each license; without it, ``DECIDING`` for the own templates and none for others.
     """
     spark = docs.sparkSession
+    phrases = (DECIDING if templates is None else {}) if deciding is None else deciding
     known = template_table(spark, TEMPLATES if templates is None else templates).collect()     # at most MAX_TEMPLATES
     if any(not r["shingles"] for r in known):
         raise ValueError("license scan: a template needs three words or more")
@@ -171,7 +219,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
     longs = "array<long>"
 
     def literal(values) -> Column:
-        return F.array(*[F.lit(v).cast("long") for v in values]) if values else F.array().cast(longs)
+        # one expression: a call for each of thousands of numbers takes the driver longer than the scan
+        return F.expr(f"array({', '.join(f'{v}L' for v in values)})") if values else F.array().cast(longs)
 
     h, hits, found = fresh("h"), fresh("hits"), fresh("found")
     hashes = {n: f"{h}_{n}" for n in sizes}
@@ -193,6 +242,10 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
     def either(columns) -> Column:
         return reduce(lambda x, y: x | y, columns)
 
+    def decided(row) -> Column:
+        own = deciding_shingles(row, phrases.get(row["license"], []))
+        return F.array(*[literal(s) for s in own]).cast("array<array<long>>")
+
     def meets(t: int, row) -> Column:
         if row["size"] < SHINGLE:
             return F.array_contains(f"{hits}_of_{row['size']}", row["shingles"][0])
@@ -200,7 +253,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
 
     met = _fixed(hashed, **shared).where(either(F.size(c) > 0 for c in shared))
     retrieved = [F.when(meets(t, r), F.struct(F.lit(r["license"]).alias("license"), F.lit(r["template"]).alias("template"),
-                                              F.lit(r["size"]).alias("size"), literal(r["shingles"]).alias("shingles")))
+                                              F.lit(r["size"]).alias("size"), literal(r["shingles"]).alias("shingles"),
+                                              decided(r).alias("deciding")))
                  for t, r in enumerate(known)]
     pairs = met.select("doc_id", *hashes.values(), F.explode(F.array_compact(F.array(*retrieved))).alias(found))
     # the text's shingles of the template's length
@@ -208,5 +262,6 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
     checked = _fixed(pairs.select("doc_id", own.alias(h), f"{found}.*"), **{hits: F.array_intersect(F.col("shingles"), F.col(h))})
     at = F.filter(F.transform(F.col(h), lambda x, i: F.when(F.array_contains(F.col(hits), x), i)), lambda i: i.isNotNull())
     return (checked.where(F.size(hits) >= F.lit(containment) * F.size("shingles"))
+            .where(F.forall("deciding", lambda s: F.arrays_overlap(s, hits)))
             .select("doc_id", "license", "template", F.size(hits).alias("matched"), F.size("shingles").alias("of"),
                     F.array_min(at).alias("first_word"), (F.array_max(at) + F.col("size") - 1).alias("last_word")))

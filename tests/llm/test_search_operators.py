@@ -205,6 +205,22 @@ def test_license_scan_planted_lines(spark):
     assert {(r.doc_id, r.license) for rows in got for r in rows} == wanted
 
 
+def test_license_scan_tells_neighbours_apart(spark):
+    header = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as "
+              "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+    line = "This work is licensed under the GNU {} Public License, version {}."
+    families = {"General": {"2": "GPL-2.0", "3": "GPL-3.0"}, "Lesser General": {"2.1": "LGPL-2.1", "3": "LGPL-3.0"},
+                "Library General": {"2": "LGPL-2.0"}, "Affero General": {"3": "AGPL-3.0"}}
+    cases = [(text.format(family, version), name) for family, own in families.items() for version, name in own.items()
+             for text in (header, line) if (text, name) != (line, "AGPL-3.0")]
+    cases += [("you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+               f"http://www.apache.org/licenses/LICENSE-{v}", n) for v, n in (("2.0", "Apache-2.0"), ("1.1", None))]
+    cases += [(header.format("General", "3").replace("of the License", "of this License"), "GPL-3.0")]
+    docs = spark.createDataFrame([(i, "some words " + t + " and more") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {(r.doc_id, r.license) for r in license_scan.scan(docs).collect()}
+    assert got == {(i, n) for i, (_, n) in enumerate(cases) if n}
+
+
 # -- packing ------------------------------------------------------------------
 def naive_rooms(counts, capacity):
     rooms = []
