@@ -3,11 +3,12 @@
 A page is cut into blocks at block-level tags. The first pass looks at each
 block alone: blocks inside boilerplate elements (by tag, or by the words of
 their class, id and role) and blocks made of links are bad; headings and long
-blocks are good, either because they hold many stop words or because they
-stand in the page's article element; what is short stays open. The second
-pass gives open blocks the label of the nearest decided blocks: good if both
-sides agree or if they stand in the article, else the nearer one's, ties to
-the one before. Good blocks are joined by a line feed.
+blocks are good if they hold many stop words, where an article element halves
+what is asked; what is short or holds too few stays open. The second pass
+gives open blocks the label of the nearest decided block, ties to the one
+before. In an article that is the nearest in the same article, past
+boilerplate elements; if none is decided there, its open blocks are good.
+Good blocks are joined by a line feed.
 
 Markup is read leniently: unclosed and stray tags, a page cut off inside a
 tag, entities without an end. Scripts, styles and comments are skipped whole.
@@ -51,6 +52,8 @@ STOP_WORDS = frozenset("""a an and are as at be by for from have he in is it of
 LONG = 70
 LINKS = 0.4
 STOPS = 0.1
+#: what stands in an article needs less
+STOPS_IN_ARTICLE = 0.05
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
@@ -68,6 +71,7 @@ class Block:
     bad: bool
     article: bool
     heading: bool
+    part: int       # number of the outermost article element it stands in
 
 
 def _role(tag: str, attributes: str, in_article: bool) -> bool | None:
@@ -96,13 +100,14 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked, in_link, heading = 0, 0, False
     bad = article = named = False
+    part = 0
 
     def end_block() -> None:
         nonlocal linked, parts
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, linked, bad, article, heading))
+                out.append(Block(text, linked, bad, article, heading, part))
         parts, linked = [], 0
 
     def back_to(depth: int) -> None:
@@ -171,6 +176,7 @@ def blocks(page: str) -> list[Block]:
             inner_bad = False       # an article begins anew after an unclosed menu, not among comments
         if attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
+        part += inner_article and not article
         open_tags.append((tag, inner_bad, inner_article, inner_named))
         bad, article, named = inner_bad, inner_article, inner_named
         in_link, heading = in_link or tag == "a", heading or tag in HEADINGS
@@ -190,34 +196,38 @@ def _first_pass(block: Block) -> bool | None:
     words = _WORD.findall(block.text.lower())
     stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
     if len(block.text) >= LONG:
-        return True if block.article or stops >= STOPS else None
+        return True if stops >= (STOPS_IN_ARTICLE if block.article else STOPS) else None
     return None
 
 
+def _nearest(first: list[bool | None], part: list[int] | None = None) -> list[list[tuple[int, int, bool]]]:
+    """For each place the nearest decided ones before and after it, of its own part: (distance, side, label)."""
+    out: list[list[tuple[int, int, bool]]] = [[] for _ in first]
+    for side, places in enumerate((range(len(first)), range(len(first) - 1, -1, -1))):
+        last = None
+        for i in places:
+            if last is not None and part and part[last] != part[i]:
+                last = None
+            if first[i] is not None:
+                last = i
+            elif last is not None:
+                out[i].append((abs(i - last), side, first[last]))
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The good blocks' texts, joined by line feeds."""
     found = blocks(page or "")
     first = [_first_pass(b) for b in found]
-    has_article = any(b.article and not b.bad for b in found)
-    if has_article:
-        first = [False if v is None and not b.article else v for b, v in zip(found, first)]
-    before: list[tuple[int, bool] | None] = []
-    last = None
-    for i, v in enumerate(first):
-        last = (i, v) if v is not None else last
-        before.append(last)
-    after, last = [None] * len(first), None
-    for i in range(len(first) - 1, -1, -1):
-        last = (i, first[i]) if first[i] is not None else last
-        after[i] = last
+    around = _nearest(first)
+    # boilerplate elements inside an article are no part of its flow, so its open blocks look past them
+    flow = [i for i, b in enumerate(found) if b.article and not b.bad]
+    inside = dict(zip(flow, _nearest([first[i] for i in flow], [found[i].part for i in flow])))
     keep = []
     for i, (block, v) in enumerate(zip(found, first)):
         if v is None:
-            if block.article or not (before[i] or after[i]):
-                v = True
-            else:
-                sides = [s for s in (before[i], after[i]) if s]
-                v = min(sides, key=lambda s: abs(s[0] - i))[1]
+            sides = inside[i] if i in inside else around[i]
+            v = min(sides)[-1] if sides else i in inside or not around[i]
         if v:
             keep.append(block.text)
     return "\n".join(keep)

@@ -156,6 +156,23 @@ def test_main_text_without_article():
     assert html_extract.main_text(page).split("\n") == [("the sea and the land and the sky of it " * 4).strip(), "Short tail"]
 
 
+def test_body_beside_an_article_teaser():
+    long = "The sea and the land and the sky of it are what we have for the day. " * 3
+    page = ("<body><nav><a href=1>Home</a></nav><article><h2>Read next</h2><p>A teaser.</p></article>"
+            f"<div><p>{long}</p><p>Short one.</p><p>Another short one.</p><p>{long}</p></div><footer>The end</footer>")
+    assert html_extract.main_text(page).split("\n") == ["Read next", "A teaser.", long.strip(), "Short one.", "Another short one.", long.strip()]
+
+
+def test_density_and_neighbours_decide_in_an_article():
+    long = "The sea and the land and the sky of it are what we have for the day. " * 3
+    codes = "SKU-1 4711 blue cotton XL warehouse pallet shelf container barcode voucher " * 2
+    page = (f"<body><article><p>{long}</p><p>Short.</p><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li>{codes}</li>"
+            "<li>More</li><li><a href=3>Three</a></li></ul></article>")
+    assert html_extract.main_text(page).split("\n") == [long.strip(), "Short."]
+    plain = f"<body><nav>menu</nav><article><p>{codes}</p><div class=ad>Buy</div><p>Tail</p></article><footer>end</footer>"
+    assert html_extract.main_text(plain).split("\n") == [codes.strip(), "Tail"]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "</", "<!--", "<script>x", "<a href='", "&amp", "&#x;", "<p>" * 300 + "x"])
 def test_broken_pages(page):
     assert isinstance(html_extract.main_text(page), str)
