@@ -10,7 +10,9 @@ score from 0 to 1.
 
 The fit uses at most ``fit_rows`` labelled rows, those with the smallest hash
 of their id: a documented bound, so the sample may be broadcast to find its
-texts and its features come to the driver. Scoring needs no shuffle.
+texts and its features come to the driver. Rows that repeat an id count once,
+as the text with the smallest hash, added up before the shuffle. Scoring needs
+no shuffle.
 
 Defined results: NULL and empty texts have no features and get the score of
 the model's bias; with no label of one of the classes every text gets the
@@ -208,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 8000, doc_id: str =
     importable(docs.sparkSession)
     # at most fit_rows rows of two numbers: the broadcast is bounded by that parameter
     found = (docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-             .join(F.broadcast(sample), "id").select("id", F.col("label").cast("int").alias("label"), "text")
+             .join(F.broadcast(sample), "id").groupBy("id", F.col("label").cast("int").alias("label"))
+             .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")).select("id", "label", "one.text")
              .mapInArrow(extract, "id long, label int, found array<int>")
              .toArrow())
     rows = []

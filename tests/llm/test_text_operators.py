@@ -127,6 +127,17 @@ def test_quality_odd_input(spark):
     assert quality.fit(docs, labels.limit(0)).score(quality.features("x")) == pytest.approx(0.5)
 
 
+def test_quality_fits_one_row_for_each_id(spark, monkeypatch):
+    rows = [(i, ("good words here " if i % 2 else "bad junk there ") + str(i)) for i in range(20)]
+    again = [rows[3]] * 30 + [(4, None), (4, "bad other text"), (4, "")] * 10
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    came = []
+    monkeypatch.setattr(quality, "fit_rows_model", lambda found, labels: came.append([r.tolist() for r in found]))
+    for some in (rows + again, again + rows):
+        quality.fit(spark.createDataFrame(some, "doc_id long, text string").repartition(5), labels, fit_rows=12)
+    assert len(came[0]) == 12 and came[0] == came[1]
+
+
 def test_dual_descent_separates():
     rng = np.random.default_rng(3)
     rows = [np.unique(np.concatenate([rng.integers(10, 400, 20), [k]])).astype(np.int32) for k in (5, 6) * 60]
