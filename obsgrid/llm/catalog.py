@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.llm import bpe, exact_dedup, html_extract, langid, license_scan, line_dedup, packing, quality, simhash, topk
+from obsgrid.llm import bpe, decontaminate, exact_dedup, html_extract, langid, license_scan, line_dedup, packing, quality, simhash, topk
 from obsgrid.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +198,34 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@register("op13_decontamination", r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), x AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS one
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), p AS (
+    SELECT row_no, i, n, array_to_string(w[i:i + n - 1], ' ') AS one
+    FROM (SELECT row_no, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM x) WHERE len(w) >= n)
+), m AS (
+    SELECT row_no, i, n, item FROM p JOIN x USING (n, one)
+), h AS (
+    SELECT row_no, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT row_no, unnest(range(i, i + n)) AS k FROM m) GROUP BY row_no
+), s AS (
+    SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT row_no, item FROM m) GROUP BY row_no
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (row_no) LEFT JOIN s USING (row_no)
+""")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")

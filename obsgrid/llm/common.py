@@ -58,3 +58,8 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *parts])
     # workers live on after a query: give what Arrow batches held back to the system
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+
+
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a generator: what is built on them reads them, and the optimizer can't work them out again in place."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))

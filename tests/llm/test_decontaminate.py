@@ -1,0 +1,98 @@
+"""Benchmark decontamination against brute force, and on odd input."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from obsgrid.llm import decontaminate
+from obsgrid.llm.catalog import QUERIES
+from obsgrid.llm.common import table
+from tests.conftest import SF001
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, window=10):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(len(w) - window, 0) + 1 if w else 0):
+            windows.setdefault(tuple(w[i:i + window]), set()).add("" if item is None else str(item))
+    sizes = {len(w) for w in windows}
+    out = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if (own := windows.get(tuple(w[i:i + n]))):
+                    hit.update(range(i, i + n))
+                    found |= own
+        out.append((doc, len(w), len(hit), tuple(sorted(found)), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def ours(spark, docs, items, **more):
+    d = spark.createDataFrame(docs, "doc_id long, text string").select("*", *[F.lit(3).alias(c) for c in ("w", "key", "pos", "items", "span")])
+    b = spark.createDataFrame(items, "item_id long, text string").select("*", *[F.lit(4).alias(c) for c in ("w", "key", "at", "words", "n")])
+    return sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated)
+                   for r in decontaminate.contamination(d, b, **more).collect()), key=repr)
+
+
+def corpus(rng, few):
+    """Texts of few words, so that windows and parts of windows recur, with letters whose lower case depends on their place."""
+    some = ["a", "B", "ÄB", "äb", "ΑΣ", "x9", "of", "É", "İ", "K"][:few]
+
+    def text(n):
+        return "".join(rng.choice(some) + rng.choice([" ", ", ", "\n", "-", " ' "]) for _ in range(n))
+
+    items = [(i, text(rng.choice([1, 2, 3, 4, 5, 9, 10, 11, 14]))) for i in range(25)]
+    items += [(3, text(12)), (None, text(11)), (40, None), (41, ""), (42, "?!"), (43, items[0][1])]
+    docs = [(i, text(rng.choice([0, 1, 4, 9, 10, 30, 80]))) for i in range(60)]
+    docs += [(100 + i, text(5) + (t or "").swapcase().replace("É", "é") + text(5)) for i, (_, t) in enumerate(items)]
+    docs += [(200 + i, f"zz {t} zz {t}") for i, (_, t) in enumerate(items)]
+    return docs + [(1, None), (2, ""), (2, "  "), (None, items[4][1]), (7, docs[7][1]), (7, docs[7][1]), (7, docs[70][1])], items
+
+
+@pytest.mark.parametrize("seed,few,window", [(1, 10, 10), (2, 3, 10), (3, 6, 4), (4, 2, 2)])
+def test_against_brute_force(spark, seed, few, window):
+    docs, items = corpus(random.Random(seed), few)
+    assert ours(spark, docs, items, window=window) == brute(docs, items, window)
+
+
+def test_index_in_blocks(spark, monkeypatch):
+    docs, items = corpus(random.Random(5), 8)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert ours(spark, docs, items) == brute(docs, items)
+
+
+def test_empty_tables_and_long_text(spark):
+    docs, items = corpus(random.Random(6), 9)
+    long = [(5, " ".join(t or "" for _, t in docs) * 60)]
+    assert ours(spark, long, items) == brute(long, items)
+    assert ours(spark, docs, []) == brute(docs, [])
+    assert ours(spark, [], items) == []
+
+
+def test_query_on_whole_tables(spark):
+    docs = [tuple(r) for r in table(spark, SF001, "documents").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in table(spark, SF001, "benchmark").select("item_id", "text").collect()]
+    found = {(r.doc_id, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in QUERIES["op13_decontamination"](spark, SF001).collect()}
+    expected = brute(docs, items)
+    assert found == {(d, n, h, len(i), c) for d, n, h, i, c in expected}
+    assert any(c for *_, c in expected) and not all(c for *_, c in expected)
+
+
+def test_documents_stay_in_their_tasks(spark):
+    """Only hashes' counts, verified windows and one narrow row a document meet in a shuffle; the join is a broadcast of the index."""
+    docs, items = corpus(random.Random(7), 9)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    plan = decontaminate.occurrences(d, spark.createDataFrame(items, "item_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Python" not in plan and "CartesianProduct" not in plan
