@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.llm import bpe, decontaminate, exact_dedup, html_extract, langid, license_scan, line_dedup, packing, quality, simhash, topk
+from obsgrid.llm import bpe, conversations, decontaminate, exact_dedup, html_extract, langid, license_scan, line_dedup, packing, quality, simhash, topk
 from obsgrid.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,3 +229,70 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op11_conversation_repair", r"""
+WITH RECURSIVE t AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), k AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                          lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+    FROM conversations
+), z AS (
+    SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM k, t
+), g AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM z
+), n AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare
+    FROM g
+), r AS (
+    SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+           CASE WHEN bare = '' THEN 'b' WHEN again THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'c' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+    FROM n
+), s AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+           count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+           count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+    FROM r GROUP BY conv_id
+), pre(place, into_, cost, letters, made) AS (
+    VALUES ('-', '-', 0, '', []), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []),
+           ('-', 'u', 5, 'I', ['user:']), ('s', 'u', 5, 'I', ['user:']), ('u', 'a', 5, 'I', ['assistant:']), ('a', 'u', 5, 'I', ['user:']),
+           ('-', 'a', 10, 'II', ['user:', 'assistant:']), ('s', 'a', 10, 'II', ['user:', 'assistant:'])
+), w AS (
+    SELECT conv_id, 0 AS i, '-' AS place, {'cost': 0, 'audit': '', 'made': []::VARCHAR[]} AS best FROM s
+    UNION ALL
+    SELECT conv_id, any_value(i), place, min(best) FROM (
+        SELECT w.conv_id, CAST(r.i AS INTEGER) AS i, e.place,
+               {'cost': w.best.cost + pre.cost + e.cost, 'audit': w.best.audit || pre.letters || e.letter,
+                'made': w.best.made || pre.made || e.made} AS best
+        FROM w JOIN pre USING (place) JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1,
+             LATERAL (SELECT unnest([
+                 {'place': pre.into_, 'cost': 2, 'letter': 'D', 'made': []::VARCHAR[], 'ok': true},
+                 {'place': CASE pre.into_ WHEN 'u' THEN 'a' ELSE 'u' END, 'cost': 1 + CASE fault WHEN 't' THEN 5 ELSE 0 END, 'letter': 'R',
+                  'made': [CASE pre.into_ WHEN 'u' THEN 'assistant' ELSE 'user' END || ':' || r.text], 'ok': fault IN ('c', 't')},
+                 {'place': initial, 'cost': CASE fault WHEN 't' THEN 5 ELSE 0 END, 'letter': 'K', 'made': [r.role || ':' || r.text],
+                  'ok': fault IN ('c', 't') AND pre.into_ || initial IN ('-s', '-u', 'su', 'ua', 'au')}], recursive := true)) AS e
+        WHERE e.ok
+    ) GROUP BY conv_id, place
+), f AS (
+    SELECT w.conv_id, min({'cost': w.best.cost + pre.cost, 'audit': w.best.audit || pre.letters, 'made': w.best.made || pre.made}) AS best
+    FROM w JOIN s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = s.n JOIN pre USING (place) WHERE pre.into_ IN ('-', 'a') GROUP BY w.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(f.best.cost, 0) AS BIGINT) AS cost, coalesce(f.best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(f.best.made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+     LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+""")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, F.col("copies"))
