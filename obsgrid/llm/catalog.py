@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsgrid.llm import bpe, conversations, decontaminate, exact_dedup, html_extract, langid, license_scan, line_dedup, packing, quality, simhash, topk
+from obsgrid.llm import alignment, bpe, conversations, decontaminate, exact_dedup, html_extract, langid, license_scan, line_dedup, packing, quality, simhash, topk
 from obsgrid.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,6 +200,11 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+@register("op12_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json")[0], _vocabulary("piece_bpe_32k.model")[0])
+
+
 @register("op13_decontamination", r"""
 WITH d AS (
     SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''),
