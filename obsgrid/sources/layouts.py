@@ -10,11 +10,20 @@ Parquet has no MERGE. An upsert here:
    ``PRUNED`` partitions it is broadcast and also given as filters on the
    partition columns, so the scan lists and reads only those folders). They
    rank below every new row, and the union is reduced again;
-4. writes the merged partitions once, sorted, to a staging folder in the
-   shared folder, then moves each finished partition folder into the table by
-   rename. If that stops part-way, a note in the table's folder names the
-   staged copy: the next upsert first moves what is still there, and so does
-   ``finish_upsert``, which can be run again.
+4. writes the merged partitions once, sorted, to a stage inside the table's
+   own folder (hidden from readers, and on the same file system, so that a move
+   is a rename; no clean-up of scratch folders reaches it), then writes a
+   journal of every folder to move with its files and their sizes;
+5. for each folder, renames the old one aside and then the new one into its
+   place. A folder's state is read from what is there: staged, old set aside, or
+   moved. Only when all are moved is the upsert marked as done, and the old
+   folders go.
+
+A stop at any point leaves the old table (no journal yet), or a journal that the
+next upsert, or ``finish_upsert``, first works off: to the new table if every
+folder that is not yet moved is whole in the stage; else back to the old
+table, with ``StageLost``. If neither can be had, ``StageLost`` says which
+folders are missing and nothing is removed. One writer at a time is assumed.
 
 A table is whatever data its folder holds: markers don't matter, and no step
 ever overwrites the folder as a whole. A first load (no data yet) is written
@@ -27,7 +36,10 @@ and min/max statistics of the clustering columns stay selective.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import posixpath
+import uuid
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsgrid.schema import STATION_LAYOUT, TIME_LAYOUT, Layout
-from obsgrid.session import scratch_path, shared_dir
+from obsgrid.session import shared_dir
 
 # touched partitions up to which the scan gets them as filters
 PRUNED = 10_000
@@ -43,8 +55,13 @@ PRUNED = 10_000
 ROWS_PER_TASK = 2_000_000
 # partition folders moved at once
 MOVERS = 16
-# note in the table's folder that names the stage while folders are moved
+# folder in the table's folder with the stage, the journal and the old folders of an upsert that has not finished
 PENDING = "_pending_upsert"
+NEW, OLD, JOURNAL, DONE = "new", "old", "journal", "done"
+
+
+class StageLost(RuntimeError):
+    """An upsert that stopped part-way can't be finished, because staged folders are missing or cut short."""
 
 
 def dedup_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -74,16 +91,77 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+class _Folder:
+    """Paths below one folder, as the cluster's file system has them."""
+
+    def __init__(self, spark: SparkSession, top: str):
+        self.jvm = spark.sparkContext._jvm
+        self.top = top.rstrip("/")
+        self.fs, self.root = _fs_path(spark, self.top)
+
+    def path(self, *parts: str):
+        return self.jvm.org.apache.hadoop.fs.Path(posixpath.join(self.top, *parts))
+
+    def exists(self, *parts: str) -> bool:
+        return self.fs.exists(self.path(*parts))
+
+    def rename(self, source: Sequence[str], target: Sequence[str]) -> None:
+        to = self.path(*target)
+        self.fs.mkdirs(to.getParent())
+        if not self.fs.rename(self.path(*source), to):
+            raise OSError(f"cannot move {self.path(*source)} to {to}")
+
+    def remove(self, *parts: str) -> None:
+        self.fs.delete(self.path(*parts), True)
+
+    def write(self, text: str, *parts: str) -> None:
+        """A file that is either whole or not there."""
+        draft = self.path(*parts[:-1], f".{parts[-1]}-{uuid.uuid4().hex}")
+        out = self.fs.create(draft, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        if not self.fs.rename(draft, self.path(*parts)):
+            raise OSError(f"cannot write {self.path(*parts)}")
+
+    def read(self, *parts: str) -> str:
+        stream = self.fs.open(self.path(*parts))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def files(self, *parts: str) -> dict[str, int]:
+        """Data files anywhere below a folder: path from there, and length."""
+        if not self.exists(*parts):
+            return {}
+        top, out = str(self.fs.makeQualified(self.path(*parts)).toUri().getPath()), {}
+        found = self.fs.listFiles(self.path(*parts), True)
+        while found.hasNext():
+            one = found.next()
+            name = str(one.getPath().toUri().getPath())[len(top):].strip("/")
+            if not name.rpartition("/")[2].startswith(("_", ".")):
+                out[name] = one.getLen()
+        return out
+
+
 def _pending(spark: SparkSession, path: str) -> str | None:
-    """The stage of an upsert that began to move folders and has not finished."""
-    fs, note = _fs_path(spark, f"{path.rstrip('/')}/{PENDING}")
-    if not fs.exists(note):
+    """The stage of an upsert that has a journal but has not finished. Stages without one are what a stop before it left: they go."""
+    table = _Folder(spark, path)
+    if not table.exists(PENDING):
         return None
-    stream = fs.open(note)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip() or None
-    finally:
-        stream.close()
+    if table.fs.getFileStatus(table.path(PENDING)).isFile():
+        raise StageLost(f"{path}/{PENDING} is an older version's note of a stage at {table.read(PENDING).strip()}: finish it by that version")
+    left = [str(st.getPath().getName()) for st in table.fs.listStatus(table.path(PENDING))]
+    for one in left:
+        if not table.exists(PENDING, one, JOURNAL):
+            table.remove(PENDING, one)
+    left = [one for one in left if table.exists(PENDING, one, JOURNAL)]
+    if not left:
+        table.remove(PENDING)
+        return None
+    return posixpath.join(path.rstrip("/"), PENDING, left[0], NEW)
 
 
 def read_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -158,8 +236,9 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
         # first load: nothing is read from the target, write it directly
         write_layout(merged, path, layout, num_tasks=num_tasks)
         return read_layout(spark, path, merged.schema)
-    staging = scratch_path(spark, f"stage-{layout.name}")
+    staging = posixpath.join(path.rstrip("/"), PENDING, uuid.uuid4().hex, NEW)
     write_layout(merged, staging, layout, num_tasks=num_tasks)
+    write_journal(spark, staging, path, layout)
     try:
         return finish_upsert(spark, staging, path, layout, merged.schema)
     except Exception as e:
@@ -167,33 +246,93 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
                            f"{staging!r}, {path!r}, ...) to complete the upsert") from e
 
 
-def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout, schema: T.StructType) -> DataFrame:
-    """Move the staged partition folders into the table, each in place of its old one.
-
-    Also the recovery step: an old folder goes only when its new one is
-    complete in the stage, and a moved folder is no longer there, so running
-    this again after a failure finishes the rest.
+def write_journal(spark: SparkSession, staging: str, path: str, layout: Layout) -> None:
+    """List every folder to move: a partition folder, or the highest folder above it that the table doesn't have yet."""
+    table = _Folder(spark, path)
+    upsert_folder = posixpath.relpath(posixpath.dirname(staging), path.rstrip("/"))
+    by_folder: dict[str, dict[str, int]] = {}
+    for name, size in table.files(upsert_folder, NEW).items():
+        folder, _, file = name.rpartition("/")
+        by_folder.setdefault(folder, {})[file] = size
+    present: dict[str, bool] = {}
+
+    def there(folder: str) -> bool:
+        if folder not in present:
+            above = posixpath.dirname(folder)
+            present[folder] = (not above or there(above)) and table.exists(folder)
+        return present[folder]
+
+    moves: dict[str, dict] = {}
+    for folder, files in sorted(by_folder.items()):
+        unit = folder
+        while (above := posixpath.dirname(unit)) and not there(above):
+            unit = above
+        move = moves.setdefault(unit, {"folder": unit, "replaces": there(unit), "files": {}})
+        inner = folder[len(unit):].strip("/")
+        move["files"] |= {posixpath.join(inner, f): n for f, n in files.items()}
+    table.write("\n".join(json.dumps(m) for m in moves.values()), upsert_folder, JOURNAL)
+
+
+def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout, schema: T.StructType,
+                  step: Callable[[str, str], None] | None = None) -> DataFrame:
+    """Work off the journal of the upsert staged at ``staging``; also the recovery step, which may run again and again.
+
+    Raises ``StageLost`` if staged folders are missing: the table is then the one before the upsert, if the old folders
+    are still there. ``step`` is called with a folder and the state it is about to leave.
     """
-    fs, top = _fs_path(spark, staging)
-    marks, note = _fs_path(spark, f"{path.rstrip('/')}/{PENDING}")
-    out = marks.create(note, True)
-    out.write(bytearray(staging.encode()))
-    out.close()
-    fresh = [st.getPath() for st in fs.globStatus(_fs_path(spark, staging + "/*=*" * len(layout.partition_by))[1]) or ()]
-
-    def move(folder) -> None:
-        relative = str(folder.toUri().getPath())[len(str(top.toUri().getPath())):].strip("/")
-        target = _fs_path(spark, f"{path.rstrip('/')}/{relative}")[1]
-        if fs.exists(target) and not fs.delete(target, True):
-            raise OSError(f"cannot replace {target}")
-        fs.mkdirs(target.getParent())
-        if not fs.rename(folder, target):
-            raise OSError(f"cannot move {folder} to {target}")
-
-    with ThreadPoolExecutor(MOVERS) as pool:
-        list(pool.map(move, fresh))
-    marks.delete(note, False)
-    _remove(spark, staging)  # only after the table holds the merged partitions
+    table = _Folder(spark, path)
+    own = posixpath.relpath(posixpath.dirname(staging), path.rstrip("/"))
+    before = step or (lambda folder, state: None)
+
+    def state(move: dict) -> str:
+        folder = move["folder"]
+        if table.exists(own, NEW, folder):
+            whole = table.files(own, NEW, folder) == move["files"]
+            return "lost" if not whole else "staged" if table.exists(folder) else "aside"
+        # a new folder is at its place, or an old one has gone aside and the new one taken its place
+        return "moved" if table.exists(folder) and (not move["replaces"] or table.exists(own, OLD, folder)) else "lost"
+
+    def forward(move: dict) -> None:
+        folder = move["folder"]
+        now = state(move)
+        if now == "staged":
+            before(folder, now)
+            table.rename((folder,), (own, OLD, folder))
+            now = "aside"
+        if now == "aside":
+            before(folder, now)
+            table.rename((own, NEW, folder), (folder,))
+        elif now != "moved":
+            raise StageLost(f"{folder} is no longer whole in {staging}")
+
+    def back(move: dict) -> None:
+        folder = move["folder"]
+        if move["replaces"]:
+            if table.exists(own, OLD, folder):
+                if table.exists(folder):
+                    table.rename((folder,), (own, NEW, folder))
+                table.rename((own, OLD, folder), (folder,))
+        elif table.exists(folder):
+            table.rename((folder,), (own, NEW, folder))
+
+    if not table.exists(own, DONE):
+        moves = [json.loads(line) for line in table.read(own, JOURNAL).splitlines() if line]
+        with ThreadPoolExecutor(MOVERS) as pool:
+            lost = [m["folder"] for m, now in zip(moves, pool.map(state, moves)) if now == "lost"]
+            if lost:
+                gone = [m["folder"] for m in moves if m["replaces"] and not table.exists(m["folder"]) and not table.exists(own, OLD, m["folder"])]
+                if gone:
+                    raise StageLost(f"neither the old nor the new folder is whole: {gone[:5]}; nothing was removed from {staging}")
+                list(pool.map(back, moves))
+            else:
+                list(pool.map(forward, moves))
+        if lost:
+            table.remove(PENDING)
+            spark.catalog.refreshByPath(path)
+            raise StageLost(f"staged folders were missing or cut short ({lost[:5]}): the table is the one before the upsert; load the batch again")
+        table.write("", own, DONE)
+    table.remove(own)               # the old folders go only now that all new ones are in place
+    table.remove(PENDING)
     spark.catalog.refreshByPath(path)
     return read_layout(spark, path, schema)
 

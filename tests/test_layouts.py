@@ -244,3 +244,105 @@ def test_scratch_folders_are_removed(spark):
     assert os.path.exists(local)
     layouts._remove(spark, path)
     assert not os.path.exists(local)
+
+
+class Stop(Exception):
+    pass
+
+
+def _stopped_upsert(spark, path, stop_at, monkeypatch):
+    """Load A, B, then upsert A, C, D and stop before the given step of the given folder."""
+    layouts.upsert_station(spark, rows(spark, [(s, 2011, 1, 1, 0, 0, 1.0, "x", 1) for s in "AB"]), path)
+    finish = layouts.finish_upsert
+
+    def stopping(*a):
+        def step(folder, state):
+            if (folder, state) == stop_at:
+                raise Stop(folder)
+        return finish(*a, step=step)
+
+    with monkeypatch.context() as m:
+        m.setattr(layouts, "finish_upsert", stopping)
+        with pytest.raises(RuntimeError) as e:
+            layouts.upsert_station(spark, rows(spark, [(s, 2011, 2, 1, 0, 0, 2.0, "y", 2) for s in "ACD"]), path)
+    assert isinstance(e.value.__cause__, Stop)
+    own = os.path.join(path, layouts.PENDING)
+    return os.path.join(own, os.listdir(own)[0])
+
+
+def _months(t):
+    return sorted((r.station, r.month) for r in t.collect())
+
+
+STOPS = [("station=A/year=2011", "staged"), ("station=A/year=2011", "aside"), ("station=C", "aside"), ("station=D", "aside")]
+NEW_TABLE = [("A", 1), ("A", 2), ("B", 1), ("C", 2), ("D", 2)]
+
+
+@pytest.mark.parametrize("stop_at", STOPS)
+def test_stop_at_any_step_is_finished_by_the_next_upsert(spark, workdir, monkeypatch, stop_at):
+    path = os.path.join(workdir, "steps")
+    _stopped_upsert(spark, path, stop_at, monkeypatch)
+    t = layouts.upsert_station(spark, rows(spark, [("E", 2011, 3, 1, 0, 0, 3.0, "z", 3)]), path)
+    assert _months(t) == sorted([*NEW_TABLE, ("E", 3)])
+    assert not os.path.exists(os.path.join(path, layouts.PENDING))
+
+
+@pytest.mark.parametrize("stop_at", STOPS)
+@pytest.mark.parametrize("cut", ["folder", "file"])
+def test_lost_stage_gives_the_old_table_and_an_error(spark, workdir, monkeypatch, stop_at, cut):
+    """What is left of the stage goes away, or loses a byte: never fewer rows than before."""
+    import shutil
+
+    from obsgrid.schema import STATION_LAYOUT
+
+    path = os.path.join(workdir, "lost")
+    own = _stopped_upsert(spark, path, stop_at, monkeypatch)
+    stage = os.path.join(own, "new", stop_at[0])
+    if cut == "folder":
+        shutil.rmtree(stage)
+    else:
+        file = next(os.path.join(d, f) for d, _, fs in os.walk(stage) for f in fs if f.endswith(".parquet") and not f.startswith("."))
+        with open(file, "ab") as f:
+            f.write(b"x")
+    schema = rows(spark, []).drop("seq").schema
+    with pytest.raises(layouts.StageLost):
+        layouts.upsert_station(spark, rows(spark, [("E", 2011, 3, 1, 0, 0, 3.0, "z", 3)]), path)
+    assert _months(layouts.read_layout(spark, path, schema)) == [("A", 1), ("B", 1)]
+    t = layouts.upsert_station(spark, rows(spark, [("E", 2011, 3, 1, 0, 0, 3.0, "z", 3)]), path)
+    assert _months(t) == [("A", 1), ("B", 1), ("E", 3)]
+    assert STATION_LAYOUT.partition_by == ("station", "year")
+
+
+def test_scratch_clean_up_keeps_a_pending_stage(spark, workdir, monkeypatch):
+    from obsgrid import session
+
+    path = os.path.join(workdir, "kept")
+    _stopped_upsert(spark, path, STOPS[1], monkeypatch)
+    session.remove_scratch(spark)
+    assert _months(layouts.upsert_station(spark, rows(spark, [("E", 2011, 3, 1, 0, 0, 3.0, "z", 3)]), path)) == sorted([*NEW_TABLE, ("E", 3)])
+
+
+def test_stop_before_the_journal_leaves_the_old_table(spark, workdir, monkeypatch):
+    path = os.path.join(workdir, "unlisted")
+    layouts.upsert_station(spark, rows(spark, [("A", 2011, 1, 1, 0, 0, 1.0, "x", 1)]), path)
+    with monkeypatch.context() as m:
+        m.setattr(layouts, "write_journal", lambda *a: (_ for _ in ()).throw(Stop()))
+        with pytest.raises(Stop):
+            layouts.upsert_station(spark, rows(spark, [("A", 2011, 2, 1, 0, 0, 2.0, "y", 2)]), path)
+    schema = rows(spark, []).drop("seq").schema
+    assert _months(layouts.read_layout(spark, path, schema)) == [("A", 1)]
+    t = layouts.upsert_station(spark, rows(spark, [("B", 2011, 2, 1, 0, 0, 2.0, "y", 2)]), path)
+    assert _months(t) == [("A", 1), ("B", 2)] and not os.path.exists(os.path.join(path, layouts.PENDING))
+
+
+def test_both_folders_gone_is_an_error_that_removes_nothing(spark, workdir, monkeypatch):
+    import shutil
+
+    path = os.path.join(workdir, "gone")
+    own = _stopped_upsert(spark, path, STOPS[1], monkeypatch)
+    shutil.rmtree(os.path.join(own, "new", STOPS[1][0]))
+    shutil.rmtree(os.path.join(own, "old"))
+    for _ in range(2):
+        with pytest.raises(layouts.StageLost):
+            layouts.upsert_station(spark, rows(spark, [("E", 2011, 3, 1, 0, 0, 3.0, "z", 3)]), path)
+    assert os.path.exists(os.path.join(own, "journal"))
