@@ -41,6 +41,7 @@ import posixpath
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,12 +96,14 @@ class _Folder:
     """Paths below one folder, as the cluster's file system has them."""
 
     def __init__(self, spark: SparkSession, top: str):
-        self.jvm = spark.sparkContext._jvm
+        self.spark, jvm = spark, spark.sparkContext._jvm
         self.top = top.rstrip("/")
-        self.fs, self.root = _fs_path(spark, self.top)
+        # looked up once: the gateway asks for each part of a class name, every time
+        self._path, self._io = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.IOUtils
+        self.fs = self._path(self.top).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def path(self, *parts: str):
-        return self.jvm.org.apache.hadoop.fs.Path(posixpath.join(self.top, *parts))
+        return self._path(posixpath.join(self.top, *parts))
 
     def exists(self, *parts: str) -> bool:
         return self.fs.exists(self.path(*parts))
@@ -128,21 +131,19 @@ class _Folder:
     def read(self, *parts: str) -> str:
         stream = self.fs.open(self.path(*parts))
         try:
-            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._io.toString(stream, "UTF-8")
         finally:
             stream.close()
 
-    def files(self, *parts: str) -> dict[str, int]:
-        """Data files anywhere below a folder: path from there, and length."""
-        if not self.exists(*parts):
-            return {}
-        top, out = str(self.fs.makeQualified(self.path(*parts)).toUri().getPath()), {}
-        found = self.fs.listFiles(self.path(*parts), True)
-        while found.hasNext():
-            one = found.next()
-            name = str(one.getPath().toUri().getPath())[len(top):].strip("/")
-            if not name.rpartition("/")[2].startswith(("_", ".")):
-                out[name] = one.getLen()
+    def data_files(self, *parts: str) -> dict[str, dict[str, int]]:
+        """Data files anywhere below a folder, listed by Spark: folder from there -> file -> length."""
+        out: dict[str, dict[str, int]] = {}
+        if self.exists(*parts):
+            top = self.fs.makeQualified(self.path(*parts)).toUri().getPath()
+            found = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(posixpath.join(self.top, *parts))
+            for one in found.select("path", "length").toLocalIterator():
+                folder, _, file = unquote(urlsplit(one.path).path)[len(top):].strip("/").rpartition("/")
+                out.setdefault(folder, {})[file] = one.length
         return out
 
 
@@ -250,10 +251,7 @@ def write_journal(spark: SparkSession, staging: str, path: str, layout: Layout)
     """List every folder to move: a partition folder, or the highest folder above it that the table doesn't have yet."""
     table = _Folder(spark, path)
     upsert_folder = posixpath.relpath(posixpath.dirname(staging), path.rstrip("/"))
-    by_folder: dict[str, dict[str, int]] = {}
-    for name, size in table.files(upsert_folder, NEW).items():
-        folder, _, file = name.rpartition("/")
-        by_folder.setdefault(folder, {})[file] = size
+    by_folder = table.data_files(upsert_folder, NEW)
     present: dict[str, bool] = {}
 
     def there(folder: str) -> bool:
@@ -286,15 +284,14 @@ def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout,
 
     def state(move: dict) -> str:
         folder = move["folder"]
-        if table.exists(own, NEW, folder):
-            whole = table.files(own, NEW, folder) == move["files"]
-            return "lost" if not whole else "staged" if table.exists(folder) else "aside"
+        here = {posixpath.join(inner, f): n for inner, own_files in staged.get(folder, {}).items() for f, n in own_files.items()}
+        if here or table.exists(own, NEW, folder):
+            return "lost" if here != move["files"] else "staged" if table.exists(folder) else "aside"
         # a new folder is at its place, or an old one has gone aside and the new one taken its place
         return "moved" if table.exists(folder) and (not move["replaces"] or table.exists(own, OLD, folder)) else "lost"
 
-    def forward(move: dict) -> None:
-        folder = move["folder"]
-        now = state(move)
+    def forward(found: tuple[dict, str]) -> None:
+        folder, now = found[0]["folder"], found[1]
         if now == "staged":
             before(folder, now)
             table.rename((folder,), (own, OLD, folder))
@@ -302,8 +299,6 @@ def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout,
         if now == "aside":
             before(folder, now)
             table.rename((own, NEW, folder), (folder,))
-        elif now != "moved":
-            raise StageLost(f"{folder} is no longer whole in {staging}")
 
     def back(move: dict) -> None:
         folder = move["folder"]
@@ -317,15 +312,22 @@ def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout,
 
     if not table.exists(own, DONE):
         moves = [json.loads(line) for line in table.read(own, JOURNAL).splitlines() if line]
+        units, staged = {m["folder"] for m in moves}, {}
+        for folder, files in table.data_files(own, NEW).items():
+            unit = folder
+            while unit and unit not in units:
+                unit = posixpath.dirname(unit)
+            staged.setdefault(unit, {})[folder[len(unit):].strip("/")] = files
         with ThreadPoolExecutor(MOVERS) as pool:
-            lost = [m["folder"] for m, now in zip(moves, pool.map(state, moves)) if now == "lost"]
+            states = list(pool.map(state, moves))
+            lost = [m["folder"] for m, now in zip(moves, states) if now == "lost"]
             if lost:
                 gone = [m["folder"] for m in moves if m["replaces"] and not table.exists(m["folder"]) and not table.exists(own, OLD, m["folder"])]
                 if gone:
                     raise StageLost(f"neither the old nor the new folder is whole: {gone[:5]}; nothing was removed from {staging}")
                 list(pool.map(back, moves))
             else:
-                list(pool.map(forward, moves))
+                list(pool.map(forward, zip(moves, states)))
         if lost:
             table.remove(PENDING)
             spark.catalog.refreshByPath(path)
