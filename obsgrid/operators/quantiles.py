@@ -1,9 +1,10 @@
 """Medians, the bisection median estimate, and box-plot statistics.
 
 Quantile methods:
-* ``exact`` (default): ``exact_quantiles`` -- selection on a distributed sort
-  of value counts; no task ever holds a whole group. Interpolation is the one
-  Spark's ``percentile`` uses.
+* ``exact`` (default): ``exact_quantiles`` -- bracketed selection: a mergeable
+  sketch per group brackets each wanted rank, rows outside the brackets are only
+  counted, and the few inside are sorted. No task ever holds a whole group.
+  Interpolation is the one Spark's ``percentile`` uses.
 * ``percentile``: Spark's ``percentile`` aggregate (one pass; its buffer per
   group is a value -> count map, so it suits measures with few distinct values).
 * ``approx``: ``percentile_approx`` (one pass, fixed-size buffer, approximate).
@@ -36,6 +37,15 @@ QUARTILES = (0.25, 0.5, 0.75)
 BROADCAST_GROUPS = 500_000
 SALTS = 32
 _SALT = "_salt"
+# Brackets: the sketch's accuracy (its ranks are off by at most a part in so many), and how far around a wanted probability a
+# bracket reaches -- the sketch's error at both ends and the rounding of ranks, with room. A miss is found and done without sketch.
+SKETCH_ACCURACY = 1000
+BRACKET = 0.004
+# groups of so many rows or fewer are one bracket
+SMALL_GROUP = 2000
+# rows of the largest group up to which its values are walked in one task as they are, and up to which its bracketed values are
+DIRECT_ROWS = 5_000_000
+WALKED_ROWS = 500_000_000
 # leaf cells per group that the bisection may count
 MAX_LEAVES = 1 << 16
 
@@ -74,10 +84,10 @@ def _values(obs: DataFrame, measure: str, keys: Sequence[str], extra: Sequence[s
 
 
 def with_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str], broadcast_rows: int | None = None,
-                     salts: int | None = None) -> DataFrame:
-    """Join each row with its group's row of ``stats`` (cheap to read again, one row per group)."""
+                     salts: int | None = None, groups: int | None = None) -> DataFrame:
+    """Join each row with its group's row of ``stats`` (cheap to read again, one row per group; ``groups`` of them, if counted already)."""
     limit = BROADCAST_GROUPS if broadcast_rows is None else broadcast_rows
-    if stats.count() <= limit:
+    if (stats.count() if groups is None else groups) <= limit:
         return rows.join(F.broadcast(stats), keys)
     n = SALTS if salts is None else salts
     salted = rows.withColumn(_SALT, F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys]), F.lit(n)).cast("int"))
@@ -99,54 +109,111 @@ def exact_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float]
     values: (hi - pos) * v[lo] + (pos - lo) * v[hi] -- the form of Spark's
     ``percentile``, so both give the same doubles.
 
-    One path for every group size and every kind of value (infinities and NaN
-    sort like other values):
-    * rows are counted per (group, value), adding up before the shuffle, so a
-      value that repeats costs one row per task;
-    * the counts are range-partitioned by (group, value): a large group spans
-      as many slices as its size asks for. A slice is the part of a group in
-      one partition; its rows are at most that partition;
-    * running sums of the slices' totals tell which slices hold a wanted rank;
-      only those are walked value by value.
-    ``slices`` sets the number of range partitions (default: by the session's
-    shuffle partitions, merged by adaptive execution where they are small).
+    * where the largest group has ``DIRECT_ROWS`` rows or fewer, the rows are counted by
+      value and each group's counts walked in order;
+    * else one pass adds up each group's count, extremes and a quantile sketch; around
+      each wanted probability the sketch gives a bracket of two values;
+    * a second pass counts the rows between brackets, a number for each gap,
+      and the rows inside by value, adding up before the shuffle: what is
+      shuffled and sorted is a small share of the distinct values;
+    * running sums over gaps and values give the wanted ranks. Up to
+      ``WALKED_ROWS`` rows in the largest group they are a window per group; beyond that
+      the counts are range-partitioned, see ``_walked``;
+    * a rank outside its bracket leaves a NULL; such groups are done again from
+      all their values, so the sketch never decides a result.
+    Every kind of value is sorted like any other, infinities and NaN too.
+    ``slices`` asks for range partitions of all values, and sets their number.
     """
     if not keys:
         return exact_quantiles(vals.withColumn(_ALL, _one_group()), [_ALL], probs, value, names, slices).drop(_ALL)
     orig_keys = list(keys)
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
-    vals, keys = _pack(vals.select(*orig_keys, value), orig_keys)
-    counts = (vals.select(*keys, F.col(value).cast("double").alias("_x"))
-              .groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_m")))
-    ranged = counts.repartitionByRange(slices, *keys, "_x") if slices else counts.repartitionByRange(*keys, "_x")
-    sliced = _kept(ranged.withColumn("_part", F.spark_partition_id()))
-    totals = sliced.groupBy(*keys, "_part").agg(F.sum("_m").alias("_cnt"))
+    vals, keys = _pack(vals.select(*orig_keys, F.col(value).cast("double").alias("_x")), orig_keys)
+    x = F.col("_x")
+    largest = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    by_value = vals.groupBy(*keys, F.lit(0).alias("_c"), "_x").agg(F.count(F.lit(1)).alias("_m"))
+    if slices or largest <= DIRECT_ROWS:
+        return _unpack(_put_together(_walked(by_value, keys, probs, slices, largest), keys, probs, names), orig_keys, keys)
+    inner = sorted({float(p) for p in probs if 0 < p < 1})
+    ends = [max(min(p + side * BRACKET, 1.0), 0.0) for p in inner for side in (-1, 1)]
+    sketch = F.percentile_approx("_x", ends, SKETCH_ACCURACY) if ends else F.lit(None).cast("array<double>")
+    stats = _kept(vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                          sketch.alias("_q")))
+    groups = stats.count()
+    small = F.col("n") <= SMALL_GROUP
+    bounds = [F.when(small, F.col("_max" if i % 2 else "_min")).otherwise(F.col("_q")[i]).alias(f"_b{i}") for i in range(len(ends))]
+    met = with_group_stats(vals, stats.select(*keys, *bounds), keys, groups=groups)
+    cell, inside = F.lit(0), F.lit(False)
+    for i in range(0, len(ends), 2):
+        lo, hi = F.col(f"_b{i}"), F.col(f"_b{i + 1}")
+        cell = cell + (x >= lo).cast("int") + (x > hi).cast("int")      # rises with the value: gaps and brackets in order
+        inside = inside | ((x >= lo) & (x <= hi))
+    counts = met.select(*keys, cell.alias("_c"), F.when(inside, x).alias("_x")).groupBy(*keys, "_c", "_x").agg(
+        F.count(F.lit(1)).alias("_m"))
+    # the extremes need no ranks
+    extremes = stats.select(*keys, "n", "_min", "_max")
+    if ends:
+        picked = _walked(counts, keys, inner, None, largest).groupBy(*keys).agg(
+            F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_got"))
+        extremes = extremes.join(F.broadcast(picked) if groups <= BROADCAST_GROUPS else picked, keys, "left")
+    else:
+        extremes = extremes.withColumn("_got", F.lit(None).cast("map<bigint,double>"))
+    got = _kept(extremes.select(*keys, "n", *[
+        F.col("_min" if p == 0 else "_max").alias(nm) if p in (0, 1) else _interpolated(p).alias(nm) for p, nm in zip(probs, names)]))
+    missed = got.where(" OR ".join(f"`{nm}` IS NULL" for nm in names)).select(*keys)
+    if ends and missed.take(1):
+        full = _put_together(_walked(by_value.join(missed, keys, "left_semi"), keys, probs, None, None), keys, probs, names)
+        got = got.join(missed, keys, "left_anti").unionByName(full)
+    return _unpack(got, orig_keys, keys)
+
+
+def _position(p: float) -> Column:
+    return (F.col("n") - 1).cast("double") * F.lit(float(p))
+
+
+def _interpolated(p: float) -> Column:
+    lo, hi = F.floor(_position(p)).cast("long"), F.ceil(_position(p)).cast("long")
+    vlo, vhi = F.try_element_at("_got", lo), F.try_element_at("_got", hi)
+    return F.when(lo == hi, vlo).otherwise((hi - _position(p)) * vlo + (_position(p) - lo) * vhi)
+
+
+def _put_together(picked: DataFrame, keys: list[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    got = picked.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_got"))
+    return got.select(*keys, "n", *[_interpolated(p).alias(nm) for p, nm in zip(probs, names)])
 
-    group = Window.partitionBy(*keys)
-    upto = F.sum("_cnt").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = totals.select(*keys, "_part", F.sum("_cnt").over(group).alias("n"), (upto - F.col("_cnt")).alias("_before"),
-                           upto.alias("_after"))
 
-    def pos(p: float) -> Column:
-        return (F.col("n") - 1).cast("double") * F.lit(float(p))
+def _walked(counts: DataFrame, keys: list[str], probs: Sequence[float], slices: int | None, largest: int | None) -> DataFrame:
+    """(keys, n, _k, _x): the values at the wanted ranks, from counts (keys, _c, _x, _m) in order of (_c, _x).
 
+    Where the largest group has few rows, or few of them are left, a window per group. Else the counts are
+    range-partitioned, so that a large group spans as many slices as its size asks for; running sums of the
+    slices' totals tell which slices hold a wanted rank, and only those are walked value by value.
+    """
     ranks = []
     for p in probs:
-        ranks += [F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")]
-    wanted = F.filter(F.array_distinct(F.array(*ranks)), lambda k: (k >= F.col("_before")) & (k < F.col("_after")))
-    held = placed.select(*keys, "_part", "n", "_before", wanted.alias("_ks")).where(F.size("_ks") > 0)
+        ranks += [F.floor(_position(p)).cast("long"), F.ceil(_position(p)).cast("long")]
+    wanted = F.array_distinct(F.array(*ranks))
+
+    def pick(walked: DataFrame, ks: Column) -> DataFrame:
+        return walked.select(*keys, "n", "_x", F.explode(F.filter(
+            ks, lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_m")))).alias("_k"))
+
+    group = Window.partitionBy(*keys)
+    if slices is None and largest is not None and largest <= WALKED_ROWS:
+        walk = Window.partitionBy(*keys).orderBy("_c", "_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return pick(counts.withColumn("n", F.sum("_m").over(group)).withColumn("_upto", F.sum("_m").over(walk)), wanted)
+    order = [*keys, "_c", "_x"]
+    ranged = counts.repartitionByRange(slices, *order) if slices else counts.repartitionByRange(*order)
+    sliced = _kept(ranged.withColumn("_part", F.spark_partition_id()))
+    totals = sliced.groupBy(*keys, "_part").agg(F.sum("_m").alias("_cnt"))
+    upto = F.sum("_cnt").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = totals.select(*keys, F.sum("_cnt").over(group).alias("n"), "_part", (upto - F.col("_cnt")).alias("_before"), upto.alias("_after"))
+    held = placed.select(*keys, "n", "_part", "_before", F.filter(
+        wanted, lambda k: (k >= F.col("_before")) & (k < F.col("_after"))).alias("_ks")).where(F.size("_ks") > 0)
     # slices are bounded, so this join and window have no hot key
-    walk = Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    walk = Window.partitionBy(*keys, "_part").orderBy("_c", "_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     walked = sliced.join(held, [*keys, "_part"]).withColumn("_upto", F.col("_before") + F.sum("_m").over(walk))
-    picked = walked.select(*keys, "n", "_x", F.explode(F.filter(
-        "_ks", lambda k: (k < F.col("_upto")) & (k >= F.col("_upto") - F.col("_m")))).alias("_k"))
-    got = picked.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_got"))
-    out = []
-    for p, nm in zip(probs, names):
-        lo, hi = F.floor(pos(p)).cast("long"), F.ceil(pos(p)).cast("long")
-        vlo, vhi = F.element_at("_got", lo), F.element_at("_got", hi)
-        out.append(F.when(lo == hi, vlo).otherwise((hi - pos(p)) * vlo + (pos(p) - lo) * vhi).alias(nm))
-    return _unpack(got.select(*keys, "n", *out), orig_keys, keys)
+    return pick(walked, F.col("_ks"))
 
 
 def _agg_quantiles(vals: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
