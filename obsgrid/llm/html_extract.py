@@ -4,11 +4,19 @@ A page is cut into blocks at block-level tags. The first pass looks at each
 block alone: blocks inside boilerplate elements (by tag, or by the words of
 their class, id and role) and blocks made of links are bad; headings and long
 blocks are good if they hold many stop words, where an article element halves
-what is asked; what is short or holds too few stays open. The second pass
-gives open blocks the label of the nearest decided block, ties to the one
-before. In an article that is the nearest in the same article, past
-boilerplate elements; if none is decided there, its open blocks are good.
-Good blocks are joined by a line feed.
+what is asked; what is short or holds too few stays open. Never is more asked
+than half of what the page's own long blocks hold together: stop words are
+known for some languages only, and a page without any is judged by length and
+links alone. A letter of a script without spaces counts as three. The second
+pass gives open blocks the label of the nearest decided block, ties to the one
+before; a long block without links looks past boilerplate elements. In an
+article that is the nearest in the same article, past boilerplate elements; if
+none is decided there, its open blocks are good. Good blocks are joined by a
+line feed.
+
+The parser reads a page in linear time, however deep or unclosed: where the
+last open element of each name stands is kept, and an element is taken off the
+stack once.
 
 Markup is read leniently: unclosed and stray tags, a page cut off inside a
 tag, entities without an end. Scripts, styles and comments are skipped whole.
@@ -21,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 import pandas as pd
@@ -29,7 +38,7 @@ from pyspark.sql import functions as F
 
 from obsgrid.llm.common import importable
 
-# Element names and words of the markup language's use, and common words of four languages.
+# Element names and words of the markup language's use, and common words of nine languages.
 BLOCK_TAGS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
  fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav
  noscript ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul""".split())
@@ -47,7 +56,12 @@ GOOD_WORDS = frozenset("article articlebody post story entry".split())
 STOP_WORDS = frozenset("""a an and are as at be by for from have he in is it of on or that the this to was with which you
  der die das und ist in von zu den mit für auf ein eine im dem nicht als auch es an
  le la les de des et un une est que dans pour qui sur pas au aux ce il elle
- el los las del y en no se por con para su una lo más como mi""".split())
+ el los las del y en no se por con para su una lo más como mi
+ di che è il gli della per sono non ma anche nel alla dei questo
+ o os as do da em um uma que não com mais foi pelo também
+ het een van dat zijn niet aan met voor hij maar om ook deze
+ w z i na się nie do jest to że jak po oraz kiedy będzie
+ и в не на что с как по это из но для был когда всем""".split())
 
 LONG = 70
 LINKS = 0.4
@@ -60,6 +74,8 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|
                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[^\W\d_]+")
+_NO_SPACES = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_LISTS = ("ul", "ol", "dl", "table", "select")
 _CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                   "th": {"td", "th"}, "option": {"option"}}
 
@@ -97,6 +113,9 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in page order."""
     out: list[Block] = []
     open_tags: list[tuple[str, bool, bool, bool]] = []      # name, inside boilerplate, inside an article, by its words
+    places: dict[str, list[int]] = defaultdict(list)        # where open elements of a name stand
+    block_places: list[int] = []                            # where open block elements stand
+    open_headings = 0
     parts: list[str] = []
     linked, in_link, heading = 0, 0, False
     bad = article = named = False
@@ -111,11 +130,18 @@ def blocks(page: str) -> list[Block]:
         parts, linked = [], 0
 
     def back_to(depth: int) -> None:
-        nonlocal bad, article, named, in_link, heading
-        del open_tags[depth:]
+        nonlocal bad, article, named, in_link, heading, open_headings
+        while len(open_tags) > depth:
+            name = open_tags.pop()[0]
+            places[name].pop()
+            if name in BLOCK_TAGS:
+                block_places.pop()
+            open_headings -= name in HEADINGS
         _, bad, article, named = open_tags[-1] if open_tags else ("", False, False, False)
-        names = {t[0] for t in open_tags}
-        in_link, heading = "a" in names, bool(names & HEADINGS)
+        in_link, heading = bool(places["a"]), open_headings > 0
+
+    def last(names) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=-1)
 
     def text(chunk: str) -> None:
         nonlocal linked
@@ -142,10 +168,10 @@ def blocks(page: str) -> list[Block]:
             parts.append(" ")
             continue
         if closing:
-            depth = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), None)
+            depth = last((tag,))
             if tag in BLOCK_TAGS:
                 end_block()
-            if depth is not None and (tag in BLOCK_TAGS or not any(t[0] in BLOCK_TAGS for t in open_tags[depth + 1:])):
+            if depth >= 0 and (tag in BLOCK_TAGS or not block_places or block_places[-1] < depth):
                 back_to(depth)
             continue
         if tag in RAW_TAGS and not attributes.endswith("/"):
@@ -160,15 +186,11 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK_TAGS:
             end_block()
-            p = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == "p"), None)
-            if p is not None:
-                back_to(p)
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] in _CLOSES_ITSELF.get(tag, ()):
-                    back_to(i)
-                    break
-                if open_tags[i][0] in ("ul", "ol", "dl", "table", "select"):
-                    break
+            if places["p"]:
+                back_to(places["p"][-1])
+            closed = last(_CLOSES_ITSELF.get(tag, ()))
+            if closed > last(_LISTS):
+                back_to(closed)
         role = _role(tag, attributes, article)
         inner_bad, inner_article = bad or role is False, article or role is True
         inner_named = named or role is False and tag not in BAD_TAGS
@@ -177,6 +199,10 @@ def blocks(page: str) -> list[Block]:
         if attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
         part += inner_article and not article
+        places[tag].append(len(open_tags))
+        if tag in BLOCK_TAGS:
+            block_places.append(len(open_tags))
+        open_headings += tag in HEADINGS
         open_tags.append((tag, inner_bad, inner_article, inner_named))
         bad, article, named = inner_bad, inner_article, inner_named
         in_link, heading = in_link or tag == "a", heading or tag in HEADINGS
@@ -184,19 +210,29 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _first_pass(block: Block) -> bool | None:
-    """Good, bad, or None where the block alone doesn't tell."""
-    if block.bad:
-        return False
-    letters = len("".join(block.text.split())) or 1
-    if block.linked / letters > LINKS:
+def _linked(block: Block) -> float:
+    """The share of a block's letters in links."""
+    return block.linked / (len("".join(block.text.split())) or 1)
+
+
+def _long(text: str) -> bool:
+    return len(text) + 2 * len(_NO_SPACES.findall(text)) >= LONG
+
+
+def _stops(texts: list[str]) -> float:
+    """The share of stop words among words."""
+    words = [w for t in texts for w in _WORD.findall(t.lower())]
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
+def _first_pass(block: Block, page: float) -> bool | None:
+    """Good, bad, or None where the block alone doesn't tell; ``page`` is the stop word share of the page's long blocks."""
+    if block.bad or _linked(block) > LINKS:
         return False
     if block.heading and block.article:
         return True
-    words = _WORD.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-    if len(block.text) >= LONG:
-        return True if stops >= (STOPS_IN_ARTICLE if block.article else STOPS) else None
+    if _long(block.text):
+        return True if _stops([block.text]) >= min(STOPS_IN_ARTICLE if block.article else STOPS, page / 2) else None
     return None
 
 
@@ -218,16 +254,20 @@ def _nearest(first: list[bool | None], part: list[int] | None = None) -> list[li
 def main_text(page: str | None) -> str:
     """The good blocks' texts, joined by line feeds."""
     found = blocks(page or "")
-    first = [_first_pass(b) for b in found]
+    page_stops = _stops([b.text for b in found if not b.bad and _linked(b) <= LINKS and _long(b.text)])
+    first = [_first_pass(b, page_stops) for b in found]
     around = _nearest(first)
+    # a long block without links is no menu or footer, whatever stands beside it
+    plain = _nearest([None if b.bad else v for b, v in zip(found, first)])
     # boilerplate elements inside an article are no part of its flow, so its open blocks look past them
     flow = [i for i, b in enumerate(found) if b.article and not b.bad]
     inside = dict(zip(flow, _nearest([first[i] for i in flow], [found[i].part for i in flow])))
     keep = []
     for i, (block, v) in enumerate(zip(found, first)):
         if v is None:
-            sides = inside[i] if i in inside else around[i]
-            v = min(sides)[-1] if sides else i in inside or not around[i]
+            own = plain if not block.linked and _long(block.text) else around
+            sides = inside[i] if i in inside else own[i]
+            v = min(sides)[-1] if sides else True
         if v:
             keep.append(block.text)
     return "\n".join(keep)

@@ -19,6 +19,7 @@ of equally long pieces goes where follows their place in the input.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -36,6 +37,13 @@ CLOSING_ID = 1
 #: words whose ids a worker remembers before it starts anew
 REMEMBERED = 400_000
 
+# The rules of a vocabulary file under which the ids of a text are those of its words in a row.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                                                   {"type": "Lowercase"}]}
+_SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 _state: dict = {}
 
 
@@ -49,11 +57,12 @@ def _byte_letters() -> list[str]:
 class WordIds(dict):
     """Ids of words, as little-endian unsigned 32-bit bytes, worked out when first asked for.
 
-    The tokenizer lower-cases, parts words at white space and drops it, so the
+    A tokenizer with the rules ``_NORMALIZER`` and ``_SPLIT`` lower-cases, parts words at white space and drops it, so the
     ids of a text are those of its words in a row. A word of plain letters,
     with or without commas and stops after it, is one match of the tokenizer's
     pattern and goes straight to its merges; any other goes through the whole
-    tokenizer.
+    tokenizer. So do whole texts that hold one of the file's added tokens, and
+    all texts of a file with other rules.
     """
 
     def __init__(self, path: str):
@@ -62,7 +71,13 @@ class WordIds(dict):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task keeps to its own core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        added = rules.get("added_tokens") or []
+        #: strings that the library takes out of a raw text before anything else: texts with one go through it whole
+        self.added = [t["content"] for t in added]
+        self.by_words = (rules.get("normalizer"), rules.get("pre_tokenizer")) == (_NORMALIZER, _SPLIT) and not any(
+            t.get(k) for t in added for k in ("normalized", "lstrip", "rstrip", "single_word"))
         self.merges = self.tokenizer.model
         self.letters = _byte_letters()
 
@@ -85,6 +100,9 @@ class WordIds(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text."""
+        if not self.by_words or any(a in text for a in self.added):
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(found)}I", *found)
         if len(self) > REMEMBERED:
             self.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))

@@ -18,8 +18,11 @@ queries can be asked. What leaves a task is k rows for each query.
 Defined results: vectors that are NULL or hold NULL or a non-finite component
 take no part, neither as queries nor as candidates. Only vectors of one length
 are compared. All rows with the query's id count as its own. A query that
-comes twice is answered once. Quantised components must lie within 2^26, or
-the query fails with a message. An empty table gives no rows.
+comes twice is answered once. Slices have as many bits as the sums need; scores
+are added up in longs where the block's largest components show that they fit,
+else in integers of any size, so nothing wraps. A quantised component, or a
+score among the k best, that is no long fails with a message. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from obsgrid.llm.common import importable
 
 BLOCK_ROWS = 32768
 CHUNK_QUERIES = 512
-LIMIT = float(1 << 26)
+LONG = float(1 << 63)
 
 
 def quantised(vector: Column, scale: float = 1024.0) -> Column:
@@ -44,8 +47,8 @@ def quantised(vector: Column, scale: float = 1024.0) -> Column:
 
     def floored(x: Column) -> Column:
         y = F.lit(scale) * x.cast("double")
-        return F.when(F.abs(y) < LIMIT, F.floor(y)).otherwise(
-            F.raise_error(F.lit("top-k search: a quantised component is beyond 2^26")).cast("long"))
+        return F.when(F.abs(y) < LONG, F.floor(y)).otherwise(
+            F.raise_error(F.lit("top-k search: a quantised component is beyond a long")).cast("long"))
 
     return F.when(usable, F.transform(vector, floored))
 
@@ -59,7 +62,8 @@ class SlicedIndex:
         n, dims = self.rows.shape
         self.words = -(-n // 64)
         self.low = self.rows.min(axis=0)
-        above = (self.rows - self.low).astype(np.uint64)
+        self.largest = [max(-int(a), int(b)) for a, b in zip(self.low, self.rows.max(axis=0))]
+        above = self.rows.view(np.uint64) - self.low.view(np.uint64)        # unsigned, so that no span is too large
         self.widths = [int(x).bit_length() for x in above.max(axis=0)]
         self.slices = [[self._bitmap((above[:, d] >> np.uint64(s)) & np.uint64(1)) for s in range(w)]
                        for d, w in enumerate(self.widths)]
@@ -119,12 +123,26 @@ class SlicedIndex:
         at = self._rows(sure)
         tied = self._rows(open_rows)[:k - taken]        # equal scores; rows are in order of id
         at = np.concatenate([at, tied])
-        return self.ids[at], self.rows[at] @ query
+        return self.ids[at], self.scores(at, query)
+
+    def scores(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Inner products of some rows: longs where no sum can be beyond one, else Python's integers."""
+        if sum(abs(q) * most for q, most in zip(query.tolist(), self.largest)) < 1 << 63:
+            return self.rows[at] @ query
+        return self.rows[at].astype(object) @ query.astype(object)
 
     def _rows(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
+def _halves(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores as upper and lower parts that order as they do; parts beyond 2^62 are no longs' and all the same."""
+    if scores.dtype != object:
+        return scores >> 32, scores & 0xFFFFFFFF
+    upper = np.array([max(min(x >> 32, 1 << 62), -(1 << 62)) for x in scores], dtype=np.int64)
+    return upper, np.array([x & 0xFFFFFFFF for x in scores], dtype=np.int64)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0, vec_id: str = "vec_id",
           vector: str = "embedding", block_rows: int = BLOCK_ROWS, chunk_queries: int = CHUNK_QUERIES) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): each query's k largest inner products, ties to the smaller id."""
@@ -149,16 +167,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: float = 10
     right = asked.withColumn("chunk", part(chunks)).withColumn("block", numbers(blocks)).groupBy(*by)
 
     def search(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids, out = ["query_id", "vec_id", "score"], []
+        ids, out = ["query_id", "vec_id", "upper", "lower"], []
         if len(rows) and len(asked):
             dims = int(rows["dims"].iloc[0])
             index = SlicedIndex(rows["id"].to_numpy(), np.array(rows["v"].tolist(), dtype=np.int64).reshape(len(rows), dims))
             for query_id, v in zip(asked["id"], asked["v"]):
                 found, scores = index.best(query_id, np.asarray(v, dtype=np.int64), k)
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": found, "score": scores}))
+                upper, lower = _halves(scores)
+                out.append(pd.DataFrame({"query_id": query_id, "vec_id": found, "upper": upper, "lower": lower}))
         return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ids})
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (left.cogroup(right).applyInPandas(search, "query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("upper"), F.desc("lower"), "vec_id")
+    score = F.when(F.col("upper").between(-(1 << 31), (1 << 31) - 1), F.shiftleft("upper", 32).bitwiseOR(F.col("lower"))).otherwise(
+        F.raise_error(F.lit("top-k search: a score among the best is beyond a long")).cast("long"))
+    return (left.cogroup(right).applyInPandas(search, "query_id long, vec_id long, upper long, lower long")
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", score.alias("score")))

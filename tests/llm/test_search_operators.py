@@ -253,14 +253,28 @@ def test_word_ids_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(WORDS)
-    whole.encode_special_tokens = True
     own, rng = packing.WordIds(WORDS), random.Random(6)
-    signs = list("abzİÅKÅHªµŁʰ̱AZ019 '.,!?<|>\n\t\r\x0b\x0c\x1c\x1f\x85  　éßΣσςıñ中한ﬁ½😀") + ["'s", "'re", "<|endoftext|>"]
+    signs = list("abzİÅKÅHªµŁʰ̱AZ019 '.,!?<|>\n\t\r\x0b\x0c\x1c\x1f\x85  　éßΣσςıñ中한ﬁ½😀") + ["'s", "'re", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
     for _ in range(4000):
         text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 24)))
         assert np.frombuffer(own.encode(text), dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_word_ids_of_a_file_with_other_rules(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(WORDS, encoding="utf-8") as f:
+        rules = json.load(f)
+    rules["normalizer"] = None
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(rules), encoding="utf-8")
+    own, whole = packing.WordIds(str(other)), Tokenizer.from_file(str(other))
+    for text in ("The SEA", "a  b\n", "", "x <|endoftext|> Y"):
+        assert np.frombuffer(own.encode(text), dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
@@ -368,3 +382,31 @@ def test_top_k(spark):
         got = topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), block_rows=block, chunk_queries=chunk)
         assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rows,fails", [
+    ([(0, [70000.0, 0.0]), (1, [70000.0, 1.0]), (2, [-70000.0, 2.0])], False),
+    ([(0, [30000.0] * 4096), (1, [-30000.0] * 4096), (2, [29999.0] * 4096)], False),
+    ([(0, [65000.0] * 4096), (1, [1.0] * 4096), (2, [65000.0] * 4096)], True),
+    ([(0, [1e6] * 3), (1, [-1e14, 1e14, 5e6]), (2, [-8e14, 1.0, -8e14]), (100, [0.0, 0.0, 1e15])], False),
+    ([(0, [1e6] * 3), (1, [1e300, 0.0, 0.0])], True)])
+def test_top_k_of_large_components(spark, rows, fails):
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = vectors.where("vec_id % 100 = 0")
+    if fails:
+        with pytest.raises(Exception, match="beyond a long"):
+            topk.top_k(vectors, asked, k=2).collect()
+        return
+    exact = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    expected = []
+    for q in exact:
+        if q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(exact[q], exact[c])), c) for c in exact if c != q)[:2]
+            expected += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
+    if any(abs(s) >= 1 << 63 for *_, s in expected):
+        expected = None
+    if expected is None:
+        with pytest.raises(Exception, match="beyond a long"):
+            topk.top_k(vectors, asked, k=2).collect()
+    else:
+        assert sorted(tuple(r) for r in topk.top_k(vectors, asked, k=2).collect()) == sorted(expected)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -199,3 +200,103 @@ def test_pages_of_the_table(spark):
         parts = re.split(r"</?(?:p|h1)\b[^>]*>|<br>(?=<p>)", body)
         texts = [" ".join(html.unescape(re.sub(r"<[^>]*(>|$)", "", x)).split()) for x in parts]
         assert r.t == "\n".join(x for x in texts if x)
+
+
+BODIES = {
+    "ru": ["Вчера вечером жители города собрались на площади, чтобы обсудить новый проект набережной и дороги.",
+           "Архитектор рассказал, что строительство займёт два года и потребует участия многих местных мастеров.",
+           "Обсуждение продолжится весной, когда проект покажут всем желающим жителям города."],
+    "zh": ["昨天晚上，市民们聚集在广场上讨论新的滨河项目，并且提出了许多关于道路和公园的意见。", "建筑师说施工将持续两年，需要许多当地工匠的参与，也需要大家的耐心。",
+           "讨论将在春天继续进行，届时项目将向所有人展示，欢迎大家前来参观。"],
+    "it": ["Ieri sera gli abitanti della città si sono riuniti in piazza per discutere il nuovo progetto del lungomare.",
+           "L'architetto ha spiegato che i lavori dureranno due anni e richiederanno molti artigiani del posto.",
+           "La discussione continuerà in primavera, quando il progetto sarà mostrato a tutti quanti."],
+    "pl": ["Wczoraj wieczorem mieszkańcy miasta zebrali się na placu, aby omówić nowy projekt bulwaru nad rzeką.",
+           "Architekt powiedział, że budowa potrwa dwa lata i będzie wymagała udziału wielu miejscowych rzemieślników.",
+           "Dyskusja będzie kontynuowana wiosną, kiedy projekt zostanie pokazany wszystkim chętnym."],
+    "fi": ["Eilen illalla kaupungin asukkaat kokoontuivat torille keskustelemaan uudesta rantahankkeesta ja teistä.",
+           "Arkkitehti kertoi rakentamisen kestävän kaksi vuotta ja vaativan monien paikallisten osaajien työtä.",
+           "Keskustelu jatkuu keväällä, kun hanke esitellään kaikille halukkaille kaupunkilaisille."]}
+
+
+@pytest.mark.parametrize("lang", BODIES)
+@pytest.mark.parametrize("frame", ["article", "div", "p"])
+def test_articles_of_any_language_come_back_whole(lang, frame):
+    """With menu, footer and a list of links in the middle, with and without an article element."""
+    menu = "<ul class='menu'>" + "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(6)) + "</ul>"
+    links = "<ul>" + "".join(f"<li><a href='/x{i}'>More {i}</a></li>" for i in range(4)) + "</ul>"
+    one, two, three = BODIES[lang]
+    inner = {"article": "<article><p>{}</p><p>{}</p>%s<p>{}</p></article>", "div": "<div>{}</div><div>{}</div>%s<div>{}</div>",
+             "p": "<p>{}</p><p>{}</p>%s<p>{}</p>"}[frame] % links
+    page = f"<html><body><nav>{menu}</nav>{inner.format(one, two, three)}<footer>Imprint and contact</footer></body></html>"
+    assert html_extract.main_text(page).split("\n") == [one, two, three]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000, "<div>x</i>" * 60_000, "<p><b>" * 50_000, "<li>" * 100_000, "<a><div>" * 50_000 + "</a>" * 50_000,
+                                  "<ul><li>" * 50_000, "</div>" * 100_000, "<td><span>" * 50_000])
+def test_deep_and_unclosed_markup_takes_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - began < 10         # quadratic: many minutes
+
+
+def test_two_passes_by_brute_force():
+    """Labels by a search over all blocks for the nearest decided one, for random pages."""
+    import random
+
+    rng = random.Random(12)
+    filler = ["the sea and the land and the sky of it " * 3, "zq vx kj wq " * 9, "short one", "Вот и всё, что было на том берегу реки в тот день, и не более того.", "中文" * 30]
+
+    def element(depth):
+        tag = rng.choice(["p", "div", "h2", "li", "nav", "article", "section", "footer", "a", "span"])
+        inner = "".join(element(depth + 1) for _ in range(rng.randint(1, 3))) if depth < 3 and rng.random() < 0.6 else rng.choice(filler)
+        inner = f"<a href=x>{inner}</a>" if rng.random() < 0.15 else inner
+        return f"<{tag}>{inner}</{tag}>"
+
+    E = html_extract
+    for _ in range(400):
+        page = "".join(element(0) for _ in range(rng.randint(1, 6)))
+        found = E.blocks(page)
+
+        def long(t):
+            return len(t) + 2 * sum(E._NO_SPACES.match(c) is not None for c in t) >= E.LONG
+
+        def linked(b):
+            return b.linked / max(1, sum(not c.isspace() for c in b.text))
+
+        def share(texts):
+            words = [w for t in texts for w in re.findall(r"[^\W\d_]+", t.lower())]
+            return sum(w in E.STOP_WORDS for w in words) / len(words) if words else 0.0
+
+        own = share([b.text for b in found if not b.bad and linked(b) <= E.LINKS and long(b.text)])
+        first = []
+        for b in found:
+            asked = min(E.STOPS_IN_ARTICLE if b.article else E.STOPS, own / 2)
+            first.append(False if b.bad or linked(b) > E.LINKS else True if b.heading and b.article else
+                         True if long(b.text) and share([b.text]) >= asked else None)
+        kept = []
+        for i, b in enumerate(found):
+            label = first[i]
+            if label is None:
+                if b.article:
+                    flow = [k for k, x in enumerate(found) if x.article and not x.bad]
+                    near = [(abs(flow.index(k) - flow.index(i)), k > i, first[k]) for k in flow
+                            if found[k].part == b.part and first[k] is not None]
+                else:
+                    free = not b.linked and long(b.text)
+                    near = [(abs(k - i), k > i, v) for k, v in enumerate(first) if v is not None and not (free and found[k].bad)]
+                label = min(near)[2] if near else True
+            if label:
+                kept.append(b.text)
+        assert E.main_text(page) == "\n".join(kept), page
+
+
+def test_html_extraction_on_odd_tables(spark):
+    rows = [(1, "<p>" + "the sea and the land " * 5 + "</p>"), (1, "<p>" + "the sea and the land " * 5 + "</p>"), (None, None), (2, ""),
+            (3, "<div>" + "the sea and the land of it " * 40_000 + "</div>")]
+    df = spark.createDataFrame(rows, "page_id long, html string").select("*", F.lit(1).alias("text"), F.lit(2).alias("made"))
+    made = df.select("page_id", html_extract.extract(spark, F.col("html")).alias("t"))
+    assert sorted((r.page_id or 0, len(r.t)) for r in made.collect()) == [(0, 0), (1, 104), (1, 104), (2, 0), (3, 27 * 40_000 - 1)]
+    assert made.where("false").count() == 0
