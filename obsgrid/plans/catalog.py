@@ -20,13 +20,14 @@ from obsgrid.operators import kmeans as km
 from obsgrid.operators import periods as pe
 from obsgrid.operators import quantiles as qu
 from obsgrid.operators.nearest import nearest_station
+from obsgrid.operators.ordering import with_position
 from obsgrid.operators.profile import feature_names, location_profile
 from obsgrid.operators.stations import station_dimension
 from obsgrid.plans import reports
 from obsgrid.sources import bindings as b
 from obsgrid.sources import layouts, scans
 from obsgrid.schema import CLUSTER_COLOURS, FIELD_MAP, MAP_EXTENT, RAW_FIELDS, SEASON_LABELS
-from obsgrid.sources.csv_ingest import clean, read_raw
+from obsgrid.sources.csv_ingest import clean, read_raw, read_station_list, write_station_list
 from obsgrid.functions.columns import complete_rows, round_scaled, with_calendar
 from obsgrid.session import scratch_path
 
@@ -135,6 +136,27 @@ def q_station_dimension(spark, sf):
     return station_dimension(_b2(spark, sf).withColumn("station", F.col("loc").cast("string")))
 
 
+# The station list written as CSV in first-seen order, read again, and the place of each station in the file
+@register("station_list", f"""WITH b2 AS ({b.B2_SQL})
+SELECT CAST(loc AS VARCHAR) AS station, min_by(longitude, seq) AS longitude, min_by(latitude, seq) AS latitude,
+       row_number() OVER (ORDER BY min(seq), CAST(loc AS VARCHAR)) AS position FROM b2 GROUP BY loc""")
+def q_station_list(spark, sf):
+    path = scratch_path(spark, "station-list")
+    first_seen = station_dimension(_b2(spark, sf).withColumn("station", F.col("loc").cast("string")))
+    write_station_list(first_seen.withColumn("ord", F.struct("ord", "station")), path)      # stations first seen at one seq: by name
+    stations = read_station_list(spark, path)
+    return with_position(stations, ["ord"]).drop("ord")
+
+
+# O1, O2: rows with their positions in reading order
+@register("ordered_observations", f"""WITH b2 AS ({b.B2_SQL})
+SELECT row_number() OVER (ORDER BY year(valid_date), month(valid_date), loc, seq) AS position, loc, seq,
+       CAST(year(valid_date) AS INTEGER) AS year, CAST(month(valid_date) AS INTEGER) AS month FROM b2""")
+def q_ordered_observations(spark, sf):
+    rows = with_calendar(_b2(spark, sf)).select("loc", "seq", "year", "month")
+    return with_position(rows, ["year", "month", "loc", "seq"])
+
+
 # ---------------------------------------------------------------------------
 # Scans (B1, B2, B3)
 # ---------------------------------------------------------------------------
@@ -222,6 +244,13 @@ def q_monthly_history(spark, sf):
 _WIDE = ", ".join(f"round(avg(CASE WHEN month = {m} THEN {M} END), 6) AS m{m:02d}" for m in range(1, 13))
 
 
+@register("monthly_history_ordered", f"""WITH {B1_VALS}
+SELECT station, year, month, round(avg({M}), 6) AS avg_{M}, row_number() OVER (ORDER BY station, year, month) AS position
+FROM d GROUP BY station, year, month""")
+def q_monthly_history_ordered(spark, sf):
+    return with_position(rounded(pe.monthly_history(_b1(spark, sf), M, ("station",)), [f"avg_{M}"]), ["station", "year", "month"])
+
+
 @register("monthly_history_wide", f"""WITH {B1_VALS}
 SELECT station, year, {_WIDE} FROM d GROUP BY station, year""")
 def q_monthly_history_wide(spark, sf):
