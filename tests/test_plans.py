@@ -86,14 +86,17 @@ def test_scan_reads_only_needed_columns(spark):
     assert "o_orderstatus" not in schema and "o_custkey" not in schema and "o_totalprice" in schema
 
 
-def test_exact_quantile_sorts_counts_not_rows(spark):
-    """The exact median range-partitions counts per value, added up before the shuffle."""
+def test_exact_quantile_sorts_counts_not_rows(spark, monkeypatch):
+    """What is sorted are counts per value, added up before the shuffle: in a window per group, and in range partitions where groups are large."""
     from obsgrid.operators import quantiles as qu
 
     plans, kept = [], qu._kept
-    qu._kept = lambda frame: plans.append(physical(frame)) or kept(frame)
-    try:
-        E.queries()["median_season"](spark, SF001)
-    finally:
-        qu._kept = kept
-    assert "rangepartitioning" in plans[0] and "partial_count" in plans[0].split("rangepartitioning")[1]
+    monkeypatch.setattr(qu, "_kept", lambda frame: plans.append(physical(frame)) or kept(frame))
+    plan = physical(E.queries()["median_season"](spark, SF001))
+    assert not plans and "partial_count" in plan.split("Window")[-1]
+    monkeypatch.setattr(qu, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(qu, "WALKED_ROWS", 0)
+    E.queries()["median_season"](spark, SF001)
+    ranged = next(p for p in plans if "rangepartitioning" in p)
+    assert "partial_count" in ranged.split("rangepartitioning")[1]
+    assert "partial_percentile_approx" in plans[0]
