@@ -244,50 +244,31 @@ def _half(lo: Column, hi: Column) -> Column:
     return (lo + hi) / F.lit(2.0)
 
 
-def median_bisect(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "year", "season"),
-                  rounds: int = 10) -> DataFrame:
-    """Bisection estimate of the median per group.
+def leaves(rows: DataFrame, rounds: int) -> DataFrame:
+    """``rows`` (with _v and its group's extremes _lo0, _hi0) and the leaf cell ``_leaf`` each value walks down to.
 
-    Rounds: start with lo = min, hi = max, mid = (lo+hi)/2; count values below
-    mid (l) and at or above it (r); if |l - r| <= 1 the group stops for good,
-    else lo := mid when l < r, otherwise hi := mid; mid := (lo+hi)/2. The
-    answer is mid after ``rounds`` rounds. Columns: keys, n, converged, bisect_<measure>.
+    The same arithmetic in the same order as the rounds of ``median_bisect``.
     """
-    if rounds < 1 or 2 ** rounds > MAX_LEAVES:
-        raise ValueError(f"rounds must be within 1..{MAX_LEAVES.bit_length() - 1}: a group's leaf cells are walked as one array")
-    if not keys:
-        return median_bisect(obs.withColumn(_ALL, _one_group()), measure, [_ALL], rounds).drop(_ALL)
-    orig_keys = list(keys)
-    vals, keys = _pack(_values(obs, measure, orig_keys), orig_keys)
-    bounds = _kept(vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo0"), F.max("_v").alias("_hi0"),
-    ))
-
-    # Each row walks down the halving tree: same arithmetic, same order as the rounds.
-    walk = with_group_stats(vals, bounds.select(*keys, "_lo0", "_hi0"), keys).select(
-        *keys, "_v", F.col("_lo0").alias("_lo"), F.col("_hi0").alias("_hi"), F.lit(0).alias("_leaf"),
-    )
+    kept = rows.columns
+    walk = rows.select(*kept, F.col("_lo0").alias("_lo"), F.col("_hi0").alias("_hi"), F.lit(0).alias("_leaf"))
     for _ in range(rounds):
         walk = walk.withColumn("_mid", _half(F.col("_lo"), F.col("_hi")))
         right = F.col("_v") >= F.col("_mid")
         walk = walk.select(
-            *keys, "_v",
+            *kept,
             F.when(right, F.col("_mid")).otherwise(F.col("_lo")).alias("_lo"),
             F.when(right, F.col("_hi")).otherwise(F.col("_mid")).alias("_hi"),
             (F.col("_leaf") * 2 + right.cast("int")).alias("_leaf"),
         )
-    cells = walk.groupBy(*keys, "_leaf").agg(F.count(F.lit(1)).alias("_cnt"))
-    per_group = cells.groupBy(*keys).agg(
-        F.collect_list(F.struct(F.col("_leaf").alias("leaf"), F.col("_cnt").alias("cnt"))).alias("_cells")
-    )
+    return walk.drop("_lo", "_hi")
 
-    # Replay the rounds on the leaf counts (at most 2**rounds per group).
-    st = bounds.join(per_group, keys).select(
-        *keys, "n", "_cells",
-        F.col("_lo0").alias("_lo"), F.col("_hi0").alias("_hi"),
-        _half(F.col("_lo0"), F.col("_hi0")).alias("_mid"),
-        F.lit(0).alias("_base"), F.lit(False).alias("_done"),
-        F.lit(None).cast("long").alias("l"),
+
+def replayed(groups: DataFrame, rounds: int) -> DataFrame:
+    """``groups`` (n, _lo0, _hi0 and _cells: leaf counts, at most 2**rounds different leaves) after the rounds: _mid and _done."""
+    kept = groups.columns
+    st = groups.select(
+        *kept, F.col("_lo0").alias("_lo"), F.col("_hi0").alias("_hi"), _half(F.col("_lo0"), F.col("_hi0")).alias("_mid"),
+        F.lit(0).alias("_base"), F.lit(False).alias("_done"), F.lit(None).cast("long").alias("l"),
     )
     for r in range(rounds):
         split = F.col("_base") + F.lit(2 ** (rounds - r - 1))
@@ -301,11 +282,39 @@ def median_bisect(obs: DataFrame, measure: str, keys: Sequence[str] = ("station"
         go_right = ~stop & (left_n < right_n)
         go_left = ~stop & (left_n >= right_n)
         st = st.select(
-            *keys, "n", "_cells", "l", stop.alias("_done"),
+            *kept, "l", stop.alias("_done"),
             F.when(go_right, F.col("_mid")).otherwise(F.col("_lo")).alias("_lo"),
             F.when(go_left, F.col("_mid")).otherwise(F.col("_hi")).alias("_hi"),
             F.when(go_right, split).otherwise(F.col("_base")).alias("_base"),
         ).withColumn("_mid", _half(F.col("_lo"), F.col("_hi")))
+    return st.drop("l", "_lo", "_hi", "_base")
+
+
+def median_bisect(obs: DataFrame, measure: str, keys: Sequence[str] = ("station", "year", "season"),
+                  rounds: int = 10) -> DataFrame:
+    """Bisection estimate of the median per group.
+
+    Rounds: start with lo = min, hi = max, mid = (lo+hi)/2; count values below
+    mid (l) and at or above it (r); if |l - r| <= 1 the group stops for good,
+    else lo := mid when l < r, otherwise hi := mid; mid := (lo+hi)/2. The
+    answer is mid after ``rounds`` rounds. Columns: keys, n, converged, bisect_<measure>.
+    """
+    if rounds < 1 or 2 ** rounds > MAX_LEAVES:
+        raise ValueError(f"rounds must be within 1..{MAX_LEAVES.bit_length() - 1}: a group's leaf cells are walked as one array")
+    if not keys:
+        return median_bisect(obs.withColumn(_ALL, _one_group()), measure, [_ALL], rounds).drop(_ALL)
+    orig_keys = list(keys)
+    vals, keys = _pack(_values(obs, measure, orig_keys), orig_keys)
+    bounds = _kept(vals.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo0"), F.max("_v").alias("_hi0"),
+    ))
+
+    met = with_group_stats(vals, bounds.select(*keys, "_lo0", "_hi0"), keys)
+    cells = leaves(met, rounds).groupBy(*keys, "_leaf").agg(F.count(F.lit(1)).alias("_cnt"))
+    per_group = cells.groupBy(*keys).agg(
+        F.collect_list(F.struct(F.col("_leaf").alias("leaf"), F.col("_cnt").alias("cnt"))).alias("_cells")
+    )
+    st = replayed(bounds.join(per_group, keys), rounds)
     out = st.select(*keys, "n", F.col("_done").alias("converged"), F.col("_mid").alias(f"bisect_{measure}"))
     return _unpack(out, orig_keys, keys)
 

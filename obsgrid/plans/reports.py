@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from obsgrid.functions.columns import require_measure, round_scaled, season_label, with_calendar, with_season
 from obsgrid.operators.kmeans import kmeans_fit
 from obsgrid.operators.nearest import nearest_to_point
+from obsgrid.operators.period_table import box_rows, period_table, season_rows
 from obsgrid.operators.periods import in_order, monthly_history_wide, period_stats
 from obsgrid.operators.profile import feature_names, location_profile
 from obsgrid.operators.quantiles import box_stats, median_bisect, median_season
 from obsgrid.schema import CLUSTER_COLOURS, MEASURES, PROFILE_INDICATORS
-from obsgrid.session import shared_dir
+from obsgrid.session import scratch_path, shared_dir
 from obsgrid.sources.scans import at_instant, map_values, month_range, station_years
 
 
@@ -26,10 +27,17 @@ def find_station(stations: DataFrame, *, lat: float, lon: float, geo: bool = Tru
 
 def season_report(rows: DataFrame, measure: str, keys: Sequence[str] = ("station", "year"),
                   method: str = "exact") -> DataFrame:
-    """Year / month / season mean, min, max (one GROUPING SETS pass) with the
-    median (``method``: exact / percentile / approx) and the bisection median
-    on the season rows."""
+    """Year / month / season mean, min, max with the median (``method``: exact / percentile / approx) and the
+    bisection median on the season rows.
+
+    The exact form takes all from one table of value counts (``period_table``); the other methods, and seasons
+    too large for its windows, are an aggregation each, joined.
+    """
     keys = list(keys)
+    if method == "exact":
+        table = period_table(rows, measure, keys)
+        if table is not None:
+            return season_rows(table, measure, keys).withColumn("season_label", season_label("season"))
     stats = period_stats(rows, measure, keys)
     med = median_season(rows, measure, keys + ["season"], method=method).drop("n")
     bis = median_bisect(rows, measure, keys + ["season"]).drop("n", "converged")
@@ -54,20 +62,31 @@ def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *,
     Keys of the result: ``station`` (one-row frame), ``seasons`` (season_report
     of the year), ``box`` (box statistics per season), ``history`` (one row per
     year of ``history`` with twelve monthly means). The year's rows are read
-    once, by a scan of the station's partition, and kept; all of the year's
-    tables come from that copy.
+    once, by a scan of the station's partition: the exact form counts their values, and both of the year's tables come
+    from one kept table of a few rows; else the rows are kept.
     """
     require_measure(obs, measure, numeric=True, measures=measures)
     code = find_station(stations, lat=lat, lon=lon, geo=geo)
     shared_dir(spark)
     rows = with_season(with_calendar(station_years(obs, code, year)))
-    year_rows = rows.select("station", "year", "month", "season", measure).checkpoint(eager=True)
+    rows = rows.select("station", "year", "month", "season", measure)
     hist_rows = station_years(obs, code, history[0], history[1])
+    table = period_table(rows, measure) if method == "exact" else None
+    if table is not None:
+        path = scratch_path(spark, "report")
+        table.write.parquet(path)
+        table = spark.read.schema(table.schema).parquet(path)
+        seasons = season_rows(table, measure).withColumn("season_label", season_label("season"))
+        box = box_rows(table, measure)
+    else:
+        year_rows = rows.checkpoint(eager=True)
+        seasons = season_report(year_rows, measure, method=method)
+        box = box_stats(year_rows, measure, ("station", "year", "season"), method=method)
     # one station's rows: the frames are a few dozen rows, sorted for drawing
     return {
         "station": spark.range(1).select(F.lit(code).alias("station")),
-        "seasons": season_report(year_rows, measure, method=method).orderBy("level", "month", "season"),
-        "box": in_order(box_stats(year_rows, measure, ("station", "year", "season"), method=method)),
+        "seasons": seasons.orderBy("level", "month", "season"),
+        "box": in_order(box),
         "history": in_order(monthly_history_wide(hist_rows, measure, ("station",))),
     }
 
