@@ -11,11 +11,15 @@ from keys alone:
    stay as they are. Copies share a key and count once, so a group of copies
    never overfills a bucket.
 3. ``build_index``: one row per key (its bucket, smallest id, rows), dealt to
-   owner tasks by ranges of bucket and key and written as shared files, in
-   order within each.
+   owner tasks by bucket -- a bucket is a range of keys, and none is split
+   between two owners -- and written as shared files, in order within each.
 
-Texts are compared only where a key has more than one row. The rows of a key
-form its chain: rows of equal bytes are one link. The bytes themselves are the
+A document finds its key through the directory: the bucket its key's first
+bits lead to, and in it the key. A key that leads to no bucket is an error by
+name, never a lost row.
+
+Texts are compared only where a key has more than one row, within its bucket.
+The rows of a key form its chain: rows of equal bytes are one link. The bytes themselves are the
 grouping key, and Spark adds copies up before it shuffles, so a third of all
 rows in one group costs one row per task. A chain of one link settles all rows
 of its key at once; a chain with more links (different texts under one key) is
@@ -35,7 +39,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsgrid.llm.common import broadcast_if_small, keep_in_shared, written
+from obsgrid.llm.common import broadcast_if_small, fresh, keep_in_shared, written
 
 WHITE = r"[\x20\x09-\x0D]+"
 KEY_BITS = 64
@@ -79,24 +83,30 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BIT
         depth += 1
 
 
-def _bucketed(keys: DataFrame, buckets: DataFrame, key_bits: int) -> DataFrame:
-    """Each key with its bucket, by one equi-join for each depth in use."""
+def addressed(rows: DataFrame, buckets: DataFrame, key_bits: int = KEY_BITS) -> DataFrame:
+    """``rows`` (with ``key``) and the bucket (depth, prefix) that the directory leads each to, by one probe for each depth in use."""
     depths = [r["depth"] for r in buckets.select("depth").distinct().orderBy("depth").collect()]     # at most key_bits
-    out = None
+    n = buckets.count()
+    out, places = rows, []
     for depth in depths:
-        level = buckets.where(F.col("depth") == depth).select(F.col("prefix").alias("at"))
-        part = (keys.join(level, _prefix(F.col("key"), depth, key_bits) == F.col("at"))
-                .select(F.lit(depth).alias("depth"), F.col("at").alias("prefix"), *keys.columns))
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else keys.select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"), *keys.columns)
-
-
-def build_index(entries: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS) -> DataFrame:
-    """Index rows (depth, prefix, key, keep_id, group_size), one per key, on shared files by owner ranges."""
+        at = fresh(f"at_{depth}")
+        level = buckets.where(F.col("depth") == depth).select(F.col("prefix").alias(at))
+        out = out.join(broadcast_if_small(level, n, BROADCAST_KEYS), _prefix(F.col("key"), depth, key_bits) == F.col(at), "left")
+        places.append((depth, at))
+    nowhere = F.raise_error(F.lit("exact dedup: a key leads to no bucket of the directory"))
+    return out.select(*rows.columns,
+                      F.coalesce(*[F.when(F.col(at).isNotNull(), depth) for depth, at in places], nowhere.cast("int")).alias("depth"),
+                      F.coalesce(*[F.col(at) for _, at in places], nowhere.cast("long")).alias("prefix"))
+
+
+def build_index(entries: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS) -> tuple[DataFrame, DataFrame]:
+    """The directory, and index rows (depth, prefix, key, keep_id, group_size), one per key, on shared files by owners of buckets."""
     keys = keep_in_shared(entries.groupBy("key").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
-    placed = _bucketed(keys, directory(keys, capacity, key_bits), key_bits)
-    owned = placed.repartitionByRange("key").sortWithinPartitions("key")
-    return written(owned, "exact-index")
+    buckets = directory(keys, capacity, key_bits)
+    low = F.expr(f"shiftleft(prefix, {key_bits} - depth)")      # the least key of the bucket: an owner's range holds whole buckets
+    owned = (addressed(keys, buckets, key_bits).select("depth", "prefix", "key", "keep_id", "group_size").withColumn("low", low)
+             .repartitionByRange("low").sortWithinPartitions("low", "key").drop("low"))
+    return buckets, written(owned, "exact-index")
 
 
 def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -105,20 +115,23 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capa
     source = docs.select(F.col(doc_id).alias("doc_id"), normalised(F.col(text)).alias("norm"))
     keyed = source.withColumn("key", _key(F.col("norm"), key_bits))
     entries = written(keyed.select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256")), "exact-entries")
-    index = build_index(entries, capacity, key_bits)
+    buckets, index = build_index(entries, capacity, key_bits)
+    place = ["depth", "prefix", "key"]
     # only keys with more than one row need their bytes compared
-    shared = keep_in_shared(index.where("group_size > 1").select("key"))
-    members = keyed.join(broadcast_if_small(shared, shared.count(), BROADCAST_KEYS), "key", "left_semi")
-    links = members.groupBy("key", "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    shared = keep_in_shared(index.where("group_size > 1").select(*place))
+    held = broadcast_if_small(shared, shared.count(), BROADCAST_KEYS)
+    members = addressed(keyed, buckets, key_bits).join(held, place, "left_semi")
+    links = members.groupBy(*place, "norm").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     chains = written(links, "exact-chains")
-    crossed = keep_in_shared(chains.groupBy("key").agg(F.count("*").alias("links")).where("links > 1").select("key"))
+    crossed = keep_in_shared(chains.groupBy(*place).agg(F.count("*").alias("links")).where("links > 1").select(*place))
     n_crossed = crossed.count()
-    settled = entries.join(index.select("key", "keep_id", "group_size"), "key")
+    placed = addressed(entries, buckets, key_bits)
+    settled = placed.join(index, place)
     if n_crossed:
         held = broadcast_if_small(crossed, n_crossed, BROADCAST_KEYS)
-        settled = settled.join(held, "key", "left_anti")
-        followed = (keyed.join(held, "key", "left_semi")
-                    .join(chains.join(held, "key", "left_semi"), ["key", "norm"])
+        settled = settled.join(held, place, "left_anti")
+        followed = (addressed(keyed, buckets, key_bits).join(held, place, "left_semi")
+                    .join(chains.join(held, place, "left_semi"), [*place, "norm"])
                     .withColumn("text_sha256", F.sha2("norm", 256)))
         settled = settled.select("doc_id", "keep_id", "group_size", "text_sha256").unionByName(
             followed.select("doc_id", "keep_id", "group_size", "text_sha256"))

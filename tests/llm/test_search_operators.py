@@ -75,6 +75,35 @@ def test_exact_dedup_directory(spark):
     assert exact_dedup.duplicates(empty).count() == 0
 
 
+def test_exact_dedup_goes_by_its_directory(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 150}") for i in range(300)], "doc_id long, text string")
+    expected = sorted(tuple(r) for r in exact_dedup.duplicates(docs, capacity=8).collect())
+    assert {r[2] for r in expected} == {2} and sum(r[3] for r in expected) == 150
+    entries = docs.select("doc_id", exact_dedup._key(exact_dedup.normalised(docs["text"]), 64).alias("key"))
+    buckets, index = exact_dedup.build_index(entries, capacity=8)
+    # a bucket has one owner, and each key is within the bucket that it's filed under
+    files = index.withColumn("file", F.input_file_name()).groupBy("depth", "prefix").agg(F.count_distinct("file").alias("owners"), F.count("*").alias("keys"))
+    assert files.count() > 10 and files.where("owners > 1 OR keys > 8").isEmpty()
+    assert index.where("shiftright(key, 64 - depth) <> prefix").isEmpty()
+    whole = exact_dedup.directory
+
+    def damaged(*args, **kwargs):
+        found = whole(*args, **kwargs)
+        first = found.orderBy("depth", "prefix").first()
+        return found.where((F.col("depth") != first["depth"]) | (F.col("prefix") != first["prefix"]))
+
+    monkeypatch.setattr(exact_dedup, "directory", damaged)
+    with pytest.raises(Exception, match="leads to no bucket"):
+        exact_dedup.duplicates(docs, capacity=8).collect()
+
+
+def test_exact_dedup_very_long_texts(spark):
+    long = "word " * 400_000
+    docs = spark.createDataFrame([(2, long), (1, long.replace(" ", " \t")), (3, long + "x")], "doc_id long, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.duplicates(docs).collect()}
+    assert got == {1: (1, 2, True), 2: (1, 2, False), 3: (3, 1, True)}
+
+
 def test_exact_dedup_keeps_rows(spark):
     docs = spark.createDataFrame([(2, "x  y"), (1, "x y"), (3, "z"), (1, "x y")], "doc_id long, text string")
     assert sorted(r.doc_id for r in exact_dedup.deduplicated(docs).collect()) == [1, 1, 3]
