@@ -78,26 +78,38 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """Exact containment of every template in every document."""
+    """Exact containment of every template in every document, with a shingle for each deciding phrase."""
+    known = license_scan.TEMPLATES | license_scan.NOTICES
     rows = ", ".join("('{}', {}, '{}')".format(name, i, text.replace("'", "''"))
-                     for name, texts in license_scan.TEMPLATES.items() for i, text in enumerate(texts))
+                     for name, texts in known.items() for i, text in enumerate(texts))
+    phrases = ", ".join(f"('{name}', '{phrase}')" for name, listed in license_scan.DECIDING.items() for phrase in listed)
 
-    def shingles(source: str) -> str:
-        return f"""
-    SELECT *, [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] AS s FROM (
-        SELECT *, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {source})"""
+    def words(source: str) -> str:
+        return f"SELECT *, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {source}"
 
     return f"""
-WITH notices(license, template, text) AS (VALUES {rows}),
-t AS (SELECT license, template, list_distinct(s) AS s FROM ({shingles("notices")})),
-x AS (SELECT license, template, CAST(len(s) AS INTEGER) AS "of", unnest(s) AS one FROM t),
-d AS (SELECT doc_id, unnest(s) AS one, unnest(range(len(s))) AS i FROM ({shingles("documents")})),
-m AS (
+WITH notices(license, template, text) AS (VALUES {rows}), phrases(license, phrase) AS (VALUES {phrases}),
+t AS (SELECT *, least(len(w), 5) AS size FROM ({words("notices")})),
+s AS (SELECT license, template, size, list_distinct([array_to_string(w[i + 1:i + size], ' ') FOR i IN range(len(w) - size + 1)]) AS s FROM t),
+x AS (SELECT license, template, size, CAST(len(s) AS INTEGER) AS "of", unnest(s) AS one FROM s),
+d AS (
+    SELECT doc_id, size, i, array_to_string(w[i + 1:i + size], ' ') AS one
+    FROM (SELECT doc_id, w, size, unnest(range(len(w) - size + 1)) AS i FROM ({words("documents")}), (SELECT DISTINCT size FROM t) WHERE len(w) >= size)
+), f AS (
+    SELECT doc_id, size, i, license, template, "of", one FROM d JOIN x USING (size, one)
+), m AS (
     SELECT doc_id, license, template, CAST(count(DISTINCT one) AS INTEGER) AS matched, "of",
-           CAST(min(i) AS INTEGER) AS first_word, CAST(max(i) + 4 AS INTEGER) AS last_word
-    FROM d JOIN x USING (one) GROUP BY doc_id, license, template, "of"
+           CAST(min(i) AS INTEGER) AS first_word, CAST(max(i) + size - 1 AS INTEGER) AS last_word
+    FROM f GROUP BY doc_id, license, template, "of", size
+), p AS (
+    SELECT license, template, one, phrase FROM x JOIN phrases USING (license) WHERE contains(' ' || one || ' ', ' ' || phrase || ' ')
+), need AS (
+    SELECT license, template, count(DISTINCT phrase) AS n FROM p GROUP BY license, template
+), got AS (
+    SELECT doc_id, license, template, count(DISTINCT phrase) AS n FROM f JOIN p USING (license, template, one) GROUP BY doc_id, license, template
 )
-SELECT * FROM m WHERE matched >= 0.8 * "of"
+SELECT m.* FROM m LEFT JOIN need USING (license, template) LEFT JOIN got USING (doc_id, license, template)
+WHERE matched >= 0.8 * "of" AND coalesce(got.n, 0) = coalesce(need.n, 0)
 """
 
 
@@ -117,7 +129,7 @@ SELECT doc_id, 'All-rights-reserved' AS license, 0 AS template, 1 AS matched, 1
 FROM p WHERE len(places) > 0
 """)
 def short_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notices shorter than a shingle, which the SQL of ``op5_license_scan`` has no rows for."""
+    """Notices shorter than a shingle alone; ``op5_license_scan`` has them among its rows."""
     return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.NOTICES)
 
 

@@ -14,12 +14,11 @@ version numbers that alone tell a notice from its neighbours.
 Probability of retrieval: where ``window`` neighbouring shingles of a template
 stand in the text unchanged, both sides have the same window and every band
 collides. A template of two or more shingles that is contained to 0.8 always
-leaves two neighbours. For a template of one shingle, a band collides if the
-shingle is the smallest of one of the two windows around it: 2/3, so eight
-bands miss it once in 6,500 times.
+leaves two neighbours, so none is missed.
 
-A template of three or four words is one shingle of its whole length. Texts
-are hashed in that length too, and the shingle's hash is the index.
+A template of three to five words is one shingle of its whole length and has
+no window to compare. Texts are hashed in that length too, and the shingle's
+hash is its index, without a band.
 
 Templates are a parameter of bounded size (``MAX_TEMPLATES``), so their index
 goes with the plan. Documents are never shuffled or grouped. Everything is
@@ -107,10 +106,20 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
-    "BSD-3-Clause": [
+    # the preamble is that of the whole family
+    "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met:",
     ],
+    # the second condition, followed by the disclaimer
+    "BSD-2-Clause": [
+        "in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT "
+        "HOLDERS AND CONTRIBUTORS",
+    ],
+    "BSD-3-Clause": [
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+    ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -133,6 +142,8 @@ DECIDING = {
     "AGPL-3.0": ["gnu affero"],
     "Apache-2.0": ["apache", "2 0"],
     "MPL-2.0": ["mozilla", "2 0"],
+    "BSD-2-Clause": ["distribution this software"],
+    "BSD-3-Clause": ["neither the name"],
 }
 
 #: notices shorter than a shingle
@@ -205,13 +216,13 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
     """
     spark = docs.sparkSession
     phrases = (DECIDING if templates is None else {}) if deciding is None else deciding
-    known = template_table(spark, TEMPLATES if templates is None else templates).collect()     # at most MAX_TEMPLATES
+    known = template_table(spark, TEMPLATES | NOTICES if templates is None else templates).collect()     # at most MAX_TEMPLATES
     if any(not r["shingles"] for r in known):
         raise ValueError("license scan: a template needs three words or more")
     sizes = sorted({r["size"] for r in known})
     index = [[set() for _ in known] for _ in range(bands)]
     for t, row in enumerate(known):
-        if row["size"] < SHINGLE:
+        if len(row["shingles"]) == 1:
             continue
         for b in range(bands):
             own = [s ^ _signed(SEEDS[b]) for s in row["shingles"]]
@@ -231,12 +242,12 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
     hashed = _fixed(source, **{c: shingle_hashes(F.col("words"), n) for n, c in hashes.items()}).drop("words")
     # one array of index keys in the text for each seed, and for each short length; all but a few rows have none
     shared = {}
-    if SHINGLE in hashes:
+    if any(len(r["shingles"]) > 1 for r in known):
         shared = {f"{hits}_{b}": F.array_intersect(band_values(F.col(hashes[SHINGLE]), SEEDS[b], window),
                                                    literal(sorted(set().union(*index[b])))) for b in range(bands)}
     for n in sizes:
-        if n < SHINGLE:
-            own = sorted({r["shingles"][0] for r in known if r["size"] == n})
+        own = sorted({r["shingles"][0] for r in known if r["size"] == n and len(r["shingles"]) == 1})
+        if own:
             shared[f"{hits}_of_{n}"] = F.array_intersect(F.col(hashes[n]), literal(own))
 
     def either(columns) -> Column:
@@ -247,7 +258,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
         return F.array(*[literal(s) for s in own]).cast("array<array<long>>")
 
     def meets(t: int, row) -> Column:
-        if row["size"] < SHINGLE:
+        if len(row["shingles"]) == 1:
             return F.array_contains(f"{hits}_of_{row['size']}", row["shingles"][0])
         return either(F.arrays_overlap(f"{hits}_{b}", literal(sorted(index[b][t]))) for b in range(bands))
 

@@ -234,6 +234,39 @@ def test_license_scan_planted_lines(spark):
     assert {(r.doc_id, r.license) for rows in got for r in rows} == wanted
 
 
+BSD_PREAMBLE = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                "following conditions are met: ")
+BSD_SECOND = ("2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+              "disclaimer in the documentation and/or other materials provided with the distribution. ")
+BSD_THIRD = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+             "derived from this software without specific prior written permission. ")
+DISCLAIMER = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"'
+
+
+def test_license_scan_equals_its_sql_on_neighbours(spark, workdir):
+    import duckdb
+
+    from obsgrid.llm.catalog import ORACLES
+
+    gpl = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as "
+           "published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version.")
+    texts = {1: (gpl.format("", ";", "2"), {"GPL-2.0"}), 2: (gpl.format("", ",", "3"), {"GPL-3.0"}),
+             3: (gpl.format("Lesser ", ",", "3"), {"LGPL-3.0"}), 4: (gpl.format("Affero ", ",", "3"), {"AGPL-3.0"}),
+             5: (BSD_PREAMBLE + BSD_SECOND + DISCLAIMER, {"BSD", "BSD-2-Clause"}),
+             6: (BSD_PREAMBLE + BSD_SECOND + BSD_THIRD + DISCLAIMER, {"BSD", "BSD-3-Clause"}),
+             7: (BSD_PREAMBLE, {"BSD"}), 8: ("(c) me. All rights reserved. All rights reserved", {"All-rights-reserved"}),
+             9: ("all rights", set()), 10: (None, set()), 11: ("Released under the MIT License", {"MIT"}), 12: ("", set())}
+    path = f"{workdir}/documents.parquet"
+    spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string").coalesce(1).write.parquet(path)
+    found = QUERIES["op5_license_scan"](spark, workdir)
+    got = sorted(tuple(r) for r in found.collect())
+    for i, (_, wanted) in texts.items():
+        assert {r[1] for r in got if r[0] == i} == wanted, i
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert got == sorted(con.sql(f"SELECT {', '.join(chr(34) + c + chr(34) for c in found.columns)} FROM ({ORACLES['op5_license_scan']})").fetchall())
+
+
 def test_license_scan_tells_neighbours_apart(spark):
     header = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as "
               "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
