@@ -10,14 +10,20 @@ cell to one cell for all; coordinates are taken as they are, in any range.
 
 1. bound: a point looks up one station in its own cell of every size; the
    nearest of these is an upper bound d0, and stations near the point are
-   found by the small cells, whatever their number.
+   found by the small cells, whatever their number. All points of a smallest
+   cell have the same cells of every size: the look-up is made once per
+   smallest cell, and each point takes the list of its own.
 2. exact: by d0 each point picks, for latitude and longitude apart, the least
    cell size that covers its window, so it meets at most three by three cells;
-   the minimum over their stations is the true nearest.
+   the minimum over their stations is the true nearest. Where one cell of a
+   size meets many points, its stations are repeated and the points dealt out
+   over the copies (fewer copied rows than points).
 
-Points at one place are one search; the answers then go back to every input
+Points at one place are one search, and so are stations at one place (the
+first in file order stands for them); the answers then go back to every input
 row. Ties go to the station first in file order (``ord``), as a strict "<"
-scan in file order would.
+scan in file order would. Points meet cells in merge joins: the planner's
+guess of a point list's size must not send it whole through the driver.
 """
 
 from __future__ import annotations
@@ -36,6 +42,9 @@ NO_STATION = "Erreur"
 
 # number of the size at which one cell holds every coordinate
 WHOLE = 99
+# points for each copied row of a station, where a cell's points are dealt out, and the most copies
+POINTS_PER_COPY = 4
+COPIES = 64
 
 
 def _finite(c: str | Column) -> Column:
@@ -55,6 +64,12 @@ def _stations(stations: DataFrame) -> DataFrame:
                            _finite("latitude").alias("_slat")).where("_slon IS NOT NULL AND _slat IS NOT NULL")
 
 
+def _station_places(stations: DataFrame) -> DataFrame:
+    """One station per place, the first in file order."""
+    first = stations.groupBy("_slon", "_slat").agg(F.min(F.struct(F.col("_ord").alias("o"), F.col("_st").alias("s"))).alias("_first"))
+    return first.select(F.col("_first.s").alias("_st"), F.col("_first.o").alias("_ord"), "_slon", "_slat")
+
+
 def _size(level: Column | int, base: float) -> Column:
     return F.pow(F.lit(2.0), F.lit(level) if isinstance(level, int) else level) * F.lit(base)
 
@@ -101,7 +116,7 @@ def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo
     order; defaults to the station code). A point without finite coordinates
     gets the error marker; such stations are no candidates.
     """
-    st = _kept(_stations(stations))
+    st = _kept(_station_places(_stations(stations)))
     n, low, high = st.agg(F.count("*"), F.least(F.min("_slon"), F.min("_slat")), F.greatest(F.max("_slon"), F.max("_slat"))).first()
     pts = points.select(key, _finite("longitude").alias("_plon"), _finite("latitude").alias("_plat"))
     if not n:
@@ -116,16 +131,25 @@ def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo
     # 1. one station of the own cell of every size; the whole plane last, so there is always one
     levels = F.array(*[F.lit(x) for x in [*range(top + 1), WHOLE]])
 
-    def in_cells(df: DataFrame, lon: str, lat: str) -> DataFrame:
+    def in_cells(df: DataFrame, lon: str | Column, lat: str | Column) -> DataFrame:
         df = df.withColumn("_lev", F.explode(levels))
-        return df.withColumns({"_cx": _cell(F.col(lon), F.col("_lev"), base), "_cy": _cell(F.col(lat), F.col("_lev"), base)})
+        x, y = (F.col(c) if isinstance(c, str) else c for c in (lon, lat))
+        return df.withColumns({"_cx": _cell(x, F.col("_lev"), base), "_cy": _cell(y, F.col("_lev"), base)})
 
     # sizes of stations in a cell add up before the shuffle: one row per cell leaves each task
     reps = _kept(in_cells(st, "_slon", "_slat").groupBy("_lev", "_cx", "_cy")
                  .agg(F.min_by(F.struct("_slon", "_slat"), "_ord").alias("_rep")))
-    places = pts.where("_plon IS NOT NULL AND _plat IS NOT NULL").select("_plon", "_plat").distinct()
-    seen = in_cells(places, "_plon", "_plat").join(reps, ["_lev", "_cx", "_cy"]).select("_plon", "_plat", "_rep.*")
-    bounded = seen.groupBy("_plon", "_plat").agg(F.min(dist()).alias("_d0"))
+    places = (pts.where("_plon IS NOT NULL AND _plat IS NOT NULL").select("_plon", "_plat").distinct()
+              .withColumns({"_bx": _cell(F.col("_plon"), F.lit(0), base), "_by": _cell(F.col("_plat"), F.lit(0), base)}))
+    # a smallest cell's corner lies in the same cells of every size as the points in it
+    corners = in_cells(places.select("_bx", "_by").distinct(), F.col("_bx") * F.lit(base), F.col("_by") * F.lit(base))
+    seen = (corners.hint("merge").join(reps, ["_lev", "_cx", "_cy"]).groupBy("_bx", "_by").agg(F.collect_set("_rep").alias("_reps")))
+
+    def to_rep(rep: Column) -> Column:
+        return planar_km(F.col("_plon"), F.col("_plat"), rep["_slon"], rep["_slat"], geo)
+
+    bounded = (places.hint("merge").join(seen, ["_bx", "_by"])
+               .select("_plon", "_plat", F.array_min(F.transform("_reps", to_rep)).alias("_d0")))
 
     # 2. the cells that a station nearer than d0 can be in
     reach = F.col("_d0") / F.lit(KM_PER_DEGREE) * F.lit(1 + 1e-9) + F.lit(1e-9)
@@ -135,22 +159,28 @@ def nearest_station(points: DataFrame, stations: DataFrame, key: str = "pt", geo
     aimed = _kept(aimed.withColumns({"_ly": _level(F.col("_ry"), base, top), "_lx": _level(F.col("_rx"), base, top)})
                   .withColumns({"_ry": F.when(F.col("_ly") == WHOLE, 0.0).otherwise(F.col("_ry")),
                                 "_rx": F.when(F.col("_lx") == WHOLE, 0.0).otherwise(F.col("_rx"))}))
-    used = [F.struct(F.lit(r["_lx"]).alias("_lx"), F.lit(r["_ly"]).alias("_ly"))
-            for r in aimed.select("_lx", "_ly").distinct().collect()]       # pairs of sizes: at most (top + 2)^2
-    if not used:
+    met = aimed.groupBy("_lx", "_ly").count().collect()                     # pairs of sizes: at most (top + 2)^2
+    if not met:
         found = None
     else:
+        copies = {(r["_lx"], r["_ly"]): max(1, min(COPIES, r["count"] // (POINTS_PER_COPY * n))) for r in met}
+        used = [F.struct(F.lit(x).alias("_lx"), F.lit(y).alias("_ly"), F.lit(c).alias("_copies")) for (x, y), c in copies.items()]
+        of_size = F.create_map(*[F.lit(v) for (x, y), c in copies.items() for v in (x * (WHOLE + 1) + y, c)])
+
         def window(x: str, r: str, level: str) -> Column:
             return F.sequence(_cell(F.col(x) - F.col(r), F.col(level), base), _cell(F.col(x) + F.col(r), F.col(level), base))
 
-        near = (aimed.withColumn("_cx", F.explode(window("_plon", "_rx", "_lx")))
-                .withColumn("_cy", F.explode(window("_plat", "_ry", "_ly"))))
-        placed = st.select("*", F.inline(F.array(*used))).withColumns(
+        dealt = F.pmod(F.xxhash64("_plon", "_plat"), of_size[F.col("_lx") * F.lit(WHOLE + 1) + F.col("_ly")]).cast("int")
+        near = (aimed.select("_plon", "_plat", "_rx", "_ry", "_lx", "_ly", dealt.alias("_copy"))
+                .withColumn("_cx", F.explode(window("_plon", "_rx", "_lx")))
+                .withColumn("_cy", F.explode(window("_plat", "_ry", "_ly"))).drop("_rx", "_ry"))
+        placed = (st.select("*", F.inline(F.array(*used))).withColumns(
             {"_cx": _cell(F.col("_slon"), F.col("_lx"), base), "_cy": _cell(F.col("_slat"), F.col("_ly"), base)})
-        best = (near.join(placed, ["_lx", "_ly", "_cx", "_cy"]).groupBy("_plon", "_plat")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies"))
+        best = (near.hint("merge").join(placed, ["_lx", "_ly", "_copy", "_cx", "_cy"]).groupBy("_plon", "_plat")
                 .agg(F.min(F.struct(dist().alias("d"), F.col("_ord").alias("o"), F.col("_st").alias("s"))).alias("_best")))
         found = _kept(best.select("_plon", "_plat", *_answers(best)))
     if found is None:
         return pts.select(key, F.lit(NO_STATION).alias("station"), F.lit(None).cast("double").alias("distance_km"))
-    return pts.join(found, ["_plon", "_plat"], "left").select(
+    return pts.hint("merge").join(found, ["_plon", "_plat"], "left").select(
         key, F.coalesce("_station", F.lit(NO_STATION)).alias("station"), F.col("_km").alias("distance_km"))

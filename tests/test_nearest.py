@@ -137,3 +137,57 @@ def test_pairs_per_point_do_not_grow_with_the_stations(spark, monkeypatch):
         assert all(r["_lx"] <= 4 and r["_ly"] <= 4 for r in sizes)
         per_point.append(len(sizes))
     assert per_point[1] <= per_point[0] + 1
+
+
+def _recorded(monkeypatch):
+    """The frames that a search keeps, with their plans."""
+    from obsgrid.operators import nearest
+
+    seen, kept = [], nearest._kept
+
+    def record(df):
+        seen.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        out = kept(df)
+        seen[-1] += (out,)
+        return out
+
+    monkeypatch.setattr(nearest, "_kept", record)
+    return seen
+
+
+@pytest.mark.parametrize("geo", [True, False])
+def test_points_never_go_through_the_driver(spark, monkeypatch, geo):
+    """However small the planner takes a list to be, points and cells meet in merge joins, and a point is looked up once."""
+    p, s = frames(spark, [(i, 6.0 + i % 40 * 0.3, 36.0 + i % 37 * 0.3) for i in range(200)], [(f"S{i}", 6.0 + i % 12, 36.5 + i % 11, i) for i in range(90)])
+    seen = _recorded(monkeypatch)
+    result = nearest_station(p, s, geo=geo)
+    plans = [plan for _, plan, _ in seen] + [result._jdf.queryExecution().executedPlan().toString()]
+    assert not any("Broadcast" in plan for plan in plans)
+    bound = next(plan for columns, plan, _ in seen if "_d0" in columns)
+    above = bound.split("SortMergeJoin")[0]
+    assert "Generate" not in above and "Aggregate" not in above
+
+
+def test_stations_at_one_place_are_one_candidate(spark, monkeypatch):
+    """Places, not list rows, meet the points; the first in file order answers for its place."""
+    stations = [(f"S{i}", 6.0 + i % 9, 40.0 + i % 7, 1000 - i) for i in range(630)]
+    points = [(i, 5.5 + i % 50 * 0.21, 39.5 + i % 43 * 0.19) for i in range(150)]
+    p, s = frames(spark, points, stations)
+    seen = _recorded(monkeypatch)
+    got = {r.pt: r.station for r in nearest_station(p, s).collect()}
+    assert got == {pt: code for pt, (code, _) in brute(points, sorted(stations, key=lambda x: x[3]), True).items()}
+    assert seen[0][2].count() == 63
+
+
+def test_points_of_one_cell_are_dealt_out(spark, monkeypatch):
+    """Many points for few stations: copies of the stations, the same answers."""
+    from obsgrid.operators import nearest
+
+    rnd = random.Random(3)
+    stations = [(f"S{i}", rnd.uniform(6, 18), rnd.uniform(35, 47), i) for i in range(5)]
+    points = [(i, rnd.uniform(6, 18), rnd.uniform(35, 47)) for i in range(300)]
+    monkeypatch.setattr(nearest, "POINTS_PER_COPY", 1)
+    p, s = frames(spark, points, stations)
+    for geo in (True, False):
+        got = {r.pt: r.station for r in nearest_station(p, s, geo=geo).collect()}
+        assert got == {pt: code for pt, (code, _) in brute(points, stations, geo).items()}
