@@ -99,6 +99,17 @@ def _missing(raw: Column) -> Column:
     return raw.isNull() | raw.isin(*NULL_SENTINELS)
 
 
+def _numbers(fields: list[Column]) -> Column:
+    """The fields as an array of floats: NULL where there is no number, or one beyond a float's range."""
+    read = F.transform(F.array(*fields), lambda r: F.when(r.rlike(NUMBER_PATTERN), F.trim(r).try_cast("float")))
+    return F.transform(read, lambda x: F.when(F.abs(x) < float("inf"), x))
+
+
+def _instant_parts(valid: Column) -> Column:
+    """Year, month, day, hour and minute as an array of ints (NULL: too long a number); no five parts without the pattern."""
+    return F.transform(F.split(F.regexp_extract(valid, VALID_PATTERN, 0), "[- :]"), lambda part: part.try_cast("int"))
+
+
 def clean(raw: DataFrame, carry: tuple[str, ...] = ("seq",) + ORDER_COLS,
           strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Type and rename raw rows. Returns (good rows, rejects).
@@ -107,49 +118,55 @@ def clean(raw: DataFrame, carry: tuple[str, ...] = ("seq",) + ORDER_COLS,
     Good rows: station, year..minute, valid_date, the canonical columns of the
     fields present, carried columns. Rejects: carried columns, station, valid,
     reason (comma-separated field names).
+
+    The fields are read in arrays, each text by one pattern match: an expression
+    per field makes one generated method of all of them, which is too long for
+    the JVM to compile.
     """
     carry = tuple(c for c in carry if c in raw.columns)
-    valid = F.col("valid")
-    date_ok = F.coalesce(valid.rlike(VALID_PATTERN), F.lit(False))
-    parts = [F.regexp_extract(valid, VALID_PATTERN, i).try_cast("int") for i in range(1, 6)]
-    calendar = [p.alias(n) for p, n in zip(parts, ("year", "month", "day", "hour", "minute"))]
-    valid_date = F.try_make_timestamp_ntz(*parts[:5], F.lit(0)).alias("valid_date")
+    parts = _instant_parts(F.col("valid"))
 
-    typed, bad = [], []
+    numbers, others, bad = [], [], []
     for field, canon, kind in FIELD_MAP:
         if field not in raw.columns:
             continue
         r = F.col(field)
         if kind == "float":
-            num = F.when(r.rlike(NUMBER_PATTERN), F.trim(r).try_cast("float"))
-            num = F.when(F.abs(num) < float("inf"), num)        # beyond a float's range
             required = canon in ("longitude", "latitude")
-            is_bad = num.isNull() if required else (~_missing(r) & ~r.rlike(NUMBER_PATTERN) & ~r.rlike(NOT_FINITE_PATTERN))
-            val = num if required else F.when(_missing(r), None).otherwise(num)
+            is_bad = F.get(_numbers([r]), F.lit(0)).isNull() if required else (
+                ~r.rlike(NUMBER_PATTERN) & ~_missing(r) & ~r.rlike(NOT_FINITE_PATTERN))
+            numbers.append((field, canon))
         elif kind == "timestamp":
             ts = r.try_cast("timestamp_ntz")
             is_bad = ~_missing(r) & ts.isNull()
-            val = F.when(_missing(r), None).otherwise(ts)
+            others.append((canon, F.when(_missing(r), None).otherwise(ts)))
         else:
             is_bad = F.lit(False)
-            val = F.when(_missing(r), None).otherwise(r)
-        typed.append(val.alias(canon))
-        bad.append(F.when(is_bad, F.lit(field)))
+            others.append((canon, F.when(_missing(r), None).otherwise(r)))
+        if kind in ("float", "timestamp"):
+            bad.append(F.when(is_bad, F.lit(field)))
 
     # a numeric part too long for an int also makes the date unreadable
-    date_ok = date_ok & F.coalesce(parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
-                                   & parts[3].isNotNull() & parts[4].isNotNull(), F.lit(False))
+    date_ok = F.coalesce((F.size(parts) == 5) & F.forall(parts, lambda x: x.isNotNull()), F.lit(False))
     # the station is part of both primary keys: a row without one cannot be stored
     no_station = F.coalesce(F.col("station").isNull() | (F.trim(F.col("station")) == ""), F.lit(True))
-    reason = (F.when(no_station, F.lit("station")).when(~date_ok, F.lit("valid")).otherwise(
-        F.nullif(F.concat_ws(",", *bad), F.lit("")) if bad else F.lit(None).cast("string")))
+    faults = F.filter(F.array(*bad), lambda f: f.isNotNull()) if bad else F.array().cast("array<string>")
+    reason = F.when(no_station, F.lit("station")).when(~date_ok, F.lit("valid")).when(F.size(faults) > 0, F.array_join(faults, ","))
     tagged = raw.select("*", reason.alias("_reason"))
     if strict:
         first = tagged.where(F.col("_reason").isNotNull() & (F.col("_reason") != "valid")).limit(1).collect()
         if first:
             raise ValueError(f"row cannot be loaded (field(s): {first[0]['_reason']})")
-    good = tagged.where(F.col("_reason").isNull()).select(
-        F.col("station"), *calendar, valid_date, *typed, *carry)
+    read = tagged.where(F.col("_reason").isNull()).select(
+        "station", parts.alias("_at"), _numbers([F.col(f) for f, _ in numbers]).alias("_numbers") if numbers else F.lit(None).alias("_numbers"),
+        *[value.alias(canon) for canon, value in others], *carry)
+    at = [F.get("_at", F.lit(i)) for i in range(5)]
+    place = {canon: i for i, (_, canon) in enumerate(numbers)}
+    present = [canon for field, canon, _ in FIELD_MAP if field in raw.columns]
+    good = read.select(
+        "station", *[p.alias(n) for p, n in zip(at, ("year", "month", "day", "hour", "minute"))],
+        F.try_make_timestamp_ntz(*at, F.lit(0)).alias("valid_date"),
+        *[F.get("_numbers", F.lit(place[c])).alias(c) if c in place else F.col(c) for c in present], *carry)
     rejects = tagged.where(F.col("_reason").isNotNull()).select(
         *carry, "station", "valid", F.col("_reason").alias("reason"))
     return good, rejects

@@ -166,3 +166,18 @@ def test_stream_reads_by_header_and_repeats_nothing(spark, workdir):
     stored = spark.read.parquet(paths[0]).collect()
     assert sorted((r.hour, r.temperature_f, r.longitude) for r in stored) == [(12, 3.0, 1.0), (13, 4.0, 1.0)]
     assert spark.read.parquet(paths[2]).count() == 1
+
+
+def test_fields_are_read_in_arrays_with_few_matches(spark):
+    """A field's text is matched for its number in one place of the reject test and in one of the values, not in one expression per use."""
+    from obsgrid.schema import RAW_FIELDS
+
+    row = {f: "1" for f in RAW_FIELDS} | {"station": "A", "valid": "2011-01-01 12:50:07", "peak_wind_time": "null", "skyc1": "   ", "gust": "1e39"}
+    raw = spark.createDataFrame([tuple(row[f] for f in RAW_FIELDS)] * 2, ", ".join(f"{f} string" for f in RAW_FIELDS)).repartition(1)
+    good, rejects = clean(raw, carry=())
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") < 50 and plan.count("regexp_extract") <= 3
+    got = good.collect()
+    assert len(got) == 2 and got[0].wind_gust is None and got[0].temperature_f == 1.0 and got[0].sky_level1_coverage is None
+    assert (got[0].year, got[0].minute, str(got[0].valid_date)) == (2011, 50, "2011-01-01 12:50:00")
+    assert rejects.count() == 0
