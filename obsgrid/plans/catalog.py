@@ -615,9 +615,9 @@ l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY valid_date, longi
 
 
 def _once(spark: SparkSession, sf: str, name: str, load: Callable[[str], DataFrame]) -> str:
-    """Path of a table that one application writes once per input."""
+    """Path of a table that one application writes once per input, and again if its scratch folders were removed."""
     at = (spark.sparkContext.applicationId, sf, name)
-    if at not in _TABLES:
+    if at not in _TABLES or not layouts._table_exists(spark, _TABLES[at]):
         path = scratch_path(spark, f"stored-{name}")
         load(path)
         _TABLES[at] = path

@@ -16,7 +16,7 @@ from obsgrid.operators.periods import in_order, monthly_history_wide, period_sta
 from obsgrid.operators.profile import feature_names, location_profile
 from obsgrid.operators.quantiles import box_stats, median_bisect, median_season
 from obsgrid.schema import CLUSTER_COLOURS, MEASURES, PROFILE_INDICATORS
-from obsgrid.session import scratch_path, shared_dir
+from obsgrid.session import shared_dir
 from obsgrid.sources.scans import at_instant, map_values, month_range, station_years
 
 
@@ -73,9 +73,7 @@ def station_report(spark: SparkSession, obs: DataFrame, stations: DataFrame, *,
     hist_rows = station_years(obs, code, history[0], history[1])
     table = period_table(rows, measure) if method == "exact" else None
     if table is not None:
-        path = scratch_path(spark, "report")
-        table.write.parquet(path)
-        table = spark.read.schema(table.schema).parquet(path)
+        table = table.checkpoint(eager=True)
         seasons = season_rows(table, measure).withColumn("season_label", season_label("season"))
         box = box_rows(table, measure)
     else:
