@@ -13,11 +13,14 @@ Parquet has no MERGE. An upsert here:
 4. writes the merged partitions once, sorted, to a stage inside the table's
    own folder (hidden from readers, and on the same file system, so that a move
    is a rename; no clean-up of scratch folders reaches it), then writes a
-   journal of every folder to move with its files and their sizes;
+   journal of every folder to move with its files and their sizes, by a Spark
+   job too;
 5. for each folder, renames the old one aside and then the new one into its
    place. A folder's state is read from what is there: staged, old set aside, or
    moved. Only when all are moved is the upsert marked as done, and the old
-   folders go.
+   folders go. Where the table is in a folder that the machines share (``file:``),
+   more than ``HERE`` folders are moved and removed by Spark tasks; on other file
+   systems the driver moves them through Hadoop's client.
 
 A stop at any point leaves the old table (no journal yet), or a journal that the
 next upsert, or ``finish_upsert``, first works off: to the new table if every
@@ -36,14 +39,16 @@ and min/max statistics of the clustering columns stay selective.
 
 from __future__ import annotations
 
-import json
+import os
 import posixpath
+import shutil
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote, urlsplit
+from contextlib import contextmanager
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,11 +59,16 @@ from obsgrid.session import shared_dir
 PRUNED = 10_000
 # incoming rows for each write task
 ROWS_PER_TASK = 2_000_000
-# partition folders moved at once
+# partition folders that the driver moves at once, and up to which it moves them itself
 MOVERS = 16
+HERE = 1_000
+# tasks for each core that list a table's folders, or move them
+TASKS_PER_CORE = 4
 # folder in the table's folder with the stage, the journal and the old folders of an upsert that has not finished
 PENDING = "_pending_upsert"
 NEW, OLD, JOURNAL, DONE = "new", "old", "journal", "done"
+# a line of the journal: folder to move, whether the table had it, its files from there and their lengths
+MOVE = "folder string, replaces boolean, files map<string,bigint>"
 
 
 class StageLost(RuntimeError):
@@ -135,18 +145,72 @@ class _Folder:
         finally:
             stream.close()
 
-    def data_files(self, *parts: str) -> dict[str, dict[str, int]]:
-        """Data files anywhere below a folder, listed by Spark: folder from there -> file -> length."""
-        out: dict[str, dict[str, int]] = {}
-        if self.exists(*parts):
-            top = self.fs.makeQualified(self.path(*parts)).toUri().getPath()
+    def data_files(self, *parts: str) -> DataFrame:
+        """Data files anywhere below a folder, listed by Spark: their path from there and length."""
+        if not self.exists(*parts):
+            return self.spark.createDataFrame([], "file string, length bigint")
+        top = self.fs.makeQualified(self.path(*parts)).toUri().getPath()
+        with _listing(self.spark):
             found = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(posixpath.join(self.top, *parts))
-            for one in found.select("path", "length").toLocalIterator():
-                folder, _, file = unquote(urlsplit(one.path).path)[len(top):].strip("/").rpartition("/")
-                out.setdefault(folder, {})[file] = one.length
+        path = F.regexp_replace("path", "^[A-Za-z][^:/]*:(//[^/]*)?", "")
+        return found.select(F.substring(path, len(top.rstrip("/")) + 2, 2 ** 31 - 1).alias("file"), "length")
+
+    def files(self, *parts: str) -> dict[str, int]:
+        """Data files below a folder: path from there -> length."""
+        return {f.file: f.length for f in self.data_files(*parts).collect()}
+
+    def shared(self) -> _Shared | None:
+        """The same folder as every machine has it, if it is in a plain folder that they share."""
+        if self.fs.getUri().getScheme() != "file":
+            return None
+        return _Shared(self.fs.makeQualified(self._path(self.top)).toUri().getPath())
+
+
+class _Shared:
+    """Paths below one folder that driver and executors share; goes to tasks."""
+
+    def __init__(self, top: str):
+        self.top = top
+
+    def path(self, *parts: str) -> str:
+        return os.path.join(self.top, *parts)
+
+    def exists(self, *parts: str) -> bool:
+        return os.path.exists(self.path(*parts))
+
+    def rename(self, source: Sequence[str], target: Sequence[str]) -> None:
+        to = self.path(*target)
+        os.makedirs(os.path.dirname(to), exist_ok=True)
+        os.rename(self.path(*source), to)
+
+    def remove(self, *parts: str) -> None:
+        shutil.rmtree(self.path(*parts), ignore_errors=True)        # the upsert's whole folder is removed after it
+
+    def files(self, *parts: str) -> dict[str, int]:
+        """Data files below a folder, without those that Spark's readers skip: path from there -> length."""
+        top, out = self.path(*parts), {}
+        for at, folders, files in os.walk(top):
+            folders[:] = [f for f in folders if not _hidden(f)]
+            out |= {os.path.relpath(os.path.join(at, f), top): os.path.getsize(os.path.join(at, f)) for f in files if not _hidden(f)}
         return out
 
 
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name
+
+
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """Folders listed by some tasks per core: by itself Spark takes a task for each folder, up to 10 000."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _pending(spark: SparkSession, path: str) -> str | None:
     """The stage of an upsert that has a journal but has not finished. Stages without one are what a stop before it left: they go."""
     table = _Folder(spark, path)
@@ -167,7 +231,8 @@ def _pending(spark: SparkSession, path: str) -> str | None:
 
 def read_layout(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a layout with an explicit schema (partition values are not type-inferred)."""
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    with _listing(spark):
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "append",
@@ -247,28 +312,113 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
                            f"{staging!r}, {path!r}, ...) to complete the upsert") from e
 
 
+def _unit(fs: _Shared | _Folder, folder: str) -> tuple[str, bool]:
+    """The folder to move, and whether the table has it: the partition folder, or the highest one above it that the table doesn't have."""
+    unit = folder
+    while (above := posixpath.dirname(unit)) and not fs.exists(above):
+        unit = above
+    return unit, fs.exists(unit)
+
+
 def write_journal(spark: SparkSession, staging: str, path: str, layout: Layout) -> None:
     """List every folder to move: a partition folder, or the highest folder above it that the table doesn't have yet."""
     table = _Folder(spark, path)
-    upsert_folder = posixpath.relpath(posixpath.dirname(staging), path.rstrip("/"))
-    by_folder = table.data_files(upsert_folder, NEW)
-    present: dict[str, bool] = {}
-
-    def there(folder: str) -> bool:
-        if folder not in present:
-            above = posixpath.dirname(folder)
-            present[folder] = (not above or there(above)) and table.exists(folder)
-        return present[folder]
-
-    moves: dict[str, dict] = {}
-    for folder, files in sorted(by_folder.items()):
-        unit = folder
-        while (above := posixpath.dirname(unit)) and not there(above):
-            unit = above
-        move = moves.setdefault(unit, {"folder": unit, "replaces": there(unit), "files": {}})
-        inner = folder[len(unit):].strip("/")
-        move["files"] |= {posixpath.join(inner, f): n for f, n in files.items()}
-    table.write("\n".join(json.dumps(m) for m in moves.values()), upsert_folder, JOURNAL)
+    own = posixpath.relpath(posixpath.dirname(staging), path.rstrip("/"))
+    staged = table.data_files(own, NEW).withColumn("at", F.regexp_replace("file", "/?[^/]*$", ""))
+    if shared := table.shared():
+        units = staged.select("at", "file", "length").rdd.map(lambda f: (*_unit(shared, f.at), f.file, f.length))
+    else:
+        found = staged.collect()
+        of = {at: _unit(table, at) for at in {f.at for f in found}}
+        units = [(*of[f.at], f.file, f.length) for f in found]
+    name = F.ltrim(F.expr("substring(file, length(folder) + 1)"), F.lit("/"))
+    moves = (spark.createDataFrame(units, "folder string, replaces boolean, file string, length bigint")
+             .groupBy("folder").agg(F.bool_or("replaces").alias("replaces"),
+                                    F.map_from_entries(F.collect_list(F.struct(name, "length"))).alias("files")))
+    draft = f".{JOURNAL}-{uuid.uuid4().hex}"
+    moves.write.json(posixpath.join(path.rstrip("/"), own, draft))
+    table.rename((own, draft), (own, JOURNAL))      # whole or not there
+
+
+def _state(fs: _Shared | _Folder, own: str, move: Row, here: dict[str, int]) -> str:
+    """Where a folder's move stands, ``here`` being the files that its stage still has."""
+    folder = move.folder
+    if here or fs.exists(own, NEW, folder):
+        return "lost" if here != move.files else "staged" if fs.exists(folder) else "aside"
+    # a new folder is at its place, or an old one has gone aside and the new one taken its place
+    return "moved" if fs.exists(folder) and (not move.replaces or fs.exists(own, OLD, folder)) else "lost"
+
+
+def _forward(fs: _Shared | _Folder, own: str, move: Row, now: str, before: Callable[[str, str], None]) -> None:
+    folder = move.folder
+    if now == "staged":
+        before(folder, now)
+        fs.rename((folder,), (own, OLD, folder))
+        now = "aside"
+    if now == "aside":
+        before(folder, now)
+        fs.rename((own, NEW, folder), (folder,))
+
+
+def _back(fs: _Shared | _Folder, own: str, move: Row) -> None:
+    folder = move.folder
+    if move.replaces:
+        if fs.exists(own, OLD, folder):
+            if fs.exists(folder):
+                fs.rename((folder,), (own, NEW, folder))
+            fs.rename((own, OLD, folder), (folder,))
+    elif fs.exists(folder):
+        fs.rename((folder,), (own, NEW, folder))
+
+
+def _gone(fs: _Shared | _Folder, own: str, move: Row) -> bool:
+    """Whether neither the table nor the folders set aside have what was there before."""
+    return move.replaces and not fs.exists(move.folder) and not fs.exists(own, OLD, move.folder)
+
+
+def _move_by_tasks(fs: _Shared, own: str, moves: DataFrame) -> tuple[list[str], list[str]]:
+    """Move the journal's folders by Spark tasks; else the first lost folders, and those gone altogether.
+
+    A task that runs again finds what it moved before as moved.
+    """
+    rdd = moves.repartition(TASKS_PER_CORE * moves.sparkSession.sparkContext.defaultParallelism).rdd
+
+    def state(move: Row) -> str:
+        return _state(fs, own, move, fs.files(own, NEW, move.folder))
+
+    def some(test: Callable[[Row], bool]) -> list[str]:
+        return rdd.mapPartitions(lambda part: islice((m.folder for m in part if test(m)), 5)).collect()[:5]
+
+    lost = some(lambda m: state(m) == "lost")
+    if not lost:
+        rdd.foreach(lambda m: _forward(fs, own, m, state(m), lambda folder, now: None))
+        return [], []
+    gone = some(lambda m: _gone(fs, own, m))
+    if not gone:
+        rdd.foreach(lambda m: _back(fs, own, m))
+    return lost, gone
+
+
+def _move_here(fs: _Shared | _Folder, own: str, moves: list[Row], before: Callable[[str, str], None]) -> tuple[list[str], list[str]]:
+    """The same from the driver, some folders at once."""
+    if isinstance(fs, _Shared):
+        staged = {m.folder: fs.files(own, NEW, m.folder) for m in moves}
+    else:
+        units, staged = {m.folder for m in moves}, {}
+        for file, length in fs.files(own, NEW).items():
+            unit = posixpath.dirname(file)
+            while unit and unit not in units:
+                unit = posixpath.dirname(unit)
+            staged.setdefault(unit, {})[file[len(unit):].lstrip("/")] = length
+    with ThreadPoolExecutor(MOVERS) as pool:
+        states = list(pool.map(lambda m: _state(fs, own, m, staged.get(m.folder, {})), moves))
+        lost = [m.folder for m, now in zip(moves, states) if now == "lost"]
+        gone = [m.folder for m in moves if _gone(fs, own, m)] if lost else []
+        if not lost:
+            list(pool.map(lambda one: _forward(fs, own, *one, before), zip(moves, states)))
+        elif not gone:
+            list(pool.map(lambda m: _back(fs, own, m), moves))
+    return lost, gone
 
 
 def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout, schema: T.StructType,
@@ -276,64 +426,31 @@ def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout,
     """Work off the journal of the upsert staged at ``staging``; also the recovery step, which may run again and again.
 
     Raises ``StageLost`` if staged folders are missing: the table is then the one before the upsert, if the old folders
-    are still there. ``step`` is called with a folder and the state it is about to leave.
+    are still there. ``step`` is called with a folder and the state it is about to leave; all folders are then moved by the driver.
     """
     table = _Folder(spark, path)
+    shared = table.shared()
     own = posixpath.relpath(posixpath.dirname(staging), path.rstrip("/"))
-    before = step or (lambda folder, state: None)
-
-    def state(move: dict) -> str:
-        folder = move["folder"]
-        here = {posixpath.join(inner, f): n for inner, own_files in staged.get(folder, {}).items() for f, n in own_files.items()}
-        if here or table.exists(own, NEW, folder):
-            return "lost" if here != move["files"] else "staged" if table.exists(folder) else "aside"
-        # a new folder is at its place, or an old one has gone aside and the new one taken its place
-        return "moved" if table.exists(folder) and (not move["replaces"] or table.exists(own, OLD, folder)) else "lost"
-
-    def forward(found: tuple[dict, str]) -> None:
-        folder, now = found[0]["folder"], found[1]
-        if now == "staged":
-            before(folder, now)
-            table.rename((folder,), (own, OLD, folder))
-            now = "aside"
-        if now == "aside":
-            before(folder, now)
-            table.rename((own, NEW, folder), (folder,))
-
-    def back(move: dict) -> None:
-        folder = move["folder"]
-        if move["replaces"]:
-            if table.exists(own, OLD, folder):
-                if table.exists(folder):
-                    table.rename((folder,), (own, NEW, folder))
-                table.rename((own, OLD, folder), (folder,))
-        elif table.exists(folder):
-            table.rename((folder,), (own, NEW, folder))
-
     if not table.exists(own, DONE):
-        moves = [json.loads(line) for line in table.read(own, JOURNAL).splitlines() if line]
-        units, staged = {m["folder"] for m in moves}, {}
-        for folder, files in table.data_files(own, NEW).items():
-            unit = folder
-            while unit and unit not in units:
-                unit = posixpath.dirname(unit)
-            staged.setdefault(unit, {})[folder[len(unit):].strip("/")] = files
-        with ThreadPoolExecutor(MOVERS) as pool:
-            states = list(pool.map(state, moves))
-            lost = [m["folder"] for m, now in zip(moves, states) if now == "lost"]
-            if lost:
-                gone = [m["folder"] for m in moves if m["replaces"] and not table.exists(m["folder"]) and not table.exists(own, OLD, m["folder"])]
-                if gone:
-                    raise StageLost(f"neither the old nor the new folder is whole: {gone[:5]}; nothing was removed from {staging}")
-                list(pool.map(back, moves))
-            else:
-                list(pool.map(forward, zip(moves, states)))
+        moves = spark.read.schema(MOVE).option("mode", "FAILFAST").json(posixpath.join(path.rstrip("/"), own, JOURNAL))
+        first = moves.limit(HERE + 1).collect()
+        by_tasks = shared is not None and step is None and len(first) > HERE
+        if by_tasks:
+            lost, gone = _move_by_tasks(shared, own, moves)
+        else:
+            lost, gone = _move_here(shared or table, own, first if len(first) <= HERE else moves.collect(), step or (lambda folder, state: None))
+        if gone:
+            raise StageLost(f"neither the old nor the new folder is whole: {gone[:5]}; nothing was removed from {staging}")
         if lost:
             table.remove(PENDING)
             spark.catalog.refreshByPath(path)
             raise StageLost(f"staged folders were missing or cut short ({lost[:5]}): the table is the one before the upsert; load the batch again")
         table.write("", own, DONE)
-    table.remove(own)               # the old folders go only now that all new ones are in place
+        # the old folders go only now that all new ones are in place
+        if by_tasks:
+            (moves.where("replaces").repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism).rdd
+             .foreach(lambda m: shared.remove(own, OLD, m.folder)))
+    table.remove(own)
     table.remove(PENDING)
     spark.catalog.refreshByPath(path)
     return read_layout(spark, path, schema)

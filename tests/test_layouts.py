@@ -346,3 +346,95 @@ def test_both_folders_gone_is_an_error_that_removes_nothing(spark, workdir, monk
         with pytest.raises(layouts.StageLost):
             layouts.upsert_station(spark, rows(spark, [("E", 2011, 3, 1, 0, 0, 3.0, "z", 3)]), path)
     assert os.path.exists(os.path.join(own, "journal"))
+
+
+def _stations(spark, names, month):
+    return rows(spark, [(s, 2011, month, 1, 0, 0, float(month), "x", month) for s in names])
+
+
+def test_gateway_calls_do_not_grow_with_the_folders(spark, workdir, monkeypatch):
+    """The driver asks the file system a fixed number of times for an upsert, whatever the folders it moves."""
+    calls = []
+    for name in ("path", "exists", "rename"):
+        own = getattr(layouts._Folder, name)
+        monkeypatch.setattr(layouts._Folder, name, lambda self, *a, own=own: calls.append(1) or own(self, *a))
+    seen = []
+    for n in (3, 45):
+        path = os.path.join(workdir, f"calls{n}")
+        names = [f"S{i:02d}" for i in range(n)]
+        layouts.upsert_station(spark, _stations(spark, names, 1), path)
+        calls.clear()
+        t = layouts.upsert_station(spark, _stations(spark, [*names, "new"], 2), path)
+        seen.append(len(calls))
+        assert _months(t) == sorted([(s, m) for s in names for m in (1, 2)] + [("new", 2)])
+    assert seen[0] == seen[1]
+
+
+def test_listing_takes_some_tasks_not_one_per_folder(spark, workdir, monkeypatch):
+    path = os.path.join(workdir, "listing")
+    layouts.upsert_station(spark, _stations(spark, [f"S{i:02d}" for i in range(45)], 1), path)
+    monkeypatch.setattr(layouts, "TASKS_PER_CORE", 1)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, sc = spark.conf.get(key), spark.sparkContext
+    sc.setJobGroup("layout-listing", "")
+    try:
+        t = layouts.read_layout(spark, path, rows(spark, []).drop("seq").schema)
+    finally:
+        sc.setJobGroup("tests", "")
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("layout-listing") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [i.numTasks for s in stages if (i := tracker.getStageInfo(s)) is not None]
+    assert tasks and max(tasks) <= min(44, sc.defaultParallelism)
+    assert spark.conf.get(key) == before and t.count() == 45
+
+
+def test_folders_moved_by_tasks(spark, workdir, monkeypatch):
+    """More than HERE folders are moved by Spark tasks: old ones replaced, new ones added, nothing left over."""
+    monkeypatch.setattr(layouts, "HERE", 0)
+    monkeypatch.setattr(layouts, "_move_here", lambda *a: (_ for _ in ()).throw(Stop()))
+    path = os.path.join(workdir, "tasks")
+    layouts.upsert_station(spark, _stations(spark, "AB", 1), path)
+    t = layouts.upsert_station(spark, _stations(spark, "ACD", 2), path)
+    assert _months(t) == NEW_TABLE
+    assert not os.path.exists(os.path.join(path, layouts.PENDING))
+
+
+@pytest.mark.parametrize("stop_at", STOPS)
+@pytest.mark.parametrize("cut", [None, "stage", "both"])
+def test_tasks_finish_or_undo_a_stopped_upsert(spark, workdir, monkeypatch, stop_at, cut):
+    import shutil
+
+    from obsgrid.schema import STATION_LAYOUT
+
+    path = os.path.join(workdir, "task-steps")
+    own = _stopped_upsert(spark, path, stop_at, monkeypatch)
+    schema = rows(spark, []).drop("seq").schema
+    monkeypatch.setattr(layouts, "HERE", 0)
+
+    def finish():
+        return layouts.finish_upsert(spark, os.path.join(own, "new"), path, STATION_LAYOUT, schema)
+
+    if cut is None:
+        assert _months(finish()) == NEW_TABLE
+        assert not os.path.exists(os.path.join(path, layouts.PENDING))
+        return
+    shutil.rmtree(os.path.join(own, "new", stop_at[0]))
+    if cut == "both" and stop_at[1] == "aside" and "A" in stop_at[0]:
+        shutil.rmtree(os.path.join(own, "old"))
+        with pytest.raises(layouts.StageLost):
+            finish()
+        assert os.path.exists(os.path.join(own, "journal"))
+        return
+    with pytest.raises(layouts.StageLost):
+        finish()
+    assert _months(layouts.read_layout(spark, path, schema)) == [("A", 1), ("B", 1)]
+
+
+@pytest.mark.parametrize("here", [0, 1000])
+def test_folder_names_that_spark_escapes(spark, workdir, monkeypatch, here):
+    monkeypatch.setattr(layouts, "HERE", here)
+    path = os.path.join(workdir, "names")
+    names = ["a/b", "50%", "x y", "q?#:", "_u", "é"]
+    layouts.upsert_station(spark, _stations(spark, names[:4], 1), path)
+    t = layouts.upsert_station(spark, _stations(spark, names, 2), path)
+    assert _months(t) == sorted([(s, 1) for s in names[:4]] + [(s, 2) for s in names])
