@@ -29,25 +29,38 @@ table, with ``StageLost``. If neither can be had, ``StageLost`` says which
 folders are missing and nothing is removed. One writer at a time is assumed.
 
 A table is whatever data its folder holds: markers don't matter, and no step
-ever overwrites the folder as a whole. A first load (no data yet) is written
-straight into it.
+ever overwrites the folder as a whole. A first load (no data yet) of up to
+``LISTED`` folders is written straight into it.
 
 Files are range-partitioned on the full key and sorted within partitions, so
 a partition that holds a large share of the rows is written by many tasks,
 and min/max statistics of the clustering columns stay selective.
+
+Spark's file reader and writer keep an entry on the driver for every folder and
+file. Beyond ``LISTED`` folders of a shared (``file:``) table none of that grows:
+the same folders and files are listed, read and written by tasks, with Arrow, and
+a first load is staged like any other batch. The frame that an upsert returns is
+then not pruned by filters; ``read_layout`` always is, and always lists.
 """
 
 from __future__ import annotations
 
 import os
 import posixpath
+import re
 import shutil
 import uuid
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,8 +75,19 @@ ROWS_PER_TASK = 2_000_000
 # partition folders that the driver moves at once, and up to which it moves them itself
 MOVERS = 16
 HERE = 1_000
+# partition folders up to which Spark's reader lists a table and Spark's writer lays out a batch; beyond, tasks do
+LISTED = 10_000
+# rows that such a task holds for a row group, or for a batch that it passes on
+ROW_GROUP, ROWS_AT_ONCE = 100_000, 10_000
 # tasks for each core that list a table's folders, or move them
 TASKS_PER_CORE = 4
+# types that such tasks read and write, and those of partition values
+INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+PLAIN = (T.StringType, *INTS, T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+NAMING = (T.StringType, *INTS, T.DateType)
+# what Spark escapes in a folder's name, and its name for NULL
+ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # folder in the table's folder with the stage, the journal and the old folders of an upsert that has not finished
 PENDING = "_pending_upsert"
 NEW, OLD, JOURNAL, DONE = "new", "old", "journal", "done"
@@ -93,6 +117,9 @@ def _fs_path(spark: SparkSession, path: str):
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds any data: a partition folder or a file that isn't a marker."""
+    if (shared := _Folder(spark, path).shared()) and os.path.isdir(shared.path()):
+        with os.scandir(shared.path()) as found:        # as they are found: there may be very many
+            return any(not one.name.startswith(("_", ".")) for one in found)
     fs, p = _fs_path(spark, path)
     return fs.exists(p) and any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
@@ -194,6 +221,45 @@ class _Shared:
             out |= {os.path.relpath(os.path.join(at, f), top): os.path.getsize(os.path.join(at, f)) for f in files if not _hidden(f)}
         return out
 
+    def below(self, *parts: str) -> Iterator[str]:
+        """Names of the folders in a folder, without those that Spark's readers skip, as they are found."""
+        with suppress(FileNotFoundError), os.scandir(self.path(*parts)) as found:
+            for one in found:
+                if one.is_dir() and not _hidden(one.name):
+                    yield one.name
+
+    def lowest(self, *parts: str) -> Iterator[str]:
+        """Folders below a folder that have none below them."""
+        at = None
+        for at in self.below(*parts):
+            yield from (os.path.join(at, f) for f in self.lowest(*parts, at))
+        if at is None:
+            yield ""
+
+    def many(self, limit: int, *parts: str) -> bool:
+        """Whether a folder has more lowest folders than that."""
+        return next(islice(self.lowest(*parts), limit, None), None) is not None
+
+    def share(self, k: int, n: int, *parts: str) -> list[str]:
+        """The k-th of n shares of the folders below a folder, on the highest level that has enough to deal out."""
+        level, above = [""], None
+        while len(level) < 16 * n and level != above:
+            above = level
+            level = [os.path.join(f, d) if d else f for f in above for d in ([*self.below(*parts, f)] or [""])]
+        return sorted(f for f in level if zlib.crc32(f.encode()) % n == k)
+
+    def shares(self, spark: SparkSession, *parts: str) -> RDD:
+        """The folders below a folder, dealt to some tasks per core, each of which looks for its own."""
+        n = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+        return spark.sparkContext.parallelize(range(n), n).flatMap(lambda k: self.share(k, n, *parts))
+
+
+def _clear(table: _Folder, *parts: str) -> None:
+    """Remove a folder: more than ``HERE`` folders below it by tasks."""
+    if (shared := table.shared()) and shared.many(HERE, *parts):
+        shared.shares(table.spark, *parts).foreach(lambda at: shared.remove(*parts, at))
+    table.remove(*parts)
+
 
 def _hidden(name: str) -> bool:
     return name.startswith(".") or name.startswith("_") and "=" not in name
@@ -221,7 +287,7 @@ def _pending(spark: SparkSession, path: str) -> str | None:
     left = [str(st.getPath().getName()) for st in table.fs.listStatus(table.path(PENDING))]
     for one in left:
         if not table.exists(PENDING, one, JOURNAL):
-            table.remove(PENDING, one)
+            _clear(table, PENDING, one)
     left = [one for one in left if table.exists(PENDING, one, JOURNAL)]
     if not left:
         table.remove(PENDING)
@@ -240,10 +306,166 @@ def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "append",
     """Range-partition on the full key (explicit task count, so adaptive execution
     does not fold a write over many partition folders into one task), sort within
     tasks, write one folder per partition value."""
+    (_laid_out(df, layout, num_tasks)
+     .write.mode(mode).partitionBy(*layout.partition_by).parquet(path))
+
+
+def _laid_out(df: DataFrame, layout: Layout, num_tasks: int | None) -> DataFrame:
     cols = [c for c in layout.key if c in df.columns]
     n = num_tasks or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-     .write.mode(mode).partitionBy(*layout.partition_by).parquet(path))
+    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+
+
+def _tasks_can(schema: T.StructType, partition_by: Sequence[str]) -> bool:
+    """Whether tasks can read and write such rows as Spark does."""
+    return all(isinstance(f.dataType, NAMING if f.name in partition_by else PLAIN) for f in schema.fields)
+
+
+def _folder_of(names: Sequence[str], values: Sequence[str]) -> str:
+    """A partition's folder, as Spark names it."""
+    return "/".join(f"{n}={ESCAPED.sub(lambda c: f'%{ord(c[0]):02X}', v)}" for n, v in zip(names, values))
+
+
+def _values_of(folder: str) -> dict[str, str | None]:
+    """Partition values that a folder's path names."""
+    found = (part.partition("=") for part in folder.split("/") if "=" in part)
+    return {n: None if v == NO_VALUE else re.sub("%([0-9A-Fa-f]{2})", lambda c: chr(int(c[1], 16)), v) for n, _, v in found}
+
+
+class _Writer:
+    """One file of a folder. It gets its name when it is whole, the same name if the task runs again."""
+
+    def __init__(self, folder: str, task: int, codec: str):
+        os.makedirs(folder, exist_ok=True)
+        self.place, self.codec = os.path.join(folder, f"part-{task:05d}.parquet"), codec
+        self.draft, self.out = os.path.join(folder, f".part-{uuid.uuid4().hex}"), None
+        self.held, self.rows = [], 0
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.held.append(rows)
+        self.rows += rows.num_rows
+        if self.rows >= ROW_GROUP:
+            self.flush()
+
+    def flush(self) -> None:
+        table = pa.Table.from_batches(self.held)
+        self.out = self.out or pq.ParquetWriter(self.draft, table.schema, compression=self.codec)
+        self.out.write_table(table)
+        self.held, self.rows = [], 0
+
+    def close(self) -> None:
+        if self.held:
+            self.flush()
+        self.out.close()
+        os.replace(self.draft, self.place)
+
+
+def _write_by_tasks(df: DataFrame, to: _Shared, layout: Layout, num_tasks: int | None = None) -> None:
+    """The files of ``write_layout``, without an entry on the driver for each folder."""
+    names = list(layout.partition_by)
+    data = [c for c in df.columns if c not in names]
+    codec = df.sparkSession.conf.get("spark.sql.parquet.compression.codec").lower()
+    codec = {"uncompressed": "none", "lz4_raw": "lz4", "lz4raw": "lz4"}.get(codec, codec)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, now, file, rows = TaskContext.get().partitionId(), None, None, 0
+        for batch in batches:
+            at = [batch.column(len(data) + i) for i in range(len(names))]
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = False
+            for c in at:
+                new[1:] |= pc.not_equal(c.slice(1), c.slice(0, max(len(c) - 1, 0))).to_numpy(zero_copy_only=False)
+            rest = batch.select(list(range(len(data))))
+            starts = np.flatnonzero(new).tolist()
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                folder = _folder_of(names, [c[start].as_py() for c in at])
+                if folder != now:
+                    if file:
+                        file.close()
+                    now, file = folder, _Writer(to.path(folder), task, codec)
+                file.add(rest.slice(start, end - start))
+            rows += batch.num_rows
+        if file:
+            file.close()
+        yield pa.RecordBatch.from_pydict({"rows": [rows]})
+
+    # partition values as Spark writes them in a folder's name
+    values = [F.col(c).cast("string").alias(c) for c in names]
+    _laid_out(df, layout, num_tasks).select(*data, *values).mapInArrow(write, "rows bigint").agg(F.sum("rows")).collect()
+
+
+def _as(found: pa.Array, kind: pa.DataType, where: str) -> pa.Array:
+    """A file's column as the schema has it, where Spark's reader would take it too."""
+    has, is_ = found.type, pa.types
+    if has == kind:
+        return found
+    wider = any(f(has) and f(kind) and has.bit_width <= kind.bit_width for f in (is_.is_floating, is_.is_signed_integer))
+    instant = is_.is_timestamp(has) and is_.is_timestamp(kind) and (kind.tz or not has.tz)
+    text = any(all(f(t) or g(t) for t in (has, kind)) for f, g in ((is_.is_string, is_.is_large_string), (is_.is_binary, is_.is_large_binary)))
+    if not (wider or instant or text):
+        raise TypeError(f"{where} holds {has}, not {kind}")
+    return found.cast(kind)
+
+
+def _rows_by_tasks(spark: SparkSession, table: _Shared, files: RDD, schema: T.StructType, names: Sequence[str]) -> DataFrame:
+    """Rows of a layout's files, dealt out by file, so that a folder of many is read by many tasks; columns as Spark's reader has them."""
+    columns = [*[f for f in schema.fields if f.name not in names], *[schema[n] for n in names]]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in columns])
+    kinds = spark.createDataFrame([], schema).toArrow().schema
+    # an instant is the same in any zone
+    kinds = pa.schema([(f.name, pa.timestamp("us", "UTC") if pa.types.is_timestamp(f.type) and f.type.tz else f.type) for f in kinds])
+    exact = spark.conf.get("spark.sql.caseSensitive").lower() == "true"
+
+    def of(file: str) -> Iterator[pa.RecordBatch]:
+        values = _values_of(posixpath.dirname(file))
+        with pq.ParquetFile(table.path(file), coerce_int96_timestamp_unit="us") as source:
+            has = {n if exact else n.lower(): n for n in source.schema_arrow.names}
+            wanted = {f.name: has.get(f.name if exact else f.name.lower()) for f in kinds if f.name not in values}
+            for batch in source.iter_batches(ROWS_AT_ONCE, columns=[n for n in wanted.values() if n]):
+                def column(f: pa.Field) -> pa.Array:
+                    if f.name in values:
+                        return pa.repeat(pa.scalar(values[f.name], pa.string()).cast(f.type), batch.num_rows)
+                    if not wanted[f.name]:
+                        return pa.nulls(batch.num_rows, f.type)
+                    return _as(batch.column(wanted[f.name]), f.type, f"{file}: {f.name}")
+
+                yield pa.RecordBatch.from_arrays([column(f) for f in kinds], schema=kinds)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in (part for names in batches for file in names.column(0).to_pylist() for part in of(file)):
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= ROWS_AT_ONCE:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, rows = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    listed = spark.createDataFrame(files.map(lambda f: (f,)), "file string")
+    return listed.repartition(tasks, "file").mapInArrow(read, schema)
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType, layout: Layout) -> DataFrame:
+    """The table's rows: by Spark's reader, or by tasks if it has more than ``LISTED`` folders."""
+    shared = _Folder(spark, path).shared()
+    if shared is None or not _tasks_can(schema, layout.partition_by) or not shared.many(LISTED):
+        return read_layout(spark, path, schema)
+    files = shared.shares(spark).flatMap(lambda at: (os.path.join(at, f) for f in shared.files(at)))
+    return _rows_by_tasks(spark, shared, files, schema, layout.partition_by)
+
+
+def _stored_at(spark: SparkSession, path: str, schema: T.StructType, layout: Layout, touched: DataFrame) -> DataFrame:
+    """Stored rows of the touched partitions."""
+    names = list(layout.partition_by)
+    shared = _Folder(spark, path).shared()
+    if shared is None or not _tasks_can(schema, names) or not shared.many(LISTED):
+        return touched_rows(read_layout(spark, path, schema), touched, names)
+    folders = (touched.select(*[F.col(c).cast("string") for c in names])
+               .repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, *names).rdd.map(lambda r: _folder_of(names, r)))
+    files = folders.flatMap(lambda at: (os.path.join(at, f) for f in shared.files(at)))
+    return _rows_by_tasks(spark, shared, files, schema, layout.partition_by)
 
 
 def touched_partitions(batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -292,18 +514,23 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, layout: Layout,
     if (left := _pending(spark, path)) is not None:
         finish_upsert(spark, left, path, layout, schema)
     exists = _table_exists(spark, path)
+    shared = _Folder(spark, path).shared()
+    by_tasks = shared is not None and _tasks_can(schema, layout.partition_by) and touched.count() > LISTED
     if exists:
-        old = touched_rows(read_layout(spark, path, schema), touched, layout.partition_by)
+        old = _stored_at(spark, path, schema, layout, touched)
         old = old.select(*schema_cols, *[F.lit(None).cast(incoming.schema[c].dataType).alias(c) for c in order],
                          F.lit(0).alias("_batch"))
         batch = batch.unionByName(old)
     merged = dedup_last(batch, layout.key, ["_batch", *order]).select(*schema_cols)
-    if not exists:
+    if not exists and not by_tasks:
         # first load: nothing is read from the target, write it directly
         write_layout(merged, path, layout, num_tasks=num_tasks)
         return read_layout(spark, path, merged.schema)
     staging = posixpath.join(path.rstrip("/"), PENDING, uuid.uuid4().hex, NEW)
-    write_layout(merged, staging, layout, num_tasks=num_tasks)
+    if by_tasks:
+        _write_by_tasks(merged, _Folder(spark, staging).shared(), layout, num_tasks)
+    else:
+        write_layout(merged, staging, layout, num_tasks=num_tasks)
     write_journal(spark, staging, path, layout)
     try:
         return finish_upsert(spark, staging, path, layout, merged.schema)
@@ -324,11 +551,11 @@ def write_journal(spark: SparkSession, staging: str, path: str, layout: Layout)
     """List every folder to move: a partition folder, or the highest folder above it that the table doesn't have yet."""
     table = _Folder(spark, path)
     own = posixpath.relpath(posixpath.dirname(staging), path.rstrip("/"))
-    staged = table.data_files(own, NEW).withColumn("at", F.regexp_replace("file", "/?[^/]*$", ""))
     if shared := table.shared():
-        units = staged.select("at", "file", "length").rdd.map(lambda f: (*_unit(shared, f.at), f.file, f.length))
+        files = shared.shares(spark, own, NEW).flatMap(lambda at: ((os.path.join(at, f), n) for f, n in shared.files(own, NEW, at).items()))
+        units = files.map(lambda f: (*_unit(shared, posixpath.dirname(f[0])), *f))
     else:
-        found = staged.collect()
+        found = table.data_files(own, NEW).withColumn("at", F.regexp_replace("file", "/?[^/]*$", "")).collect()
         of = {at: _unit(table, at) for at in {f.at for f in found}}
         units = [(*of[f.at], f.file, f.length) for f in found]
     name = F.ltrim(F.expr("substring(file, length(folder) + 1)"), F.lit("/"))
@@ -442,18 +669,16 @@ def finish_upsert(spark: SparkSession, staging: str, path: str, layout: Layout,
         if gone:
             raise StageLost(f"neither the old nor the new folder is whole: {gone[:5]}; nothing was removed from {staging}")
         if lost:
+            _clear(table, own)
             table.remove(PENDING)
             spark.catalog.refreshByPath(path)
             raise StageLost(f"staged folders were missing or cut short ({lost[:5]}): the table is the one before the upsert; load the batch again")
         table.write("", own, DONE)
-        # the old folders go only now that all new ones are in place
-        if by_tasks:
-            (moves.where("replaces").repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism).rdd
-             .foreach(lambda m: shared.remove(own, OLD, m.folder)))
-    table.remove(own)
+    # the old folders go only now that all new ones are in place
+    _clear(table, own)
     table.remove(PENDING)
     spark.catalog.refreshByPath(path)
-    return read_layout(spark, path, schema)
+    return _stored(spark, path, schema, layout)
 
 
 def station_rows(obs: DataFrame) -> DataFrame:

@@ -438,3 +438,118 @@ def test_folder_names_that_spark_escapes(spark, workdir, monkeypatch, here):
     layouts.upsert_station(spark, _stations(spark, names[:4], 1), path)
     t = layouts.upsert_station(spark, _stations(spark, names, 2), path)
     assert _months(t) == sorted([(s, 1) for s in names[:4]] + [(s, 2) for s in names])
+
+
+def _data_folders(path):
+    return sorted(os.path.relpath(d, path) for d, _, files in os.walk(path) if any(f.endswith(".parquet") and f[0] != "." for f in files))
+
+
+def test_many_folders_take_no_listing_on_the_driver(spark, workdir, monkeypatch):
+    """Beyond LISTED folders Spark's file index and writer are never asked: what the driver holds does not grow with the folders."""
+    monkeypatch.setattr(layouts, "LISTED", 4)
+    monkeypatch.setattr(layouts, "HERE", 4)
+    for name in ("read_layout", "write_layout"):
+        monkeypatch.setattr(layouts, name, lambda *a, **k: (_ for _ in ()).throw(Stop()))
+    monkeypatch.setattr(layouts._Folder, "data_files", lambda *a: (_ for _ in ()).throw(Stop()))
+    path = os.path.join(workdir, "spread")
+    names = [f"S{i:02d}" for i in range(40)]
+    layouts.upsert_station(spark, _stations(spark, names, 1), path)
+    t = layouts.upsert_station(spark, _stations(spark, [*names[5:], "new"], 2), path)
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan parquet" not in plan and t.inputFiles() == []
+    assert _months(t) == sorted([(s, 1) for s in names] + [(s, 2) for s in [*names[5:], "new"]])
+    assert _data_folders(path) == sorted(f"station={s}/year=2011" for s in [*names, "new"])
+    assert not os.path.exists(os.path.join(path, layouts.PENDING))
+
+
+def test_few_touched_folders_of_many_are_read_alone(spark, workdir, monkeypatch):
+    """A small batch into a table of many folders reads its own folders: others may be unreadable."""
+    monkeypatch.setattr(layouts, "LISTED", 4)
+    path = os.path.join(workdir, "few")
+    layouts.upsert_station(spark, _stations(spark, "ABCDEF", 1), path)
+    with open(os.path.join(path, "station=F", "year=2011", "bad.parquet"), "wb") as f:
+        f.write(b"no Parquet")
+    layouts.upsert_station(spark, _stations(spark, "AB", 2), path)
+    os.remove(os.path.join(path, "station=F", "year=2011", "bad.parquet"))
+    t = layouts.read_layout(spark, path, rows(spark, []).drop("seq").schema)
+    assert _months(t) == sorted([(s, 1) for s in "ABCDEF"] + [(s, 2) for s in "AB"])
+
+
+def test_tasks_write_and_read_what_spark_does(spark, workdir, monkeypatch):
+    """Same folders, types and values either way, and each way reads what the other wrote."""
+    import decimal
+
+    schema = ("c string, n5 decimal(5,2), n20 decimal(20,3), tiny tinyint, small smallint, big bigint, f float, d double, o boolean, y binary, a date, "
+              "z timestamp, u timestamp_ntz, station string, year int, month int, day int, hour int, minute int, seq long")
+    names = [f"x{chr(i)}y" for i in range(1, 128)] + ["50%", "%41", "é", "_u", "日本", " "]
+    data = []
+    for k, name in enumerate(n for n in names for _ in range(2)):
+        values = [None] * 13 if k % 5 == 0 else [
+            f"é{k}", decimal.Decimal("-1.25"), decimal.Decimal(k) / 8, k % 100 - 50, -k, 10 ** 15 + k, float("nan") if k % 3 else -0.0, k / 7, k % 2 == 0,
+            bytes([k % 256, 0]), dt.date(1950, 1, 1) + dt.timedelta(k), dt.datetime(1990, 1, 1) + dt.timedelta(k, 0, k), dt.datetime(1800, 1, 1) + dt.timedelta(k)]
+        data.append((*values, name, 2011, 1 + k % 12, 1 + k % 28, k % 24, k % 60, k))
+    df = spark.createDataFrame(data, schema)
+    plain, tables = df.drop("seq").schema, {}
+    for way, listed in (("spark", 10 ** 6), ("tasks", 0)):
+        monkeypatch.setattr(layouts, "LISTED", listed)
+        tables[way] = layouts.upsert_station(spark, df, os.path.join(workdir, way))
+    assert "MapInArrow" in tables["tasks"]._jdf.queryExecution().executedPlan().toString()
+    assert tables["tasks"].schema == tables["spark"].schema
+    assert _data_folders(os.path.join(workdir, "tasks")) == _data_folders(os.path.join(workdir, "spark"))
+    crossed = [layouts.read_layout(spark, os.path.join(workdir, "tasks"), plain),
+               layouts._stored(spark, os.path.join(workdir, "spark"), plain, layouts.STATION_LAYOUT)]
+    want = sorted(map(repr, tables["spark"].collect()))
+    assert len(want) == len(data)
+    for t in (tables["tasks"], *crossed):
+        assert sorted(map(repr, t.collect())) == want
+
+
+def test_tasks_read_files_of_an_earlier_schema(spark, workdir, monkeypatch):
+    """A column that old files lack is NULL there; a type that Spark's reader would not take is an error."""
+    monkeypatch.setattr(layouts, "LISTED", 0)
+    path = os.path.join(workdir, "earlier")
+    layouts.upsert_station(spark, _stations(spark, "AB", 1).drop("sky"), path)
+    t = layouts.upsert_station(spark, _stations(spark, "B", 2), path)
+    assert sorted((r.station, r.month, r.sky) for r in t.collect()) == [("A", 1, None), ("B", 1, None), ("B", 2, "x")]
+    with pytest.raises(Exception, match="holds double, not int32"):
+        layouts.upsert_station(spark, _stations(spark, "A", 3).withColumn("t", F.lit(1)), path)
+
+
+def test_a_task_that_writes_again_leaves_one_file(spark, workdir, monkeypatch):
+    """Rows of several batches, a folder across two of them; the same write twice gives the same files."""
+    from obsgrid.schema import STATION_LAYOUT
+
+    monkeypatch.setattr(layouts, "ROW_GROUP", 7)
+    data = [("HOT" if i % 3 else f"S{i % 9}", 2011, 1 + i % 12, 1 + i % 28, i % 24, i % 60, float(i), "x", i) for i in range(4000)]
+    df = rows(spark, data).drop("seq")
+    to = layouts._Shared(os.path.join(workdir, "again"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        for _ in range(2):
+            layouts._write_by_tasks(df, to, STATION_LAYOUT, num_tasks=3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, layouts.read_layout(spark, to.top, df.schema).select(df.columns).collect())) == sorted(d[:-1] for d in data)
+    assert len(os.listdir(to.path("station=HOT", "year=2011"))) >= 2
+
+
+@pytest.mark.parametrize("stop_at", STOPS)
+@pytest.mark.parametrize("cut", [None, "stage"])
+def test_stop_with_many_folders(spark, workdir, monkeypatch, stop_at, cut):
+    """What tasks wrote and listed is finished, or undone, like any other upsert."""
+    import shutil
+
+    monkeypatch.setattr(layouts, "LISTED", 0)
+    path = os.path.join(workdir, "many-steps")
+    own = _stopped_upsert(spark, path, stop_at, monkeypatch)
+    schema = rows(spark, []).drop("seq").schema
+    monkeypatch.setattr(layouts, "HERE", 0)
+    if cut is None:
+        t = layouts.finish_upsert(spark, os.path.join(own, "new"), path, layouts.STATION_LAYOUT, schema)
+        assert _months(t) == NEW_TABLE
+    else:
+        shutil.rmtree(os.path.join(own, "new", stop_at[0]))
+        with pytest.raises(layouts.StageLost):
+            layouts.upsert_station(spark, _stations(spark, "E", 3), path)
+        assert _months(layouts.read_layout(spark, path, schema)) == [("A", 1), ("B", 1)]
+    assert not os.path.exists(os.path.join(path, layouts.PENDING))
