@@ -88,6 +88,8 @@ NAMING = (T.StringType, *INTS, T.DateType)
 # what Spark escapes in a folder's name, and its name for NULL
 ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# marks of a file by which Spark's reader tells the calendar of its old dates: of today, as tasks write them, or of before 1582
+TODAYS, JULIAN = b"org.apache.spark.version", (b"org.apache.spark.legacyDateTime", b"org.apache.spark.legacyINT96")
 # folder in the table's folder with the stage, the journal and the old folders of an upsert that has not finished
 PENDING = "_pending_upsert"
 NEW, OLD, JOURNAL, DONE = "new", "old", "journal", "done"
@@ -318,7 +320,7 @@ def _laid_out(df: DataFrame, layout: Layout, num_tasks: int | None) -> DataFrame
 
 def _tasks_can(schema: T.StructType, partition_by: Sequence[str]) -> bool:
     """Whether tasks can read and write such rows as Spark does."""
-    return all(isinstance(f.dataType, NAMING if f.name in partition_by else PLAIN) for f in schema.fields)
+    return set(partition_by) <= set(schema.names) and all(isinstance(f.dataType, NAMING if f.name in partition_by else PLAIN) for f in schema.fields)
 
 
 def _folder_of(names: Sequence[str], values: Sequence[str]) -> str:
@@ -335,9 +337,9 @@ def _values_of(folder: str) -> dict[str, str | None]:
 class _Writer:
     """One file of a folder. It gets its name when it is whole, the same name if the task runs again."""
 
-    def __init__(self, folder: str, task: int, codec: str):
+    def __init__(self, folder: str, task: int, codec: str, version: str):
         os.makedirs(folder, exist_ok=True)
-        self.place, self.codec = os.path.join(folder, f"part-{task:05d}.parquet"), codec
+        self.place, self.codec, self.version = os.path.join(folder, f"part-{task:05d}.parquet"), codec, version
         self.draft, self.out = os.path.join(folder, f".part-{uuid.uuid4().hex}"), None
         self.held, self.rows = [], 0
 
@@ -348,7 +350,7 @@ class _Writer:
             self.flush()
 
     def flush(self) -> None:
-        table = pa.Table.from_batches(self.held)
+        table = pa.Table.from_batches(self.held).replace_schema_metadata({TODAYS: self.version})
         self.out = self.out or pq.ParquetWriter(self.draft, table.schema, compression=self.codec)
         self.out.write_table(table)
         self.held, self.rows = [], 0
@@ -364,7 +366,7 @@ def _write_by_tasks(df: DataFrame, to: _Shared, layout: Layout, num_tasks: int |
     """The files of ``write_layout``, without an entry on the driver for each folder."""
     names = list(layout.partition_by)
     data = [c for c in df.columns if c not in names]
-    codec = df.sparkSession.conf.get("spark.sql.parquet.compression.codec").lower()
+    version, codec = df.sparkSession.version, df.sparkSession.conf.get("spark.sql.parquet.compression.codec").lower()
     codec = {"uncompressed": "none", "lz4_raw": "lz4", "lz4raw": "lz4"}.get(codec, codec)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,7 +384,7 @@ def _write_by_tasks(df: DataFrame, to: _Shared, layout: Layout, num_tasks: int |
                 if folder != now:
                     if file:
                         file.close()
-                    now, file = folder, _Writer(to.path(folder), task, codec)
+                    now, file = folder, _Writer(to.path(folder), task, codec, version)
                 file.add(rest.slice(start, end - start))
             rows += batch.num_rows
         if file:
@@ -419,6 +421,8 @@ def _rows_by_tasks(spark: SparkSession, table: _Shared, files: RDD, schema: T.St
     def of(file: str) -> Iterator[pa.RecordBatch]:
         values = _values_of(posixpath.dirname(file))
         with pq.ParquetFile(table.path(file), coerce_int96_timestamp_unit="us") as source:
+            if any(mark in (source.metadata.metadata or {}) for mark in JULIAN):
+                raise ValueError(f"{file} has dates of the Julian calendar: write the table anew without the LEGACY rebase mode")
             has = {n if exact else n.lower(): n for n in source.schema_arrow.names}
             wanted = {f.name: has.get(f.name if exact else f.name.lower()) for f in kinds if f.name not in values}
             for batch in source.iter_batches(ROWS_AT_ONCE, columns=[n for n in wanted.values() if n]):

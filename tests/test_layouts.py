@@ -553,3 +553,26 @@ def test_stop_with_many_folders(spark, workdir, monkeypatch, stop_at, cut):
             layouts.upsert_station(spark, _stations(spark, "E", 3), path)
         assert _months(layouts.read_layout(spark, path, schema)) == [("A", 1), ("B", 1)]
     assert not os.path.exists(os.path.join(path, layouts.PENDING))
+
+
+def test_old_dates_are_told_by_the_file(spark, workdir, monkeypatch):
+    """Dates and instants before 1582, by tasks and by Spark, whatever Spark's reader takes unmarked files for."""
+    df = spark.sql("SELECT concat('S', id) AS station, 2011 AS year, 1 AS month, 1 AS day, CAST(id AS int) AS hour, 0 AS minute, "
+                   "DATE'1400-03-01' + CAST(id * 50000 AS int) AS a, TIMESTAMP'0001-01-01 00:00:00' + make_interval(id * 400) AS z, id AS seq FROM range(24)")
+    plain, key = df.drop("seq").schema, "spark.sql.parquet.datetimeRebaseModeInRead"
+
+    def values(t):
+        return sorted(tuple(r) for r in t.selectExpr("station", "CAST(a AS string)", "unix_micros(z)").collect())
+
+    want, before = values(df), spark.conf.get(key)
+    paths = {way: os.path.join(workdir, way) for way in ("spark", "tasks")}
+    for way, listed in (("spark", 10 ** 6), ("tasks", 0)):
+        monkeypatch.setattr(layouts, "LISTED", listed)
+        assert values(layouts.upsert_station(spark, df, paths[way])) == want
+    assert values(layouts._stored(spark, paths["spark"], plain, layouts.STATION_LAYOUT)) == want
+    try:
+        for mode in ("CORRECTED", "LEGACY", "EXCEPTION"):
+            spark.conf.set(key, mode)
+            assert values(layouts.read_layout(spark, paths["tasks"], plain)) == want
+    finally:
+        spark.conf.set(key, before)
